@@ -38,13 +38,13 @@ def positions(df: DataFrame, order_cols: Sequence[str], bucket: Column,
     """
     group_cols = list(group_cols)
     d = df.withColumn("__b", bucket)
-    counts = d.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    counts = d.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*group_cols).orderBy("__b") if group_cols else Window.orderBy("__b")
-    offs = counts.withColumn("__off", F.sum("__n").over(w) - F.col("__n"))
+    offs = counts.withColumn("__off", F.sum("__cnt").over(w) - F.col("__cnt"))
     if total_out:
         wt = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
-        offs = offs.withColumn(total_out, F.sum("__n").over(wt))
-    offs = offs.drop("__n")
+        offs = offs.withColumn(total_out, F.sum("__cnt").over(wt))
+    offs = offs.drop("__cnt")
     joined = _null_safe_join(d, offs, [*group_cols, "__b"])
     wr = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols)
     return (joined.withColumn(out, F.col("__off") + F.row_number().over(wr) - F.lit(1))
