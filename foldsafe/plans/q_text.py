@@ -1,3 +1,123 @@
-"""Registered queries."""
+"""Registered queries: text."""
 
-from foldsafe.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foldsafe.functions import text as T
+from foldsafe.operators import text as TX
+from foldsafe.operators.splits import split_hash
+from foldsafe.plans.catalog import register
+from foldsafe.session import read_table
+
+TOK_SQL = r"regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}')"
+
+
+@register("txt_normalize")
+def q_b15(spark, sf):
+    """No DuckDB oracle: its regex engine has ASCII-only \\b; checked against
+    Python's ``re`` on the documents table in the tests."""
+    d = read_table(spark, sf, "documents")
+    return d.select("doc_id", T.normalize_text("text").alias("normalized"))
+
+
+@register("txt_strip_html", r"""
+SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS text FROM pages""")
+def q_b16(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", T.strip_html("html").alias("text"))
+
+
+@register("txt_prefer_plain", r"""
+WITH g AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS p,
+                  string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS h
+           FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id)
+SELECT conv_id, CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(h, '<[^>]+>', ' ', 'g') END AS body FROM g""")
+def q_b17(spark, sf):
+    c = read_table(spark, sf, "conversations")
+    return TX.prefer_plain(c, "conv_id", "turn", "role", "text", plain="user", html="assistant")
+
+
+@register("txt_prepend_subject", r"""
+SELECT page_id, coalesce(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '') || chr(10) ||
+       regexp_replace(html, '<[^>]+>', ' ', 'g') AS message FROM pages""")
+def q_b18(spark, sf):
+    p = read_table(spark, sf, "pages")
+    return p.select("page_id", T.prepend_subject(T.html_title("html"), T.strip_html("html")).alias("message"))
+
+
+@register("txt_tokens", f"""
+SELECT doc_id, CAST(len({TOK_SQL}) AS INTEGER) AS n_tokens, array_to_string({TOK_SQL}, ' ') AS tokens FROM documents""")
+def q_b19(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", T.tokens("text").alias("t"))
+    return d.select("doc_id", F.size("t").cast("int").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
+TF_SQL = f"""tok AS (SELECT doc_id, unnest({TOK_SQL}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 3)"""
+
+
+@register("flt_min_df", f"WITH {TF_SQL} SELECT term, df FROM df")
+def q_c7(spark, sf):
+    d = read_table(spark, sf, "documents")
+    return TX.min_df_terms(TX.term_counts(d, "doc_id", "text"), 3)
+
+
+@register("prep_tfidf", f"""WITH {TF_SQL},
+n AS (SELECT count(*) AS n FROM documents),
+w AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * (ln((1 + n.n) / (1 + df.df)) + 1) AS w FROM tf JOIN df USING (term), n),
+nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
+SELECT doc_id, term, round(w / norm, 6) AS weight FROM w JOIN nm USING (doc_id)""")
+def q_k10(spark, sf):
+    d = read_table(spark, sf, "documents")
+    m = TX.fit_tfidf(d, "doc_id", "text", 3)
+    return TX.apply_tfidf(d, "doc_id", "text", m).withColumn("weight", F.round("weight", 6))
+
+
+NB_SQL = f"""lab AS (SELECT l.doc_id, d.text, CAST(l.toxic AS INTEGER) AS label,
+                 CAST(('0x' || substr(md5(CAST(l.doc_id AS VARCHAR)), 1, 8))::BIGINT < 0.2 * 4294967296.0 AS INTEGER) AS is_test
+          FROM labels l JOIN documents d USING (doc_id)),
+tr AS (SELECT * FROM lab WHERE is_test = 0),
+tok AS (SELECT doc_id, unnest({TOK_SQL}) AS term FROM tr),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 3),
+n AS (SELECT count(*) AS n FROM tr),
+idf AS (SELECT term, ln((1 + n.n) / (1 + df.df)) + 1 AS idf FROM df, n),
+wt0 AS (SELECT tf.doc_id, tf.term, (1 + ln(tf.tf)) * idf.idf AS w FROM tf JOIN idf USING (term)),
+wt AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM wt0),
+v AS (SELECT count(*) AS V FROM idf),
+pr AS (SELECT label, ln(count(*) / (SELECT count(*) FROM tr)) AS log_prior FROM tr GROUP BY label),
+fc AS (SELECT tr.label, wt.term, sum(wt.weight) AS fc FROM wt JOIN tr USING (doc_id) GROUP BY 1, 2),
+tot AS (SELECT label, sum(fc) AS tot FROM fc GROUP BY label),
+lp AS (SELECT fc.label, fc.term, ln((fc.fc + 1.0) / (tot.tot + 1.0 * v.V)) AS log_prob FROM fc JOIN tot USING (label), v),
+un AS (SELECT label, ln(1.0 / (tot + 1.0 * v.V)) AS log_unseen FROM tot, v),
+te AS (SELECT * FROM lab WHERE is_test = 1),
+ttok AS (SELECT doc_id, unnest({TOK_SQL}) AS term FROM te),
+ttf AS (SELECT doc_id, term, count(*) AS tf FROM ttok GROUP BY 1, 2),
+tw0 AS (SELECT ttf.doc_id, ttf.term, (1 + ln(ttf.tf)) * idf.idf AS w FROM ttf JOIN idf USING (term)),
+tw AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM tw0),
+cls AS (SELECT label, log_prior, log_unseen FROM pr JOIN un USING (label)),
+j AS (SELECT tw.doc_id, cls.label, sum(tw.weight * coalesce(lp.log_prob, cls.log_unseen)) + max(cls.log_prior) AS jll
+      FROM tw CROSS JOIN cls LEFT JOIN lp ON lp.label = cls.label AND lp.term = tw.term GROUP BY 1, 2)"""
+
+
+@register("fit_naive_bayes", f"""WITH {NB_SQL},
+p AS (SELECT doc_id, arg_min(label, (-jll, label)) AS pred FROM j GROUP BY doc_id)
+SELECT p.doc_id, CAST(p.pred AS INTEGER) AS pred, CAST(te.label AS INTEGER) AS label,
+       round(max(CASE WHEN j.label = 0 THEN j.jll END), 6) AS jll_0, round(max(CASE WHEN j.label = 1 THEN j.jll END), 6) AS jll_1
+FROM p JOIN te USING (doc_id) JOIN j USING (doc_id) GROUP BY p.doc_id, p.pred, te.label""")
+def q_l11(spark, sf):
+    lab = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    lab = split_hash(lab.withColumn("label", F.col("toxic").cast("int")), "doc_id", 0.2)
+    tr, te = lab.where("is_test = 0"), lab.where("is_test = 1")
+    tm = TX.fit_tfidf(tr, "doc_id", "text", 3)
+    tm.idf.cache()
+    vocab_size = tm.idf.count()
+    nb = TX.fit_naive_bayes(TX.apply_tfidf(tr, "doc_id", "text", tm), tr, "label", vocab_size)
+    jll = TX.predict_naive_bayes(TX.apply_tfidf(te, "doc_id", "text", tm), nb, tm.idf)
+    pred = jll.groupBy("doc_id").agg(F.min_by("label", F.struct(-F.col("jll"), F.col("label"))).alias("pred"),
+                                     F.round(F.max(F.when(F.col("label") == 0, F.col("jll"))), 6).alias("jll_0"),
+                                     F.round(F.max(F.when(F.col("label") == 1, F.col("jll"))), 6).alias("jll_1"))
+    return pred.join(te.select("doc_id", "label"), "doc_id").select("doc_id", F.col("pred").cast("int").alias("pred"),
+                                                                   "label", "jll_0", "jll_1")
