@@ -72,16 +72,17 @@ def fold_moments(df: DataFrame, cols: Sequence[str], fold: str) -> DataFrame:
                                  *[F.sum(F.col(c).cast("double")).alias(f"{c}__s") for c in cols],
                                  *[F.sum(F.col(c).cast("double") ** 2).alias(f"{c}__q") for c in cols])
     w = Window.partitionBy(F.lit(1))
+    tot = parts.withColumns({f"{c}__{x}t": F.sum(f"{c}__{x}").over(w) for c in cols for x in ("n", "s", "q")})
     rows = []
     for c in cols:
-        n = F.sum(f"{c}__n").over(w) - F.col(f"{c}__n")
-        s = F.sum(f"{c}__s").over(w) - F.col(f"{c}__s")
-        q = F.sum(f"{c}__q").over(w) - F.col(f"{c}__q")
+        n = F.col(f"{c}__nt") - F.col(f"{c}__n")
+        s = F.col(f"{c}__st") - F.col(f"{c}__s")
+        q = F.col(f"{c}__qt") - F.col(f"{c}__q")
         m = s / n
         var = F.greatest(F.lit(0.0), q / n - m * m)
         rows.append(F.struct(F.lit(c).alias("column"), n.alias("n"), m.alias("mean"),
                              F.when(F.sqrt(var) == 0, F.lit(1.0)).otherwise(F.sqrt(var)).alias("std")))
-    return parts.select(fold, F.explode(F.array(*rows)).alias("s")).select(fold, "s.*")
+    return tot.select(fold, F.explode(F.array(*rows)).alias("s")).select(fold, "s.*")
 
 
 def fold_medians(df: DataFrame, cols: Sequence[str], fold: str, k: int) -> DataFrame:

@@ -1,3 +1,145 @@
-"""Registered queries."""
+"""Registered queries: preprocessing fit/apply (K1-K4, K7, K8, C5) and
+single-pass fold statistics."""
 
-from foldsafe.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from foldsafe.operators import prep as P
+from foldsafe.operators.splits import fold_kfold_shuffled, split_random
+from foldsafe.plans.catalog import register
+from foldsafe.plans.frames import SQL_DISTRICTS, districts
+from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
+
+SPLIT = f"WITH {SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)}"
+
+
+def _split(spark, sf):
+    return split_random(districts(spark, sf), "row_id", 0.2, 42)
+
+
+@register("prep_impute_numeric", f"""{SPLIT},
+f AS (SELECT median(acctbal) AS med, avg(acctbal) AS mean FROM districts_rsplit WHERE is_test = 0)
+SELECT row_id, is_test, round(coalesce(acctbal, f.med), 6) AS acctbal_median, round(coalesce(acctbal, f.mean), 6) AS acctbal_mean
+FROM districts_rsplit, f""")
+def q_k1(spark, sf):
+    d = _split(spark, sf)
+    tr = d.where("is_test = 0")
+    med = P.fit_impute_numeric(tr, ["acctbal"], "median")["acctbal"]
+    mean = P.fit_impute_numeric(tr, ["acctbal"], "mean")["acctbal"]
+    return d.select("row_id", "is_test", F.round(F.coalesce("acctbal", F.lit(med)), 6).alias("acctbal_median"),
+                    F.round(F.coalesce("acctbal", F.lit(mean)), 6).alias("acctbal_mean"))
+
+
+@register("prep_impute_mode", f"""{SPLIT},
+c AS (SELECT priority, count(*) AS n FROM districts_rsplit WHERE is_test = 0 AND row_id % 3 <> 0 GROUP BY priority),
+m AS (SELECT arg_min(priority, (-n, priority)) AS mode FROM c)
+SELECT row_id, coalesce(CASE WHEN row_id % 3 = 0 THEN NULL ELSE priority END, m.mode) AS priority FROM districts_rsplit, m""")
+def q_k2(spark, sf):
+    d = _split(spark, sf).withColumn("priority", F.when(F.col("row_id") % 3 == 0, F.lit(None)).otherwise(F.col("priority")))
+    mode = P.fit_impute_mode(d.where("is_test = 0"), ["priority"])
+    return P.apply_impute(d, mode).select("row_id", "priority")
+
+
+@register("prep_standardize", f"""{SPLIT},
+f AS (SELECT avg(doy) AS m, CASE WHEN stddev_pop(doy) = 0 THEN 1.0 ELSE stddev_pop(doy) END AS s,
+             avg(target) AS mt, CASE WHEN stddev_pop(target) = 0 THEN 1.0 ELSE stddev_pop(target) END AS st FROM districts_rsplit WHERE is_test = 0)
+SELECT row_id, round((doy - f.m) / f.s, 6) AS doy_z, round((target - f.mt) / f.st, 6) AS target_z,
+       round(((target - f.mt) / f.st) * f.st + f.mt, 9) AS target_back, round(doy / f.s, 6) AS doy_scaled FROM districts_rsplit, f""")
+def q_k3(spark, sf):
+    d = _split(spark, sf)
+    prm = P.fit_standardize(d.where("is_test = 0"), ["doy", "target"])
+    z = P.apply_standardize(d, prm, suffix="_z")
+    back = P.inverse_standardize(z.drop("doy", "target"), {"target": prm["target"]}, suffix="_z")
+    sc = P.apply_standardize(d, {"doy": prm["doy"]}, center=False, suffix="_scaled").select("row_id", "doy_scaled")
+    return back.join(sc, "row_id").select("row_id", F.round("doy_z", 6).alias("doy_z"), F.round("target_z", 6).alias("target_z"),
+                                         F.round("target", 9).alias("target_back"), F.round("doy_scaled", 6).alias("doy_scaled"))
+
+
+LEVELS_SQL = "['1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW']"
+
+
+@register("prep_one_hot", f"""{SPLIT}
+SELECT row_id, """ + ", ".join(
+    f"CAST(coalesce(priority = '{lv}', false) AS INTEGER) AS priority_{lv.replace('-', '_').replace(' ', '_')}"
+    for lv in ['1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW']) + """,
+    CAST(coalesce(segment = 'AUTOMOBILE', false) AS INTEGER) AS segment_AUTOMOBILE
+FROM districts_rsplit""")
+def q_k4(spark, sf):
+    """Levels fitted on training rows that never saw '4-NOT SPECIFIED': that
+    level is unseen at apply time and maps to all zeros."""
+    d = _split(spark, sf)
+    tr = d.where("is_test = 0 AND priority <> '4-NOT SPECIFIED'")
+    lv = P.fit_one_hot(tr, "priority")
+    out = P.apply_one_hot(d, "priority", lv)
+    seg = P.fit_one_hot(tr.where("segment = 'AUTOMOBILE'"), "segment")
+    out = P.apply_one_hot(out, "segment", seg)
+    return out.select("row_id", *[P.one_hot_name("priority", v) for v in lv], *[P.one_hot_name("segment", v) for v in seg])
+
+
+SKEW_COLS = ["acctbal", "doy", "target", "spread"]
+
+
+def _skew_input(spark, sf):
+    return _split(spark, sf).withColumn("spread", F.exp(F.col("target")))
+
+
+@register("flt_skewed_columns", f"""{SPLIT},
+b AS (SELECT *, exp(target) AS spread FROM districts_rsplit WHERE is_test = 0),
+s AS ({' UNION ALL '.join(f"SELECT '{c}' AS column, skewness({c}) AS skew, min({c}) AS min FROM b" for c in SKEW_COLS)})
+SELECT "column", round(skew, 6) AS skew, round(min, 6) AS min FROM s WHERE abs(skew) > 1 AND min > 0""")
+def q_c5(spark, sf):
+    tr = _skew_input(spark, sf).where("is_test = 0")
+    s = P.skewed_columns(tr, SKEW_COLS)
+    return s.select("column", F.round("skew", 6).alias("skew"), F.round("min", 6).alias("min"))
+
+
+@register("prep_log_branch", f"""{SPLIT},
+b AS (SELECT *, exp(target) AS spread FROM districts_rsplit),
+med AS (SELECT median(spread) AS md FROM b WHERE is_test = 0),
+lg AS (SELECT b.*, CASE WHEN coalesce(spread, md) > 0 THEN ln(coalesce(spread, md)) END AS ls FROM b, med),
+st AS (SELECT avg(ls) AS m, CASE WHEN stddev_pop(ls) = 0 THEN 1.0 ELSE stddev_pop(ls) END AS s FROM lg WHERE is_test = 0)
+SELECT row_id, round((ls - st.m) / st.s, 6) AS spread_log FROM lg, st""")
+def q_k7(spark, sf):
+    d = _skew_input(spark, sf)
+    lb = P.fit_log_branch(d.where("is_test = 0"), ["spread"])
+    return P.apply_log_branch(d, lb).select("row_id", F.round("spread_log", 6).alias("spread_log"))
+
+
+@register("prep_branches", f"""{SPLIT},
+b AS (SELECT *, exp(target) AS spread FROM districts_rsplit),
+f AS (SELECT median(acctbal) AS mda, median(doy) AS mdd, median(spread) AS mds FROM b WHERE is_test = 0),
+i AS (SELECT b.*, coalesce(acctbal, mda) AS a, CAST(coalesce(doy, mdd) AS DOUBLE) AS dd,
+             CASE WHEN coalesce(spread, mds) > 0 THEN ln(coalesce(spread, mds)) END AS ls FROM b, f),
+st AS (SELECT avg(a) AS ma, CASE WHEN stddev_pop(a) = 0 THEN 1.0 ELSE stddev_pop(a) END AS sa,
+              avg(dd) AS md, CASE WHEN stddev_pop(dd) = 0 THEN 1.0 ELSE stddev_pop(dd) END AS sd,
+              avg(ls) AS ml, CASE WHEN stddev_pop(ls) = 0 THEN 1.0 ELSE stddev_pop(ls) END AS sl FROM i WHERE is_test = 0)
+SELECT row_id, round((a - ma) / sa, 6) AS num__acctbal, round((dd - md) / sd, 6) AS num__doy, round((ls - ml) / sl, 6) AS log__spread,
+       """ + ", ".join(f"CAST(coalesce(segment = '{s}', false) AS INTEGER) AS cat__segment_{s}"
+                       for s in ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) + """
+FROM i, st""")
+def q_k8(spark, sf):
+    d = _skew_input(spark, sf)
+    br = P.fit_branches(d.where("is_test = 0"), numeric=["acctbal", "doy"], log=["spread"], categorical=["segment"],
+                        passthrough=["row_id"])
+    out = P.apply_branches(d, br)
+    num = [c for c in out.columns if c.startswith(("num__", "log__"))]
+    return out.select("row_id", *[F.round(c, 6).alias(c) for c in num], *[c for c in out.columns if c.startswith("cat__")])
+
+
+@register("prep_fold_moments", f"""WITH {SQL_DISTRICTS}, {kfold_sql('districts', 'row_id', 5, 42)}
+SELECT f.fold, 'target' AS column, count(d.target) AS n, round(avg(d.target), 6) AS mean,
+       round(CASE WHEN stddev_pop(d.target) = 0 THEN 1.0 ELSE stddev_pop(d.target) END, 6) AS std
+FROM (SELECT DISTINCT fold FROM districts_kf) f JOIN districts_kf d ON d.fold <> f.fold GROUP BY f.fold""")
+def q_fold_moments(spark, sf):
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+    m = P.fold_moments(d, ["target"], "fold")
+    return m.select("fold", "column", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@register("prep_fold_medians", f"""WITH {SQL_DISTRICTS}, {kfold_sql('districts', 'row_id', 5, 42)}
+SELECT f.fold, 'acctbal' AS column, round(median(d.acctbal), 6) AS median
+FROM (SELECT DISTINCT fold FROM districts_kf) f JOIN districts_kf d ON d.fold <> f.fold GROUP BY f.fold""")
+def q_fold_medians(spark, sf):
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+    return P.fold_medians(d, ["acctbal"], "fold", 5).select("fold", "column", F.round("median", 6).alias("median"))
