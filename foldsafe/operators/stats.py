@@ -171,10 +171,12 @@ def project_cost_plane(df: DataFrame, plane: DataFrame, x1: str, x2: str, by: Se
     row per group (bounded by the number of groups) and is joined on the
     group key; without groups its three coefficients are literals."""
     if by:
-        d = df.join(F.broadcast(plane.select(*by, "a", "b", "c")), list(by))
-        a, b, c = F.col("a"), F.col("b"), F.col("c")
+        pl = plane.select(*by, F.col("a").alias("__pa"), F.col("b").alias("__pb"), F.col("c").alias("__pc"))
+        d = df.join(F.broadcast(pl), list(by))
+        a, b, c = F.col("__pa"), F.col("__pb"), F.col("__pc")
     else:
         r = plane.first()
         d, a, b, c = df, F.lit(r["a"]), F.lit(r["b"]), F.lit(r["c"])
-    d = d.withColumn(out, F.exp(a * F.log(x1) + b * F.log(x2) + c))
-    return d.drop("a", "b", "c") if by else d
+    ok = (F.col(x1) > 0) & (F.col(x2) > 0)          # outside the log domain: no projection
+    d = d.withColumn(out, F.when(ok, F.exp(a * F.log(x1) + b * F.log(x2) + c)))
+    return d.drop("__pa", "__pb", "__pc") if by else d

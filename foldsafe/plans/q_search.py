@@ -1,3 +1,256 @@
-"""Registered queries."""
+"""Registered queries: search bookkeeping and comparison."""
 
-from foldsafe.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from foldsafe.functions.keys import sql_seeded_hash
+from foldsafe.operators import search as SR
+from foldsafe.operators.joins import anti_resume, interval_overlap, paired_delta
+from foldsafe.operators.metrics import t_quantile_expr, t_quantile_sql
+from foldsafe.operators.splits import fold_kfold_shuffled, split_random
+from foldsafe.plans.catalog import register
+from foldsafe.plans.frames import SQL_DISTRICTS, SQL_RUNS, districts, runs
+from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
+
+# The search space of the shrunk group-mean model.
+GROUP_COLS = ["segment", "priority"]
+ALPHAS = [0.0, 10.0, 100.0]
+CUTOFF = "2024-01-10 00:00:00"
+CAP = 400.0
+
+
+def _cands(spark):
+    g = SR.grid(spark, {"group_col": GROUP_COLS, "alpha": ALPHAS})
+    return g.withColumn("cand_key", F.concat("group_col", F.lit(":"), F.format_string("%.1f", "alpha")))
+
+
+def _folded(spark, sf):
+    return fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+
+
+def _fold_scores(spark, sf, cands=None):
+    return SR.eval_shrunk_means(_folded(spark, sf), cands if cands is not None else _cands(spark), "fold", "target", 5)
+
+
+def cand_values_sql(cands):
+    return "(VALUES " + ", ".join(f"('{g}', CAST({a!r} AS DOUBLE))" for g, a in cands) + ") v(group_col, alpha)"
+
+
+def eval_sql(cand_table_sql: str, key_sql: str = "group_col || ':' || printf('%.1f', alpha)",
+             head: str | None = None, src: str = "districts") -> str:
+    head = head if head is not None else SQL_DISTRICTS
+    return f"""{head}, {kfold_sql(src, 'row_id', 5, 42)},
+c AS (SELECT *, {key_sql} AS cand_key FROM {cand_table_sql}),
+rws AS ({' UNION ALL '.join(f"SELECT fold, target, '{g}' AS group_col, CAST({g} AS VARCHAR) AS g FROM {src}_kf" for g in GROUP_COLS)}),
+st AS (SELECT group_col, fold, g, sum(target) AS s, count(target) AS n FROM rws GROUP BY ALL),
+comp AS (SELECT st.*, sum(s) OVER (PARTITION BY group_col, g) - s AS cs, sum(n) OVER (PARTITION BY group_col, g) - n AS cn,
+                sum(s) OVER (PARTITION BY group_col) AS gs, sum(n) OVER (PARTITION BY group_col) AS gn FROM st),
+ft AS (SELECT group_col, fold, sum(s) AS fs, sum(n) AS fn FROM st GROUP BY ALL),
+k AS (SELECT comp.group_col, comp.fold, comp.g, cs, cn, (gs - fs) / (gn - fn) AS gmean FROM comp JOIN ft USING (group_col, fold)),
+consts AS (SELECT c.cand_key, c.group_col, k.fold, k.g, (cs + alpha * gmean) / nullif(cn + alpha, 0) AS pred, gmean
+           FROM c JOIN k USING (group_col)),
+sc AS (SELECT consts.cand_key, r.fold, (coalesce(pred, gmean) - r.target) ^ 2 AS se
+       FROM rws r JOIN consts ON r.group_col = consts.group_col AND r.fold = consts.fold AND r.g = consts.g),
+fs AS (SELECT cand_key, fold, sqrt(avg(se)) AS rmse, count(*) AS n FROM sc GROUP BY ALL),
+lg AS (SELECT cand_key, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_std, count(*) AS n_folds FROM fs GROUP BY cand_key)"""
+
+
+GRID = [(g, a) for g in GROUP_COLS for a in ALPHAS]
+GRID_SQL = eval_sql(cand_values_sql(GRID))
+
+
+@register("search_grid", f"WITH {GRID_SQL} SELECT cand_key, CAST(fold AS INTEGER) AS fold, round(rmse, 6) AS rmse, n FROM fs")
+def q_m1(spark, sf):
+    fs = _fold_scores(spark, sf)
+    return fs.select("cand_key", F.col("fold").cast("int").alias("fold"), F.round("rmse", 6).alias("rmse"), "n")
+
+
+@register("search_log_candidates", f"""WITH {GRID_SQL}
+SELECT cand_key, round(cv_rmse, 6) AS cv_rmse, round(cv_std, 6) AS cv_std, n_folds,
+       CAST(rank() OVER (ORDER BY round(cv_rmse, 9)) AS INTEGER) AS rank FROM lg""")
+def q_m4(spark, sf):
+    from pyspark.sql import Window
+    g = SR.log_candidates(_fold_scores(spark, sf)).withColumn("r9", F.round("cv_rmse", 9))
+    g = g.withColumn("rank", F.rank().over(Window.orderBy("r9")).cast("int"))   # one row per candidate
+    return g.select("cand_key", F.round("cv_rmse", 6).alias("cv_rmse"), F.round("cv_std", 6).alias("cv_std"), "n_folds", "rank")
+
+
+# random search: 12 draws, group column uniform from the list, alpha log-uniform in [0.1, 1000]
+N_DRAWS, DRAW_SEED, A_LO, A_HI = 12, 7, 0.1, 1000.0
+
+
+def _draws(spark):
+    d = SR.random_draws(spark, N_DRAWS, DRAW_SEED, lists={"group_col": GROUP_COLS}, log_uniform={"alpha": (A_LO, A_HI)})
+    return d.withColumn("cand_key", F.concat(F.lit("d"), F.col("draw").cast("string")))
+
+
+DRAWS_SQL = f"""(SELECT draw, {GROUP_COLS!r}[CAST(floor(({sql_seeded_hash('draw', DRAW_SEED, 'group_col')} / 4294967296.0) * {len(GROUP_COLS)}) AS INTEGER) + 1] AS group_col,
+       exp({math.log(A_LO)!r} + ({sql_seeded_hash('draw', DRAW_SEED, 'alpha')} / 4294967296.0) * {math.log(A_HI / A_LO)!r}) AS alpha
+  FROM range(0, {N_DRAWS}) t(draw))"""
+
+
+@register("search_random", f"""WITH {eval_sql(DRAWS_SQL, "'d' || CAST(draw AS VARCHAR)")}
+SELECT c.draw, c.group_col, round(c.alpha, 6) AS alpha, round(lg.cv_rmse, 6) AS cv_rmse FROM c JOIN lg USING (cand_key)""")
+def q_m2(spark, sf):
+    d = _draws(spark)
+    lg = SR.log_candidates(_fold_scores(spark, sf, d))
+    return d.join(lg, "cand_key").select("draw", "group_col", F.round("alpha", 6).alias("alpha"), F.round("cv_rmse", 6).alias("cv_rmse"))
+
+
+@register("search_resume", f"""WITH {GRID_SQL}
+SELECT cand_key, CAST(fold AS INTEGER) AS fold, round(rmse, 6) AS rmse FROM fs""")
+def q_m5(spark, sf):
+    """Resume: the fold results already stored (alpha = 0 candidates) are
+    kept; only the anti-join remainder is evaluated; the union is the log."""
+    cands = _cands(spark)
+    done = _fold_scores(spark, sf, cands.where(F.col("alpha") == 0.0))
+    todo = anti_resume(cands, done.select("cand_key").distinct())
+    new = _fold_scores(spark, sf, todo)
+    out = done.unionByName(new)
+    return out.select("cand_key", F.col("fold").cast("int").alias("fold"), F.round("rmse", 6).alias("rmse"))
+
+
+PROJ_SQL = f"""{SQL_RUNS},
+m AS (SELECT * FROM runs WHERE status = 'FINISHED' AND ts < TIMESTAMP '{CUTOFF}'),
+td AS (SELECT * FROM runs WHERE ts >= TIMESTAMP '{CUTOFF}'),
+t AS (SELECT kernel, ln(c) AS u, ln(gamma) AS v, ln(seconds) AS w FROM m WHERE c > 0 AND gamma > 0 AND seconds > 0),
+g AS (SELECT kernel, var_pop(u) AS suu, var_pop(v) AS svv, covar_pop(u, v) AS suv, covar_pop(u, w) AS suw,
+             covar_pop(v, w) AS svw, avg(u) AS mu, avg(v) AS mv, avg(w) AS mw FROM t GROUP BY 1),
+pl AS (SELECT kernel, a, b, mw - a * mu - b * mv AS c0 FROM (
+        SELECT *, (suw * svv - svw * suv) / (suu * svv - suv * suv) AS a, (svw * suu - suw * suv) / (suu * svv - suv * suv) AS b FROM g)),
+p AS (SELECT td.search_id, td.run_id, CASE WHEN td.c > 0 AND td.gamma > 0 THEN exp(pl.a * ln(td.c) + pl.b * ln(td.gamma) + pl.c0) END AS projected FROM td JOIN pl USING (kernel)),
+pc AS (SELECT *, CAST(projected > {CAP} AS INTEGER) AS skipped,
+              sum(CASE WHEN projected > {CAP} THEN 0.0 ELSE projected END) OVER (PARTITION BY search_id ORDER BY projected NULLS LAST, run_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS clock FROM p)"""
+
+
+def _projected(spark, sf):
+    r = runs(spark, sf)
+    cut = F.lit(CUTOFF).cast("timestamp_ntz")
+    measured = r.where((F.col("status") == "FINISHED") & (F.col("ts") < cut))
+    todo = r.where(F.col("ts") >= cut)
+    return measured, SR.project_costs(measured, todo, CAP)
+
+
+@register("search_project_cost", f"""WITH {PROJ_SQL}
+SELECT search_id, run_id, round(projected, 6) AS projected, skipped, round(clock, 4) AS clock FROM pc""")
+def q_m6(spark, sf):
+    _, p = _projected(spark, sf)
+    return p.select("search_id", "run_id", F.round("projected", 6).alias("projected"), "skipped", F.round("clock", 4).alias("clock"))
+
+
+@register("search_close_partial", f"""WITH {PROJ_SQL},
+mm AS (SELECT search_id, count(*) AS n_run, sum(seconds) / 3600.0 AS hours_run FROM m GROUP BY 1),
+uu AS (SELECT search_id, count(*) AS n_unrun, sum(projected) / 3600.0 AS hours_unrun FROM pc WHERE skipped = 1 GROUP BY 1)
+SELECT coalesce(mm.search_id, uu.search_id) AS search_id, coalesce(n_run, 0) AS n_run, round(coalesce(hours_run, 0.0), 6) AS hours_run,
+       coalesce(n_unrun, 0) AS n_unrun, round(coalesce(hours_unrun, 0.0), 6) AS hours_unrun
+FROM mm FULL OUTER JOIN uu ON mm.search_id = uu.search_id""")
+def q_m7(spark, sf):
+    measured, p = _projected(spark, sf)
+    c = SR.close_partial(measured, p.where("skipped = 1"))
+    return c.select("search_id", "n_run", F.round("hours_run", 6).alias("hours_run"), "n_unrun", F.round("hours_unrun", 6).alias("hours_unrun"))
+
+
+@register("compare_ablation", f"""WITH {GRID_SQL},
+a AS (SELECT c.alpha, max(CASE WHEN c.group_col = 'priority' THEN lg.cv_rmse END) AS score_a,
+             max(CASE WHEN c.group_col = 'segment' THEN lg.cv_rmse END) AS score_b FROM lg JOIN c USING (cand_key) GROUP BY c.alpha)
+SELECT alpha, round(score_a, 6) AS score_a, round(score_b, 6) AS score_b, round(score_b - score_a, 6) AS delta,
+       CASE WHEN score_b - score_a < 0 THEN 'improves' ELSE 'worsens' END AS verdict FROM a""")
+def q_m11(spark, sf):
+    lg = SR.log_candidates(_fold_scores(spark, sf)).join(_cands(spark), "cand_key")
+    d = paired_delta(lg, ["alpha"], "group_col", "priority", "segment", "cv_rmse")
+    return d.select("alpha", F.round("score_a", 6).alias("score_a"), F.round("score_b", 6).alias("score_b"),
+                    F.round("delta", 6).alias("delta"), F.when(F.col("delta") < 0, "improves").otherwise("worsens").alias("verdict"))
+
+
+TEST_SQL = f"""{SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)},
+c AS (SELECT *, group_col || ':' || printf('%.1f', alpha) AS cand_key FROM {cand_values_sql(GRID)}),
+rws AS ({' UNION ALL '.join(f"SELECT row_id, is_test, target, '{g}' AS group_col, CAST({g} AS VARCHAR) AS g FROM districts_rsplit" for g in GROUP_COLS)}),
+gm AS (SELECT avg(target) AS gmean, min(target) AS lo, max(target) AS hi FROM districts_rsplit WHERE is_test = 0),
+st AS (SELECT group_col, g, sum(target) AS s, count(*) AS n FROM rws WHERE is_test = 0 GROUP BY ALL),
+k AS (SELECT c.cand_key, st.group_col, st.g, (s + alpha * gmean) / nullif(n + alpha, 0) AS pred FROM c JOIN st USING (group_col), gm),
+sc AS (SELECT k.cand_key, coalesce(k.pred, gm.gmean) AS pred, r.target, gm.lo, gm.hi FROM rws r JOIN k USING (group_col, g), gm WHERE r.is_test = 1),
+te AS (SELECT cand_key, avg((pred - target) ^ 2) AS mm, stddev_samp((pred - target) ^ 2) AS ss, count(*) AS n,
+              1 - sum((pred - target) ^ 2) / (var_pop(target) * count(*)) AS r2 FROM sc GROUP BY cand_key)"""
+
+
+def _test_scores(spark, sf):
+    d = split_random(districts(spark, sf), "row_id", 0.2, 42)
+    tr = d.where("is_test = 0")
+    gm = tr.agg(F.avg("target").alias("m"), F.min("target").alias("lo"), F.max("target").alias("hi")).first()
+    outs = []
+    for g, a in GRID:
+        key = f"{g}:{a:.1f}"
+        st = tr.groupBy(F.col(g).cast("string").alias("g")).agg(F.sum("target").alias("s"), F.count(F.lit(1)).alias("n"))
+        k = st.select("g", F.try_divide(F.col("s") + F.lit(a) * F.lit(gm["m"]), F.col("n") + F.lit(a)).alias("pred"))
+        te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(F.broadcast(k), "g")
+        outs.append(te.select(F.lit(key).alias("cand_key"), F.coalesce("pred", F.lit(gm["m"])).alias("pred"), "target"))
+    u = outs[0]
+    for o in outs[1:]:
+        u = u.unionByName(o)
+    return u, gm
+
+
+@register("compare_models_table", f"""WITH {TEST_SQL},
+ci AS (SELECT cand_key, sqrt(mm) AS test_rmse, r2, sqrt(greatest(0.0, mm - {t_quantile_sql('n - 1')} * ss / sqrt(n))) AS lo,
+              sqrt(mm + {t_quantile_sql('n - 1')} * ss / sqrt(n)) AS hi FROM te),
+b AS (SELECT arg_min(lo, test_rmse) AS blo, arg_min(hi, test_rmse) AS bhi FROM ci)
+SELECT cand_key, round(test_rmse, 6) AS test_rmse, round(r2, 6) AS r2, CAST(NOT (lo > bhi OR hi < blo) AS INTEGER) AS overlaps_best FROM ci, b""")
+def q_m12(spark, sf):
+    u, _ = _test_scores(spark, sf)
+    e = F.col("pred") - F.col("target")
+    a = u.groupBy("cand_key").agg(F.avg(e * e).alias("mm"), F.stddev_samp(e * e).alias("ss"), F.count(F.lit(1)).alias("n"),
+                                  (F.lit(1.0) - F.sum(e * e) / (F.var_pop("target") * F.count(F.lit(1)))).alias("r2"))
+    half = t_quantile_expr(F.col("n") - 1) * F.col("ss") / F.sqrt("n")
+    ci = a.select("cand_key", F.sqrt("mm").alias("test_rmse"), "r2", F.sqrt(F.greatest(F.lit(0.0), F.col("mm") - half)).alias("lo"),
+                  F.sqrt(F.col("mm") + half).alias("hi"))
+    o = interval_overlap(ci, "lo", "hi", "test_rmse")
+    return o.select("cand_key", F.round("test_rmse", 6).alias("test_rmse"), F.round("r2", 6).alias("r2"), "overlaps_best")
+
+
+REFIT_HEAD = f"""{SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)},
+tr AS (SELECT * FROM districts_rsplit WHERE is_test = 0)"""
+
+
+@register("search_refit_best", f"""WITH {eval_sql(cand_values_sql(GRID), head=REFIT_HEAD, src='tr')},
+best AS (SELECT arg_min(cand_key, (cv_rmse, cand_key)) AS cand_key FROM lg),
+bc AS (SELECT c.* FROM c JOIN best USING (cand_key)),
+gm AS (SELECT avg(target) AS gmean, min(target) AS lo, max(target) AS hi FROM tr),
+trr AS ({' UNION ALL '.join(f"SELECT target, '{g}' AS group_col, CAST({g} AS VARCHAR) AS g FROM tr" for g in GROUP_COLS)}),
+ter AS ({' UNION ALL '.join(f"SELECT target, '{g}' AS group_col, CAST({g} AS VARCHAR) AS g FROM districts_rsplit WHERE is_test = 1" for g in GROUP_COLS)}),
+fit AS (SELECT trr.g, (sum(target) + max(bc.alpha) * max(gm.gmean)) / nullif(count(*) + max(bc.alpha), 0) AS pred
+        FROM trr JOIN bc USING (group_col), gm GROUP BY trr.g),
+scb AS (SELECT coalesce(fit.pred, gm.gmean) AS pred, ter.target, gm.lo, gm.hi FROM ter JOIN bc USING (group_col) LEFT JOIN fit USING (g), gm)
+SELECT (SELECT cand_key FROM best) AS cand_key, round(sqrt(avg((pred - target) ^ 2)), 6) AS rmse_raw,
+       round(sqrt(avg((greatest(lo, least(hi, pred)) - target) ^ 2)), 6) AS rmse_clipped,
+       count_if(pred < lo OR pred > hi) AS n_out FROM scb""")
+def q_m8(spark, sf):
+    """Pick the winner by CV on the training split only, refit it on all
+    training rows, score the test split raw and clipped to the training range."""
+    from foldsafe.operators.metrics import eval_out_of_range
+    d = split_random(districts(spark, sf), "row_id", 0.2, 42)
+    tr = d.where("is_test = 0")
+    lg = SR.log_candidates(SR.eval_shrunk_means(fold_kfold_shuffled(tr, "row_id", 5, 42), _cands(spark), "fold", "target", 5))
+    best = lg.agg(F.min_by("cand_key", F.struct("cv_rmse", "cand_key")).alias("k")).first()["k"]     # one scalar
+    g, a = best.split(":")[0], float(best.split(":")[1])
+    gm = tr.agg(F.avg("target").alias("m"), F.min("target").alias("lo"), F.max("target").alias("hi")).first()
+    fit = tr.groupBy(F.col(g).cast("string").alias("g")).agg(
+        F.try_divide(F.sum("target") + F.lit(a) * F.lit(gm["m"]), F.count(F.lit(1)) + F.lit(a)).alias("pred"))
+    te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(F.broadcast(fit), "g", "left")
+    te = te.withColumn("pred", F.coalesce("pred", F.lit(gm["m"])))
+    r = eval_out_of_range(te, "pred", "target", gm["lo"], gm["hi"])
+    return r.select(F.lit(best).alias("cand_key"), F.round("rmse_raw", 6).alias("rmse_raw"),
+                    F.round("rmse_clipped", 6).alias("rmse_clipped"), "n_out")
+
+
+@register("study_timing", f"""WITH {SQL_RUNS},
+t AS (SELECT kernel, CASE WHEN c > 0 AND seconds > 0 THEN ln(c) END AS lx, CASE WHEN c > 0 AND seconds > 0 THEN ln(seconds) END AS ly, seconds FROM runs)
+SELECT kernel, round(regr_slope(ly, lx), 6) AS exponent, round(max(seconds), 6) AS slowest, round(min(seconds), 6) AS fastest,
+       round(max(seconds) / nullif(min(seconds), 0), 6) AS ratio FROM t GROUP BY kernel""")
+def q_m13(spark, sf):
+    t = SR.timing_study(runs(spark, sf), "kernel", "c")
+    return t.select("kernel", F.round("exponent", 6).alias("exponent"), F.round("slowest", 6).alias("slowest"),
+                    F.round("fastest", 6).alias("fastest"), F.round("ratio", 6).alias("ratio"))
