@@ -1,3 +1,321 @@
-"""Registered queries."""
+"""Registered queries: learners, out-of-fold prediction, learning curves,
+importances (L1-L5, L8-L10, L12, L13, K5, K9, K11, I10, I11, M3, M9, M10).
 
-from foldsafe.plans.catalog import register  # noqa: F401
+Stochastic / iterative learners have no SQL oracle (rows-only check); the
+closed-form ones do."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import Window, functions as F
+
+from foldsafe.functions.keys import sql_seeded_hash
+from foldsafe.operators import learners as LR
+from foldsafe.operators.joins import rbf_features
+from foldsafe.operators.metrics import regression_aggs
+from foldsafe.operators.positions import hash_positions
+from foldsafe.operators.prep import apply_branches, apply_impute, fit_branches, fit_impute_numeric
+from foldsafe.operators.splits import fold_kfold_shuffled, fold_stratified, split_random
+from foldsafe.plans.catalog import register
+from foldsafe.plans.frames import SQL_DISTRICTS, districts
+from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
+from foldsafe.session import read_table
+
+
+def _split_imputed(spark, sf):
+    d = split_random(districts(spark, sf), "row_id", 0.2, 42)
+    med = fit_impute_numeric(d.where("is_test = 0"), ["acctbal"])
+    return apply_impute(d, med).withColumn("doy", F.col("doy").cast("double"))
+
+
+def _metrics(scored, pred="pred", real="target"):
+    m = scored.agg(*regression_aggs(pred, real))
+    return m.select("n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2", "bias")])
+
+
+OLS_SQL = f"""{SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)},
+med AS (SELECT median(acctbal) AS m FROM districts_rsplit WHERE is_test = 0),
+d AS (SELECT row_id, is_test, target, coalesce(acctbal, med.m) AS x1, CAST(doy AS DOUBLE) AS x2 FROM districts_rsplit, med),
+g AS (SELECT var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12, covar_pop(x1, target) AS s1y,
+             covar_pop(x2, target) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(target) AS my FROM d WHERE is_test = 0),
+f AS (SELECT (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM g),
+fit AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM f),
+sc AS (SELECT d.target, fit.b0 + fit.b1 * d.x1 + fit.b2 * d.x2 AS pred FROM d, fit WHERE d.is_test = 1)"""
+
+
+@register("fit_ols", f"""WITH {OLS_SQL}
+SELECT count(*) AS n, round(sqrt(avg((pred - target) ^ 2)), 6) AS rmse, round(avg(abs(pred - target)), 6) AS mae,
+       round(1 - sum((pred - target) ^ 2) / (var_pop(target) * count(*)), 6) AS r2, round(avg(pred - target), 6) AS bias,
+       round(max(fit.b1), 9) AS coef_acctbal, round(max(fit.b2), 9) AS coef_doy FROM sc, fit""")
+def q_l1(spark, sf):
+    d = _split_imputed(spark, sf)
+    m = LR.fit_ols_gram(d.where("is_test = 0"), ["acctbal", "doy"], "target")
+    sc = LR.predict_linear(d.where("is_test = 1"), m)
+    return _metrics(sc).select("*", F.round(F.lit(m["coef"]["acctbal"]), 9).alias("coef_acctbal"),
+                               F.round(F.lit(m["coef"]["doy"]), 9).alias("coef_doy"))
+
+
+def _features(spark, sf):
+    d = _split_imputed(spark, sf)
+    br = fit_branches(d.where("is_test = 0"), numeric=["acctbal", "doy"], log=[], categorical=["segment", "priority"],
+                      passthrough=["row_id", "is_test", "target"])
+    x = apply_branches(d, br)
+    feats = [c for c in br.output_names() if c not in ("row_id", "is_test", "target")]
+    return LR.assemble(x, feats), feats
+
+
+def _fit_eval(spark, sf, est):
+    x, _ = _features(spark, sf)
+    x = x.cache()
+    m = est.setFeaturesCol("features").setLabelCol("target").fit(x.where("is_test = 0"))
+    sc = m.transform(x.where("is_test = 1")).withColumnRenamed("prediction", "pred")
+    return _metrics(sc)
+
+
+@register("fit_ridge")
+def q_l2(spark, sf):
+    """Ridge with the reference's penalty convention (alpha = 1 on the sum of squares)."""
+    x, _ = _features(spark, sf)
+    tr = x.where("is_test = 0")
+    est = LR.regressor("ridge", regParam=LR.ridge_reg_param(tr, "target", 1.0))
+    return _fit_eval(spark, sf, est)
+
+
+@register("fit_tree")
+def q_l3(spark, sf):
+    return _fit_eval(spark, sf, LR.regressor("tree", maxDepth=10))
+
+
+@register("fit_forest")
+def q_l4(spark, sf):
+    return _fit_eval(spark, sf, LR.regressor("forest", numTrees=50, maxDepth=8))
+
+
+@register("fit_boosted")
+def q_l5(spark, sf):
+    return _fit_eval(spark, sf, LR.regressor("boosted", maxIter=30, maxDepth=5))
+
+
+EV_CLS = """ev AS (SELECT event_id, CAST(event_type = 'purchase' AS INTEGER) AS label, value, CAST(hour(ts) AS DOUBLE) AS hour FROM events)"""
+
+
+def _events(spark, sf):
+    e = read_table(spark, sf, "events")
+    return e.select("event_id", (F.col("event_type") == "purchase").cast("int").alias("label"), "value",
+                    F.hour("ts").cast("double").alias("hour"))
+
+
+@register("fit_majority", f"""WITH {EV_CLS}, {random_split_sql('ev', 'event_id', 0.2, 42)},
+c AS (SELECT label, count(*) AS n FROM ev_rsplit WHERE is_test = 0 GROUP BY label),
+m AS (SELECT arg_min(label, (-n, label)) AS majority FROM c)
+SELECT CAST(m.majority AS INTEGER) AS majority, round(avg(CAST(label = m.majority AS DOUBLE)), 6) AS accuracy, count(*) AS n
+FROM ev_rsplit, m WHERE is_test = 1 GROUP BY m.majority""")
+def q_l8(spark, sf):
+    d = split_random(_events(spark, sf), "event_id", 0.2, 42)
+    maj = LR.fit_majority(d.where("is_test = 0"), "label")
+    te = d.where("is_test = 1")
+    return te.agg(F.lit(maj).cast("int").alias("majority"), F.round(F.avg((F.col("label") == maj).cast("double")), 6).alias("accuracy"),
+                  F.count(F.lit(1)).alias("n"))
+
+
+def _ev_features(spark, sf):
+    d = split_random(_events(spark, sf), "event_id", 0.2, 42).withColumn("y", F.col("label").cast("double"))
+    return LR.assemble(d, ["value", "hour"]).cache()
+
+
+@register("fit_linear_classifier")
+def q_l9(spark, sf):
+    d = _ev_features(spark, sf)
+    m = LinearSVC(featuresCol="features", labelCol="y", maxIter=20, regParam=0.01).fit(d.where("is_test = 0"))
+    sc = m.transform(d.where("is_test = 1"))
+    return sc.select("event_id", vector_to_array("rawPrediction")[1].alias("decision"), F.col("prediction").cast("int").alias("pred"))
+
+
+@register("fit_logistic")
+def q_l10(spark, sf):
+    d = _ev_features(spark, sf)
+    tr = d.where("is_test = 0")
+    m = LR.logistic(1.0, tr.count(), featuresCol="features", labelCol="y", maxIter=100).fit(tr)
+    sc = m.transform(d.where("is_test = 1"))
+    return sc.select("event_id", vector_to_array("probability")[1].alias("proba"), F.col("prediction").cast("int").alias("pred"))
+
+
+def _emb_features(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    e = e.select("vec_id", F.col("label").cast("double").alias("y"), "embedding")
+    from pyspark.ml.functions import array_to_vector
+    e = e.withColumn("features", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))))
+    return split_random(e, "vec_id", 0.2, 42).cache()
+
+
+@register("fit_one_vs_rest")
+def q_l12(spark, sf):
+    e = _emb_features(spark, sf)
+    m = OneVsRest(classifier=LinearSVC(maxIter=20), featuresCol="features", labelCol="y", parallelism=LR.DRIVER_THREADS).fit(e.where("is_test = 0"))
+    sc = m.transform(e.where("is_test = 1"))
+    return sc.select("vec_id", F.col("y").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
+
+
+@register("fit_one_vs_one")
+def q_l13(spark, sf):
+    e = _emb_features(spark, sf)
+    tr = e.where("is_test = 0").withColumn("label", F.col("y").cast("int"))
+    classes = sorted(r[0] for r in tr.select("label").distinct().collect())
+    models = LR.one_vs_one(tr, "label", "features", classes)
+    p = LR.predict_one_vs_one(e.where("is_test = 1"), models, "vec_id", "features")
+    return p.join(e.select("vec_id", F.col("y").cast("int").alias("label")), "vec_id")
+
+
+@register("prep_cluster_similarity")
+def q_k5(spark, sf):
+    e = read_table(spark, sf, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("lat"),
+                                                  F.element_at("embedding", 2).cast("double").alias("lon"))
+    x = LR.assemble(e, ["lat", "lon"]).cache()
+    centres = LR.fit_kmeans_restarts(x, "features", k=8, restarts=10)
+    out = rbf_features(e, ["lat", "lon"], centres, gamma=1.0)
+    return out.select("vec_id", *[F.round(f"sim_{j}", 6).alias(f"sim_{j}") for j in range(len(centres))])
+
+
+@register("prep_select_features")
+def q_k9(spark, sf):
+    x, feats = _features(spark, sf)
+    m = RandomForestRegressor(numTrees=30, maxDepth=6, seed=42, featuresCol="features", labelCol="target").fit(x.where("is_test = 0"))
+    imp = LR.importance_table(spark, feats, m.featureImportances.toArray())
+    return LR.select_by_importance(imp)
+
+
+@register("importance_model")
+def q_m9(spark, sf):
+    x, feats = _features(spark, sf)
+    tr = x.where("is_test = 0").cache()
+    rf = RandomForestRegressor(numTrees=30, maxDepth=6, seed=42, featuresCol="features", labelCol="target").fit(tr)
+    lin = LinearRegression(featuresCol="features", labelCol="target", solver="normal").fit(tr)
+    a = LR.importance_table(spark, feats, rf.featureImportances.toArray()).withColumn("kind", F.lit("impurity"))
+    b = LR.importance_table(spark, feats, [abs(v) for v in lin.coefficients.toArray()]).withColumn("kind", F.lit("abs_coef"))
+    return a.unionByName(b).orderBy("kind", F.desc("importance"), "feature")
+
+
+@register("prep_scaling_effect")
+def q_k11(spark, sf):
+    """Same learner on raw and on standardised inputs, out-of-fold accuracy, delta."""
+    e = _emb_features(spark, sf).withColumn("label", F.col("y").cast("int"))
+    e = fold_stratified(e, "vec_id", "label", 3, 42).cache()
+    res = []
+    for name, scale in (("raw", False), ("scaled", True)):
+        stages = []
+        feat = "features"
+        if scale:
+            stages.append(StandardScaler(inputCol="features", outputCol="zf", withMean=True, withStd=True))
+            feat = "zf"
+        stages.append(LogisticRegression(featuresCol=feat, labelCol="y", maxIter=50, regParam=0.01))
+        oof = LR.oof_predict(e, Pipeline(stages=stages), "fold", 3, ["vec_id", "y"])
+        acc = oof.agg(F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("acc")).first()["acc"]
+        res.append((name, acc))
+    (n1, a1), (n2, a2) = res
+    return e.agg(F.count(F.lit(1)).alias("n")).select("n", F.lit(a1).alias("acc_raw"), F.lit(a2).alias("acc_scaled"),
+                                                      F.lit(a2 - a1).alias("delta"))
+
+
+@register("oof_predict", f"""WITH {SQL_DISTRICTS}, {kfold_sql('districts', 'row_id', 5, 42)},
+p AS (SELECT fold, count(doy + target) AS n, sum(doy) AS sx, sum(target) AS sy, sum(doy * doy) AS sxx, sum(doy * target) AS sxy
+      FROM districts_kf GROUP BY fold),
+c AS (SELECT fold, sum(n) OVER () - n AS n, sum(sx) OVER () - sx AS sx, sum(sy) OVER () - sy AS sy,
+             sum(sxx) OVER () - sxx AS sxx, sum(sxy) OVER () - sxy AS sxy FROM p),
+l AS (SELECT fold, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, sx, sy, n FROM c),
+l2 AS (SELECT fold, slope, (sy - slope * sx) / n AS intercept FROM l)
+SELECT d.row_id, CAST(d.fold AS INTEGER) AS fold, round(l2.intercept + l2.slope * d.doy, 6) AS pred FROM districts_kf d JOIN l2 USING (fold)""")
+def q_i10(spark, sf):
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42).withColumn("doy", F.col("doy").cast("double"))
+    o = LR.oof_simple_ols(d, "doy", "target", "fold")
+    return o.select("row_id", F.col("fold").cast("int").alias("fold"), F.round("pred", 6).alias("pred"))
+
+
+@register("oof_predict_ml")
+def q_i10_ml(spark, sf):
+    """I10 with an iterative learner: k fits, each scoring only its held-out fold."""
+    x, _ = _features(spark, sf)
+    x = fold_kfold_shuffled(x, "row_id", 5, 42).cache()
+    est = LR.regressor("tree", maxDepth=5).setFeaturesCol("features").setLabelCol("target")
+    o = LR.oof_predict(x, est, "fold", 5, ["row_id", "target"])
+    return o.select("row_id", F.col("fold").cast("int").alias("fold"), F.col("prediction").alias("pred"))
+
+
+SIZES = [0.1 + i * (0.9 / 7) for i in range(8)]
+
+
+def _lc_sums():
+    return ["n", "sx", "sy", "sxx", "sxy", "syy"]
+
+
+@register("learning_curve", None)
+def q_i11(spark, sf):
+    """Nested training subsets (first m rows of each fold's complement in
+    seeded-hash order), closed-form line per (size, fold) from conditional sums
+    in ONE pass; train and validation RMSE from the same sums."""
+    k = 5
+    d = districts(spark, sf).withColumn("doy", F.col("doy").cast("double"))
+    d = hash_positions(d, "row_id", 42, out="p", total_out="N")
+    q = F.floor(F.col("N") / k)
+    r = F.col("N") - q * k
+    fold = F.when(F.col("p") < r * (q + 1), F.floor(F.col("p") / (q + 1))).otherwise(r + F.floor((F.col("p") - r * (q + 1)) / q))
+    d = d.withColumn("fold", fold.cast("int")).withColumn("q", q).withColumn("r", r)
+    x, y = F.col("doy"), F.col("target")
+    vals = {"n": F.lit(1.0), "sx": x, "sy": y, "sxx": x * x, "sxy": x * y, "syy": y * y}
+    aggs = [F.first("N").alias("N"), F.first("q").alias("q"), F.first("r").alias("r")]
+    for i in range(k):
+        start = F.lit(i) * F.col("q") + F.least(F.lit(i), F.col("r"))
+        size_i = F.col("q") + (F.lit(i) < F.col("r")).cast("long")
+        rank_c = F.when(F.col("p") < start, F.col("p")).otherwise(F.col("p") - size_i)
+        size_0 = F.col("q") + (F.col("r") > 0).cast("long")
+        for si, s in enumerate(SIZES):
+            m = F.floor(F.lit(s) * (F.col("N") - size_0))
+            cond = (F.col("fold") != i) & (rank_c < m)
+            for nm, v in vals.items():
+                aggs.append(F.sum(F.when(cond, v)).alias(f"t_{i}_{si}_{nm}"))
+        for nm, v in vals.items():
+            aggs.append(F.sum(F.when(F.col("fold") == i, v)).alias(f"v_{i}_{nm}"))
+    row = d.agg(*aggs).first()           # one row of sums, size k x sizes x 6
+    out = []
+    for si, s in enumerate(SIZES):
+        tr_r, va_r = [], []
+        for i in range(k):
+            t = {nm: row[f"t_{i}_{si}_{nm}"] for nm in vals}
+            v = {nm: row[f"v_{i}_{nm}"] for nm in vals}
+            b = (t["n"] * t["sxy"] - t["sx"] * t["sy"]) / (t["n"] * t["sxx"] - t["sx"] ** 2)
+            a = (t["sy"] - b * t["sx"]) / t["n"]
+
+            def sse(z):
+                return z["syy"] - 2 * a * z["sy"] - 2 * b * z["sxy"] + z["n"] * a * a + 2 * a * b * z["sx"] + b * b * z["sxx"]
+            tr_r.append(max(sse(t), 0.0) / t["n"])
+            va_r.append(max(sse(v), 0.0) / v["n"])
+        import math
+        tr_rmse = [math.sqrt(z) for z in tr_r]
+        va_rmse = [math.sqrt(z) for z in va_r]
+        mean = lambda z: sum(z) / len(z)
+        std = lambda z: math.sqrt(sum((u - mean(z)) ** 2 for u in z) / len(z))
+        out.append((si, s, int(t["n"]), mean(tr_rmse), std(tr_rmse), mean(va_rmse), std(va_rmse)))
+    res = spark.createDataFrame(out, "size_idx int, frac double, n_train int, train_rmse double, train_std double, val_rmse double, val_std double")
+    return res.withColumn("verdict", LR.learning_curve_verdict(F.col("val_rmse") - F.col("train_rmse"), F.col("val_rmse"))).select(
+        "size_idx", "n_train", *[F.round(c, 6).alias(c) for c in ("frac", "train_rmse", "train_std", "val_rmse", "val_std")], "verdict")
+
+
+@register("search_prep_and_model")
+def q_m3(spark, sf):
+    """Preprocessing options in the same search space, refit inside each fold."""
+    d = split_random(districts(spark, sf), "row_id", 0.2, 42).where("is_test = 0").withColumn("doy", F.col("doy").cast("double"))
+    d = fold_kfold_shuffled(d, "row_id", 3, 42).cache()
+    rows = []
+    for strategy in ("median", "mean"):
+        for reg in (0.0, 0.1):
+            pipe = Pipeline(stages=[Imputer(inputCols=["acctbal"], outputCols=["acctbal_i"], strategy=strategy),
+                                    VectorAssembler(inputCols=["acctbal_i", "doy"], outputCol="features"),
+                                    LinearRegression(featuresCol="features", labelCol="target", regParam=reg, solver="normal")])
+            o = LR.oof_predict(d, pipe, "fold", 3, ["row_id", "target"])
+            per = o.groupBy("fold").agg(F.sqrt(F.avg((F.col("prediction") - F.col("target")) ** 2)).alias("rmse"))
+            r = per.agg(F.avg("rmse").alias("m"), F.stddev_pop("rmse").alias("s")).first()
+            rows.append((f"impute={strategy}|reg={reg}", r["m"], r["s"]))
+    return spark.createDataFrame(rows, "cand_key string, cv_rmse double, cv_std double")
