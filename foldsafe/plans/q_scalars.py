@@ -233,8 +233,8 @@ def q_b22(spark, sf):
 
 
 @register("prj_round_export", """
-SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 3) AS lat, round(CAST(embedding[2] AS DOUBLE), 3) AS lon,
-       round(CAST(embedding[3] AS DOUBLE) * 1000, 6) AS leaf FROM embeddings""")
+SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 3) + 0.0 AS lat, round(CAST(embedding[2] AS DOUBLE), 3) + 0.0 AS lon,
+       round(CAST(embedding[3] AS DOUBLE) * 1000, 6) + 0.0 AS leaf FROM embeddings""")
 def q_b23(spark, sf):
     e = _emb(spark, sf)
     x = lambda i: F.element_at("embedding", i).cast("double")
