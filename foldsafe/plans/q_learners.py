@@ -251,7 +251,34 @@ def _lc_sums():
     return ["n", "sx", "sy", "sxx", "sxy", "syy"]
 
 
-@register("learning_curve", None)
+LC_SQL = f"""WITH {SQL_DISTRICTS},
+h AS (SELECT CAST(doy AS DOUBLE) AS x, target AS y, row_number() OVER (ORDER BY {sql_seeded_hash('row_id', 42)}, row_id) - 1 AS p,
+             count(*) OVER () AS N FROM districts),
+k AS (SELECT *, floor(N / 5) AS q, N - floor(N / 5) * 5 AS r FROM h),
+f AS (SELECT *, CASE WHEN p < r * (q + 1) THEN floor(p / (q + 1)) ELSE r + floor((p - r * (q + 1)) / q) END AS fold FROM k),
+sz AS (SELECT i AS si, 0.1 + i * (0.9 / 7) AS frac FROM range(0, 8) t(i)),
+fi AS (SELECT i AS fi FROM range(0, 5) t(i)),
+tr AS (SELECT fi.fi, sz.si, f.x, f.y, floor(sz.frac * (f.N - (f.q + CASE WHEN f.r > 0 THEN 1 ELSE 0 END))) AS m FROM f, fi, sz
+       WHERE f.fold <> fi.fi AND (CASE WHEN f.p < fi.fi * f.q + least(fi.fi, f.r) THEN f.p
+                                       ELSE f.p - (f.q + CASE WHEN fi.fi < f.r THEN 1 ELSE 0 END) END)
+                                  < floor(sz.frac * (f.N - (f.q + CASE WHEN f.r > 0 THEN 1 ELSE 0 END)))),
+ts AS (SELECT fi, si, max(m) AS m, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy
+       FROM tr GROUP BY fi, si),
+vs AS (SELECT fold AS fi, count(*) AS vn, sum(x) AS vx, sum(y) AS vy, sum(x * x) AS vxx, sum(x * y) AS vxy, sum(y * y) AS vyy FROM f GROUP BY fold),
+l1 AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b FROM ts),
+l2 AS (SELECT *, (sy - b * sx) / n AS a FROM l1),
+e AS (SELECT l2.si, l2.m,
+             sqrt(greatest(syy - 2 * a * sy - 2 * b * sxy + n * a * a + 2 * a * b * sx + b * b * sxx, 0.0) / n) AS tr_rmse,
+             sqrt(greatest(vyy - 2 * a * vy - 2 * b * vxy + vn * a * a + 2 * a * b * vx + b * b * vxx, 0.0) / vn) AS va_rmse
+      FROM l2 JOIN vs USING (fi)),
+g AS (SELECT si, max(m) AS m, avg(tr_rmse) AS tm, stddev_pop(tr_rmse) AS tsd, avg(va_rmse) AS vm, stddev_pop(va_rmse) AS vsd FROM e GROUP BY si)
+SELECT CAST(g.si AS INTEGER) AS size_idx, CAST(g.m AS INTEGER) AS n_train, round(sz.frac, 6) AS frac, round(tm, 6) AS train_rmse,
+       round(tsd, 6) AS train_std, round(vm, 6) AS val_rmse, round(vsd, 6) AS val_std,
+       CASE WHEN vm - tm > 0.05 THEN 'overfit' WHEN vm > 0.55 THEN 'underfit' ELSE 'calibrated' END AS verdict
+FROM g JOIN sz USING (si)"""
+
+
+@register("learning_curve", LC_SQL)
 def q_i11(spark, sf):
     """Nested training subsets (first m rows of each fold's complement in
     seeded-hash order), closed-form line per (size, fold) from conditional sums
