@@ -33,20 +33,24 @@ class TfidfModel:
     n_docs: int
 
 
-def fit_tfidf(docs: DataFrame, doc_id: str, text: str, min_df: int = 3) -> TfidfModel:
-    """K10 fit: smooth idf = ln((1 + n) / (1 + df)) + 1 over terms with df >= min_df."""
+def fit_tfidf(docs: DataFrame, doc_id: str, text: str, min_df: int = 3, tf: DataFrame | None = None) -> TfidfModel:
+    """K10 fit: smooth idf = ln((1 + n) / (1 + df)) + 1 over terms with df >= min_df.
+    Pass ``tf`` (from :func:`term_counts`) to avoid tokenising twice."""
     n = docs.count()
-    vocab = min_df_terms(term_counts(docs, doc_id, text), min_df)
+    tf = tf if tf is not None else term_counts(docs, doc_id, text)
+    vocab = min_df_terms(tf, min_df)
     idf = vocab.select("term", (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
     return TfidfModel(idf, n)
 
 
-def apply_tfidf(docs: DataFrame, doc_id: str, text: str, model: TfidfModel) -> DataFrame:
-    """K10 apply: (1 + ln tf) * idf on in-vocabulary terms, L2-normalised per document."""
-    tf = term_counts(docs, doc_id, text)
+def apply_tfidf(docs: DataFrame, doc_id: str, text: str, model: TfidfModel, tf: DataFrame | None = None) -> DataFrame:
+    """K10 apply: (1 + ln tf) * idf on in-vocabulary terms, L2-normalised per
+    document (a window per document: one shuffle by document, no join back)."""
+    from pyspark.sql import Window
+    tf = tf if tf is not None else term_counts(docs, doc_id, text)
     w = tf.join(model.idf, "term", "inner").select("doc_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
 
 
 @dataclass

@@ -71,8 +71,9 @@ nm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
 SELECT doc_id, term, round(w / norm, 6) AS weight FROM w JOIN nm USING (doc_id)""")
 def q_k10(spark, sf):
     d = read_table(spark, sf, "documents")
-    m = TX.fit_tfidf(d, "doc_id", "text", 3)
-    return TX.apply_tfidf(d, "doc_id", "text", m).withColumn("weight", F.round("weight", 6))
+    tf = TX.term_counts(d, "doc_id", "text").persist()      # tokenised once, used by fit and apply
+    m = TX.fit_tfidf(d, "doc_id", "text", 3, tf=tf)
+    return TX.apply_tfidf(d, "doc_id", "text", m, tf=tf).withColumn("weight", F.round("weight", 6))
 
 
 NB_SQL = f"""lab AS (SELECT l.doc_id, d.text, CAST(l.toxic AS INTEGER) AS label,
@@ -111,10 +112,11 @@ def q_l11(spark, sf):
     lab = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     lab = split_hash(lab.withColumn("label", F.col("toxic").cast("int")), "doc_id", 0.2)
     tr, te = lab.where("is_test = 0"), lab.where("is_test = 1")
-    tm = TX.fit_tfidf(tr, "doc_id", "text", 3)
-    tm.idf.cache()
+    tr_tf = TX.term_counts(tr, "doc_id", "text").persist()
+    tm = TX.fit_tfidf(tr, "doc_id", "text", 3, tf=tr_tf)
+    tm.idf.persist()
     vocab_size = tm.idf.count()
-    nb = TX.fit_naive_bayes(TX.apply_tfidf(tr, "doc_id", "text", tm), tr, "label", vocab_size)
+    nb = TX.fit_naive_bayes(TX.apply_tfidf(tr, "doc_id", "text", tm, tf=tr_tf), tr, "label", vocab_size)
     jll = TX.predict_naive_bayes(TX.apply_tfidf(te, "doc_id", "text", tm), nb, tm.idf)
     pred = jll.groupBy("doc_id").agg(F.min_by("label", F.struct(-F.col("jll"), F.col("label"))).alias("pred"),
                                      F.round(F.max(F.when(F.col("label") == 0, F.col("jll"))), 6).alias("jll_0"),
