@@ -30,34 +30,42 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 def positions(df: DataFrame, order_cols: Sequence[str], bucket: Column,
               group_cols: Sequence[str] = (), out: str = "pos",
-              total_out: str | None = None) -> DataFrame:
+              total_out: str | None = None, counts_out: list | None = None) -> DataFrame:
     """0-based position of every row inside its group, ordered by ``order_cols``.
 
-    ``bucket`` must be monotone non-decreasing in ``order_cols``.  Optionally
-    adds the group size as ``total_out``.
+    ``bucket`` must be monotone non-decreasing in ``order_cols``.  Plan: one
+    exchange on (group, bucket) for the local ``row_number``; the bucket
+    offsets come from a (groups x buckets) count table joined afterwards
+    (small: AQE broadcasts it).  Optionally adds the group size as
+    ``total_out``; ``counts_out`` receives the per-group count table so
+    callers derive quotas from the same aggregate (Spark reuses the exchange).
     """
     group_cols = list(group_cols)
     d = df.withColumn("__b", bucket)
     counts = d.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    if counts_out is not None:
+        counts_out.append(counts.groupBy(*group_cols).agg(F.sum("__cnt").alias("n")))
     w = Window.partitionBy(*group_cols).orderBy("__b") if group_cols else Window.orderBy("__b")
     offs = counts.withColumn("__off", F.sum("__cnt").over(w) - F.col("__cnt"))
     if total_out:
         wt = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(1))
         offs = offs.withColumn(total_out, F.sum("__cnt").over(wt))
     offs = offs.drop("__cnt")
-    joined = _null_safe_join(d, offs, [*group_cols, "__b"])
     wr = Window.partitionBy(*group_cols, "__b").orderBy(*order_cols)
-    return (joined.withColumn(out, F.col("__off") + F.row_number().over(wr) - F.lit(1))
-                  .drop("__b", "__off"))
+    ranked = d.withColumn("__rn", F.row_number().over(wr))
+    joined = _null_safe_join(ranked, offs, [*group_cols, "__b"])
+    return (joined.withColumn(out, F.col("__off") + F.col("__rn") - F.lit(1))
+                  .drop("__b", "__off", "__rn"))
 
 
 def hash_positions(df: DataFrame, key: str, seed: int = 42, group_cols: Sequence[str] = (),
                    out: str = "pos", total_out: str | None = None,
-                   bucket_bits: int = DEFAULT_BUCKET_BITS, hash_col: str = "__h") -> DataFrame:
+                   bucket_bits: int = DEFAULT_BUCKET_BITS, hash_col: str = "__h",
+                   counts_out: list | None = None) -> DataFrame:
     """Positions in seeded-hash order (ties by key): a reproducible shuffle."""
     d = df.withColumn(hash_col, seeded_hash(key, seed))
     bucket = F.shiftright(F.col(hash_col), 32 - bucket_bits)
-    res = positions(d, [hash_col, key], bucket, group_cols, out, total_out)
+    res = positions(d, [hash_col, key], bucket, group_cols, out, total_out, counts_out)
     return res.drop(hash_col) if hash_col == "__h" else res
 
 

@@ -32,12 +32,13 @@ def split_random(df: DataFrame, key: str, test_frac: float = 0.2, seed: int = 42
     return d.withColumn(out, (F.col("__pos") < F.ceil(F.col("__n") * F.lit(test_frac))).cast("int")).drop("__pos", "__n")
 
 
-def stratum_quotas(df: DataFrame, stratum: str, test_frac: float) -> DataFrame:
-    """Per-stratum test quota: floor shares, then the leftover by largest
-    remainder (ties by stratum value).  Runs on the (strata)-row table."""
-    c = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__c"))
+def stratum_quotas(counts: DataFrame, stratum: str, test_frac: float) -> DataFrame:
+    """Per-stratum test quota from a (stratum, n) table: floor shares, then the
+    leftover by largest remainder (ties by stratum value).  Runs on the
+    (strata)-row table only."""
     w_all = Window.partitionBy(F.lit(1))
-    c = (c.withColumn("__n", F.sum("__c").over(w_all))
+    c = (counts.withColumnRenamed("n", "__c")
+          .withColumn("__n", F.sum("__c").over(w_all))
           .withColumn("__t", F.ceil(F.col("__n") * F.lit(test_frac)))
           .withColumn("__exact", F.col("__t") * F.col("__c") / F.col("__n"))
           .withColumn("__fl", F.floor("__exact"))
@@ -49,9 +50,12 @@ def stratum_quotas(df: DataFrame, stratum: str, test_frac: float) -> DataFrame:
 
 def split_stratified(df: DataFrame, key: str, stratum: str, test_frac: float = 0.2,
                      seed: int = 42, out: str = "is_test") -> DataFrame:
-    """Exact test size overall and per stratum (largest remainder)."""
-    quotas = stratum_quotas(df, stratum, test_frac)
-    d = hash_positions(df, key, seed, group_cols=[stratum], out="__pos")
+    """Exact test size overall and per stratum (largest remainder).
+    Quotas come from the same (stratum, bucket) count aggregate as the
+    positions: the source is read twice in total (counts, then rows)."""
+    counts = []
+    d = hash_positions(df, key, seed, group_cols=[stratum], out="__pos", counts_out=counts)
+    quotas = stratum_quotas(counts[0], stratum, test_frac)
     d = d.join(F.broadcast(quotas), d[stratum].eqNullSafe(quotas[stratum]), "inner").drop(quotas[stratum])
     return d.withColumn(out, (F.col("__pos") < F.col("quota")).cast("int")).drop("__pos", "quota")
 
