@@ -177,7 +177,7 @@ def select_by_importance(imp: DataFrame, threshold: float | None = None) -> Data
     """K9: keep features whose importance >= the median importance (or an
     absolute threshold); report survivors / total."""
     if threshold is None:
-        thr = imp.agg(F.median("importance")).first()[0]
+        thr = imp.agg(F.median("importance")).first()[0]     # one row per feature: bounded
     else:
         thr = threshold
     n = imp.count()

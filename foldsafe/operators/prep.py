@@ -14,14 +14,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldsafe.functions.scalars import log_positive
+from foldsafe.operators.quantiles import exact_median, exact_quantiles
 
 
 # --- K1 / K2: imputation ----------------------------------------------------
 
 def fit_impute_numeric(df: DataFrame, cols: Sequence[str], strategy: str = "median") -> dict[str, float]:
-    """K1: exact median (midpoint of the two middle values) or mean per column."""
-    f = F.median if strategy == "median" else F.avg
-    row = df.agg(*[f(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    """K1: exact median (midpoint of the two middle values, computed without
+    collecting a column into one buffer) or mean per column."""
+    if strategy == "median":
+        return exact_median(df, cols)
+    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -86,12 +89,11 @@ def fold_moments(df: DataFrame, cols: Sequence[str], fold: str) -> DataFrame:
 
 
 def fold_medians(df: DataFrame, cols: Sequence[str], fold: str, k: int) -> DataFrame:
-    """Medians do not subtract: one job with k filtered exact medians per column."""
-    aggs = [F.median(F.when(F.col(fold) != i, F.col(c).cast("double"))).alias(f"{c}__{i}") for c in cols for i in range(k)]
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(i).alias(fold), F.lit(c).alias("column"), F.col(f"{c}__{i}").alias("median"))
-               for c in cols for i in range(k)]
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    """Medians do not subtract: every row is replicated to the k-1 folds it
+    trains (a bounded multiplier) and exact medians are taken per fold."""
+    rep = df.select(*cols, F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: i != F.col(fold))).alias("__i"))
+    q = exact_quantiles(rep, cols, [0.5], by=["__i"])
+    return q.select(F.col("__i").cast("int").alias(fold), "column", F.col("value").alias("median"))
 
 
 # --- K4: one-hot ------------------------------------------------------------

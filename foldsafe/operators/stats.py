@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from foldsafe.operators.quantiles import exact_quantiles
+
 
 def _unpivot(row_df: DataFrame, names: Sequence[str], fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Turn one wide aggregate row (per group) with columns ``{name}__{field}``
@@ -19,6 +21,11 @@ def _unpivot(row_df: DataFrame, names: Sequence[str], fields: Sequence[str], by:
     return row_df.select(*by, F.explode(F.array(*structs)).alias("__s")).select(*by, "__s.*")
 
 
+def _wide_quantiles(q: DataFrame, keys: Sequence[str], names: dict) -> DataFrame:
+    """(keys, prob, value) rows -> one column per probability."""
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(n) for p, n in names.items()])
+
+
 def agg_null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Number of NULLs per column, only columns with at least one."""
     cols = list(cols or df.columns)
@@ -31,14 +38,11 @@ def agg_describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    wide = wide.select(*[F.col(f"{c}__{f}") for c in cols for f in ("count", "mean", "std", "min", "max")],
-                       *[F.col(f"{c}__q")[i].alias(f"{c}__{n}") for c in cols for i, n in enumerate(("p25", "p50", "p75"))])
-    return _unpivot(wide, cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    base = _unpivot(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = _wide_quantiles(exact_quantiles(df, cols, [0.25, 0.5, 0.75]), ["column"], {0.25: "p25", 0.5: "p50", 0.75: "p75"})
+    return base.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def agg_value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -95,13 +99,13 @@ def agg_histogram(df: DataFrame, col: str, bins: int = 50, by: Sequence[str] = (
 
 
 def agg_box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers and outlier count per category."""
-    q = df.groupBy(by).agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-                           F.count(F.col(col)).alias("n"))
-    q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    q = q.withColumn("lo_whisker", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
+    """Exact quartiles, 1.5 IQR whiskers and outlier count per category
+    (a category holding a third of the rows is still spread over many tasks)."""
+    q = _wide_quantiles(exact_quantiles(df, [col], [0.25, 0.5, 0.75], by=[by]), [by], {0.25: "q1", 0.5: "median", 0.75: "q3"})
+    n = df.groupBy(by).agg(F.count(F.col(col)).alias("n"))
+    q = q.join(n, by).withColumn("lo_whisker", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_whisker", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    outl = df.join(q.select(by, "lo_whisker", "hi_whisker"), by).groupBy(by).agg(
+    outl = df.join(F.broadcast(q.select(by, "lo_whisker", "hi_whisker")), by).groupBy(by).agg(
         F.count_if((F.col(col) < F.col("lo_whisker")) | (F.col(col) > F.col("hi_whisker"))).alias("n_outliers"))
     return q.join(outl, by)
 
@@ -116,15 +120,10 @@ def agg_corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def agg_ranges(df: DataFrame, cols: Sequence[str], lo_q: float = 0.01, hi_q: float = 0.99) -> DataFrame:
     """Per column min, max, exact p1/p99 and the median (start value)."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, F.array(F.lit(lo_q), F.lit(0.5), F.lit(hi_q))).alias(f"{c}__q")]
-    wide = df.agg(*aggs)
-    wide = wide.select(*[F.col(f"{c}__{f}") for c in cols for f in ("min", "max")],
-                       *[F.col(f"{c}__q")[i].alias(f"{c}__{n}") for c in cols for i, n in enumerate(("p_lo", "median", "p_hi"))])
-    return _unpivot(wide, cols, ["min", "p_lo", "median", "p_hi", "max"])
+    mm = _unpivot(df.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__min") for c in cols],
+                         *[F.max(F.col(c).cast("double")).alias(f"{c}__max") for c in cols]), cols, ["min", "max"])
+    q = _wide_quantiles(exact_quantiles(df, cols, [lo_q, 0.5, hi_q]), ["column"], {lo_q: "p_lo", 0.5: "median", hi_q: "p_hi"})
+    return mm.join(q, "column", "left").select("column", "min", "p_lo", "median", "p_hi", "max")
 
 
 def fit_ols_simple(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from foldsafe.functions.keys import sql_seeded_hash  # noqa: F401  (documented in SQL)
 from foldsafe.operators.metrics import regression_aggs, t_quantile_expr, t_quantile_sql
 from foldsafe.operators.prep import apply_impute
+from foldsafe.operators.quantiles import exact_median
 from foldsafe.operators.splits import split_stratified
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_BANDED, districts_banded
@@ -25,7 +26,8 @@ def fit_imputed_line(train: DataFrame, x: str, y: str) -> dict:
     x, fitted together in ONE aggregate: imputed sums follow from the sums
     over present values plus (missing count) x median."""
     present = F.col(x).isNotNull()
-    r = train.agg(F.median(x).alias("med"), F.count(F.lit(1)).alias("n"),
+    med = exact_median(train, [x])[x]
+    r = train.agg(F.lit(med).alias("med"), F.count(F.lit(1)).alias("n"),
                   F.count_if(~present).alias("n_miss"), F.sum(x).alias("sx"), F.sum(F.col(x) * F.col(x)).alias("sxx"),
                   F.sum(F.when(present, F.col(x) * F.col(y))).alias("sxy"), F.sum(y).alias("sy"),
                   F.sum(F.when(~present, F.col(y))).alias("sy_miss")).first()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foldsafe.functions import scalars as S
 from foldsafe.functions.keys import sql_seeded_hash
 from foldsafe.operators.prep import skewed_columns
+from foldsafe.operators.quantiles import exact_quantile_dict
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, districts, sql_cut_bins
 from foldsafe.session import read_table
@@ -112,7 +113,8 @@ SELECT row_id, round(greatest(b.lo, least(b.hi, acctbal)), 6) AS acctbal_clamped
 FROM districts, b""")
 def q_b9(spark, sf):
     d = districts(spark, sf)
-    lo, hi = d.agg(F.percentile("acctbal", F.array(F.lit(0.01), F.lit(0.99))).alias("q")).first()["q"]
+    q = exact_quantile_dict(d, ["acctbal"], [0.01, 0.99])["acctbal"]
+    lo, hi = q[0.01], q[0.99]
     return d.select("row_id", F.round(S.clip("acctbal", lo, hi), 6).alias("acctbal_clamped"),
                     F.round(S.clip("target", 0.5, 4.5), 9).alias("target_clipped"))
 

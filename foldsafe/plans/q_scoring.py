@@ -15,6 +15,7 @@ from foldsafe.operators import learners as LR
 from foldsafe.operators import scoring as SC
 from foldsafe.operators.joins import parity
 from foldsafe.operators.prep import apply_branches, fit_branches
+from foldsafe.operators.quantiles import exact_median
 from foldsafe.operators.splits import split_random
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, districts
@@ -149,7 +150,7 @@ def q_n6(spark, sf):
     """RMSE cost of replacing an input by its training median."""
     d = _split_imputed(spark, sf)
     m = LR.fit_ols_gram(d.where("is_test = 0"), ["acctbal", "doy"], "target")
-    med = d.where("is_test = 0").agg(F.median("acctbal")).first()[0]
+    med = exact_median(d.where("is_test = 0"), ["acctbal"])["acctbal"]
     te = d.where("is_test = 1")
     full = LR.predict_linear(te, m)
     hidden = LR.predict_linear(te.withColumn("acctbal", F.lit(med)), m)
