@@ -2,30 +2,34 @@
 
 Spark's exact ``percentile``/``median`` keep every distinct value of a group
 in one aggregation buffer — fine for thousands of values, not for a column of
-billions.  Here an exact quantile is found in three bounded steps:
-
-1. approximate split points per (group, column) (``percentile_approx``: a
-   sketch, bounded by its accuracy);
-2. every value gets a monotone bucket: ``2 * #(points < x) + [x is a point]``
-   — a value equal to a split point gets a bucket of its own, so a value that
-   holds a third of the rows never lands in a bucket with other values;
-   bucket counts are a small table and their running sums are offsets;
-3. only the buckets that contain the wanted ranks (at most two per quantile)
-   are ranked exactly; a bucket with a single distinct value needs no sort.
-
-Interpolation is linear between the ranks floor(h) and ceil(h),
-h = (n - 1) q — the semantics of ``percentile``, ``median`` and DuckDB's
-``quantile_cont``.
+billions.  Here an exact quantile is found by narrowing value ranges:
+
+1. per (group, column) key, the active value range [lo, hi] is cut into 256
+   equal-width buckets (a broadcast join of a tiny range table and one
+   arithmetic expression per row — no arrays, no UDF);
+2. bucket counts with their min/max (a small table) locate the bucket that
+   holds each wanted rank;
+3. a single-valued bucket answers at once (a value holding a third of the
+   rows never needs sorting); a bucket with at most ``MAX_EXACT_ROWS`` rows is
+   ranked exactly; a larger one becomes the next active range, [its min, its
+   max] — 256x narrower — and the loop repeats on those rows only.
+
+No task ever ranks more than ``MAX_EXACT_ROWS`` rows, at any data size.
+Interpolation is linear between ranks floor(h) and ceil(h), h = (n - 1) q —
+the semantics of ``percentile``, ``median`` and DuckDB's ``quantile_cont``.
+The driver only holds ranges and bucket counts (keys x 256 numbers).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-N_SPLITS = 255
-ACCURACY = 10000
+N_BUCKETS = 256
+MAX_EXACT_ROWS = 2_000_000
+MAX_KEYS = 256
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -35,45 +39,85 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact linear-interpolated quantiles: one row per (by..., column, prob)
-    with ``value`` (NULL for a group/column without values)."""
+    with ``value`` (NULL for a key without values)."""
+    spark = df.sparkSession
     by = list(by)
     keys = [*by, "column"]
     long = _long(df, cols, by)
-    split_probs = [i / (N_SPLITS + 1) for i in range(1, N_SPLITS + 1)]
-    pts = long.groupBy(*keys).agg(F.percentile_approx("x", split_probs, ACCURACY).alias("pts"))
-    pts = pts.select(*keys, F.array_sort(F.array_distinct("pts")).alias("pts"))
-    x = F.col("x")
-    bucket = 2 * F.size(F.filter("pts", lambda p: p < x)) + F.exists("pts", lambda p: p == x).cast("int")
-    lb = long.join(F.broadcast(pts) if not by else pts, keys).withColumn("b", bucket).drop("pts")
-    counts = lb.groupBy(*keys, "b").agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
-    w = Window.partitionBy(*keys).orderBy("b")
-    counts = (counts.withColumn("end", F.sum("cnt").over(w))
-                    .withColumn("start", F.col("end") - F.col("cnt"))
-                    .withColumn("n", F.sum("cnt").over(Window.partitionBy(*keys))))
-    # wanted ranks: floor(h) and ceil(h) for every prob
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    want = counts.select(*keys, "n").distinct().select(*keys, "n", pr)
-    want = want.withColumn("h", (F.col("n") - 1) * F.col("prob"))
-    want = want.withColumn("rk", F.explode(F.array_distinct(F.array(F.floor("h").cast("long"), F.ceil("h").cast("long")))))
-    hit = want.join(counts.drop("n"), keys).where((F.col("rk") >= F.col("start")) & (F.col("rk") < F.col("end")))
-    # a single-valued bucket answers directly; others are ranked exactly (bounded by the bucket size)
-    easy = hit.where(F.col("bmin") == F.col("bmax")).select(*keys, "prob", "rk", F.col("bmin").alias("v"))
-    hard_b = hit.where(F.col("bmin") != F.col("bmax")).select(*keys, "b", "start").distinct()
-    ranked = lb.join(hard_b, [*keys, "b"]).withColumn(
-        "rk", F.col("start") + F.row_number().over(Window.partitionBy(*keys, "b").orderBy("x")) - 1)
-    hard = hit.where(F.col("bmin") != F.col("bmax")).select(*keys, "prob", "rk").join(
-        ranked.select(*keys, "rk", F.col("x").alias("v")), [*keys, "rk"])
-    vals = easy.unionByName(hard)
-    res = want.join(vals, [*keys, "prob", "rk"]).groupBy(*keys, "prob").agg(
-        F.first("h").alias("h"), F.min("v").alias("vlo"), F.max("v").alias("vhi"),
-        F.min("rk").alias("rlo"))
-    value = F.col("vlo") + (F.col("h") - F.col("rlo")) * (F.col("vhi") - F.col("vlo"))
-    return res.select(*keys, "prob", value.alias("value"))
+    key_types = {f.name: f.dataType.simpleString() for f in long.schema.fields if f.name in keys}
+    sizes = (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                 .limit(MAX_KEYS + 1).collect())
+    if len(sizes) > MAX_KEYS:
+        raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) keys")
+    plan = []                                    # (key, prob, h, lo_rank, hi_rank)
+    answers: dict[tuple, float] = {}             # (key, rank) -> value
+    active = []                                  # (key, lo, hi, offset, ranks)
+    for r in sizes:
+        kv = tuple(r[k] for k in keys)
+        ranks = set()
+        for p in probs:
+            h = (r["n"] - 1) * p
+            lo, hi = int(math.floor(h)), int(math.ceil(h))
+            plan.append((kv, p, h, lo, hi))
+            ranks.update({lo, hi})
+        if r["lo"] == r["hi"]:
+            answers.update({(kv, rk): r["lo"] for rk in ranks})
+        else:
+            active.append((kv, r["lo"], r["hi"], 0, sorted(ranks)))
+    exact_jobs = []
+    range_schema = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", __r int, __lo double, __hi double"
+
+    def restrict(ranges):
+        """Rows of ``long`` inside the listed (key, [lo, hi]) ranges, tagged
+        with the range id (tiny range table, broadcast, equi-join on the key)."""
+        rt = spark.createDataFrame([(*kv, i, float(lo), float(hi)) for i, (kv, lo, hi, _, _) in enumerate(ranges)], range_schema)
+        cond = [long[k].eqNullSafe(rt[k]) for k in keys] + [long["x"] >= rt["__lo"], long["x"] <= rt["__hi"]]
+        return long.join(F.broadcast(rt), cond, "inner").select(*[long[k] for k in keys], "x", "__r", "__lo", "__hi")
+
+    while active:
+        sub = restrict(active)
+        width = (F.col("__hi") - F.col("__lo")) / F.lit(N_BUCKETS)
+        b = F.least(F.floor((F.col("x") - F.col("__lo")) / width), F.lit(N_BUCKETS - 1)).cast("int")
+        counts = (sub.withColumn("__b", b).groupBy("__r", "__b")
+                     .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("bmin"), F.max("x").alias("bmax")).collect())
+        per_range: dict[int, list] = {}
+        for r in counts:
+            per_range.setdefault(r["__r"], []).append((r["__b"], r["cnt"], r["bmin"], r["bmax"]))
+        nxt = []
+        for i, (kv, _, _, offset, ranks) in enumerate(active):
+            start = offset
+            for _, cnt, bmin, bmax in sorted(per_range.get(i, [])):
+                inside = [rk for rk in ranks if start <= rk < start + cnt]
+                if inside:
+                    if bmin == bmax:
+                        answers.update({(kv, rk): bmin for rk in inside})
+                    elif cnt <= MAX_EXACT_ROWS:
+                        exact_jobs.append((kv, bmin, bmax, start, inside))
+                    else:
+                        nxt.append((kv, bmin, bmax, start, inside))
+                start += cnt
+        active = nxt
+    if exact_jobs:
+        sub = restrict(exact_jobs)
+        ranked = sub.withColumn("__rk", F.row_number().over(Window.partitionBy("__r").orderBy("x")) - 1)
+        cond = None
+        for i, (_, _, _, off, rks) in enumerate(exact_jobs):
+            c = (F.col("__r") == i) & F.col("__rk").isin([rk - off for rk in rks])
+            cond = c if cond is None else cond | c
+        for r in ranked.where(cond).select("__r", "__rk", "x").collect():      # <= 2 x probs x keys rows
+            kv, _, _, off, _ = exact_jobs[r["__r"]]
+            answers[(kv, off + r["__rk"])] = r["x"]
+    out = []
+    for kv, p, h, lo, hi in plan:
+        vlo, vhi = answers.get((kv, lo)), answers.get((kv, hi))
+        val = None if vlo is None or vhi is None else vlo + (h - lo) * (vhi - vlo)
+        out.append((*kv, float(p), val))
+    schema = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", prob double, value double"
+    return spark.createDataFrame(out, schema)
 
 
 def exact_quantile_dict(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
-    """Ungrouped quantiles as fitted constants {column: {prob: value}} (bounded
-    by columns x probs)."""
+    """Ungrouped quantiles as fitted constants {column: {prob: value}}."""
     out = {c: {p: None for p in probs} for c in cols}
     for r in exact_quantiles(df, cols, probs).collect():
         out[r["column"]][r["prob"]] = r["value"]
