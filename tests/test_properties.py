@@ -182,3 +182,20 @@ def test_boosted_beats_nothing_but_runs_and_mean_baseline(spark):
     import __spark_entry__ as E
     r = E.queries()["fit_ols"](spark, MEDIUM).first()
     assert r["n"] > 0 and r["rmse"] > 0
+
+
+def test_exact_quantiles_match_percentile_with_heavy_value_and_refinement(spark, monkeypatch):
+    import foldsafe.operators.quantiles as Q
+    li = read_table(spark, MEDIUM, "lineitem").withColumn(
+        "heavy", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7.0)).otherwise(F.col("l_quantity")))
+    cols, probs = ["l_extendedprice", "heavy"], [0.01, 0.5, 0.73, 0.99]
+    ref = li.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]).first()
+    for limit in (2_000_000, 50):          # 50 forces several narrowing rounds
+        monkeypatch.setattr(Q, "MAX_EXACT_ROWS", limit)
+        got = Q.exact_quantile_dict(li, cols, probs)
+        for c in cols:
+            for i, p in enumerate(probs):
+                assert got[c][p] == pytest.approx(ref[c][i], abs=1e-9)
+    g = Q.exact_quantiles(li, ["l_extendedprice"], [0.5], by=["l_returnflag"]).collect()
+    ref_g = {r[0]: r[1] for r in li.groupBy("l_returnflag").agg(F.median("l_extendedprice")).collect()}
+    assert all(r["value"] == pytest.approx(ref_g[r["l_returnflag"]], abs=1e-9) for r in g)
