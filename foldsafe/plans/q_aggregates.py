@@ -20,12 +20,12 @@ def _r(df, cols, d=6):
 
 
 @register("agg_null_counts", f"""WITH {SQL_DISTRICTS},
-u AS (SELECT 'row_id' AS column, count_if(row_id IS NULL) AS nulls FROM districts
-      UNION ALL SELECT 'acctbal', count_if(acctbal IS NULL) FROM districts
-      UNION ALL SELECT 'doy', count_if(doy IS NULL) FROM districts
-      UNION ALL SELECT 'priority', count_if(priority IS NULL) FROM districts
-      UNION ALL SELECT 'segment', count_if(segment IS NULL) FROM districts
-      UNION ALL SELECT 'target', count_if(target IS NULL) FROM districts)
+u AS (SELECT 'row_id' AS column, CAST(count_if(row_id IS NULL) AS BIGINT) AS nulls FROM districts
+      UNION ALL SELECT 'acctbal', CAST(count_if(acctbal IS NULL) AS BIGINT) FROM districts
+      UNION ALL SELECT 'doy', CAST(count_if(doy IS NULL) AS BIGINT) FROM districts
+      UNION ALL SELECT 'priority', CAST(count_if(priority IS NULL) AS BIGINT) FROM districts
+      UNION ALL SELECT 'segment', CAST(count_if(segment IS NULL) AS BIGINT) FROM districts
+      UNION ALL SELECT 'target', CAST(count_if(target IS NULL) AS BIGINT) FROM districts)
 SELECT * FROM u WHERE nulls > 0""")
 def q_e1(spark, sf):
     d = districts(spark, sf)
@@ -120,7 +120,7 @@ def _events_cls(spark, sf):
 @register("eval_prf", f"""WITH {EVENTS_CLS_SQL},
 a AS (SELECT sum(CAST(real = 1 AND pred = 1 AS BIGINT)) AS tp, sum(CAST(real <> 1 AND pred = 1 AS BIGINT)) AS fp,
              sum(CAST(real = 1 AND pred <> 1 AS BIGINT)) AS fn, avg(CAST(real = pred AS DOUBLE)) AS accuracy FROM cls)
-SELECT tp, fp, fn, round(accuracy, 6) AS accuracy,
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, round(accuracy, 6) AS accuracy,
        round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision,
        round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
        round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 6) AS f1 FROM a""")
@@ -149,7 +149,7 @@ def q_e16(spark, sf):
 WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
                   quantile_cont(l_extendedprice, 0.75) AS q3, count(l_extendedprice) AS n FROM lineitem GROUP BY 1),
 w AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_whisker, q3 + 1.5 * (q3 - q1) AS hi_whisker FROM q),
-o AS (SELECT l.l_returnflag, count_if(l.l_extendedprice < w.lo_whisker OR l.l_extendedprice > w.hi_whisker) AS n_outliers
+o AS (SELECT l.l_returnflag, CAST(count_if(l.l_extendedprice < w.lo_whisker OR l.l_extendedprice > w.hi_whisker) AS BIGINT) AS n_outliers
       FROM lineitem l JOIN w USING (l_returnflag) GROUP BY 1)
 SELECT w.l_returnflag, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
        round(lo_whisker, 6) AS lo_whisker, round(hi_whisker, 6) AS hi_whisker, n_outliers FROM w JOIN o USING (l_returnflag)""")
@@ -175,7 +175,7 @@ def q_e20(spark, sf):
 @register("fit_ols_simple", """
 SELECT CAST(p_size AS INTEGER) % 5 AS size_group, round(regr_slope(p_retailprice, p_size), 6) AS slope,
        round(regr_intercept(p_retailprice, p_size), 6) AS intercept, round(regr_r2(p_retailprice, p_size), 6) AS r2,
-       regr_count(p_retailprice, p_size) AS n
+       CAST(regr_count(p_retailprice, p_size) AS BIGINT) AS n
 FROM part GROUP BY 1""")
 def q_e21(spark, sf):
     p = read_table(spark, sf, "part").withColumn("size_group", F.col("p_size").cast("int") % 5)
@@ -186,7 +186,7 @@ def q_e21(spark, sf):
 WITH t AS (SELECT l_returnflag, CASE WHEN l_quantity > 0 AND l_extendedprice > 0 THEN ln(l_quantity) END AS lx,
                   CASE WHEN l_quantity > 0 AND l_extendedprice > 0 THEN ln(l_extendedprice) END AS ly FROM lineitem),
 f AS (SELECT l_returnflag, regr_slope(ly, lx) AS exponent, regr_intercept(ly, lx) AS b, regr_count(ly, lx) AS n FROM t GROUP BY 1)
-SELECT l_returnflag, round(exponent, 6) AS exponent, n, round(exp(b), 4) AS factor,
+SELECT l_returnflag, round(exponent, 6) AS exponent, CAST(n AS BIGINT) AS n, round(exp(b), 4) AS factor,
        round(exp(b) * pow(100.0, exponent), 4) AS projected FROM f""")
 def q_e22(spark, sf):
     f = ST.fit_power_law(read_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", by=["l_returnflag"], at=100.0)
@@ -233,7 +233,7 @@ def q_e25(spark, sf):
 @register("eval_out_of_range", f"""WITH {SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)},
 rng AS (SELECT min(target) AS lo, max(target) AS hi FROM districts_rsplit WHERE is_test = 0),
 sc AS (SELECT d.priority, d.target, 2.5 + (d.acctbal / 2000.0) AS pred FROM districts_rsplit d WHERE is_test = 1 AND acctbal IS NOT NULL)
-SELECT priority, count_if(pred < lo OR pred > hi) AS n_out,
+SELECT priority, CAST(count_if(pred < lo OR pred > hi) AS BIGINT) AS n_out,
        round(max(CASE WHEN pred < lo OR pred > hi THEN greatest(lo - pred, pred - hi, 0.0) END), 6) AS max_excess,
        round(sqrt(avg((pred - target) ^ 2)), 6) AS rmse_raw,
        round(sqrt(avg((greatest(lo, least(hi, pred)) - target) ^ 2)), 6) AS rmse_clipped

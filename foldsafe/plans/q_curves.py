@@ -73,7 +73,7 @@ def q_g2(spark, sf):
 
 
 @register("win_running_counts", f"""WITH {SCORES_SQL}
-SELECT score, pos, neg, tp, fp, P, N FROM c""")
+SELECT score, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(P AS BIGINT) AS P, CAST(N AS BIGINT) AS N FROM c""")
 def q_f4(spark, sf):
     st = CV.score_table(_scored(spark, sf), "score", "label")
     return CV.suffix_counts(st).select("score", "pos", "neg", "tp", "fp", "P", "N")
@@ -102,7 +102,7 @@ def q_e13(spark, sf):
 
 
 @register("eval_roc_auc", f"""WITH {SCORES_SQL}
-SELECT round(sum(neg * ((tp - pos) + pos / 2.0)) / (max(P) * max(N)), 9) AS auc, max(P) AS n_pos, max(N) AS n_neg FROM c""")
+SELECT round(sum(neg * ((tp - pos) + pos / 2.0)) / (max(P) * max(N)), 9) AS auc, CAST(max(P) AS BIGINT) AS n_pos, CAST(max(N) AS BIGINT) AS n_neg FROM c""")
 def q_e14(spark, sf):
     a = CV.eval_roc_auc(_scored(spark, sf), "score", "label")
     return a.select(F.round("auc", 9).alias("auc"), "n_pos", "n_neg")

@@ -77,7 +77,7 @@ e AS (SELECT row_id, f.i + f.s * doy AS v FROM districts, f),
 a AS (SELECT row_id, CAST(CAST(f.i AS FLOAT) + CAST(f.s AS FLOAT) * CAST(doy AS FLOAT) AS DOUBLE) AS v FROM districts, f WHERE row_id % 50 <> 1),
 j AS (SELECT e.v AS ev, a.v AS av FROM e FULL OUTER JOIN a USING (row_id))
 SELECT count(*) AS n, round(max(abs(ev - av)), 6) AS max_dev, round(avg(abs(ev - av)), 6) AS mean_dev,
-       count_if(abs(ev - av) > 0.0001) AS n_fail, count_if(ev IS NULL OR av IS NULL) AS n_unmatched FROM j""")
+       CAST(count_if(abs(ev - av) > 0.0001) AS BIGINT) AS n_fail, CAST(count_if(ev IS NULL OR av IS NULL) AS BIGINT) AS n_unmatched FROM j""")
 def q_d8(spark, sf):
     """Parity of a float64 scorer against a float32 re-implementation that
     also misses some rows (full outer join)."""

@@ -226,7 +226,7 @@ fit AS (SELECT trr.g, (sum(target) + max(bc.alpha) * max(gm.gmean)) / nullif(cou
 scb AS (SELECT coalesce(fit.pred, gm.gmean) AS pred, ter.target, gm.lo, gm.hi FROM ter JOIN bc USING (group_col) LEFT JOIN fit USING (g), gm)
 SELECT (SELECT cand_key FROM best) AS cand_key, round(sqrt(avg((pred - target) ^ 2)), 6) AS rmse_raw,
        round(sqrt(avg((greatest(lo, least(hi, pred)) - target) ^ 2)), 6) AS rmse_clipped,
-       count_if(pred < lo OR pred > hi) AS n_out FROM scb""")
+       CAST(count_if(pred < lo OR pred > hi) AS BIGINT) AS n_out FROM scb""")
 def q_m8(spark, sf):
     """Pick the winner by CV on the training split only, refit it on all
     training rows, score the test split raw and clipped to the training range."""

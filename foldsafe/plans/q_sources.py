@@ -90,7 +90,7 @@ def q_a6(spark, sf):
 
 
 @register("sink_registry", f"""WITH {SQL_RUNS}
-SELECT kernel AS experiment, count(*) AS n_runs, count_if(status = 'FINISHED') AS n_finished, round(sum(seconds), 4) AS seconds
+SELECT kernel AS experiment, count(*) AS n_runs, CAST(count_if(status = 'FINISHED') AS BIGINT) AS n_finished, round(sum(seconds), 4) AS seconds
 FROM runs GROUP BY kernel""")
 def q_a7(spark, sf):
     path = _out(spark, sf, "registry")

@@ -83,7 +83,7 @@ g AS (SELECT w.window_start, b.bin FROM (SELECT DISTINCT window_start FROM c) w,
 f AS (SELECT g.window_start, g.bin, coalesce(c.n, 0) AS n FROM g LEFT JOIN c USING (window_start, bin)),
 p AS (SELECT f.*, n / sum(n) OVER (PARTITION BY window_start) AS p, coalesce(ref.q, 0.0) AS q FROM f LEFT JOIN ref USING (bin))
 SELECT window_start, round(sum((greatest(p, {MON.PSI_EPS}) - greatest(q, {MON.PSI_EPS})) * ln(greatest(p, {MON.PSI_EPS}) / greatest(q, {MON.PSI_EPS}))), 6) AS psi,
-       sum(n) AS n, CAST(sum((greatest(p, {MON.PSI_EPS}) - greatest(q, {MON.PSI_EPS})) * ln(greatest(p, {MON.PSI_EPS}) / greatest(q, {MON.PSI_EPS}))) > 0.1 AS INTEGER) AS alarm
+       CAST(sum(n) AS BIGINT) AS n, CAST(sum((greatest(p, {MON.PSI_EPS}) - greatest(q, {MON.PSI_EPS})) * ln(greatest(p, {MON.PSI_EPS}) / greatest(q, {MON.PSI_EPS}))) > 0.1 AS INTEGER) AS alarm
 FROM p GROUP BY window_start""")
 def q_o3(spark, sf):
     ref, lo, hi = _ref_hist(spark, sf)
