@@ -12,11 +12,9 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import (LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, Window, functions as F
 

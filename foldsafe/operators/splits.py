@@ -7,9 +7,6 @@ Each function returns the input with one extra column.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from foldsafe.functions.keys import TWO_32, seeded_hash

@@ -6,7 +6,6 @@ unpivoted afterwards (never one job per column).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F

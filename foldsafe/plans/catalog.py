@@ -27,6 +27,6 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so that they register."""
     from foldsafe.plans import (  # noqa: F401
-        flagship, q_sources, q_scalars, q_filters, q_joins, q_aggregates, q_windows,
+        flagship, q_sources, q_scalars, q_filters, q_joins, q_aggregates,
         q_splits, q_prep, q_knn, q_curves, q_search, q_learners, q_scoring, q_streaming, q_text,
     )

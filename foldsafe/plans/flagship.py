@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foldsafe.functions.keys import sql_seeded_hash  # noqa: F401  (documented in SQL)
 from foldsafe.operators.metrics import regression_aggs, t_quantile_expr, t_quantile_sql
 from foldsafe.operators.prep import apply_impute
 from foldsafe.operators.quantiles import exact_median

@@ -14,7 +14,7 @@ from foldsafe.functions.keys import sql_seeded_hash
 from foldsafe.operators import learners as LR
 from foldsafe.operators import scoring as SC
 from foldsafe.operators.joins import parity
-from foldsafe.operators.prep import apply_branches, fit_branches
+from foldsafe.operators.prep import fit_branches
 from foldsafe.operators.quantiles import exact_median
 from foldsafe.operators.splits import split_random
 from foldsafe.plans.catalog import register

@@ -14,7 +14,6 @@ tables bounded by the number of types / bins, joined stream-static.
 
 from __future__ import annotations
 
-import math
 import os
 import uuid
 from collections.abc import Sequence
