@@ -29,11 +29,12 @@ def stream_files(spark: SparkSession, path: str, schema, max_files: int = 1) ->
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def _run(query_df: DataFrame, name: str, mode: str, by_batch: bool) -> str:
+def _run(query_df: DataFrame, name: str, mode: str, by_batch: bool, run_id: str | None = None) -> str:
     """Run a streaming query to completion (availableNow) and return the
-    folder its batches were written to."""
+    folder its batches were written to.  Reusing ``run_id`` resumes from the
+    same checkpoint: only data not yet committed is processed."""
     spark = query_df.sparkSession
-    run = f"{name}-{uuid.uuid4().hex[:10]}"
+    run = f"{name}-{run_id or uuid.uuid4().hex[:10]}"
     out, ckpt = scratch_path(spark, f"stream-out/{run}"), scratch_path(spark, f"stream-ckpt/{run}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -53,16 +54,18 @@ def latest_per_key(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFr
     return d.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "batch_id", "batch")
 
 
-def stream_score(stream: DataFrame, baseline: DataFrame, key: str, name: str = "score") -> DataFrame:
+def stream_score(stream: DataFrame, baseline: DataFrame, key: str, name: str = "score",
+                 run_id: str | None = None) -> DataFrame:
     """O1: score arriving rows with a fitted model given as a small constants
     table (joined stream-static, broadcast: bounded by the key count)."""
     scored = stream.join(F.broadcast(baseline), key, "left")
-    out = _run(scored, name, "append", by_batch=False)
+    out = _run(scored, name, "append", by_batch=False, run_id=run_id)
     return stream.sparkSession.read.parquet(out).drop("batch")
 
 
 def stream_metrics(stream: DataFrame, baseline: DataFrame, key: str, ts: str, real: str, pred: str,
-                   window: str = "1 day", delay: str = "1 day", name: str = "metrics") -> DataFrame:
+                   window: str = "1 day", delay: str = "1 day", name: str = "metrics",
+                   run_id: str | None = None) -> DataFrame:
     """O2: RMSE, bias and error rate per event-time window and key."""
     s = stream.join(F.broadcast(baseline), key, "left").withColumn("__t", F.col(ts).cast("timestamp"))
     e = F.col(pred) - F.col(real)
@@ -70,14 +73,15 @@ def stream_metrics(stream: DataFrame, baseline: DataFrame, key: str, ts: str, re
             .agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum(e).alias("se"),
                  F.sum((F.abs(e) > F.col(real) * 0.5).cast("long")).alias("n_err")))
     out = _run(agg.select(F.date_format("w.start", "yyyy-MM-dd").alias("window_start"), key, "n", "sse", "se", "n_err"),
-               name, "update", by_batch=True)
+               name, "update", by_batch=True, run_id=run_id)
     f = latest_per_key(stream.sparkSession, out, ["window_start", key])
     return f.select("window_start", key, "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
                     (F.col("se") / F.col("n")).alias("bias"), (F.col("n_err") / F.col("n")).alias("error_rate"))
 
 
 def stream_drift(stream: DataFrame, ref_shares: DataFrame, lo: float, hi: float, bins: int, col: str, ts: str,
-                 window: str = "1 day", delay: str = "1 day", threshold: float = 0.1, name: str = "drift") -> DataFrame:
+                 window: str = "1 day", delay: str = "1 day", threshold: float = 0.1, name: str = "drift",
+                 run_id: str | None = None) -> DataFrame:
     """O3: per window, bin shares of ``col`` vs the training shares,
     population-stability index Σ (p - q) ln(p / q) (empty shares floored at
     1e-4) and an alarm flag."""
@@ -86,7 +90,8 @@ def stream_drift(stream: DataFrame, ref_shares: DataFrame, lo: float, hi: float,
     s = stream.withColumn("__t", F.col(ts).cast("timestamp")).withColumn("bin", b)
     agg = (s.withWatermark("__t", delay).groupBy(F.window("__t", window).alias("w"), "bin")
             .agg(F.count(F.lit(1)).alias("n")))
-    out = _run(agg.select(F.date_format("w.start", "yyyy-MM-dd").alias("window_start"), "bin", "n"), name, "update", by_batch=True)
+    out = _run(agg.select(F.date_format("w.start", "yyyy-MM-dd").alias("window_start"), "bin", "n"), name, "update",
+               by_batch=True, run_id=run_id)
     cnt = latest_per_key(stream.sparkSession, out, ["window_start", "bin"])
     wins = cnt.select("window_start").distinct()
     grid = wins.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))   # windows x bins (bins bounded)
