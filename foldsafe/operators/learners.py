@@ -143,7 +143,7 @@ def oof_simple_ols(df: DataFrame, x: str, y: str, fold: str) -> DataFrame:
     comp = parts.select(fold, *[(F.sum(c).over(w) - F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")])
     comp = comp.withColumn("slope", (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.col("n") * F.col("sxx") - F.col("sx") ** 2))
     comp = comp.withColumn("intercept", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n"))
-    return df.join(F.broadcast(comp.select(fold, "slope", "intercept")), fold).withColumn(
+    return df.join(F.broadcast(comp.select(fold, "slope", "intercept")), fold).withColumn(   # one row per fold
         "pred", F.col("intercept") + F.col("slope") * F.col(x)).drop("slope", "intercept")
 
 

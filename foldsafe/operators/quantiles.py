@@ -72,6 +72,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         with the range id (tiny range table, broadcast, equi-join on the key)."""
         rt = spark.createDataFrame([(*kv, i, float(lo), float(hi)) for i, (kv, lo, hi, _, _) in enumerate(ranges)], range_schema)
         cond = [long[k].eqNullSafe(rt[k]) for k in keys] + [long["x"] >= rt["__lo"], long["x"] <= rt["__hi"]]
+        # the range table has <= MAX_KEYS x 2 x probs rows and is built on the driver
         return long.join(F.broadcast(rt), cond, "inner").select(*[long[k] for k in keys], "x", "__r", "__lo", "__hi")
 
     while active:

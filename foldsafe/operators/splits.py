@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.functions.keys import TWO_32, seeded_hash
 from foldsafe.operators.positions import hash_positions, ordered_positions
 
@@ -53,7 +55,7 @@ def split_stratified(df: DataFrame, key: str, stratum: str, test_frac: float = 0
     counts = []
     d = hash_positions(df, key, seed, group_cols=[stratum], out="__pos", counts_out=counts)
     quotas = stratum_quotas(counts[0], stratum, test_frac)
-    d = d.join(F.broadcast(quotas), d[stratum].eqNullSafe(quotas[stratum]), "inner").drop(quotas[stratum])
+    d = d.join(bounded(quotas), d[stratum].eqNullSafe(quotas[stratum]), "inner").drop(quotas[stratum])
     return d.withColumn(out, (F.col("__pos") < F.col("quota")).cast("int")).drop("__pos", "quota")
 
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.operators.quantiles import exact_quantiles
 
 
@@ -104,7 +106,7 @@ def agg_box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     n = df.groupBy(by).agg(F.count(F.col(col)).alias("n"))
     q = q.join(n, by).withColumn("lo_whisker", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_whisker", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    outl = df.join(F.broadcast(q.select(by, "lo_whisker", "hi_whisker")), by).groupBy(by).agg(
+    outl = df.join(bounded(q.select(by, "lo_whisker", "hi_whisker")), by).groupBy(by).agg(
         F.count_if((F.col(col) < F.col("lo_whisker")) | (F.col(col) > F.col("hi_whisker"))).alias("n_outliers"))
     return q.join(outl, by)
 
@@ -170,7 +172,7 @@ def project_cost_plane(df: DataFrame, plane: DataFrame, x1: str, x2: str, by: Se
     group key; without groups its three coefficients are literals."""
     if by:
         pl = plane.select(*by, F.col("a").alias("__pa"), F.col("b").alias("__pb"), F.col("c").alias("__pc"))
-        d = df.join(F.broadcast(pl), list(by))
+        d = df.join(bounded(pl), list(by))
         a, b, c = F.col("__pa"), F.col("__pb"), F.col("__pc")
     else:
         r = plane.first()

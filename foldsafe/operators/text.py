@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.functions.text import strip_html, tokens
 
 
@@ -68,7 +70,7 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, label: str, vocab_siz
     log_prior = prior.select("label", F.log(F.col("n") / F.lit(float(n))).alias("log_prior"))
     fc = weights.join(lab, "doc_id").groupBy("label", "term").agg(F.sum("weight").alias("fc"))
     tot = fc.groupBy("label").agg(F.sum("fc").alias("tot"))
-    log_prob = fc.join(F.broadcast(tot), "label").select(
+    log_prob = fc.join(bounded(tot), "label").select(
         "label", "term", F.log((F.col("fc") + alpha) / (F.col("tot") + alpha * vocab_size)).alias("log_prob"))
     # terms never seen in a class still get alpha / (tot + alpha V)
     unseen = tot.select("label", F.log(F.lit(alpha) / (F.col("tot") + alpha * vocab_size)).alias("log_unseen"))
@@ -82,7 +84,7 @@ def predict_naive_bayes(weights: DataFrame, model: NaiveBayesModel, vocab: DataF
     # one row per (doc, term, class): classes are few, expanded by explode, not a join
     labels = [r["label"] for r in classes.select("label").collect()]
     we = w.withColumn("label", F.explode(F.array(*[F.lit(v) for v in labels])))
-    s = we.join(model.log_prob, ["label", "term"], "left").join(F.broadcast(classes), "label")
+    s = we.join(model.log_prob, ["label", "term"], "left").join(bounded(classes), "label")
     s = s.withColumn("lp", F.coalesce("log_prob", "log_unseen"))
     jll = s.groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("lp")).alias("__s"), F.first("log_prior").alias("log_prior"))
     jll = jll.withColumn("jll", F.col("__s") + F.col("log_prior")).drop("__s", "log_prior")

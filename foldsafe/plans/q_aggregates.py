@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.operators import metrics as M
 from foldsafe.operators import stats as ST
 from foldsafe.operators.splits import split_random, split_stratified
@@ -88,7 +90,7 @@ FROM s GROUP BY priority""")
 def q_e6(spark, sf):
     d = districts(spark, sf)
     m = d.groupBy("segment").agg(F.avg("target").alias("pred"))
-    s = d.join(F.broadcast(m), "segment")
+    s = d.join(bounded(m), "segment")
     return _r(M.eval_regression(s, "pred", "target", by=["priority"]), ["rmse", "mae", "r2", "bias"])
 
 
@@ -103,7 +105,7 @@ FROM a""")
 def q_e7(spark, sf):
     d = districts(spark, sf)
     m = d.groupBy("segment").agg(F.avg("target").alias("pred"))
-    s = d.join(F.broadcast(m), "segment")
+    s = d.join(bounded(m), "segment")
     return _r(M.eval_rmse_ci(s, "pred", "target", by=["priority"]), ["rmse", "rmse_lo", "rmse_hi"])
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.operators import filters as FL
 from foldsafe.operators.stats import agg_corr_matrix
 from foldsafe.plans.catalog import register
@@ -90,7 +92,7 @@ WHERE priority IN ('1-URGENT', '2-HIGH') ORDER BY abs(m.pred - target) DESC, row
 def q_g1(spark, sf):
     d = districts(spark, sf)
     m = d.groupBy("segment").agg(F.avg("target").alias("pred"))
-    s = FL.facet_filter(d.join(F.broadcast(m), "segment"), {"priority": ["1-URGENT", "2-HIGH"]})
+    s = FL.facet_filter(d.join(bounded(m), "segment"), {"priority": ["1-URGENT", "2-HIGH"]})
     s = s.withColumn("e", F.abs(F.col("pred") - F.col("target")))
     return FL.top_k(s, [F.desc("e"), F.asc("row_id")], 12).select("row_id", F.round("e", 9).alias("abs_err"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.operators import joins as J
 from foldsafe.operators.metrics import eval_rmse_ci, t_quantile_sql
 from foldsafe.operators.splits import fold_kfold_shuffled, split_random
@@ -101,7 +103,7 @@ SELECT priority, round(rmse, 6) AS rmse, CAST(NOT (lo > bhi OR hi < blo) AS INTE
 def q_d9(spark, sf):
     d = districts(spark, sf)
     m = d.groupBy("segment").agg(F.avg("target").alias("pred"))
-    ci = eval_rmse_ci(d.join(F.broadcast(m), "segment"), "pred", "target", by=["priority"])
+    ci = eval_rmse_ci(d.join(bounded(m), "segment"), "pred", "target", by=["priority"])
     o = J.interval_overlap(ci, "rmse_lo", "rmse_hi", "rmse")
     return o.select("priority", F.round("rmse", 6).alias("rmse"), "overlaps_best")
 
@@ -164,7 +166,7 @@ def q_h3(spark, sf):
     d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42).cache()
     parts = d.groupBy("fold", "segment").agg(F.sum("target").alias("s"), F.count("target").alias("n"))
     tot = parts.groupBy("segment").agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
-    comp = parts.join(F.broadcast(tot), "segment").select("fold", "segment", ((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n"))).alias("pred"))
-    outs = [d.where(F.col("fold") == i).join(F.broadcast(comp.where(F.col("fold") == i).drop("fold")), "segment")
+    comp = parts.join(bounded(tot), "segment").select("fold", "segment", ((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n"))).alias("pred"))
+    outs = [d.where(F.col("fold") == i).join(bounded(comp.where(F.col("fold") == i).drop("fold")), "segment")
              .select("row_id", "fold", F.round("pred", 9).alias("pred")) for i in range(5)]
     return J.union_folds(outs)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.functions import scalars as S
 from foldsafe.functions.keys import sql_seeded_hash
 from foldsafe.operators.prep import skewed_columns
@@ -144,7 +146,7 @@ FROM districts JOIN m USING (priority)""")
 def q_b11(spark, sf):
     d = districts(spark, sf)
     m = d.groupBy("priority").agg(F.avg("target").alias("pred"))
-    s = d.join(F.broadcast(m), "priority")
+    s = d.join(bounded(m), "priority")
     res = S.residual_columns("pred", "target")
     return s.select("row_id", *[F.round(v, 6).alias(k) for k, v in res.items()])
 

@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import functions as F
 
+from foldsafe.operators.broadcast import bounded
+
 from foldsafe.functions.keys import sql_seeded_hash
 from foldsafe.operators import search as SR
 from foldsafe.operators.joins import anti_resume, interval_overlap, paired_delta
@@ -186,7 +188,7 @@ def _test_scores(spark, sf):
         key = f"{g}:{a:.1f}"
         st = tr.groupBy(F.col(g).cast("string").alias("g")).agg(F.sum("target").alias("s"), F.count(F.lit(1)).alias("n"))
         k = st.select("g", F.try_divide(F.col("s") + F.lit(a) * F.lit(gm["m"]), F.col("n") + F.lit(a)).alias("pred"))
-        te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(F.broadcast(k), "g")
+        te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(bounded(k), "g")
         outs.append(te.select(F.lit(key).alias("cand_key"), F.coalesce("pred", F.lit(gm["m"])).alias("pred"), "target"))
     u = outs[0]
     for o in outs[1:]:
@@ -239,7 +241,7 @@ def q_m8(spark, sf):
     gm = tr.agg(F.avg("target").alias("m"), F.min("target").alias("lo"), F.max("target").alias("hi")).first()
     fit = tr.groupBy(F.col(g).cast("string").alias("g")).agg(
         F.try_divide(F.sum("target") + F.lit(a) * F.lit(gm["m"]), F.count(F.lit(1)) + F.lit(a)).alias("pred"))
-    te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(F.broadcast(fit), "g", "left")
+    te = d.where("is_test = 1").withColumn("g", F.col(g).cast("string")).join(bounded(fit), "g", "left")
     te = te.withColumn("pred", F.coalesce("pred", F.lit(gm["m"])))
     r = eval_out_of_range(te, "pred", "target", gm["lo"], gm["hi"])
     return r.select(F.lit(best).alias("cand_key"), F.round("rmse_raw", 6).alias("rmse_raw"),

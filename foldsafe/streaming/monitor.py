@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from foldsafe.operators.broadcast import bounded
 from foldsafe.session import scratch_path
 
 PSI_EPS = 1e-4
@@ -58,7 +59,7 @@ def stream_score(stream: DataFrame, baseline: DataFrame, key: str, name: str = "
                  run_id: str | None = None) -> DataFrame:
     """O1: score arriving rows with a fitted model given as a small constants
     table (joined stream-static, broadcast: bounded by the key count)."""
-    scored = stream.join(F.broadcast(baseline), key, "left")
+    scored = stream.join(bounded(baseline), key, "left")
     out = _run(scored, name, "append", by_batch=False, run_id=run_id)
     return stream.sparkSession.read.parquet(out).drop("batch")
 
@@ -67,7 +68,7 @@ def stream_metrics(stream: DataFrame, baseline: DataFrame, key: str, ts: str, re
                    window: str = "1 day", delay: str = "1 day", name: str = "metrics",
                    run_id: str | None = None) -> DataFrame:
     """O2: RMSE, bias and error rate per event-time window and key."""
-    s = stream.join(F.broadcast(baseline), key, "left").withColumn("__t", F.col(ts).cast("timestamp"))
+    s = stream.join(bounded(baseline), key, "left").withColumn("__t", F.col(ts).cast("timestamp"))
     e = F.col(pred) - F.col(real)
     agg = (s.withWatermark("__t", delay).groupBy(F.window("__t", window).alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"), F.sum(e).alias("se"),
@@ -97,7 +98,8 @@ def stream_drift(stream: DataFrame, ref_shares: DataFrame, lo: float, hi: float,
     grid = wins.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))   # windows x bins (bins bounded)
     full = grid.join(cnt, ["window_start", "bin"], "left").fillna(0, ["n"])
     full = full.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("window_start")))
-    full = full.join(F.broadcast(ref_shares.select("bin", F.col("share").alias("q"))), "bin", "left").fillna(0.0, ["q"])
+    full = full.join(F.broadcast(ref_shares.select(     # one row per histogram bin
+        "bin", F.col("share").alias("q"))), "bin", "left").fillna(0.0, ["q"])
     p = F.greatest(F.col("p"), F.lit(PSI_EPS))
     q = F.greatest(F.col("q"), F.lit(PSI_EPS))
     psi = full.groupBy("window_start").agg(F.sum((p - q) * F.log(p / q)).alias("psi"), F.sum("n").alias("n"))
