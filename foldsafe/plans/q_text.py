@@ -123,3 +123,28 @@ def q_l11(spark, sf):
                                      F.round(F.max(F.when(F.col("label") == 1, F.col("jll"))), 6).alias("jll_1"))
     return pred.join(te.select("doc_id", "label"), "doc_id").select("doc_id", F.col("pred").cast("int").alias("pred"),
                                                                    "label", "jll_0", "jll_1")
+
+
+@register("txt_mime_pipeline", r"""
+WITH g AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS p,
+                  string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS h
+           FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id)
+SELECT conv_id, 'conversation ' || CAST(conv_id AS VARCHAR) || chr(10) ||
+       CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(h, '<[^>]+>', ' ', 'g') END AS message FROM g""")
+def q_mime(spark, sf):
+    """B17 + B18 end to end through real MIME: conversations are laid out as
+    multipart messages (user turns text/plain, assistant turns text/html,
+    system turns as an attachment type that is skipped), decoded per message
+    in mapInPandas, plain preferred over HTML, subject prepended."""
+    from foldsafe.sources.mime import build_multipart, decode_mime
+    c = read_table(spark, sf, "conversations").withColumn(
+        "ctype", F.when(F.col("role") == "user", "text/plain").when(F.col("role") == "assistant", "text/html")
+                  .otherwise("application/octet-stream"))
+    raw = build_multipart(c, "conv_id", "turn", "ctype", "text", F.concat(F.lit("conversation "), F.col("conv_id").cast("string")))
+    parts = decode_mime(raw, "conv_id", "raw").where(F.col("text").isNotNull())
+    # the decoder returns each 8-bit part with its line terminator; strip exactly one
+    parts = parts.withColumn("text", F.regexp_replace("text", "\n$", ""))
+    body = TX.prefer_plain(parts, "msg_id", "part_idx", "content_type", "text", plain="text/plain", html="text/html")
+    subj = parts.groupBy("msg_id").agg(F.first("subject").alias("subject"))
+    return body.join(subj, "msg_id").select(F.col("msg_id").alias("conv_id"),
+                                            T.prepend_subject("subject", "body").alias("message"))
