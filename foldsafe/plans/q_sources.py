@@ -5,6 +5,7 @@ through the operator and returns what was read."""
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -54,25 +55,38 @@ def q_a3(spark, sf):
 @register("src_archive_members", """
 SELECT doc_id, CAST(strlen(text) AS BIGINT) AS size, CAST(length(text) AS INTEGER) AS n_chars FROM documents""")
 def q_a4(spark, sf):
-    root = _out(spark, sf, "archives")
-    docs = read_table(spark, sf, "documents")
-    if not os.path.exists(os.path.join(root, "_DONE")):
-        AR.write_archives(docs, "doc_id", "text", root, n_archives=4)
-        open(os.path.join(root, "_DONE"), "w").close()
+    root = _published(spark, sf, "archives", lambda out: AR.write_archives(
+        read_table(spark, sf, "documents"), "doc_id", "text", out, n_archives=4))
     m = AR.read_archive_members(spark, os.path.join(root, "*.tar.gz"))
     return m.select(F.regexp_extract("member", r"(\d+)\.txt$", 1).cast("bigint").alias("doc_id"), "size",
                     F.length("text").cast("int").alias("n_chars"))
 
 
+def _published(spark, sf, name, build) -> str:
+    """Build a fixture folder once: write into a fresh sub-folder, then publish
+    its name in a marker file, so a crashed build is never read half-done."""
+    root = _out(spark, sf, name)
+    marker = os.path.join(root, "_PUBLISHED")
+    if os.path.exists(marker):
+        with open(marker) as f:
+            return os.path.join(root, f.read().strip())
+    sub = uuid.uuid4().hex
+    build(os.path.join(root, sub))
+    tmp = marker + "." + sub
+    with open(tmp, "w") as f:
+        f.write(sub)
+    os.replace(tmp, marker)
+    return os.path.join(root, sub)
+
+
 @register("src_labelled_tree", """
 SELECT l.doc_id, CAST(l.toxic AS INTEGER) AS label, CAST(strlen(d.text) AS BIGINT) AS size
 FROM labels l JOIN documents d USING (doc_id)""")
 def q_a5(spark, sf):
-    root = _out(spark, sf, "tree")
-    if not os.path.exists(os.path.join(root, "_DONE")):
+    def build(out):
         lab = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents"), "doc_id")
-        AR.write_labelled_tree(lab, "doc_id", "text", "toxic", root)
-        open(os.path.join(root, "_DONE"), "w").close()
+        AR.write_labelled_tree(lab, "doc_id", "text", "toxic", out)
+    root = _published(spark, sf, "tree", build)
     t = AR.read_labelled_tree(spark, root).where(F.col("name").endswith(".eml"))
     return t.select(F.regexp_extract("name", r"^(\d+)", 1).cast("bigint").alias("doc_id"),
                     F.col("label").cast("int").alias("label"), "size")

@@ -219,3 +219,21 @@ def test_stream_metrics_resume_is_exactly_once(spark):
     second = run()
     assert first == second
     assert sum(n for _, _, n in first) == read_table(spark, SMALL, "events").count()
+
+
+def test_stratified_split_exact_with_a_hot_stratum(spark):
+    """One stratum holds a third of the rows: quotas stay exact and the
+    positions inside it are a permutation (no row lost or duplicated)."""
+    d = districts(spark, MEDIUM).withColumn(
+        "stratum", F.when(F.col("row_id") % 3 == 0, F.lit(0)).otherwise((F.col("row_id") % 7).cast("int") + 1))
+    s = SP.split_stratified(d, "row_id", "stratum", 0.2, 42)
+    n = d.count()
+    n_test = s.where("is_test = 1").count()
+    assert n_test == math.ceil(0.2 * n)
+    per = {r["stratum"]: (r["n"], r["t"]) for r in s.groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_test").alias("t")).collect()}
+    for _, (cnt, t) in per.items():
+        assert abs(t - 0.2 * n_test / n * cnt * n / n_test) <= 1.0 + 1e-9     # floor/ceil of the exact share
+    pos = SP.stratum_position(d, "row_id", "stratum", 42).where("stratum = 0")
+    got = sorted(r["pos"] for r in pos.select("pos").collect())
+    assert got == list(range(len(got)))
