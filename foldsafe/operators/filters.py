@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from foldsafe.operators.positions import group_rank, quantile_bucket, running_sum, topk_per_group
 
 
 def first_n_per_cell(df: DataFrame, cells: Sequence[tuple], real: str, pred: str, order: str, n: int) -> DataFrame:
@@ -14,8 +16,7 @@ def first_n_per_cell(df: DataFrame, cells: Sequence[tuple], real: str, pred: str
     for a, b in cells:
         c = (F.col(real) == F.lit(a)) & (F.col(pred) == F.lit(b))
         cond = c if cond is None else cond | c
-    w = Window.partitionBy(real, pred).orderBy(order)
-    return df.where(cond).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    return topk_per_group(df.where(cond), [real, pred], [F.col(order).asc()], n, out="rn")
 
 
 def facet_filter(df: DataFrame, selections: dict) -> DataFrame:
@@ -52,27 +53,22 @@ def flag_budget(df: DataFrame, cost: str, cap: float, out: str = "skipped") -> D
 
 
 def rank_candidates(df: DataFrame, score: str, by: Sequence[str] = ("search_id",), out: str = "rank") -> DataFrame:
-    """F1: rank by score ascending within a search; ties share the lowest rank."""
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*by).orderBy(F.col(score).asc())))
-
-
-def topk_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:
-    """first k rows per group by an explicit total order."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+    """F1: rank by score ascending within a search; ties share the lowest rank
+    (two-level, so a search holding a third of all runs is not one task)."""
+    return group_rank(df, list(by), score, out)
 
 
 def budget_cutoff(df: DataFrame, cost: str, cap: float, by: Sequence[str] = ("search_id",), order: str | None = None,
-                  n_dearest: int = 5) -> DataFrame:
+                  n_dearest: int = 5, key: str = "run_id") -> DataFrame:
     """candidates cheapest first; running projected clock; whether the
-    candidate still fits the cap; the n dearest flagged."""
+    candidate still fits the cap; the n dearest flagged.  Both the running sum
+    and the top-n are two-level (hot searches are split)."""
     order = order or cost
-    w_run = Window.partitionBy(*by).orderBy(F.col(order).asc(), F.col("run_id").asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_dear = Window.partitionBy(*by).orderBy(F.col(cost).desc(), F.col("run_id").asc())
-    return (df.withColumn("clock", F.sum(cost).over(w_run))
-              .withColumn("inside_cap", (F.col("clock") <= F.lit(cap)).cast("int"))
-              .withColumn("dear_rank", F.row_number().over(w_dear))
-              .withColumn("is_dearest", (F.col("dear_rank") <= n_dearest).cast("int")))
+    d = running_sum(df, list(by), [F.col(order).asc(), F.col(key).asc()], cost, quantile_bucket(df, order), "clock")
+    d = d.withColumn("inside_cap", (F.col("clock") <= F.lit(cap)).cast("int"))
+    dear = topk_per_group(df.select(*by, key, cost), list(by), [F.col(cost).desc(), F.col(key).asc()], n_dearest, out="dear_rank")
+    d = d.join(dear.select(*by, key, "dear_rank"), [*by, key], "left")
+    return d.withColumn("is_dearest", F.col("dear_rank").isNotNull().cast("int"))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -81,7 +81,7 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 256,
         return F.lit(0)
     arr = F.array(*[F.lit(p) for p in pts])
     x = F.col(col).cast("double")
-    return F.size(F.filter(arr, lambda p: p <= x))
+    return F.when(x.isNull(), F.lit(len(pts) + 1)).otherwise(F.size(F.filter(arr, lambda p: p <= x)))
 
 
 def ordered_positions(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),
@@ -90,3 +90,46 @@ def ordered_positions(df: DataFrame, order_col: str, group_cols: Sequence[str] =
     """Positions in the order of an explicit (unique) key such as a row id."""
     bucket = quantile_bucket(df, order_col, n_buckets)
     return positions(df, [order_col], bucket, group_cols, out, total_out)
+
+
+def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, value, bucket: Column,
+                out: str = "running") -> DataFrame:
+    """Cumulative sum of ``value`` inside each group in ``order_cols`` order
+    (rows frame, current row included), two-level like :func:`positions`: a
+    hot group is spread over its buckets; bucket totals become offsets."""
+    group_cols = list(group_cols)
+    v = F.col(value) if isinstance(value, str) else value
+    d = df.withColumn("__b", bucket).withColumn("__v", v)
+    tot = d.groupBy(*group_cols, "__b").agg(F.sum("__v").alias("__s"))
+    w = Window.partitionBy(*group_cols).orderBy("__b") if group_cols else Window.orderBy("__b")
+    offs = tot.withColumn("__off", F.coalesce(F.sum("__s").over(w) - F.col("__s"), F.lit(0))).drop("__s")
+    wr = (Window.partitionBy(*group_cols, "__b").orderBy(*order_cols)
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = d.withColumn("__rs", F.sum("__v").over(wr))
+    joined = _null_safe_join(ranked, offs, [*group_cols, "__b"])
+    return joined.withColumn(out, F.col("__off") + F.col("__rs")).drop("__b", "__v", "__off", "__rs")
+
+
+def group_rank(df: DataFrame, group_cols: Sequence[str], score: str, out: str = "rank",
+               n_buckets: int = 64) -> DataFrame:
+    """``rank()`` ascending within groups (ties share the lowest rank) without
+    one task per group: counts per distinct (group, score), a two-level running
+    count over them, joined back."""
+    group_cols = list(group_cols)
+    cnt = df.groupBy(*group_cols, score).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_sum(cnt, group_cols, [F.asc_nulls_first(score)], "__c", quantile_bucket(cnt, score, n_buckets), "__cum")
+    cum = cum.select(*group_cols, score, (F.col("__cum") - F.col("__c") + 1).cast("int").alias(out))
+    return _null_safe_join(df, cum, [*group_cols, score])
+
+
+def topk_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, out: str = "rank",
+                   salts: int = 64) -> DataFrame:
+    """First k rows per group by a total order, two-level: top-k per
+    (group, salt) first, then top-k over at most k x salts rows per group.
+    Exact; a hot group is ranked by ``salts`` tasks."""
+    by = list(by)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+    d = df.withColumn("__salt", salt)
+    part = d.withColumn("__r1", F.row_number().over(Window.partitionBy(*by, "__salt").orderBy(*order))).where(F.col("__r1") <= k)
+    fin = part.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(out) <= k)
+    return fin.drop("__salt", "__r1")

@@ -101,9 +101,11 @@ def project_costs(measured: DataFrame, todo: DataFrame, cap: float, kernel: str
     from foldsafe.operators.stats import fit_cost_plane, project_cost_plane
     plane = fit_cost_plane(measured, x1, x2, y, by=[kernel])
     p = project_cost_plane(todo, plane, x1, x2, by=[kernel])
-    w = Window.partitionBy("search_id").orderBy(F.asc_nulls_last("projected"), "run_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (p.withColumn("skipped", (F.col("projected") > F.lit(cap)).cast("int"))
-             .withColumn("clock", F.sum(F.when(F.col("skipped") == 0, F.col("projected")).otherwise(0.0)).over(w)))
+    from foldsafe.operators.positions import quantile_bucket, running_sum
+    p = p.withColumn("skipped", (F.col("projected") > F.lit(cap)).cast("int"))
+    spent = F.when(F.col("skipped") == 0, F.col("projected")).otherwise(F.lit(0.0))
+    return running_sum(p, ["search_id"], [F.asc_nulls_last("projected"), F.asc("run_id")], spent,
+                       quantile_bucket(p, "projected"), "clock")
 
 
 def close_partial(measured: DataFrame, unrun: DataFrame, by: Sequence[str] = ("search_id",)) -> DataFrame:

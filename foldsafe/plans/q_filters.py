@@ -118,8 +118,12 @@ def q_g4(spark, sf):
 @register("order_cheap_first", f"""WITH {SQL_RUNS}
 SELECT search_id, run_id, CAST(row_number() OVER (PARTITION BY search_id ORDER BY c, kernel, run_id) AS INTEGER) AS exec_order FROM runs""")
 def q_g5(spark, sf):
-    w = Window.partitionBy("search_id").orderBy("c", "kernel", "run_id")
-    return runs(spark, sf).select("search_id", "run_id", F.row_number().over(w).cast("int").alias("exec_order"))
+    """Execution order cheapest first inside each search: exact positions,
+    two-level (bucketed on C), so a hot search is not one task."""
+    from foldsafe.operators.positions import positions, quantile_bucket
+    r = runs(spark, sf)
+    p = positions(r, ["c", "kernel", "run_id"], quantile_bucket(r, "c"), ["search_id"], out="pos")
+    return p.select("search_id", "run_id", (F.col("pos") + 1).cast("int").alias("exec_order"))
 
 
 LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
