@@ -34,6 +34,10 @@ def get_session(master: str | None = None, app: str = "foldsafe",
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # windowed monitoring state can outgrow executor heaps: keep it in RocksDB
+    if not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     checkpoint_dir(spark)
     return spark
 
