@@ -18,10 +18,11 @@ from foldsafe.operators.broadcast import bounded
 from foldsafe.functions.text import strip_html, tokens
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, term, tf) from B19 tokens."""
-    t = docs.select(F.col(doc_id).alias("doc_id"), F.explode(tokens(text)).alias("term"))
-    return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(docs: DataFrame, doc_id: str, text: str, carry: tuple = ()) -> DataFrame:
+    """(doc, term, tf) from B19 tokens; ``carry`` keeps per-document columns
+    (e.g. the split flag) so train and test come out of one tokenisation."""
+    t = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.explode(tokens(text)).alias("term"))
+    return t.groupBy("doc_id", *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def min_df_terms(tf: DataFrame, min_df: int = 3) -> DataFrame:
@@ -51,6 +52,7 @@ def apply_tfidf(docs: DataFrame, doc_id: str, text: str, model: TfidfModel, tf:
     from pyspark.sql import Window
     tf = tf if tf is not None else term_counts(docs, doc_id, text)
     w = tf.join(model.idf, "term", "inner").select("doc_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
+
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
 

@@ -30,7 +30,11 @@ def _cands(spark):
 
 
 def _folded(spark, sf):
-    return fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+    """The folded base table of a search, persisted once: every candidate's
+    fold statistics and scoring read it."""
+    from pyspark import StorageLevel
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+    return d.select("row_id", "fold", "target", *GROUP_COLS).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _fold_scores(spark, sf, cands=None):

@@ -109,15 +109,22 @@ SELECT p.doc_id, CAST(p.pred AS INTEGER) AS pred, CAST(te.label AS INTEGER) AS l
        round(max(CASE WHEN j.label = 0 THEN j.jll END), 6) AS jll_0, round(max(CASE WHEN j.label = 1 THEN j.jll END), 6) AS jll_1
 FROM p JOIN te USING (doc_id) JOIN j USING (doc_id) GROUP BY p.doc_id, p.pred, te.label""")
 def q_l11(spark, sf):
+    """TF-IDF fitted on the training documents only, multinomial NB on its
+    weights, test documents scored with the training vocabulary.  All
+    documents are tokenised once; the split flag rides along."""
+    from pyspark import StorageLevel
     lab = read_table(spark, sf, "labels").join(read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     lab = split_hash(lab.withColumn("label", F.col("toxic").cast("int")), "doc_id", 0.2)
+    lab = lab.select("doc_id", "text", "label", "is_test").persist(StorageLevel.MEMORY_AND_DISK)
+    tf = TX.term_counts(lab, "doc_id", "text", carry=("is_test",)).persist(StorageLevel.MEMORY_AND_DISK)
     tr, te = lab.where("is_test = 0"), lab.where("is_test = 1")
-    tr_tf = TX.term_counts(tr, "doc_id", "text").persist()
+    tr_tf = tf.where("is_test = 0").drop("is_test")
+    te_tf = tf.where("is_test = 1").drop("is_test")
     tm = TX.fit_tfidf(tr, "doc_id", "text", 3, tf=tr_tf)
-    tm.idf.persist()
+    tm.idf.persist(StorageLevel.MEMORY_AND_DISK)
     vocab_size = tm.idf.count()
     nb = TX.fit_naive_bayes(TX.apply_tfidf(tr, "doc_id", "text", tm, tf=tr_tf), tr, "label", vocab_size)
-    jll = TX.predict_naive_bayes(TX.apply_tfidf(te, "doc_id", "text", tm), nb, tm.idf)
+    jll = TX.predict_naive_bayes(TX.apply_tfidf(te, "doc_id", "text", tm, tf=te_tf), nb, tm.idf)
     pred = jll.groupBy("doc_id").agg(F.min_by("label", F.struct(-F.col("jll"), F.col("label"))).alias("pred"),
                                      F.round(F.max(F.when(F.col("label") == 0, F.col("jll"))), 6).alias("jll_0"),
                                      F.round(F.max(F.when(F.col("label") == 1, F.col("jll"))), 6).alias("jll_1"))
