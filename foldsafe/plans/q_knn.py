@@ -168,27 +168,38 @@ def q_l15(spark, sf):
 
 
 OOF_SQL = f"""g AS (SELECT vec_id, embedding, CAST(label AS INTEGER) AS label FROM embeddings),
-{kfold_sql('g', 'vec_id', 5, 42)},
-p AS (SELECT a.vec_id, b.label AS nl, {D2_2} AS d,
+{random_split_sql('g', 'vec_id', 0.2, 42)},
+tr AS (SELECT vec_id, embedding, label FROM g_rsplit WHERE is_test = 0),
+{kfold_sql('tr', 'vec_id', 5, 42)},
+q AS (SELECT vec_id, embedding, fold, 0 AS is_test FROM tr_kf
+      UNION ALL SELECT vec_id, embedding, -1 AS fold, 1 AS is_test FROM g_rsplit WHERE is_test = 1),
+p AS (SELECT a.vec_id, a.is_test, b.label AS nl,
              row_number() OVER (PARTITION BY a.vec_id ORDER BY {D2_2}, b.vec_id) AS rn
-      FROM g_kf a, g_kf b WHERE a.fold <> b.fold),
-oof AS (SELECT vec_id, avg(nl) AS knn_oof FROM p WHERE rn <= 5 GROUP BY vec_id),
+      FROM q a, tr_kf b WHERE a.fold <> b.fold),
+oof AS (SELECT vec_id, is_test, avg(nl) AS knn_oof FROM p WHERE rn <= 5 GROUP BY vec_id, is_test),
 pin AS (SELECT a.vec_id, b.label AS nl,
-             row_number() OVER (PARTITION BY a.vec_id ORDER BY {D2_2}, b.vec_id) AS rn FROM g_kf a, g_kf b),
+             row_number() OVER (PARTITION BY a.vec_id ORDER BY {D2_2}, b.vec_id) AS rn FROM g a, g b),
 inf AS (SELECT vec_id, avg(nl) AS knn_in FROM pin WHERE rn <= 5 GROUP BY vec_id)"""
 
 
 @register("prep_oof_target_knn", f"""WITH {OOF_SQL}
-SELECT vec_id, round(knn_oof, 6) AS knn_oof FROM oof""")
+SELECT vec_id, CAST(is_test AS INTEGER) AS is_test, round(knn_oof, 6) AS knn_oof FROM oof""")
 def q_k6(spark, sf):
-    return _oof_knn(spark, sf).select("vec_id", F.round("knn_oof", 6).alias("knn_oof"))
+    return _oof_knn(spark, sf).select("vec_id", "is_test", F.round("knn_oof", 6).alias("knn_oof"))
 
 
 def _oof_knn(spark, sf):
-    g = fold_kfold_shuffled(_geo(spark, sf), "vec_id", 5, 42)
-    nb = K.knn_join(g, g, "vec_id", "vec_id", ["lat", "lon"], 5, q_group="fold", r_group="fold",
+    """K6: training rows get the kNN target mean over the OTHER folds of the
+    training rows; new (test) rows over all training rows.  One kNN join does
+    both: test rows carry fold -1, which differs from every training fold."""
+    g = split_random(_geo(spark, sf), "vec_id", 0.2, 42)
+    train = fold_kfold_shuffled(g.where("is_test = 0"), "vec_id", 5, 42)
+    test = g.where("is_test = 1").withColumn("fold", F.lit(-1))
+    q = train.unionByName(test)
+    nb = K.knn_join(q, train, "vec_id", "vec_id", ["lat", "lon"], 5, q_group="fold", r_group="fold",
                     group_mode="different", carry=["label"])
-    return K.knn_regress(nb, "vec_id", "label").withColumnRenamed("pred", "knn_oof")
+    feat = K.knn_regress(nb, "vec_id", "label").withColumnRenamed("pred", "knn_oof")
+    return feat.join(q.select("vec_id", F.col("is_test").cast("int").alias("is_test")), "vec_id")
 
 
 @register("agg_leak_check", f"""WITH {OOF_SQL}
