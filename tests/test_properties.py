@@ -237,3 +237,16 @@ def test_stratified_split_exact_with_a_hot_stratum(spark):
     pos = SP.stratum_position(d, "row_id", "stratum", 42).where("stratum = 0")
     got = sorted(r["pos"] for r in pos.select("pos").collect())
     assert got == list(range(len(got)))
+
+
+def test_group_split_keeps_entities_whole_and_time_folds_expand(spark):
+    e = read_table(spark, MEDIUM, "events")
+    g = SP.split_group(e.select("event_id", "user_id"), "user_id", 0.2, 42)
+    sides = g.groupBy("user_id").agg(F.countDistinct("is_test").alias("k")).where("k > 1").count()
+    assert sides == 0
+    n_users = e.select("user_id").distinct().count()
+    assert g.where("is_test = 1").select("user_id").distinct().count() == math.ceil(0.2 * n_users)
+    t = SP.fold_time_expanding(e, "ts", 4)
+    bounds = t.groupBy("time_fold").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy("time_fold").collect()
+    assert [r["time_fold"] for r in bounds] == [0, 1, 2, 3, 4]
+    assert all(a["hi"] <= b["lo"] for a, b in zip(bounds, bounds[1:]))
