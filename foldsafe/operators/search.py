@@ -34,9 +34,13 @@ def grid(spark: SparkSession, space: dict[str, Sequence]) -> DataFrame:
 
 def random_draws(spark: SparkSession, n: int, seed: int, lists: dict[str, Sequence] | None = None,
                  log_uniform: dict[str, tuple[float, float]] | None = None,
-                 exponential: dict[str, float] | None = None) -> DataFrame:
+                 exponential: dict[str, float] | None = None,
+                 drop_when: dict[str, tuple[str, Sequence]] | None = None) -> DataFrame:
     """M2: n reproducible draws: uniform choice from lists, log-uniform in
-    [a, b], exponential with a scale — each from a seeded hash of (draw, name)."""
+    [a, b], exponential with a scale — each from a seeded hash of (draw, name).
+    ``drop_when={param: (other, values)}`` sets ``param`` to NULL where
+    ``other`` takes one of ``values`` (a parameter that does not apply, like
+    gamma for a linear kernel)."""
     d = spark.range(n).withColumnRenamed("id", "draw")
     for name, vals in (lists or {}).items():
         u = seeded_uniform("draw", seed, name)
@@ -47,6 +51,8 @@ def random_draws(spark: SparkSession, n: int, seed: int, lists: dict[str, Sequen
     for name, scale in (exponential or {}).items():
         u = seeded_uniform("draw", seed, name)
         d = d.withColumn(name, -F.log(1 - u) * F.lit(scale))
+    for name, (other, values) in (drop_when or {}).items():
+        d = d.withColumn(name, F.when(~F.col(other).isin(list(values)), F.col(name)))
     return d
 
 
@@ -68,9 +74,10 @@ def eval_shrunk_means(data: DataFrame, cands: DataFrame, fold: str, target: str,
                  .withColumn("gs", F.sum("s").over(w_all)).withColumn("gn", F.sum("n").over(w_all)))
     fold_tot = stats.groupBy("group_col", fold).agg(F.sum("s").alias("fs"), F.sum("n").alias("fn"))
     comp = comp.join(fold_tot, ["group_col", fold]).withColumn("gmean", (F.col("gs") - F.col("fs")) / (F.col("gn") - F.col("fn")))
+    alpha = F.coalesce(F.col("alpha"), F.lit(0.0))          # a dropped alpha means no shrinkage
     consts = cands.join(comp, "group_col").select(
         "cand_key", "group_col", fold, "g",
-        F.try_divide(F.col("cs") + F.col("alpha") * F.col("gmean"), F.col("cn") + F.col("alpha")).alias("pred"),
+        F.try_divide(F.col("cs") + alpha * F.col("gmean"), F.col("cn") + alpha).alias("pred"),
         "gmean")
     # score: each data row once per candidate (explode of the candidate list), constants joined on (cand, fold, group)
     cl = [(r["cand_key"], r["group_col"]) for r in cands.select("cand_key", "group_col").collect()]   # bounded list

@@ -56,7 +56,8 @@ comp AS (SELECT st.*, sum(s) OVER (PARTITION BY group_col, g) - s AS cs, sum(n)
                 sum(s) OVER (PARTITION BY group_col) AS gs, sum(n) OVER (PARTITION BY group_col) AS gn FROM st),
 ft AS (SELECT group_col, fold, sum(s) AS fs, sum(n) AS fn FROM st GROUP BY ALL),
 k AS (SELECT comp.group_col, comp.fold, comp.g, cs, cn, (gs - fs) / (gn - fn) AS gmean FROM comp JOIN ft USING (group_col, fold)),
-consts AS (SELECT c.cand_key, c.group_col, k.fold, k.g, (cs + alpha * gmean) / nullif(cn + alpha, 0) AS pred, gmean
+consts AS (SELECT c.cand_key, c.group_col, k.fold, k.g,
+                  (cs + coalesce(alpha, 0.0) * gmean) / nullif(cn + coalesce(alpha, 0.0), 0) AS pred, gmean
            FROM c JOIN k USING (group_col)),
 sc AS (SELECT consts.cand_key, r.fold, (coalesce(pred, gmean) - r.target) ^ 2 AS se
        FROM rws r JOIN consts ON r.group_col = consts.group_col AND r.fold = consts.fold AND r.g = consts.g),
@@ -88,22 +89,31 @@ def q_m4(spark, sf):
 N_DRAWS, DRAW_SEED, A_LO, A_HI = 12, 7, 0.1, 1000.0
 
 
+MODES = ["shrunk", "plain"]
+
+
 def _draws(spark):
-    d = SR.random_draws(spark, N_DRAWS, DRAW_SEED, lists={"group_col": GROUP_COLS}, log_uniform={"alpha": (A_LO, A_HI)})
+    """group column and mode uniform from lists, alpha log-uniform; alpha is
+    dropped (NULL) for the 'plain' mode, where it does not apply."""
+    d = SR.random_draws(spark, N_DRAWS, DRAW_SEED, lists={"group_col": GROUP_COLS, "mode": MODES},
+                        log_uniform={"alpha": (A_LO, A_HI)}, drop_when={"alpha": ("mode", ["plain"])})
     return d.withColumn("cand_key", F.concat(F.lit("d"), F.col("draw").cast("string")))
 
 
-DRAWS_SQL = f"""(SELECT draw, {GROUP_COLS!r}[CAST(floor(({sql_seeded_hash('draw', DRAW_SEED, 'group_col')} / 4294967296.0) * {len(GROUP_COLS)}) AS INTEGER) + 1] AS group_col,
-       exp({math.log(A_LO)!r} + ({sql_seeded_hash('draw', DRAW_SEED, 'alpha')} / 4294967296.0) * {math.log(A_HI / A_LO)!r}) AS alpha
-  FROM range(0, {N_DRAWS}) t(draw))"""
+DRAWS_SQL = f"""(SELECT draw, group_col, mode, CASE WHEN mode = 'plain' THEN NULL ELSE alpha END AS alpha FROM (
+  SELECT draw, {GROUP_COLS!r}[CAST(floor(({sql_seeded_hash('draw', DRAW_SEED, 'group_col')} / 4294967296.0) * {len(GROUP_COLS)}) AS INTEGER) + 1] AS group_col,
+         ['shrunk', 'plain'][CAST(floor(({sql_seeded_hash('draw', DRAW_SEED, 'mode')} / 4294967296.0) * 2) AS INTEGER) + 1] AS mode,
+         exp({math.log(A_LO)!r} + ({sql_seeded_hash('draw', DRAW_SEED, 'alpha')} / 4294967296.0) * {math.log(A_HI / A_LO)!r}) AS alpha
+  FROM range(0, {N_DRAWS}) t(draw)))"""
 
 
 @register("search_random", f"""WITH {eval_sql(DRAWS_SQL, "'d' || CAST(draw AS VARCHAR)")}
-SELECT c.draw, c.group_col, round(c.alpha, 6) AS alpha, round(lg.cv_rmse, 6) AS cv_rmse FROM c JOIN lg USING (cand_key)""")
+SELECT c.draw, c.group_col, c.mode, round(c.alpha, 6) AS alpha, round(lg.cv_rmse, 6) AS cv_rmse FROM c JOIN lg USING (cand_key)""")
 def q_m2(spark, sf):
     d = _draws(spark)
     lg = SR.log_candidates(_fold_scores(spark, sf, d))
-    return d.join(lg, "cand_key").select("draw", "group_col", F.round("alpha", 6).alias("alpha"), F.round("cv_rmse", 6).alias("cv_rmse"))
+    return d.join(lg, "cand_key").select("draw", "group_col", "mode", F.round("alpha", 6).alias("alpha"),
+                                         F.round("cv_rmse", 6).alias("cv_rmse"))
 
 
 @register("search_resume", f"""WITH {GRID_SQL}
