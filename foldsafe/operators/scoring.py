@@ -15,6 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_NODE_LIMIT = 2_000_000
+EXPRESSION_NODE_LIMIT = 20_000
 
 
 def export_tree_table(spark: SparkSession, model, path: str) -> DataFrame:
@@ -40,12 +41,54 @@ def export_tree_table(spark: SparkSession, model, path: str) -> DataFrame:
     return flat.join(w, "tree_id")
 
 
+def _go_left(x, thr, cats, ncat, comparator):
+    cont = (x <= thr) if comparator == "le" else (x.cast("float") < thr.cast("float"))
+    return F.when(ncat > 0, F.array_contains(cats, x)).otherwise(cont)
+
+
+def tree_expression(nodes_rows: list, features: str, max_depth: int, comparator: str = "le"):
+    """A small model compiled to one column expression: every tree's node
+    arrays become literals and ``aggregate`` walks max_depth steps per tree.
+    Rows are scored where they are: no explode, no join, no shuffle."""
+    trees: dict[int, list] = {}
+    for r in nodes_rows:
+        trees.setdefault(r["tree_id"], []).append(r)
+    total = None
+    for t in sorted(trees):
+        rows = sorted(trees[t], key=lambda r: r["node_id"])
+        assert [r["node_id"] for r in rows] == list(range(len(rows))), "node ids must be dense"
+        feat = F.array(*[F.lit(int(r["feature"] if r["feature"] is not None else -1)) for r in rows])
+        left = F.array(*[F.lit(int(r["left"])) for r in rows])
+        right = F.array(*[F.lit(int(r["right"])) for r in rows])
+        thr = F.array(*[F.lit(float(r["split_values"][0]) if r["split_values"] else 0.0) for r in rows])
+        ncat = F.array(*[F.lit(int(r["num_categories"] or -1)) for r in rows])
+        cats = F.array(*[F.array(*[F.lit(float(v)) for v in (r["split_values"] or [])]).cast("array<double>") for r in rows])
+        val = F.array(*[F.lit(float(r["value"])) for r in rows])
+        weight = float(rows[0]["weight"])
+
+        def step(n, _):
+            i = n + 1
+            x = F.try_element_at(F.col(features), F.element_at(feat, i) + 1)
+            gl = _go_left(x, F.element_at(thr, i), F.element_at(cats, i), F.element_at(ncat, i), comparator)
+            return F.when(F.element_at(left, i) < 0, n).when(gl, F.element_at(left, i)).otherwise(F.element_at(right, i))
+        leaf = F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), F.lit(0), step)
+        term = F.element_at(val, leaf + 1) * F.lit(weight)
+        total = term if total is None else total + term
+    return total
+
+
 def score_tree_table(df: DataFrame, nodes: DataFrame, features: str, id_col: str, max_depth: int,
                      out: str = "pred", comparator: str = "le") -> DataFrame:
     """Σ_t weight_t · leaf_t(x).  ``comparator`` 'le' is Spark's (go left
     when x <= threshold); 'lt_f32' is the strict float32 comparison of the
-    exported browser scorer."""
+    exported browser scorer.  A model of at most EXPRESSION_NODE_LIMIT nodes
+    is compiled to a per-row expression (no shuffle); a larger one is walked
+    with one broadcast join per depth level."""
     n_nodes = nodes.count()
+    if n_nodes <= EXPRESSION_NODE_LIMIT:
+        rows = nodes.select("tree_id", "node_id", "feature", "split_values", "num_categories", "left", "right",
+                            "value", "weight").collect()                      # bounded by the check above
+        return df.select(id_col, tree_expression(rows, features, max_depth, comparator).alias(out))
     nd = nodes.select("tree_id", "node_id", "feature", "split_values", "num_categories", "left", "right")
     nd = F.broadcast(nd) if n_nodes <= BROADCAST_NODE_LIMIT else nd
     trees = [r[0] for r in nodes.select("tree_id").distinct().collect()]          # bounded by the model
