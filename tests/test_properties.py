@@ -250,3 +250,21 @@ def test_group_split_keeps_entities_whole_and_time_folds_expand(spark):
     bounds = t.groupBy("time_fold").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).orderBy("time_fold").collect()
     assert [r["time_fold"] for r in bounds] == [0, 1, 2, 3, 4]
     assert all(a["hi"] <= b["lo"] for a, b in zip(bounds, bounds[1:]))
+
+
+def test_two_level_window_helpers_equal_plain_windows(spark):
+    from pyspark.sql import Window
+    from foldsafe.operators.positions import group_rank, quantile_bucket, running_sum, topk_per_group
+    e = read_table(spark, MEDIUM, "events").withColumn(
+        "g", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))     # one hot group
+    w = Window.partitionBy("g").orderBy("value", "event_id")
+    ref = e.select("event_id", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
+                   F.rank().over(Window.partitionBy("g").orderBy("value")).alias("rk"),
+                   F.row_number().over(Window.partitionBy("g").orderBy(F.desc("value"), "event_id")).alias("rn"))
+    ref = {r["event_id"]: r for r in ref.collect()}
+    rs = running_sum(e, ["g"], ["value", "event_id"], "value", quantile_bucket(e, "value"), "rs").collect()
+    assert all(abs(r["rs"] - ref[r["event_id"]]["rs"]) < 1e-6 for r in rs)
+    rk = group_rank(e, ["g"], "value").collect()
+    assert all(r["rank"] == ref[r["event_id"]]["rk"] for r in rk)
+    top = topk_per_group(e, ["g"], [F.desc("value"), F.asc("event_id")], 3).collect()
+    assert sorted(r["event_id"] for r in top) == sorted(k for k, r in ref.items() if r["rn"] <= 3)
