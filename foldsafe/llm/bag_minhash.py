@@ -24,6 +24,8 @@ _U = np.uint64
 _ARRIVAL, _SLOT, _PLACE, _INTERVAL = (_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 BANDS, ROWS = 21, 3
 BLOCK = 256
+# Shingles whose processes run together.
+TOGETHER = 1 << 18
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -36,44 +38,52 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingle_hashes(text), return_counts=True)
 
 
-def signature(shingles: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarray:
-    """The BagMinHash signature of a bag that isn't empty."""
-    seeds, length, low, weight = [shingles], [np.ones(len(shingles))], [np.zeros(len(shingles))], [weights]
+def bag_signatures(bags: list[tuple[np.ndarray, np.ndarray]], slots: int) -> np.ndarray:
+    """The BagMinHash signatures, a row each, of bags that aren't empty; all bags' processes run together."""
+    owner = np.repeat(np.arange(len(bags)), [len(b[0]) for b in bags])
+    shingles, weights = (np.concatenate([b[i] for b in bags]) for i in (0, 1))
+    units = [(owner, shingles, np.ones(len(owner)), np.zeros(len(owner)), weights)]
     i, floor = 1, 1
-    while (more := weights > floor).any():
-        seeds.append(mix(shingles[more] + _U(i * int(_INTERVAL) & (1 << 64) - 1)))
-        length.append(np.full(more.sum(), float(floor)))
-        low.append(np.full(more.sum(), float(floor)))
-        weight.append(weights[more])
+    while len(more := np.flatnonzero(weights > floor)):
+        start = np.full(len(more), float(floor))
+        units.append((owner[more], mix(shingles[more] + _U(i * int(_INTERVAL) & (1 << 64) - 1)), start, start, weights[more]))
         i, floor = i + 1, 2 * floor
-    seeds, length, low, weight = (np.concatenate(x) for x in (seeds, length, low, weight))
-    until = slots * (np.log(slots) + 4) / weights.sum()
-    while True:
-        live, time, points = np.arange(len(seeds)), np.zeros(len(seeds)), []
-        turn = 0
+    owner, seeds, length, low, weight = (np.concatenate(x) for x in zip(*units))
+    until = slots * (np.log(slots) + 4) / np.array([b[1].sum() for b in bags])
+    out, met = np.zeros(len(bags) * slots, _U), np.zeros(len(bags) * slots, bool)
+    todo = np.ones(len(bags), bool)
+    while todo.any():
+        live = np.flatnonzero(todo[owner])
+        time, points, turn = np.zeros(len(live)), [], 0
         while len(live):
             draw = mix(seeds[live] + _U((turn * int(_ARRIVAL) + 1) & (2 ** 64 - 1)))
             time = time - np.log(_uniform(draw)) / length[live]
-            early = time <= until
+            early = np.flatnonzero(time <= until[owner[live]])
             live, time, draw = live[early], time[early], draw[early]
             place = low[live] + length[live] * (1 - _uniform(mix(draw ^ _PLACE)))
-            counts = place < weight[live]
-            points.append((time[counts], (mix(draw ^ _SLOT) % _U(slots))[counts], draw[counts]))
+            counts = np.flatnonzero(place < weight[live])
+            kept = draw[counts]
+            slot = (mix(kept ^ _SLOT) % _U(slots)).astype(np.int64)
+            points.append((time[counts], owner[live[counts]] * slots + slot, kept))
             turn += 1
         times, at, names = (np.concatenate(x) for x in zip(*points))
         order = np.argsort(-times, kind="stable")
-        out, met = np.zeros(slots, _U), np.zeros(slots, bool)
         out[at[order]] = names[order]  # the last to be written is the first point
         met[at] = True
-        if met.all():
-            return out
-        until *= 2
+        todo = ~met.reshape(-1, slots).all(1)
+        until = until * 2
+    return out.reshape(-1, slots)
+
+
+def signature(shingles: np.ndarray, weights: np.ndarray, slots: int) -> np.ndarray:
+    return bag_signatures([(shingles, weights)], slots)[0]
 
 
 def band_keys(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    out = np.arange(bands, dtype=_U)
+    """The band keys of signatures, a row each."""
+    out = np.broadcast_to(np.arange(bands, dtype=_U), (len(values), bands))
     for r in range(rows):
-        out = mix(out * _INTERVAL + values[r: bands * rows: rows])
+        out = mix(out * _INTERVAL + values[:, r: bands * rows: rows])
     return out.view(np.int64)
 
 
@@ -91,15 +101,27 @@ def _digest(b: tuple[np.ndarray, np.ndarray]) -> str:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """``doc_id, digest`` of the bag and its band keys; an empty bag has neither."""
+    def keyed(ids: list, bags: list):
+        full = [i for i, b in enumerate(bags) if len(b[0])]
+        keys: list = [None] * len(bags)
+        if full:
+            for i, k in zip(full, band_keys(bag_signatures([bags[i] for i in full], BANDS * ROWS))):
+                keys[i] = k
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([_digest(b) if len(b[0]) else None for b in bags], pa.string()),
+                                           pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
+
     def run(batches):
+        ids, bags, size = [], [], 0
         for batch in batches:
-            digests, keys = [], []
-            for text in batch.column(1).to_pylist():
-                b = bag(text)
-                digests.append(_digest(b) if len(b[0]) else None)
-                keys.append(band_keys(signature(*b, BANDS * ROWS)) if len(b[0]) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.string()),
-                                              pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "digest", "bands"])
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids.append(doc)
+                bags.append(bag(text.as_py()))
+                size += len(bags[-1][0])
+                if size >= TOGETHER:
+                    yield keyed(ids, bags)
+                    ids, bags, size = [], [], 0
+        if ids:
+            yield keyed(ids, bags)
 
     return docs.mapInArrow(run, "doc_id long, digest string, bands array<long>")
 
