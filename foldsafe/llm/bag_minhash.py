@@ -162,9 +162,10 @@ def _rest(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+    # a table of its own, so that the join below can split a hot key
     main = main.select("key", F.col("main.component").alias("main"), (F.floor((F.col("n") - 1) / BLOCK) + 1).alias("blocks"),
                        (F.floor((F.col("n") - F.col("main.n") - 1) / BLOCK) + 1).alias("outer_blocks"))
-    m = members.join(main, "key").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    m = members.join(written(main, "open-sizes"), "key").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
     outer = m.where("component <> main").select("key", "node", "component", "text", "main", own("outer_blocks").alias("i"), every("blocks").alias("j"))
@@ -206,7 +207,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                     .join(heads, ["node", "digest"], "left_semi"), "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(keyed.join(pivots, "key"), "buckets")
+    # written, so that the join can split a hot key
+    shared = written(keyed.join(written(pivots, "pivots"), "key"), "buckets")
     stars = written(shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
     wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct().join(nodes.select("node", "digest"), "node")
     wanted = wanted.withColumnRenamed("node", "doc_id")
@@ -216,7 +218,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     tied = written(components(links, "components"), "tied")
     own = F.coalesce("component", "node")
     open_keys = shared.where("node <> pivot").join(tied, "node", "left").select("key", "node", own.alias("component"))
-    several = open_keys.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l <> h").select("key")
+    several = open_keys.groupBy("key").agg(F.min("component").alias("l"), F.max("component").alias("h"),
+                                          F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"), F.count(F.lit(1)).alias("n")).where("l <> h")
+    # buckets of the same members, as bands of one group have, are looked at once
+    several = written(several.groupBy("all", "n").agg(F.min("key").alias("key")).select("key"), "open-keys")
     members = written(open_keys.join(several, "key"), "open")
     more = written(_rest(members, texts, threshold), "more-links")
     final = written(components(links.union(more), "components"), "tied")
