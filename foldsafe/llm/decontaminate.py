@@ -15,6 +15,7 @@ windows without any shingle of an item need no signature, which loses nothing.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from foldsafe.llm.common import empty_text, mix, shingle_hashes, written
 
 MISS = 1e-6
 # Items whose shingles sum to about this many are searched in one pass over the documents.
-PASS_SHINGLES = 1_000_000
+PASS_SHINGLES = 200_000
 _BITS = 22
 
 
@@ -96,6 +97,17 @@ class Search:
         return out
 
 
+_SEARCHES: dict[str, Search] = {}
+
+
+def _search(name: str, items: list[tuple[int, bytes]], threshold: float) -> Search:
+    """The search of a pass, made once per Python worker."""
+    if name not in _SEARCHES:
+        _SEARCHES.clear()
+        _SEARCHES[name] = Search([(i, np.frombuffer(s, np.uint64)) for i, s in items], threshold)
+    return _SEARCHES[name]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_shared``: every document that holds at least ``threshold`` of an item's shingles.
 
@@ -124,8 +136,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8)
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == p).select("item_id", "shingles")
         held = spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in part.collect()])
 
-        def run(batches, held=held):
-            search = Search([(i, np.frombuffer(s, np.uint64)) for i, s in held.value], threshold)
+        def run(batches, held=held, name=uuid.uuid4().hex):
+            search = _search(name, held.value, threshold)
             for b in batches:
                 rows = [(doc, *x) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for x in search.find(text)]
                 cols = list(zip(*rows)) or [[]] * 4

@@ -63,6 +63,7 @@ def templates(paths: DataFrame, levels: int = 4, min_share: float = 0.02, z: flo
         # a node's shares are of all its segments, those of a variable shape too
         node = d.where("segment is not null").groupBy("host", "template").agg(
             F.sum("n").alias("all_n"), F.sum("n_labelled").alias("all_labelled"), F.sum("n_block").alias("all_block"))
+        node = written(node, "template-nodes")  # so that the join below can split a hot node
         rest_n = F.col("all_labelled") - F.col("n_labelled")
         rest_b = F.col("all_block") - F.col("n_block")
         pooled = F.col("all_block") / F.nullif(F.col("all_labelled"), F.lit(0))
