@@ -114,9 +114,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], _NAMES)
 
         for batch in batches:
-            texts = batch.column(1)
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                ids = encoder(tokenizer).encode([texts[i].as_py()])[0] + tail
+            for doc, ids in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode_batch(batch.column(1))):
+                ids += tail
                 total = len(ids) // 4
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):

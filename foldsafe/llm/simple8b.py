@@ -39,8 +39,13 @@ FRAMES_A_FILE = 32
 _U = np.uint64
 
 
+_SHORT_WIDTHS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, as bytes."""
+    if len(values) and values.max() < 1 << 16:
+        return _SHORT_WIDTHS[values.astype(np.uint16)]
     out = np.zeros(len(values), np.uint8)
     rest = values.astype(_U)
     for step in (32, 16, 8, 4, 2, 1):
@@ -63,19 +68,19 @@ def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     reach = PACKINGS[0][0]
     grid = np.zeros((blocks, BLOCK + reach), _U)
     width = np.zeros((blocks, BLOCK + reach), np.uint8)
-    row, col = np.divmod(np.arange(n), BLOCK)
-    grid[row, col] = values
-    width[row, col] = _widths(values)
+    for wide, flat in ((grid, values), (width, _widths(values))):
+        full = n // BLOCK
+        wide[:full, :BLOCK] = flat[: full * BLOCK].reshape(full, BLOCK)
+        wide[full:, : n - full * BLOCK] = flat[full * BLOCK:]
     selector = np.zeros((blocks, BLOCK), np.uint8)
     widest, have = width, 1
     for s in range(len(PACKINGS), 0, -1):
         count, bits = PACKINGS[s - 1]
-        while have < count:
+        while have < count:  # the widest of each run of `have` values
             step = min(have, count - have)
             widest = np.maximum(widest[:, : widest.shape[1] - step], widest[:, step:])
             have += step
-        fits = widest[:, :BLOCK] <= bits
-        selector[:, : fits.shape[1]][fits] = s
+        np.copyto(selector, s, where=widest[:, :BLOCK] <= bits)
     take = np.array([1] + [c for c, _ in PACKINGS], np.int64)
     length = np.full(blocks, BLOCK)
     length[-1] = n - BLOCK * (blocks - 1)
@@ -91,9 +96,11 @@ def encode_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for s, (count, bits) in enumerate(PACKINGS, 1):
         mine = np.flatnonzero(chosen == s)
         if len(mine):
-            got = grid[place[0][mine][:, None], place[1][mine][:, None] + np.arange(count)]
-            shift = (np.arange(count) * bits).astype(_U)
-            words[mine] = np.bitwise_or.reduce(got << shift, axis=1) | _U(s << 60)
+            start = place[0][mine] * grid.shape[1] + place[1][mine]
+            word = np.full(len(mine), s << 60, _U)
+            for i in range(count):
+                word |= grid.ravel()[start + i] << _U(i * bits)
+            words[mine] = word
     odd = np.flatnonzero(chosen == 0)
     words[odd] = np.arange(len(odd), dtype=_U)
     return words, offsets, grid[place[0][odd], place[1][odd]]
@@ -167,9 +174,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
     def encode(batches):
         ids, parts, held = [], [], 0
         for batch in batches:
-            texts = batch.column(1)
-            for i, doc in enumerate(batch.column(0).to_pylist()):
-                got = encoder(tokenizer).encode([texts[i].as_py()])[0] + tail
+            for doc, got in zip(batch.column(0).to_pylist(), encoder(tokenizer).encode_batch(batch.column(1))):
+                got += tail
                 ids.append(doc)
                 parts.append(got)
                 held += len(got) // 4

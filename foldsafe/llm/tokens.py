@@ -3,62 +3,128 @@
 from __future__ import annotations
 
 import os
+import string
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _ENCODERS: dict[str, "Encoder"] = {}
-_CACHED_WORDS = 400_000
-_CACHED_LENGTH = 48
+# Pieces remembered by a worker; the first ones, which are the frequent ones, outlast the rest.
+_CACHED, _LASTING, _CACHED_LENGTH = 600_000, 100_000, 48
+_TOGETHER = 2_000
+_GROUP_CHARS = 4_000_000
 
 
 class Encoder:
     """Encodes texts piece by piece, remembering the ids of short pieces.
 
-    A tokenizer whose pre-tokenizer drops white space and never looks across it
-    gives the same ids for a text as for its space- and newline-separated pieces
-    in turn; ``whole=True`` skips that and hands over whole texts.
+    For a tokenizer that lower-cases, drops white space and never looks across it,
+    and for which a run of letters is a word that ends in a token of its own kind,
+    a text's ids are those of its space- and newline-separated pieces in turn, and
+    a word with marks after it has the ids of the word, then of the marks.
+    ``whole=True`` makes no such use and hands over whole texts.
     """
 
     def __init__(self, path: str, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.whole, self.known = Tokenizer.from_file(path), whole, {"": b""}
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.is_end[ends] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in got]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of runs of letters: encoded together, then cut after each word's last token."""
+        out: list[bytes] = []
+        for i in range(0, len(words), _TOGETHER):
+            part = words[i: i + _TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+            if len(cuts) == len(part):
+                raw = ids.tobytes()
+                out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+            else:  # a letter that does not stay one when lower-cased
+                out += self._ids(part)
+        return out
+
+    def _learn(self, new: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """``known`` with the new pieces; long ones only in the copy that is returned."""
+        ends, words, odd = [], set(), set()
+        for p in new:
+            if p.isalpha():
+                words.add(p)
+            elif (base := p.rstrip(string.punctuation)).isalpha():
+                marks = p[len(base):]
+                ends.append((p, base, marks))
+                words.add(base)
+                if marks not in known:
+                    odd.add(marks)
+            else:
+                odd.add(p)
+        words, odd = list(words.difference(known)), list(odd)
+        fresh = dict(zip(words, self._word_ids(words)))
+        fresh.update(zip(odd, self._ids(odd)))
+        fresh.update([(p, (fresh.get(base) or known[base]) + (fresh.get(marks) or known[marks])) for p, base, marks in ends])
+        long = [p for p in fresh if len(p) > _CACHED_LENGTH]
+        if not long:
+            known.update(fresh)
+            return known
+        known.update((p, x) for p, x in fresh.items() if len(p) <= _CACHED_LENGTH)
+        return known | {p: fresh[p] for p in long}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if self.whole:
             return self._ids(texts)
-        out = []
-        for text in texts:
-            pieces = text.replace("\n", " ").split(" ")
-            new = [w for w in set(pieces) if w not in self.known]
-            if len(self.known) + len(new) > _CACHED_WORDS:
-                self.known = {"": b""}
-                new = [w for w in set(pieces) if w]
-            known = self.known
-            if new:
-                fresh = dict(zip(new, self._ids(new)))
-                short = {w: x for w, x in fresh.items() if len(w) <= _CACHED_LENGTH}
-                known.update(short)
-                if len(short) < len(fresh):
-                    known = known | fresh if len(known) < 1000 else _Two(known, fresh)
-            out.append(b"".join(map(known.__getitem__, pieces)))
-        return out
-
-
-class _Two:
-    """Look up in the lasting table, then in the one of this text."""
-
-    def __init__(self, first: dict, second: dict):
-        self.first, self.second = first, second
-
-    def __getitem__(self, word: str) -> bytes:
-        got = self.first.get(word)
-        return self.second[word] if got is None else got
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array([_lowered(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
+        cuts = lists.offsets.to_numpy()
+        coded = lists.values.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        new = set(pieces).difference(self.known)
+        if len(self.known) + len(new) > _CACHED:
+            self.known = dict(islice(self.known.items(), _LASTING))
+            new = set(pieces).difference(self.known)
+        known = self._learn(new, self.known) if new else self.known
+        ids = list(map(known.__getitem__, pieces))
+        every = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        which = coded.indices.to_numpy()
+        length, start = sizes[which], (np.cumsum(sizes) - sizes)[which]
+        end = np.cumsum(length)
+        flat = every[np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)]
+        bounds = np.concatenate([[0], end])[cuts].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def encode_batch(self, texts) -> Iterator[bytes]:
+        """The ids of each text of an Arrow column, in groups of bounded size."""
+        group, size = [], 0
+        for t in texts:
+            group.append(t.as_py())
+            size += len(group[-1])
+            if size >= _GROUP_CHARS:
+                yield from self.encode(group)
+                group, size = [], 0
+        if group:
+            yield from self.encode(group)
+
+
+def _lowered(text: str) -> str:
+    """Lower-cased where that is sure to be what the tokenizer does anyway: Latin letters only."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        if max(text) >= "ƀ":
+            return text
+    return text.lower()
 
 
 def encoder(path: str) -> Encoder:
