@@ -162,13 +162,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
     One range shuffle of (doc_id, text) orders the documents; each task then
     tokenises its range in turn and hands over frames of whole documents, which
     Spark's writer puts into files of at most FRAMES_A_FILE frames, wherever
-    Spark can write.  Repeated rows are kept, ordered by text; a null doc_id comes
+    Spark can write.  Repeated rows are kept, ordered by a hash of the text; a null doc_id comes
     first.  Columns other than doc_id and text are ignored.  An empty table gives
     no documents.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text"))
     n = files or max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = d.repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # ranges by id and text hash: their bounds go through the driver, so no text may be in them
+    d = d.withColumn("version", F.xxhash64("text"))
+    ordered = d.repartitionByRange(n, "doc_id", "version").sortWithinPartitions("doc_id", "version", "text").drop("version")
     tail = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):

@@ -13,9 +13,9 @@ import pyarrow.compute as pc
 
 _ENCODERS: dict[str, "Encoder"] = {}
 # Pieces remembered by a worker; the first ones, which are the frequent ones, outlast the rest.
-_CACHED, _LASTING, _CACHED_LENGTH = 600_000, 100_000, 48
+_CACHED, _LASTING, _CACHED_LENGTH = 300_000, 120_000, 48
 _TOGETHER = 2_000
-_GROUP_CHARS = 4_000_000
+_GROUP_CHARS = 1_000_000
 
 
 class Encoder:
