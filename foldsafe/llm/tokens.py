@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import string
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -13,9 +12,9 @@ import pyarrow.compute as pc
 
 _ENCODERS: dict[str, "Encoder"] = {}
 # Pieces remembered by a worker; the first ones, which are the frequent ones, outlast the rest.
-_CACHED, _LASTING, _CACHED_LENGTH = 300_000, 120_000, 48
+_CACHED, _LASTING, _CACHED_IDS = 700_000, 250_000, 1 << 23
 _TOGETHER = 2_000
-_GROUP_CHARS = 1_000_000
+_GROUP_CHARS = 2_000_000
 
 
 class Encoder:
@@ -31,10 +30,12 @@ class Encoder:
     def __init__(self, path: str, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.whole, self.known = Tokenizer.from_file(path), whole, {"": b""}
+        self.tokenizer, self.whole, self.marks = Tokenizer.from_file(path), whole, {}
         ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.is_end[ends] = True
+        # remembered pieces, the end of each one's ids, and all their ids
+        self.known, self.end, self.ids = pa.array([""], pa.large_string()), np.zeros(1, np.int64), np.empty(0, "<u4")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -54,30 +55,44 @@ class Encoder:
                 out += self._ids(part)
         return out
 
-    def _learn(self, new: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
-        """``known`` with the new pieces; long ones only in the copy that is returned."""
-        ends, words, odd = [], set(), set()
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where each piece is remembered, or -1."""
+        return pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember the new pieces, in order."""
+        words, bases, odd, marked = set(), set(), [], []
         for p in new:
             if p.isalpha():
                 words.add(p)
             elif (base := p.rstrip(string.punctuation)).isalpha():
-                marks = p[len(base):]
-                ends.append((p, base, marks))
-                words.add(base)
-                if marks not in known:
-                    odd.add(marks)
+                marked.append((p, base, p[len(base):]))
+                bases.add(base)
             else:
-                odd.add(p)
-        words, odd = list(words.difference(known)), list(odd)
-        fresh = dict(zip(words, self._word_ids(words)))
-        fresh.update(zip(odd, self._ids(odd)))
-        fresh.update([(p, (fresh.get(base) or known[base]) + (fresh.get(marks) or known[marks])) for p, base, marks in ends])
-        long = [p for p in fresh if len(p) > _CACHED_LENGTH]
-        if not long:
-            known.update(fresh)
-            return known
-        known.update((p, x) for p, x in fresh.items() if len(p) <= _CACHED_LENGTH)
-        return known | {p: fresh[p] for p in long}
+                odd.append(p)
+        bases = list(bases.difference(words))
+        places = self._places(pa.array(bases, pa.large_string())).tolist()
+        ids = {p: self.ids[self.end[k - 1]: self.end[k]].tobytes() for p, k in zip(bases, places) if k > 0}
+        words.update(p for p in bases if p not in ids)
+        words = list(words)
+        ids.update(zip(words, self._word_ids(words)))
+        ids.update(zip(odd, self._ids(odd)))
+        marks = [m for m in {m for _, _, m in marked} if m not in self.marks]
+        if len(self.marks) > _LASTING:
+            self.marks, marks = {}, list({m for _, _, m in marked})
+        self.marks.update(zip(marks, self._ids(marks)))
+        ids.update([(p, ids[base] + self.marks[m]) for p, base, m in marked])
+        got = [ids[p] for p in new]
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) // 4
+        self.known = pa.concat_arrays([self.known, pa.array(new, pa.large_string())])
+        self.end = np.concatenate([self.end, len(self.ids) + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(got), "<u4")])
+
+    def _forget(self) -> None:
+        if len(self.known) > _CACHED or len(self.ids) > _CACHED_IDS:
+            n = _LASTING if self.end[min(_LASTING, len(self.end)) - 1] <= _CACHED_IDS // 2 else 1
+            self.known, self.end = pa.array(self.known[:n].to_pylist(), pa.large_string()), self.end[:n].copy()
+            self.ids = self.ids[: self.end[-1]].copy()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -88,19 +103,17 @@ class Encoder:
         lists = pc.split_pattern(pa.array([_lowered(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
         cuts = lists.offsets.to_numpy()
         coded = lists.values.dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        new = set(pieces).difference(self.known)
-        if len(self.known) + len(new) > _CACHED:
-            self.known = dict(islice(self.known.items(), _LASTING))
-            new = set(pieces).difference(self.known)
-        known = self._learn(new, self.known) if new else self.known
-        ids = list(map(known.__getitem__, pieces))
-        every = np.frombuffer(b"".join(ids), "<u4")
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        which = coded.indices.to_numpy()
-        length, start = sizes[which], (np.cumsum(sizes) - sizes)[which]
+        self._forget()
+        place = self._places(coded.dictionary)
+        absent = np.flatnonzero(place < 0)
+        if len(absent):
+            place[absent] = len(self.known) + np.arange(len(absent))
+            self._learn(coded.dictionary.take(pa.array(absent)).to_pylist())
+        which = place[coded.indices.to_numpy()]
+        first = np.concatenate([[0], self.end[:-1]])
+        length, start = (self.end - first)[which], first[which]
         end = np.cumsum(length)
-        flat = every[np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)]
+        flat = self.ids[np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)]
         bounds = np.concatenate([[0], end])[cuts].tolist()
         return [flat[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
