@@ -12,9 +12,9 @@ import pyarrow.compute as pc
 
 _ENCODERS: dict[str, "Encoder"] = {}
 # Pieces remembered by a worker; the first ones, which are the frequent ones, outlast the rest.
-_CACHED, _LASTING, _CACHED_IDS = 700_000, 250_000, 1 << 23
+_CACHED, _LASTING, _CACHED_IDS = 350_000, 150_000, 1 << 23
 _TOGETHER = 2_000
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 6_000_000
 
 
 class Encoder:
