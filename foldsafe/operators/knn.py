@@ -66,7 +66,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
     r_schema = refs.schema
 
     def cell(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"qid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
+        empty = pd.DataFrame({"qid": pd.Series([], dtype=qdf["qid"].dtype), "rid": pd.Series([], dtype=rdf["rid"].dtype),
                               "dist2": pd.Series([], dtype="float64"),
                               **{c: pd.Series([], dtype="object") for c in carry_cols}})
         if len(qdf) == 0 or len(rdf) == 0:
@@ -77,7 +77,9 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
         R, rid = R[order], rid[order]
         rdf_sorted = rdf.iloc[order]
         rg = rdf_sorted["rg"].to_numpy() if has_rg else None
-        rn = (R * R).sum(axis=1)
+        centre = R.mean(axis=0)                         # far from the origin, the expanded distance cancels
+        C = R - centre
+        rn = (C * C).sum(axis=1)
         kk = min(k, len(rid))
         outs = []
         Q_all = np.stack(qdf["__v"].to_numpy()).astype(np.float64)
@@ -86,20 +88,27 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
         for s in range(0, len(qid_all), QUERY_CHUNK):
             Q = Q_all[s:s + QUERY_CHUNK]
             qid = qid_all[s:s + QUERY_CHUNK]
-            D = (Q * Q).sum(axis=1)[:, None] + rn[None, :] - 2.0 * (Q @ R.T)
+            P = Q - centre
+            qn = (P * P).sum(axis=1)
+            D = qn[:, None] + rn[None, :] - 2.0 * (P @ C.T)
             if exclude_self:
                 D[qid[:, None] == rid[None, :]] = np.inf
             if group_mode == "different":
                 D[qg_all[s:s + QUERY_CHUNK][:, None] == rg[None, :]] = np.inf
-            m = min(kk + 8, D.shape[1])                 # a few spare candidates, then exact re-rank
-            cand = np.argpartition(D, m - 1, axis=1)[:, :m] if m < D.shape[1] else np.tile(np.arange(D.shape[1]), (len(qid), 1))
-            diff = Q[:, None, :] - R[cand]
-            exact = (diff * diff).sum(axis=2)
-            exact[~np.isfinite(np.take_along_axis(D, cand, axis=1))] = np.inf
-            # order by (exact distance, reference id); cand indexes rid sorted ascending
-            idx = np.lexsort((cand, exact), axis=1)[:, :kk]
-            best = np.take_along_axis(cand, idx, axis=1)
-            bd = np.take_along_axis(exact, idx, axis=1)
+            # every reference that rounding could put among the k nearest is ranked by its exact distance
+            error = 8.0 * (R.shape[1] + 4) * np.finfo(np.float64).eps * (qn + rn.max() + 1e-300)
+            kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
+            near = np.isfinite(D) & (D <= (kth + 2.0 * error)[:, None])
+            best = np.zeros((len(qid), kk), dtype=np.int64)
+            bd = np.full((len(qid), kk), np.inf)
+            for i in range(len(qid)):
+                cand = np.flatnonzero(near[i])
+                diff = Q[i] - R[cand]
+                exact = (diff * diff).sum(axis=1)
+                # order by (exact distance, reference id); cand indexes rid sorted ascending
+                idx = np.lexsort((cand, exact))[:kk]
+                best[i, : len(idx)] = cand[idx]
+                bd[i, : len(idx)] = exact[idx]
             ok = np.isfinite(bd)
             rows_q = np.repeat(qid, kk).reshape(len(qid), kk)[ok]
             part = pd.DataFrame({"qid": rows_q, "rid": rid[best[ok]], "dist2": bd[ok]})
@@ -109,7 +118,8 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
         return pd.concat(outs, ignore_index=True) if outs else empty
 
     carry_schema = ", ".join(f"`c__{c}` {r_schema[c].dataType.simpleString()}" for c in carry)
-    schema = "qid bigint, rid bigint, dist2 double" + (", " + carry_schema if carry else "")
+    q_type, r_type = queries.schema[q_id].dataType.simpleString(), refs.schema[r_id].dataType.simpleString()
+    schema = f"qid {q_type}, rid {r_type}, dist2 double" + (", " + carry_schema if carry else "")
     partial = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(cell, schema)
     w = Window.partitionBy("qid").orderBy(F.col("dist2").asc(), F.col("rid").asc())
     top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
