@@ -10,8 +10,6 @@ the rows are never shuffled until the final per-row sum.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_NODE_LIMIT = 2_000_000
@@ -21,7 +19,7 @@ EXPRESSION_NODE_LIMIT = 20_000
 def export_tree_table(spark: SparkSession, model, path: str) -> DataFrame:
     """Save the model with Spark's own writer and read its node Parquet."""
     model.write().overwrite().save(path)
-    nodes = spark.read.parquet(os.path.join(path, "data"))
+    nodes = spark.read.parquet(path.rstrip("/") + "/data")
     flat = nodes.select(
         F.col("treeID").cast("int").alias("tree_id"),
         F.col("nodeData.id").cast("int").alias("node_id"),
@@ -31,13 +29,9 @@ def export_tree_table(spark: SparkSession, model, path: str) -> DataFrame:
         F.col("nodeData.split.featureIndex").cast("int").alias("feature"),
         F.col("nodeData.split.leftCategoriesOrThreshold").alias("split_values"),
         F.col("nodeData.split.numCategories").cast("int").alias("num_categories"))
-    meta_path = os.path.join(path, "treesMetadata")
-    if os.path.exists(meta_path):
-        m = spark.read.parquet(meta_path)           # (treeID, metadata json, weight) stored as a tuple
-        cols = m.columns
-        w = m.select(F.col(cols[0]).cast("int").alias("tree_id"), F.col(cols[-1]).cast("double").alias("weight"))
-    else:
-        w = flat.select("tree_id").distinct().withColumn("weight", F.lit(1.0))
+    # an ensemble carries its weights; a single tree has none
+    weights = list(model.treeWeights) if hasattr(model, "trees") else [1.0]
+    w = spark.createDataFrame(list(enumerate(map(float, weights))), "tree_id int, weight double")
     return flat.join(w, "tree_id")
 
 
@@ -92,7 +86,7 @@ def score_tree_table(df: DataFrame, nodes: DataFrame, features: str, id_col: str
     nd = nodes.select("tree_id", "node_id", "feature", "split_values", "num_categories", "left", "right")
     nd = F.broadcast(nd) if n_nodes <= BROADCAST_NODE_LIMIT else nd
     trees = [r[0] for r in nodes.select("tree_id").distinct().collect()]          # bounded by the model
-    state = df.select(id_col, features).withColumn("tree_id", F.explode(F.array(*[F.lit(t) for t in sorted(trees)])))
+    state = df.select(id_col, features).distinct().withColumn("tree_id", F.explode(F.array(*[F.lit(t) for t in sorted(trees)])))
     state = state.withColumn("node_id", F.lit(0))
     for _ in range(max_depth):
         j = state.join(nd, ["tree_id", "node_id"], "left")
@@ -109,7 +103,10 @@ def score_tree_table(df: DataFrame, nodes: DataFrame, features: str, id_col: str
     leaves = nodes.select("tree_id", "node_id", "value", "weight")
     leaves = F.broadcast(leaves) if n_nodes <= BROADCAST_NODE_LIMIT else leaves
     s = state.join(leaves, ["tree_id", "node_id"])
-    return s.groupBy(id_col).agg(F.sum(F.col("value") * F.col("weight")).alias(out))
+    scored = s.groupBy(F.col(id_col).alias("__id"), F.col(features).alias("__x")).agg(F.sum(F.col("value") * F.col("weight")).alias(out))
+    # rows that repeat an id, or a whole row, are each scored
+    return (df.select(id_col, features).join(scored, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(features).eqNullSafe(F.col("__x")))
+            .select(id_col, out))
 
 
 def size_budget(nodes: DataFrame, budget_kb: float, bytes_per_node: int = 28) -> DataFrame:

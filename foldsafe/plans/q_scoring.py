@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
@@ -55,7 +55,7 @@ def q_n1(spark, sf):
 
 def _export(spark, sf):
     d, m = _pipeline_model(spark, sf)
-    path = scratch_path(spark, f"gbt-{os.getpid()}-{abs(hash(sf))}")
+    path = scratch_path(spark, f"gbt-{uuid.uuid4().hex}")
     nodes = SC.export_tree_table(spark, m.stages[-1], path)
     return d, m, nodes
 
