@@ -37,7 +37,9 @@ def eval_confusion(df: DataFrame, real: str, pred: str, labels: Sequence | None
     labels = list(labels) if labels is not None else class_labels(df, [real, pred])
     typ = df.schema[real].dataType.simpleString()
     grid = df.sparkSession.createDataFrame([(a, b) for a in labels for b in labels], f"real {typ}, pred {typ}")
-    return grid.join(counts, ["real", "pred"], "left").select("real", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    c = counts.toDF("__real", "__pred", "n")
+    same = F.col("real").eqNullSafe(F.col("__real")) & F.col("pred").eqNullSafe(F.col("__pred"))
+    return grid.join(c, same, "left").select("real", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def eval_confusion_norm(conf: DataFrame) -> DataFrame:

@@ -96,9 +96,9 @@ def predict_naive_bayes(weights: DataFrame, model: NaiveBayesModel, vocab: DataF
 def prefer_plain(parts: DataFrame, msg_id: str, order: str, kind: str, text: str,
                  plain: str = "plain", html: str = "html") -> DataFrame:
     """A message's plain parts joined by newline; only when it has none,
-    its HTML parts joined and stripped of tags.  Other part kinds are skipped."""
-    p = parts.where(F.col(kind).isin(plain, html))
-    g = p.groupBy(msg_id).agg(
+    its HTML parts joined and stripped of tags.  Other part kinds are skipped; a
+    message without a text part keeps its place with an empty body."""
+    g = parts.groupBy(msg_id).agg(
         F.array_sort(F.collect_list(F.when(F.col(kind) == plain, F.struct(order, text)))).alias("__p"),
         F.array_sort(F.collect_list(F.when(F.col(kind) == html, F.struct(order, text)))).alias("__h"))
     join_ = lambda c: F.array_join(F.transform(c, lambda s: s[text]), "\n")

@@ -99,7 +99,7 @@ m AS (SELECT segment, avg(target) AS pred FROM districts GROUP BY segment),
 s AS (SELECT d.priority, (m.pred - d.target) ^ 2 AS se FROM districts d JOIN m USING (segment)),
 a AS (SELECT priority, avg(se) AS mm, stddev_samp(se) AS ss, count(se) AS n FROM s GROUP BY priority)
 SELECT priority, n, round(sqrt(mm), 6) AS rmse,
-       round(sqrt(greatest(0.0, mm - {M.t_quantile_sql('n - 1')} * ss / sqrt(n))), 6) AS rmse_lo,
+       round(sqrt(CASE WHEN n > 1 THEN greatest(0.0, mm - {M.t_quantile_sql('n - 1')} * ss / sqrt(n)) END), 6) AS rmse_lo,
        round(sqrt(mm + {M.t_quantile_sql('n - 1')} * ss / sqrt(n)), 6) AS rmse_hi
 FROM a""")
 def q_e7(spark, sf):

@@ -63,7 +63,8 @@ LEVELS_SQL = "['1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW']"
 SELECT row_id, """ + ", ".join(
     f"CAST(coalesce(priority = '{lv}', false) AS INTEGER) AS priority_{lv.replace('-', '_').replace(' ', '_')}"
     for lv in ['1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW']) + """,
-    CAST(coalesce(segment = 'AUTOMOBILE', false) AS INTEGER) AS segment_AUTOMOBILE
+    """ + ", ".join(f"CAST(coalesce(segment = '{lv}', false) AS INTEGER) AS segment_{lv}"
+                    for lv in ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) + """
 FROM districts_rsplit""")
 def q_k4(spark, sf):
     """Levels fitted on training rows that never saw '4-NOT SPECIFIED': that
@@ -72,7 +73,7 @@ def q_k4(spark, sf):
     tr = d.where("is_test = 0 AND priority <> '4-NOT SPECIFIED'")
     lv = P.fit_one_hot(tr, "priority")
     out = P.apply_one_hot(d, "priority", lv)
-    seg = P.fit_one_hot(tr.where("segment = 'AUTOMOBILE'"), "segment")
+    seg = P.fit_one_hot(tr, "segment")
     out = P.apply_one_hot(out, "segment", seg)
     return out.select("row_id", *[P.one_hot_name("priority", v) for v in lv], *[P.one_hot_name("segment", v) for v in seg])
 

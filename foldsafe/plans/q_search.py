@@ -160,13 +160,13 @@ def q_m6(spark, sf):
 
 @register("search_close_partial", f"""WITH {PROJ_SQL},
 mm AS (SELECT search_id, count(*) AS n_run, sum(seconds) / 3600.0 AS hours_run FROM m GROUP BY 1),
-uu AS (SELECT search_id, count(*) AS n_unrun, sum(projected) / 3600.0 AS hours_unrun FROM pc WHERE skipped = 1 GROUP BY 1)
+uu AS (SELECT search_id, count(*) AS n_unrun, sum(projected) / 3600.0 AS hours_unrun FROM pc GROUP BY 1)
 SELECT coalesce(mm.search_id, uu.search_id) AS search_id, coalesce(n_run, 0) AS n_run, round(coalesce(hours_run, 0.0), 6) AS hours_run,
        coalesce(n_unrun, 0) AS n_unrun, round(coalesce(hours_unrun, 0.0), 6) AS hours_unrun
 FROM mm FULL OUTER JOIN uu ON mm.search_id = uu.search_id""")
 def q_m7(spark, sf):
     measured, p = _projected(spark, sf)
-    c = SR.close_partial(measured, p.where("skipped = 1"))
+    c = SR.close_partial(measured, p)
     return c.select("search_id", "n_run", F.round("hours_run", 6).alias("hours_run"), "n_unrun", F.round("hours_unrun", 6).alias("hours_unrun"))
 
 

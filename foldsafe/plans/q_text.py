@@ -31,8 +31,8 @@ def q_b16(spark, sf):
 @register("txt_prefer_plain", r"""
 WITH g AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS p,
                   string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS h
-           FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id)
-SELECT conv_id, CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(h, '<[^>]+>', ' ', 'g') END AS body FROM g""")
+           FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(coalesce(h, ''), '<[^>]+>', ' ', 'g') END AS body FROM g""")
 def q_b17(spark, sf):
     c = read_table(spark, sf, "conversations")
     return TX.prefer_plain(c, "conv_id", "turn", "role", "text", plain="user", html="assistant")
@@ -135,9 +135,9 @@ def q_l11(spark, sf):
 @register("txt_mime_pipeline", r"""
 WITH g AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user') AS p,
                   string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant') AS h
-           FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id)
+           FROM conversations GROUP BY conv_id)
 SELECT conv_id, 'conversation ' || CAST(conv_id AS VARCHAR) || chr(10) ||
-       CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(h, '<[^>]+>', ' ', 'g') END AS message FROM g""")
+       CASE WHEN p IS NOT NULL THEN p ELSE regexp_replace(coalesce(h, ''), '<[^>]+>', ' ', 'g') END AS message FROM g""")
 def q_mime(spark, sf):
     """B17 + B18 end to end through real MIME: conversations are laid out as
     multipart messages (user turns text/plain, assistant turns text/html,
@@ -148,7 +148,7 @@ def q_mime(spark, sf):
         "ctype", F.when(F.col("role") == "user", "text/plain").when(F.col("role") == "assistant", "text/html")
                   .otherwise("application/octet-stream"))
     raw = build_multipart(c, "conv_id", "turn", "ctype", "text", F.concat(F.lit("conversation "), F.col("conv_id").cast("string")))
-    parts = decode_mime(raw, "conv_id", "raw").where(F.col("text").isNotNull())
+    parts = decode_mime(raw, "conv_id", "raw")  # a message without a text part is one row of nulls
     # the decoder returns each 8-bit part with its line terminator; strip exactly one
     parts = parts.withColumn("text", F.regexp_replace("text", "\n$", ""))
     body = TX.prefer_plain(parts, "msg_id", "part_idx", "content_type", "text", plain="text/plain", html="text/html")
