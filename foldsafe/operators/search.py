@@ -63,7 +63,8 @@ def eval_shrunk_means(data: DataFrame, cands: DataFrame, fold: str, target: str,
     group_cols = [r[0] for r in cands.select("group_col").distinct().collect()]   # bounded: column names
     parts = []
     for gc in group_cols:
-        s = data.groupBy(fold, F.col(gc).cast("string").alias("g")).agg(F.sum(target).alias("s"), F.count(target).alias("n"))
+        s = data.groupBy(fold, F.col(gc).cast("string").alias("g")).agg(
+            F.sum(target).alias("s"), F.count(target).alias("n"), F.sum(F.col(target) * F.col(target)).alias("q"), F.count(F.lit(1)).alias("rows"))
         parts.append(s.withColumn("group_col", F.lit(gc)))
     stats = parts[0]
     for p in parts[1:]:
@@ -78,18 +79,11 @@ def eval_shrunk_means(data: DataFrame, cands: DataFrame, fold: str, target: str,
     consts = cands.join(comp, "group_col").select(
         "cand_key", "group_col", fold, "g",
         F.try_divide(F.col("cs") + alpha * F.col("gmean"), F.col("cn") + alpha).alias("pred"),
-        "gmean")
-    # score: each data row once per candidate (explode of the candidate list), constants joined on (cand, fold, group)
-    cl = [(r["cand_key"], r["group_col"]) for r in cands.select("cand_key", "group_col").collect()]   # bounded list
-    rows = data.select(fold, target, *[F.col(gc).cast("string").alias(f"__g_{gc}") for gc in group_cols])
-    rows = rows.withColumn("__c", F.explode(F.array(*[F.struct(F.lit(c).alias("cand_key"), F.lit(g).alias("group_col")) for c, g in cl])))
-    gexpr = None
-    for gc in group_cols:
-        gexpr = F.when(F.col("__c.group_col") == gc, F.col(f"__g_{gc}")) if gexpr is None else gexpr.when(F.col("__c.group_col") == gc, F.col(f"__g_{gc}"))
-    rows = rows.select(fold, target, F.col("__c.cand_key").alias("cand_key"), gexpr.alias("g"))
-    sc = rows.join(consts.drop("group_col"), ["cand_key", fold, "g"], "left")
-    e = F.coalesce(F.col("pred"), F.col("gmean")) - F.col(target)
-    return sc.groupBy("cand_key", fold).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(F.lit(1)).alias("n"))
+        "gmean", "s", "n", "q", "rows")
+    # the squared error of a constant over a group follows from the group's sums: the data is read once
+    sse = F.col("q") - 2 * F.col("p") * F.col("s") + F.col("n") * F.col("p") * F.col("p")
+    sc = consts.withColumn("p", F.coalesce("pred", "gmean")).withColumn("sse", F.greatest(sse, F.lit(0.0)))
+    return sc.groupBy("cand_key", fold).agg(F.sqrt(F.sum("sse") / F.nullif(F.sum("n"), F.lit(0))).alias("rmse"), F.sum("rows").alias("n"))
 
 
 def log_candidates(fold_scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from foldsafe.operators.splits import fold_kfold_shuffled, split_random
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, SQL_RUNS, districts, runs
 from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
+from foldsafe.session import scratch_path
 
 # The search space of the shrunk group-mean model.
 GROUP_COLS = ["segment", "priority"]
@@ -119,13 +121,14 @@ def q_m2(spark, sf):
 @register("search_resume", f"""WITH {GRID_SQL}
 SELECT cand_key, CAST(fold AS INTEGER) AS fold, round(rmse, 6) AS rmse FROM fs""")
 def q_m5(spark, sf):
-    """Resume: the fold results already stored (alpha = 0 candidates) are
-    kept; only the anti-join remainder is evaluated; the union is the log."""
+    """Resume: a first session writes the log of the alpha = 0 candidates; the
+    next one reads it, evaluates only the anti-join remainder and appends."""
+    log = scratch_path(spark, f"search-log-{uuid.uuid4().hex}")
     cands = _cands(spark)
-    done = _fold_scores(spark, sf, cands.where(F.col("alpha") == 0.0))
-    todo = anti_resume(cands, done.select("cand_key").distinct())
-    new = _fold_scores(spark, sf, todo)
-    out = done.unionByName(new)
+    _fold_scores(spark, sf, cands.where(F.col("alpha") == 0.0)).write.parquet(log)
+    todo = anti_resume(cands, spark.read.parquet(log).select("cand_key").distinct())
+    _fold_scores(spark, sf, todo).write.mode("append").parquet(log)
+    out = spark.read.parquet(log)
     return out.select("cand_key", F.col("fold").cast("int").alias("fold"), F.round("rmse", 6).alias("rmse"))
 
 
