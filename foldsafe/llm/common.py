@@ -106,8 +106,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
     Alternating large-star and small-star steps, each a grouped minimum (partial
     aggregation) joined back, so a hub is never gathered; each round is a written
-    table, and so are the minima, which lets the joins split a hub's rows.  Rounds
-    end when the edge set no longer changes.
+    table.  Rounds end when the edge set no longer changes.
     """
     e = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                 .where("a < b").distinct(), name)
@@ -115,10 +114,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        low = written(low, name)
-        large = written(both.where("b > a").join(low, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct(), name)
+        large = both.where("b > a").join(low, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
         low = large.groupBy("b").agg(F.min("a").alias("m"))
-        low = written(low, name)
         e = written(large.join(low, "b")
                     .select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")),
                                               F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e"))
