@@ -4,117 +4,104 @@ Spark's exact ``percentile``/``median`` keep every distinct value of a group
 in one aggregation buffer — fine for thousands of values, not for a column of
 billions.  Here an exact quantile is found by narrowing value ranges:
 
-1. per (group, column) key, the active value range [lo, hi] is cut into 256
-   equal-width buckets (a broadcast join of a tiny range table and one
-   arithmetic expression per row — no arrays, no UDF);
-2. bucket counts with their min/max (a small table) locate the bucket that
-   holds each wanted rank;
-3. a single-valued bucket answers at once (a value holding a third of the
-   rows never needs sorting); a bucket with at most ``MAX_EXACT_ROWS`` rows is
-   ranked exactly; a larger one becomes the next active range, [its min, its
-   max] — 256x narrower — and the loop repeats on those rows only.
-
-No task ever ranks more than ``MAX_EXACT_ROWS`` rows, at any data size.
+1. per (group, column) key the rows are counted, with their least and greatest
+   value; a key of one value answers at once (a value holding a third of the
+   rows never needs sorting), one of at most ``MAX_EXACT_ROWS`` rows is ranked;
+2. the range of a larger key is cut into 256 equal-width buckets (a join with
+   the range table and one arithmetic expression per row — no arrays, no UDF);
+3. bucket counts with their min/max locate the bucket that holds each wanted
+   rank, and it takes the place of the key's range in 1.
+
+No task ever ranks more than ``MAX_EXACT_ROWS`` rows, at any data size.  Ranges,
+counts and answers are tables in the shared folder, so any number of groups will
+do; the driver only learns whether a range is left.
 Interpolation is linear between ranks floor(h) and ceil(h), h = (n - 1) q —
 the semantics of ``percentile``, ``median`` and DuckDB's ``quantile_cont``.
-The driver only holds ranges and bucket counts (keys x 256 numbers).
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from foldsafe.operators.broadcast import bounded
+from foldsafe.session import scratch_path
 
 N_BUCKETS = 256
 MAX_EXACT_ROWS = 2_000_000
-MAX_KEYS = 256
+
+_RANGE = ["__k", "__lo", "__hi", "__off"]
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"quantiles-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``__k`` (struct of group and column name) and ``x`` of every value."""
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]
-    return df.select(*by, F.explode(F.array(*structs)).alias("__s")).select(*by, "__s.column", "__s.x").where(F.col("x").isNotNull())
+    d = df.select(*by, F.explode(F.array(*structs)).alias("__s")).where(F.col("__s.x").isNotNull())
+    return d.select(F.struct(*by, F.col("__s.column").alias("column")).alias("__k"), F.col("__s.x").alias("x"))
+
+
+def _bucket(x: Column, lo: Column, hi: Column) -> Column:
+    """The bucket of ``x``; where the width is no positive finite number, the ends get buckets of their own."""
+    width = hi / N_BUCKETS - lo / N_BUCKETS
+    usable = (width > 0) & (width < float("inf"))
+    even = F.least(F.floor((x - lo) / F.when(usable, width)), F.lit(N_BUCKETS - 1))
+    return F.when(usable, even).when(x == lo, 0).when(x == hi, N_BUCKETS - 1).otherwise(N_BUCKETS // 2).cast("int")
+
+
+def _inside(long: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows of ``long`` in each of the ranges, which don't overlap within a key."""
+    r = bounded(ranges.select(*_RANGE).distinct()).withColumnRenamed("__k", "__rk")
+    on = (F.col("__k") == F.col("__rk")) & (F.col("x") >= F.col("__lo")) & (F.col("x") <= F.col("__hi"))
+    return long.join(r, on).drop("__rk")
+
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    discrete: bool = False) -> DataFrame:
+    """Exact quantiles: one row per (by..., column, prob) with ``value``, a key without values having none.
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolated quantiles: one row per (by..., column, prob)
-    with ``value`` (NULL for a key without values)."""
-    spark = df.sparkSession
-    by = list(by)
-    keys = [*by, "column"]
+    Linear interpolation, or with ``discrete`` the least value whose cumulated share reaches the probability.
+    """
     long = _long(df, cols, by)
-    key_types = {f.name: f.dataType.simpleString() for f in long.schema.fields if f.name in keys}
-    sizes = (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                 .limit(MAX_KEYS + 1).collect())
-    if len(sizes) > MAX_KEYS:
-        raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) keys")
-    plan = []                                    # (key, prob, h, lo_rank, hi_rank)
-    answers: dict[tuple, float] = {}             # (key, rank) -> value
-    active = []                                  # (key, lo, hi, offset, ranks)
-    for r in sizes:
-        kv = tuple(r[k] for k in keys)
-        ranks = set()
-        for p in probs:
-            h = (r["n"] - 1) * p
-            lo, hi = int(math.floor(h)), int(math.ceil(h))
-            plan.append((kv, p, h, lo, hi))
-            ranks.update({lo, hi})
-        if r["lo"] == r["hi"]:
-            answers.update({(kv, rk): r["lo"] for rk in ranks})
-        else:
-            active.append((kv, r["lo"], r["hi"], 0, sorted(ranks)))
-    exact_jobs = []
-    range_schema = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", __r int, __lo double, __hi double"
-
-    def restrict(ranges):
-        """Rows of ``long`` inside the listed (key, [lo, hi]) ranges, tagged
-        with the range id (tiny range table, broadcast, equi-join on the key)."""
-        rt = spark.createDataFrame([(*kv, i, float(lo), float(hi)) for i, (kv, lo, hi, _, _) in enumerate(ranges)], range_schema)
-        cond = [long[k].eqNullSafe(rt[k]) for k in keys] + [long["x"] >= rt["__lo"], long["x"] <= rt["__hi"]]
-        # the range table has <= MAX_KEYS x 2 x probs rows and is built on the driver
-        return long.join(F.broadcast(rt), cond, "inner").select(*[long[k] for k in keys], "x", "__r", "__lo", "__hi")
-
-    while active:
-        sub = restrict(active)
-        width = (F.col("__hi") - F.col("__lo")) / F.lit(N_BUCKETS)
-        b = F.least(F.floor((F.col("x") - F.col("__lo")) / width), F.lit(N_BUCKETS - 1)).cast("int")
-        counts = (sub.withColumn("__b", b).groupBy("__r", "__b")
-                     .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("bmin"), F.max("x").alias("bmax")).collect())
-        per_range: dict[int, list] = {}
-        for r in counts:
-            per_range.setdefault(r["__r"], []).append((r["__b"], r["cnt"], r["bmin"], r["bmax"]))
-        nxt = []
-        for i, (kv, _, _, offset, ranks) in enumerate(active):
-            start = offset
-            for _, cnt, bmin, bmax in sorted(per_range.get(i, [])):
-                inside = [rk for rk in ranks if start <= rk < start + cnt]
-                if inside:
-                    if bmin == bmax:
-                        answers.update({(kv, rk): bmin for rk in inside})
-                    elif cnt <= MAX_EXACT_ROWS:
-                        exact_jobs.append((kv, bmin, bmax, start, inside))
-                    else:
-                        nxt.append((kv, bmin, bmax, start, inside))
-                start += cnt
-        active = nxt
-    if exact_jobs:
-        sub = restrict(exact_jobs)
-        ranked = sub.withColumn("__rk", F.row_number().over(Window.partitionBy("__r").orderBy("x")) - 1)
-        cond = None
-        for i, (_, _, _, off, rks) in enumerate(exact_jobs):
-            c = (F.col("__r") == i) & F.col("__rk").isin([rk - off for rk in rks])
-            cond = c if cond is None else cond | c
-        for r in ranked.where(cond).select("__r", "__rk", "x").collect():      # <= 2 x probs x keys rows
-            kv, _, _, off, _ = exact_jobs[r["__r"]]
-            answers[(kv, off + r["__rk"])] = r["x"]
-    out = []
-    for kv, p, h, lo, hi in plan:
-        vlo, vhi = answers.get((kv, lo)), answers.get((kv, hi))
-        val = None if vlo is None or vhi is None else vlo + (h - lo) * (vhi - vlo)
-        out.append((*kv, float(p), val))
-    schema = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", prob double, value double"
-    return spark.createDataFrame(out, schema)
+    sizes = _kept(long.groupBy("__k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    n, prob = F.col("n"), F.col("prob")
+    h = F.greatest(F.ceil(prob * n) - 1, F.lit(0)).cast("double") if discrete else (n - 1) * prob
+    plan = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).withColumn("h", h)
+    plan = plan.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("h"), F.ceil("h")))))
+    todo = plan.select("__k", F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.lit(0).cast("long").alias("__off"),
+                       n.alias("__n"), "rank").distinct()
+    known, small = [], []
+    while True:
+        several = F.col("__lo") < F.col("__hi")
+        known.append(todo.where(~several).select("__k", "rank", F.col("__lo").alias("x")))
+        small.append(todo.where(several & (F.col("__n") <= MAX_EXACT_ROWS)))
+        wide = todo.where(several & (F.col("__n") > MAX_EXACT_ROWS))
+        if wide.isEmpty():
+            break
+        counts = (_inside(long, wide).groupBy(*_RANGE, _bucket(F.col("x"), F.col("__lo"), F.col("__hi")).alias("__b"))
+                  .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("bmin"), F.max("x").alias("bmax")))
+        before = Window.partitionBy(*_RANGE).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("start", F.col("__off") + F.coalesce(F.sum("cnt").over(before), F.lit(0)))
+        hit = wide.join(counts, _RANGE).where("rank >= start and rank < start + cnt")
+        todo = _kept(hit.select("__k", F.col("bmin").alias("__lo"), F.col("bmax").alias("__hi"),
+                                F.col("start").alias("__off"), F.col("cnt").alias("__n"), "rank"))
+    exact = reduce(DataFrame.union, small)
+    place = F.row_number().over(Window.partitionBy(*_RANGE).orderBy("x")) - 1 + F.col("__off")
+    ranked = _inside(long, exact).withColumn("rank", place.cast("long")).join(exact, [*_RANGE, "rank"]).select("__k", "rank", "x")
+    answers = reduce(DataFrame.union, known, ranked)
+    ends = plan.select("__k", "prob", "h", "rank").join(answers, ["__k", "rank"]).groupBy("__k", "prob", "h").agg(
+        F.min(F.struct("rank", "x")).alias("a"), F.max(F.struct("rank", "x")).alias("b"))
+    a, b = F.col("a.x"), F.col("b.x")
+    value = F.when(a == b, a).otherwise(a + (F.col("h") - F.col("a.rank")) * (b - a))
+    return _kept(ends.select("__k.*", "prob", value.alias("value")))
 
 
 def exact_quantile_dict(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:

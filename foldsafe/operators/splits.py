@@ -13,6 +13,7 @@ from foldsafe.operators.broadcast import bounded
 
 from foldsafe.functions.keys import TWO_32, seeded_hash
 from foldsafe.operators.positions import hash_positions, ordered_positions
+from foldsafe.operators.quantiles import exact_quantiles
 
 
 def _fold_of(pos, total, k: int):
@@ -110,12 +111,11 @@ def split_hash(df: DataFrame, key: str, test_frac: float = 0.2, seed: int | None
 
 
 def time_cuts(df: DataFrame, ts: str, k: int) -> list:
-    """k exact (discrete) time quantiles i/(k+1) as epoch microseconds: a
-    bounded list of scalars from one aggregate job."""
-    row = df.agg(*[
-        F.expr(f"percentile_disc({i / (k + 1)}) WITHIN GROUP (ORDER BY unix_micros(CAST({ts} AS TIMESTAMP)))").alias(f"q{i}")
-        for i in range(1, k + 1)]).first()
-    return [row[f"q{i}"] for i in range(1, k + 1)]
+    """k exact (discrete) time quantiles i/(k+1) as epoch microseconds (exact
+    as doubles until the year 2255), without sorting all times in one task."""
+    us = df.select(F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
+    cuts = exact_quantiles(us, ["us"], [i / (k + 1) for i in range(1, k + 1)], discrete=True).orderBy("prob").collect()
+    return [int(r["value"]) for r in cuts]
 
 
 def split_time(df: DataFrame, ts: str, cutoff: str, out: str = "is_test") -> DataFrame:

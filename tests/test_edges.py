@@ -81,3 +81,58 @@ def test_tree_paths_agree_on_repeated_rows(spark, monkeypatch, limit, tmp_path):
     got = sorted((r["id"], round(r["pred"], 9)) for r in scoring.score_tree_table(rows, nodes, "x", "id", 2).collect())
     want = sorted((r["id"], round(r["prediction"], 9)) for r in model.transform(x.union(x)).collect())
     assert got == want
+
+
+def test_t_quantiles_against_published_values():
+    got = metrics.t_quantiles(0.95)
+    # fixed values: two-sided 95 % quantiles of printed tables, by degrees of freedom
+    for dof, t in {1: 12.7062, 2: 4.3027, 3: 3.1824, 4: 2.7764, 9: 2.2622, 10: 2.2281, 30: 2.0423, 100: 1.9840}.items():
+        assert got[dof - 1] == pytest.approx(t, abs=5e-5)
+    assert metrics.t_quantiles(0.99)[4] == pytest.approx(4.0321, abs=5e-5)
+
+
+def test_t_quantile_column_is_null_at_none_and_smooth_past_the_table(spark):
+    d = spark.createDataFrame([(v,) for v in (0, 2, 100, 101, None)], "v int")
+    got = {r["v"]: r["t"] for r in d.select("v", metrics.t_quantile_expr(d["v"]).alias("t")).collect()}
+    assert got[0] is None and got[None] is None
+    assert got[2] == pytest.approx(2 ** 0.5 * 0.95 / (1 - 0.95 ** 2) ** 0.5, abs=1e-12)
+    assert 0 < got[100] - got[101] < 3e-4
+
+
+def test_quantiles_of_many_groups_with_a_null_one(spark, monkeypatch):
+    from foldsafe.operators import quantiles
+    rows = [(g if g else None, float((i * 37 + g) % 101)) for g in range(400) for i in range(20)] + [(400, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    values = {}
+    for g, x in rows:
+        if x is not None:
+            values.setdefault(g, []).append(x)
+    for limit in (2_000_000, 3):
+        monkeypatch.setattr(quantiles, "MAX_EXACT_ROWS", limit)
+        got = {(r["g"], r["prob"]): r["value"] for r in quantiles.exact_quantiles(df, ["x"], [0.25, 0.9], by=["g"]).collect()}
+        assert set(got) == {(g, p) for g in values for p in (0.25, 0.9)}
+        for (g, p), v in got.items():
+            assert v == pytest.approx(float(np.quantile(values[g], p)), abs=1e-9)
+
+
+def test_quantiles_with_infinite_ends_and_discrete(spark, monkeypatch):
+    from foldsafe.operators import quantiles
+    xs = [float("-inf"), float("inf"), *map(float, range(98))]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for limit in (2_000_000, 5):
+        monkeypatch.setattr(quantiles, "MAX_EXACT_ROWS", limit)
+        assert quantiles.exact_quantile_dict(df, ["x"], [0.0, 0.5, 1.0])["x"] == {0.0: float("-inf"), 0.5: 48.5, 1.0: float("inf")}
+        got = {r["prob"]: r["value"] for r in quantiles.exact_quantiles(df, ["x"], [0.25, 0.5, 0.99], discrete=True).collect()}
+        assert got == {0.25: 23.0, 0.5: 48.0, 0.99: 97.0}
+    assert quantiles.exact_quantiles(df.limit(0), ["x"], [0.5]).collect() == []
+
+
+def test_accents_of_all_scripts(spark):
+    import unicodedata
+
+    from foldsafe.functions.text import strip_accents
+    texts = ["Việt ﬁn ἄλφα", "한국어 값", "½ … ª", "ascii", "", "ＡＢＣ 𝒜", "a\u0301 e\u0327\u0301", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for r in df.select("t", strip_accents("t").alias("o")).collect():
+        want = None if r["t"] is None else "".join(x for x in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(x))
+        assert r["o"] == want

@@ -178,10 +178,16 @@ def test_tree_table_scoring_matches_model(spark):
     assert r["n_fail"] == 0 and r["n_unmatched"] == 0
 
 
-def test_boosted_beats_nothing_but_runs_and_mean_baseline(spark):
-    import __spark_entry__ as E
-    r = E.queries()["fit_ols"](spark, MEDIUM).first()
-    assert r["n"] > 0 and r["rmse"] > 0
+@pytest.mark.parametrize("name", ["tree", "forest", "boosted"])
+def test_tree_learners_find_a_step(spark, name):
+    from foldsafe.operators import learners as LR
+    from foldsafe.operators.metrics import regression_aggs
+    d = spark.range(600).select(F.col("id"), (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("z"))
+    d = d.withColumn("target", F.when(F.col("x") < 8, 1.0).otherwise(5.0) + F.col("z") / 10)
+    d = LR.assemble(d, ["x", "z"])
+    model = LR.regressor(name).setFeaturesCol("features").setLabelCol("target").fit(d.where("id < 400"))
+    r = model.transform(d.where("id >= 400")).agg(*regression_aggs("prediction", "target")).first()
+    assert r["n"] == 200 and r["r2"] > 0.9
 
 
 def test_exact_quantiles_match_percentile_with_heavy_value_and_refinement(spark, monkeypatch):
