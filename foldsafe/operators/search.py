@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from foldsafe.functions.keys import seeded_uniform
@@ -86,6 +87,58 @@ def eval_shrunk_means(data: DataFrame, cands: DataFrame, fold: str, target: str,
     return sc.groupBy("cand_key", fold).agg(F.sqrt(F.sum("sse") / F.nullif(F.sum("n"), F.lit(0))).alias("rmse"), F.sum("rows").alias("n"))
 
 
+def fold_moments(data: DataFrame, fold: str, cols: Sequence[str]) -> dict:
+    """Per fold: rows, means and centred second moments of ``cols``, in one
+    pass; rows with a null in any of them take no part.  The driver gets
+    folds x columns^2 numbers."""
+    cols = list(cols)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    whole = data.select(fold, *[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]).dropna(subset=[f"v{i}" for i in range(len(cols))])
+    rows = whole.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"v{i}").alias(f"m{i}") for i in range(len(cols))],
+                                   *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs]).collect()
+    out = {}
+    for r in rows:
+        second = np.zeros((len(cols), len(cols)))
+        for i, j in pairs:
+            second[i, j] = second[j, i] = r[f"c{i}_{j}"]
+        out[r[fold]] = (r["n"], np.array([r[f"m{i}"] for i in range(len(cols))]), second)
+    return out
+
+
+def _merged(parts: Sequence[tuple]) -> tuple:
+    """The moments of several folds together."""
+    n = sum(p[0] for p in parts)
+    mean = sum(p[0] * p[1] for p in parts) / n
+    return n, mean, sum(p[0] * (p[2] + np.outer(p[1] - mean, p[1] - mean)) for p in parts) / n
+
+
+def eval_ridge(data: DataFrame, cands: Sequence[tuple[str, Sequence[str], float]], fold: str, target: str) -> DataFrame:
+    """Candidate x fold validation RMSE of ridge regressions ``(cand_key,
+    features, alpha)``: standardisation and fit on every fold but i, scored on
+    fold i.  Both the fit and the squared error of a linear model follow from
+    the folds' moments, so the data is read once for any number of candidates.
+    The intercept is not penalised; a constant feature has scale 1, and a
+    singular system its solution of least norm.  With one fold there is nothing
+    to fit on, and so no row."""
+    names = sorted({f for _, features, _ in cands for f in features})
+    moments = fold_moments(data, fold, [*names, target])
+    rows = []
+    for i in moments if len(moments) > 1 else ():
+        n, mean, second = _merged([m for f, m in moments.items() if f != i])
+        held_n, held_mean, held_second = moments[i]
+        scale = np.sqrt(np.diag(second))[:-1]
+        scale[scale == 0] = 1.0
+        for key, features, alpha in cands:
+            at = [names.index(f) for f in features]
+            gram = n * second[np.ix_(at, at)] / np.outer(scale[at], scale[at]) + alpha * np.eye(len(at))
+            beta = np.linalg.lstsq(gram, n * second[at, -1] / scale[at], rcond=None)[0] / scale[at]
+            line = np.zeros(len(names) + 1)  # the residual as a combination of the columns
+            line[at], line[-1] = -beta, 1.0
+            error = line @ held_second @ line + (line @ (held_mean - mean)) ** 2
+            rows.append((key, int(i), math.sqrt(max(error, 0.0)), int(held_n)))
+    return data.sparkSession.createDataFrame(rows, f"cand_key string, {fold} int, rmse double, n long")
+
+
 def log_candidates(fold_scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """M4: every candidate with mean score, population std over folds and rank."""
     g = fold_scores.groupBy(*by, "cand_key").agg(F.avg("rmse").alias("cv_rmse"), F.stddev_pop("rmse").alias("cv_std"),

@@ -77,6 +77,33 @@ def q_m1(spark, sf):
     return fs.select("cand_key", F.col("fold").cast("int").alias("fold"), F.round("rmse", 6).alias("rmse"), "n")
 
 
+# The search space of the ridge regression.
+RIDGE_FEATURES = ["doy", "nation"]
+RIDGE_SPACE = [(f"{'+'.join(fs)}:{a}", fs, a) for fs in (["doy"], ["nation"], ["doy", "nation"]) for a in (0.0, 10.0, 1000.0)]
+RIDGE_CANDS_SQL = ", ".join(f"('{key}', {int('doy' in fs)}, {int('nation' in fs)}, CAST({a!r} AS DOUBLE))" for key, fs, a in RIDGE_SPACE)
+RIDGE_SQL = f"""{SQL_DISTRICTS}, {kfold_sql('districts', 'row_id', 5, 42)},
+d AS (SELECT fold, CAST(doy AS DOUBLE) AS x1, CAST(nation AS DOUBLE) AS x2, target AS y FROM districts_kf),
+c(cand_key, u1, u2, alpha) AS (VALUES {RIDGE_CANDS_SQL}),
+t AS (SELECT f.i, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2,
+             covar_pop(x1, x2) AS c12, covar_pop(x1, y) AS c1y, covar_pop(x2, y) AS c2y
+      FROM (SELECT unnest(range(5)) AS i) f JOIN d ON d.fold <> f.i GROUP BY f.i),
+z AS (SELECT cand_key, i, m1, m2, my, s1, s2, n + alpha AS g, n * c12 / (s1 * s2) * u1 * u2 AS a12,
+             n * c1y / s1 * u1 AS a1y, n * c2y / s2 * u2 AS a2y FROM t CROSS JOIN c),
+b AS (SELECT *, (a1y * g - a12 * a2y) / (g * g - a12 * a12) / s1 AS b1, (a2y * g - a12 * a1y) / (g * g - a12 * a12) / s2 AS b2 FROM z),
+fs AS (SELECT cand_key, CAST(i AS INTEGER) AS fold, sqrt(avg((y - my - b1 * (x1 - m1) - b2 * (x2 - m2)) ^ 2)) AS rmse, count(*) AS n
+       FROM b JOIN d ON d.fold = b.i GROUP BY cand_key, i)"""
+
+
+@register("search_ridge", f"""WITH {RIDGE_SQL},
+lg AS (SELECT cand_key, avg(rmse) AS cv_rmse, stddev_pop(rmse) AS cv_std, count(*) AS n_folds FROM fs GROUP BY cand_key)
+SELECT cand_key, round(cv_rmse, 6) AS cv_rmse, round(cv_std, 6) AS cv_std, n_folds FROM lg""")
+def q_search_ridge(spark, sf):
+    """M1 over a fitted learner: ridge regressions on two feature columns, standardised per training part."""
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42).select("fold", "target", *RIDGE_FEATURES)
+    log = SR.log_candidates(SR.eval_ridge(d, RIDGE_SPACE, "fold", "target"))
+    return log.select("cand_key", F.round("cv_rmse", 6).alias("cv_rmse"), F.round("cv_std", 6).alias("cv_std"), "n_folds")
+
+
 @register("search_log_candidates", f"""WITH {GRID_SQL}
 SELECT cand_key, round(cv_rmse, 6) AS cv_rmse, round(cv_std, 6) AS cv_std, n_folds,
        CAST(rank() OVER (ORDER BY round(cv_rmse, 9)) AS INTEGER) AS rank FROM lg""")

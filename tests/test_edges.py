@@ -136,3 +136,26 @@ def test_accents_of_all_scripts(spark):
     for r in df.select("t", strip_accents("t").alias("o")).collect():
         want = None if r["t"] is None else "".join(x for x in unicodedata.normalize("NFKD", r["t"]) if not unicodedata.combining(x))
         assert r["o"] == want
+
+
+def test_ridge_search_equals_fits_on_the_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 3)) + [1e3, 0, -5]
+    y = x @ [0.5, -2.0, 0.0] + rng.normal(size=90)
+    rows = [(i % 3, *map(float, x[i]), 7.0, float(y[i])) for i in range(90)] + [(0, None, 1.0, 1.0, 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, c double, same double, y double")
+    cands = [("all", ["a", "b", "c", "same"], 2.0), ("b", ["b"], 0.0), ("constant", ["same"], 0.0)]
+    got = {(r["cand_key"], r["fold"]): (r["rmse"], r["n"]) for r in search.eval_ridge(df, cands, "fold", "y").collect()}
+    x = np.column_stack([x, np.full(90, 7.0)])
+    fold = np.arange(90) % 3
+    for key, features, alpha in cands:
+        at = [["a", "b", "c", "same"].index(f) for f in features]
+        for i in range(3):
+            tr, te = fold != i, fold == i
+            mean, std = x[tr][:, at].mean(0), x[tr][:, at].std(0)
+            std[std < 1e-12] = 1.0
+            z, my = (x[tr][:, at] - mean) / std, y[tr].mean()
+            beta = np.linalg.lstsq(z.T @ z + alpha * np.eye(len(at)), z.T @ (y[tr] - my), rcond=None)[0]
+            pred = my + (x[te][:, at] - mean) / std @ beta
+            assert got[key, i] == (pytest.approx(float(np.sqrt(((y[te] - pred) ** 2).mean())), abs=1e-8), 30)
+    assert search.eval_ridge(df.where("fold = 0"), cands, "fold", "y").collect() == []
