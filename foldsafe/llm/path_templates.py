@@ -1,9 +1,9 @@
 """URL filter by per-host path-template trees.
 
-Level by level, every path of a host is generalised: a segment value that looks
-generated, or that holds too small a share of its node, becomes a wildcard, and
-literal branches whose labelled block rates do not differ from what their
-siblings have together (two-proportion z test) are merged into the wildcard too.
+Level by level, to the last segment, every path of a host is generalised: a segment
+value that looks generated becomes a wildcard, and branches whose labelled block
+rates do not differ from what their siblings have together (two-proportion z test)
+are merged into it; where a side has no labels, those of too small a share are.
 A template is rejected if its block rate, smoothed towards its host's, which is
 smoothed towards the host's parent domain and the whole, passes a threshold.
 """
@@ -46,44 +46,57 @@ def _generated(segment: Column) -> Column:
         segment.rlike(r"[0-9]{3,}"))
 
 
-def templates(paths: DataFrame, levels: int = 4, min_share: float = 0.02, z: float = 1.96) -> DataFrame:
+def templates(paths: DataFrame, min_share: float = 0.02, z: float = 1.96) -> DataFrame:
     """Template of each (host, path) of ``paths`` (host, path, n, n_labelled, n_block), one row per input row.
 
-    Segments past ``levels`` share one ``**``.  Each level takes counts grouped by
-    (host, template so far, segment), their totals by node, and joins both back:
-    a hot host is only ever seen as partial sums and a splittable join.
+    A branch of a node (host, template so far) with labels inside and in its siblings
+    is literal if their block rates differ, whatever its share; without labels on both
+    sides, if it holds ``min_share`` of the node and two pages.  A round takes what all
+    paths of a node begin with at once, then branches on the next segment; rounds go on
+    until no path has a segment left, so they follow the branchings, not the depth.
+    Counts are grouped and joined back: a hot host is only ever seen as partial sums
+    and a splittable join.
     """
-    segments = F.split(F.regexp_replace("path", "^/|/$", ""), "/")
-    d = paths.withColumn("segments", segments).withColumn("template", F.lit(""))
-    for level in range(levels):
-        here = F.when(F.size("segments") > level, F.col("segments")[level])
-        d = d.withColumn("segment", F.when(_generated(here), "*").otherwise(here))
-        kept = d.where("segment is not null and segment <> '*'")
-        by = kept.groupBy("host", "template", "segment").agg(*(F.sum(c).alias(c) for c in ("n", "n_labelled", "n_block")))
-        # a node's shares are of all its segments, those of a variable shape too
-        node = d.where("segment is not null").groupBy("host", "template").agg(
-            F.sum("n").alias("all_n"), F.sum("n_labelled").alias("all_labelled"), F.sum("n_block").alias("all_block"))
-        node = written(node, "template-nodes")  # so that the join below can split a hot node
-        rest_n = F.col("all_labelled") - F.col("n_labelled")
-        rest_b = F.col("all_block") - F.col("n_block")
-        pooled = F.col("all_block") / F.nullif(F.col("all_labelled"), F.lit(0))
+    counts, node = ["n", "n_labelled", "n_block"], ["host", "template"]
+    sums = [F.sum(c).alias(c) for c in counts]
+    segments = F.transform(F.split(F.regexp_replace("path", "^/|/$", ""), "/"), lambda x: F.when(_generated(x), "*").otherwise(x))
+    d = written(paths.select("host", "path", *counts, segments.alias("segments"), F.lit("").alias("template")), "template-paths")
+    done = d.where("size(segments) = 0").drop("segments")
+    while d.where("size(segments) > 0").limit(1).count():
+        d = d.where("size(segments) > 0")
+        # what the least and the greatest path of a node begin with, all of its paths do
+        ends = d.groupBy(*node).agg(F.min("segments").alias("lo"), F.max("segments").alias("hi"), F.sum("n").alias("node_n"))
+        apart = F.array_position(F.zip_with("lo", "hi", lambda x, y: x.eqNullSafe(y)), False)
+        ends = ends.withColumn("common", F.when(apart == 0, F.size("lo")).otherwise(apart - 1).cast("int"))
+        begins = F.transform(F.slice("lo", F.lit(1), F.col("common")),
+                             lambda x: F.concat(F.lit("/"), F.when(F.col("node_n") >= 2, x).otherwise("*")))
+        ends = written(ends.select(*node, "common", F.array_join(begins, "").alias("begins")), "template-ends")
+        d = written(d.join(ends, node).select(
+            "host", "path", *counts, F.concat("template", "begins").alias("template"),
+            F.slice("segments", F.col("common") + 1, F.greatest(F.size("segments") - F.col("common"), F.lit(0))).alias("segments")), "template-paths")
+        done = done.union(d.where("size(segments) = 0").select(*done.columns))
+        d = d.where("size(segments) > 0").withColumn("segment", F.col("segments")[0])
+        by = written(d.groupBy(*node, "segment").agg(*sums), "template-branches")
+        # a node's shares are of all its segments, those of a variable shape too; written, so that the join can split a hot node
+        total = written(by.groupBy(*node).agg(*(F.sum(c).alias(f"all_{c}") for c in counts)), "template-nodes")
+        rest_n, rest_b = F.col("all_n_labelled") - F.col("n_labelled"), F.col("all_n_block") - F.col("n_block")
+        both = (F.col("n_labelled") > 0) & (rest_n > 0)
+        pooled = F.col("all_n_block") / F.nullif(F.col("all_n_labelled"), F.lit(0))
         spread = F.sqrt(pooled * (1 - pooled) * (1 / F.nullif(F.col("n_labelled"), F.lit(0)) + 1 / F.nullif(rest_n, F.lit(0))))
         gap = F.abs(F.col("n_block") / F.nullif(F.col("n_labelled"), F.lit(0)) - rest_b / F.nullif(rest_n, F.lit(0)))
-        alone = F.col("n") == F.col("all_n")
-        # labelled on both sides: they must differ; else, only the share tells
-        differs = F.coalesce(gap > z * spread, F.lit(True))
-        literal = (by.join(node, ["host", "template"])
-                   .where((F.col("n") >= min_share * F.col("all_n")) & (F.col("n") >= 2) & (alone | differs))
-                   .select("host", "template", "segment", F.lit(True).alias("literal")))
-        step = F.when(F.col("segment").isNull(), "").when(F.col("literal"), F.concat(F.lit("/"), "segment")).otherwise("/*")
-        d = (d.join(literal, ["host", "template", "segment"], "left")
-             .withColumn("template", F.concat("template", step)).drop("literal", "segment"))
-    tail = F.when(F.size("segments") > levels, "/**").otherwise("")
-    return d.withColumn("template", F.concat("template", tail)).drop("segments")
+        shared = (F.col("n") >= min_share * F.col("all_n")) & (F.col("n") >= 2)
+        literal = (by.where("segment <> '*'").join(total, node).where(F.when(both, gap > z * spread).otherwise(shared))
+                   .select(*node, "segment", F.lit(True).alias("literal")))
+        step = F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*"))
+        d = written(d.join(literal, [*node, "segment"], "left").select(
+            "host", "path", *counts, F.concat("template", step).alias("template"),
+            F.slice("segments", F.lit(2), F.size("segments")).alias("segments")), "template-paths")
+        done = done.union(d.where("size(segments) = 0").select(*done.columns))
+    return done
 
 
 def judge(pages: DataFrame, labelled: Column, blocked: Column, prior: float = 10.0, threshold: float = 0.5,
-          levels: int = 4, min_share: float = 0.02, z: float = 1.96) -> DataFrame:
+          min_share: float = 0.02, z: float = 1.96) -> DataFrame:
     """Add host, path, template, block_rate and judged (allow or block) to ``pages`` (with a ``url`` column).
 
     ``labelled`` and ``blocked`` are boolean expressions over the columns of
@@ -101,7 +114,7 @@ def judge(pages: DataFrame, labelled: Column, blocked: Column, prior: float = 10
                        (say & F.coalesce(blocked, F.lit(False))).cast("long").alias("n_block"))
     paths = written(flagged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("n_labelled").alias("n_labelled"),
                                                         F.sum("n_block").alias("n_block")), "paths")
-    t = written(templates(paths, levels, min_share, z), "templates")
+    t = written(templates(paths, min_share, z), "templates")
     sums = [F.sum(c).alias(c) for c in ("n_labelled", "n_block")]
     parent = F.substring_index("host", ".", -2)
     whole = t.agg(*sums).first()

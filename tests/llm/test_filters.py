@@ -179,6 +179,24 @@ def test_similar_branches_are_merged(spark):
     assert {r["template"] for r in got.collect()} == {"/*/x"}
 
 
+def test_small_labelled_branch_stays(spark):
+    """1.5 % of a hot host, all block: the labels count, not the share."""
+    rows = [(i, f"http://h.net/{'spam' if i < 15 else 'abcd'[i % 4]}/x", i < 15) for i in range(1000)]
+    d = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    for r in path_templates.judge(d, F.lit(True), F.col("bad")).collect():
+        assert r["judged"] == ("block" if r["bad"] else "allow")
+
+
+def test_deep_branches_are_told_apart(spark):
+    """Branches at the seventh segment, behind ones that tell nothing, and at the 3,000th."""
+    rows = [(f"http://h.net/{'ab'[i % 2]}/c/{i}/d/{'ef'[i // 2 % 2]}/g/{'ok' if i % 3 else 'bad'}/z", i % 3 == 0) for i in range(120)]
+    rows += [("http://k.net" + "/s" * 3000 + f"/{'ok' if i % 3 else 'bad'}/{i}", i % 3 == 0) for i in range(120)]
+    d = spark.createDataFrame(rows, "url string, bad boolean")
+    got = path_templates.judge(d, F.lit(True), F.col("bad")).collect()
+    assert len(got) == 240 and all(r["judged"] == ("block" if r["bad"] else "allow") for r in got)
+    assert {r["template"] for r in got if r["host"] == "h.net"} == {"/*/c/*/d/*/g/ok/z", "/*/c/*/d/*/g/bad/z"}
+
+
 def test_url_edges(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert path_templates.filter_urls(empty).count() == 0
