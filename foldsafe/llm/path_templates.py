@@ -4,8 +4,9 @@ Level by level, to the last segment, every path of a host is generalised: a segm
 value that looks generated becomes a wildcard, and branches whose labelled block
 rates do not differ from what their siblings have together (two-proportion z test)
 are merged into it; where a side has no labels, those of too small a share are.
-A template is rejected if its block rate, smoothed towards its host's, which is
-smoothed towards the host's parent domain and the whole, passes a threshold.
+A template is rejected if it has labelled pages of its own and its block rate,
+smoothed towards its host's, which is smoothed towards the host's parent domain and
+the whole, passes a threshold.
 """
 
 from __future__ import annotations
@@ -104,7 +105,7 @@ def judge(pages: DataFrame, labelled: Column, blocked: Column, prior: float = 10
     block; null counts as no.  ``prior`` is the weight of the parent's rate.
     Null or broken urls have the empty host and path and are judged as that
     template.  Repeated rows are each returned.  Columns of ``pages`` with a name
-    that is added here are replaced.  Without any label, all is allowed.
+    that is added here are replaced.  A template without a label is allowed.
     """
     host, path = host_and_path(F.col("url"))
     added = ["host", "path", "template", "block_rate", "judged"]
@@ -127,10 +128,11 @@ def judge(pages: DataFrame, labelled: Column, blocked: Column, prior: float = 10
     host_rate = (t.groupBy("host").agg(*sums).withColumn("parent", parent).join(domain, "parent")
                  .select("host", smoothed(F.col("parent_rate")).alias("host_rate")))
     rates = (t.groupBy("host", "template").agg(*sums).join(host_rate, "host")
-             .select("host", "template", smoothed(F.col("host_rate")).alias("block_rate")))
+             .select("host", "template", smoothed(F.col("host_rate")).alias("block_rate"), (F.col("n_labelled") > 0).alias("__own")))
     known = t.select("host", "path", "template").join(rates, ["host", "template"])
-    judged = F.when(F.col("block_rate") > threshold, "block").otherwise("allow")
-    return d.join(known, ["host", "path"]).withColumn("judged", judged)
+    # the rate of a template without labels is its host's: no evidence of its own
+    judged = F.when(F.col("__own") & (F.col("block_rate") > threshold), "block").otherwise("allow")
+    return d.join(known, ["host", "path"]).withColumn("judged", judged).drop("__own")
 
 
 def filter_urls(pages: DataFrame, rules=RULES, **options) -> DataFrame:

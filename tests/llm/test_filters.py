@@ -197,6 +197,14 @@ def test_deep_branches_are_told_apart(spark):
     assert {r["template"] for r in got if r["host"] == "h.net"} == {"/*/c/*/d/*/g/ok/z", "/*/c/*/d/*/g/bad/z"}
 
 
+def test_templates_without_labels_are_allowed(spark):
+    """/de/ outnumbers /fr/, so the host's rate is over a half; nothing is known of /en/."""
+    rows = [(i, f"http://h.com/{('de', 'de', 'fr', 'en')[i % 4]}/{i}") for i in range(200)]
+    got = path_templates.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert {(r["path"][:4], r["verdict"]) for r in got} == {("/de/", "block"), ("/fr/", "allow"), ("/en/", "allow")}
+    assert all(r["block_rate"] > 0.5 for r in got if r["path"].startswith("/en/"))
+
+
 def test_url_edges(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert path_templates.filter_urls(empty).count() == 0
