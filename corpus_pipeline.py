@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less their later repeated runs of lines; one that has no word left goes."""
-    d = winnow_lines.dedup_lines(docs)
+    d = winnow_lines.dedup_every_run(docs)
     left = (F.col("deleted_lines") == 0) | F.col("text").rlike(r"\S")
     return d.where(left).withColumn("n_chars", F.when(F.col("deleted_lines") > 0, F.length("text")).otherwise(
         F.col("n_chars")).cast("long")).select(*COLUMNS)

@@ -68,7 +68,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnow_lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
+    return winnow_lines.dedup_every_run(table(spark, sf_dir, "documents")).select("doc_id", "text", "deleted_lines")
 
 
 def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ of least hash is a fingerprint, so any repeated run of RUN_WORDS words has one.
 fingerprint's first place in a document is tied to its first place in the corpus,
 its later places to the one before them; each tie, a pair of documents and an
 offset, is extended both ways as far as lines are equal, and the later run goes.
+A tie is one partner, so a run that shares only a part with it can be missed: the
+shortest runs of RUN_WORDS words from every line on are grouped by hash as well, and
+every place but the least of each goes.
 """
 
 from __future__ import annotations
@@ -81,20 +84,35 @@ def repeated_runs(lines: DataFrame, tied: DataFrame) -> DataFrame:
     return runs.where("anchored").select(*_DOC, "first", "last")
 
 
-def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` less its later repeated runs of lines, and ``deleted_lines``.
+def equal_runs(lines: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+    """``doc, version, first, last`` (positions): the shortest runs of ``run_words`` words, but for the least place of each."""
+    by = Window.partitionBy(*_DOC).orderBy("seq")
+    d = lines.withColumn("at", F.coalesce(F.sum("words").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    run = Window.partitionBy(*_DOC).orderBy("at").rangeBetween(0, run_words - 1)
+    key = _hash(F.array_join(F.collect_list(F.col("hash").cast("string")).over(run), ","))
+    d = d.select(*_DOC, F.col("pos").alias("first"), F.max("pos").over(run).alias("last"), key.alias("key"), F.sum("words").over(run).alias("n"))
+    d = written(d.where(F.col("n") >= run_words).drop("n"), "runs")
+    place = F.struct(*_DOC, "first")
+    least = d.groupBy("key").agg(F.min(place).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least")
+    # a table of its own, so that the join can split a hot key
+    return d.join(written(least, "least-runs"), "key").where(place != F.col("least")).select(*_DOC, "first", "last")
 
-    Lines are compared without outer spaces; blank lines never count, and go with a
-    run that they stand in.  The first place, by doc_id (null first), text hash and
-    line, stays.  A repeated run of ``run_words`` words or more, in the document or
-    across documents, is always found; one of ``gram_words`` or more may be.
-    Rows equal in doc_id and text are one document and get the same result.  A null
-    text stays null; other columns stay (``deleted_lines`` is replaced).
-    """
-    d = docs.drop("deleted_lines")
-    lines = written(lines_of(d), "lines")
-    tied = written(ties(written(fingerprints(lines, gram_words, run_words), "fingerprints")), "ties")
-    runs = repeated_runs(lines, tied).distinct().groupBy(*_DOC).agg(F.collect_list(F.struct("first", "last")).alias("__runs"))
+
+def united(runs: DataFrame) -> DataFrame:
+    """The runs of a document that overlap as one."""
+    before = Window.partitionBy(*_DOC).orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    d = runs.withColumn("new", F.coalesce(F.col("first") > F.max("last").over(before), F.lit(True)).cast("long"))
+    d = d.withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return d.groupBy(*_DOC, "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
+
+
+def _winnowed(lines: DataFrame, gram_words: int, run_words: int) -> DataFrame:
+    return repeated_runs(lines, written(ties(written(fingerprints(lines, gram_words, run_words), "fingerprints")), "ties"))
+
+
+def _without(d: DataFrame, runs: DataFrame) -> DataFrame:
+    """``d`` with ``text`` less ``runs``, and ``deleted_lines``."""
+    runs = united(runs.distinct()).groupBy(*_DOC).agg(F.collect_list(F.struct("first", "last")).alias("__runs"))
     runs = runs.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "__runs")
     out = _keys(d).join(runs, ["__doc", "__version"], "left")
     kept = F.filter(F.split("__text", "\n"), lambda x, i: ~F.exists("__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
@@ -103,3 +121,24 @@ def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int =
     out = out.withColumn("deleted_lines", F.when(F.col("__kept").isNull(), 0).otherwise(gone))
     out = out.withColumn("text", F.when(F.col("__kept").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
     return out.select(*d.columns, "deleted_lines")
+
+
+def dedup_lines(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """``docs`` with ``text`` less the later repeated runs of lines that winnowing ties, and ``deleted_lines``.
+
+    Lines are compared without outer spaces; blank lines never count, and go with a
+    run that they stand in.  The first place, by doc_id (null first), text hash and
+    line, stays.  A fingerprint has one partner, so a run of ``run_words`` words can
+    stay if that partner shares only a part of it: ``dedup_every_run`` has no such gap.
+    Rows equal in doc_id and text are one document and get the same result.  A null
+    text stays null; other columns stay (``deleted_lines`` is replaced).
+    """
+    d = docs.drop("deleted_lines")
+    return _without(d, _winnowed(written(lines_of(d), "lines"), gram_words, run_words))
+
+
+def dedup_every_run(docs: DataFrame, gram_words: int = GRAM_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
+    """As ``dedup_lines``, and every repeated run of ``run_words`` words or more, in the document or across documents, goes."""
+    d = docs.drop("deleted_lines")
+    lines = written(lines_of(d), "lines")
+    return _without(d, _winnowed(lines, gram_words, run_words).union(equal_runs(lines, run_words)))

@@ -84,6 +84,46 @@ def test_repeated_passages_always_go(spark):
         assert got[i].split("\n") == own[:2] + own[2 + n:]
 
 
+def repeats(texts, run):
+    """The (row, position) of every run of ``run`` words, as short as lines allow, that is not its least place."""
+    seen, gone = set(), set()
+    for d, text in enumerate(texts):
+        lines = [(p, x.strip(" "), len(x.split())) for p, x in enumerate(text.split("\n")) if x.split()]
+        for i in range(len(lines)):
+            j = n = 0
+            while n < run and i + j < len(lines):
+                n += lines[i + j][2]
+                j += 1
+            if n >= run:
+                key = tuple(x for _, x, _ in lines[i: i + j])
+                if key in seen:
+                    gone |= {(d, p) for p in range(lines[i][0], lines[i + j - 1][0] + 1)}
+                seen.add(key)
+    return gone
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_long_run_goes(spark, seed):
+    """Line L is in A alone with others, in B and C with two more lines: the longer run of B goes from C."""
+    draw = random.Random(seed)
+    line = lambda n: " ".join(f"w{draw.randrange(10 ** 6)}" for _ in range(n))
+    texts = []
+    for _ in range(12):
+        common, rest = line(30), [line(12), line(12)]
+        texts += ["\n".join([line(9), common, line(8)])] + ["\n".join([line(7), common, *rest, line(11)]) for _ in range(2)]
+        texts.append("\n".join([line(6), common, line(40), line(5), common, *rest, line(9), common, *rest]))
+    pool = [line(n) for n in (3, 9, 14, 22, 30)]
+    texts += ["\n".join(draw.choices(pool, k=draw.randint(1, 9)) + [line(draw.randint(1, 30))]) for _ in range(30)]
+    got = {r["doc_id"]: r["text"].split("\n") for r in winnow_lines.dedup_every_run(docs(spark, texts)).collect()}
+    gone = repeats(texts, 50)
+    for d, text in enumerate(texts):
+        left = [x for p, x in enumerate(text.split("\n")) if (d, p) not in gone]
+        rest = iter(left)  # winnowing may take shorter runs too
+        assert all(x in rest for x in got[d])
+    for i in range(0, 48, 4):
+        assert got[i] == texts[i].split("\n") and len(got[i + 2]) == 2
+
+
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(60))
     texts = [None, "", long, long, "short\nshort\nshort", "\n".join([long] * 5), long, "a\n\n" + long + "\n\nb"]
