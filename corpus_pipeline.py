@@ -34,9 +34,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each class of near duplicates."""
-    classes = bag_minhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id")
-    return docs.join(classes, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each class of near duplicates: of least doc_id (null: the last), then of least text hash.
+
+    A document is its doc_id and text (its key is a 64-bit hash of both), so rows equal
+    in these are one, rows that share only the doc_id are several, and those without a
+    doc_id are classified by their texts like all others.
+    """
+    rest = [c for c in COLUMNS if c != "text"]
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+    # partial sums: many equal rows reach a task as one
+    rows = docs.select(key.alias("key"), *COLUMNS).groupBy("key").agg(F.min(F.struct(*rest, "text")).alias("row"))
+    rows = written(rows.select("key", *(F.col("row")[c].alias(c) for c in COLUMNS)), "near-rows")
+    classes = bag_minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
+    kept = (rows.select("key", "doc_id").join(classes.withColumnRenamed("doc_id", "key"), "key")
+            .groupBy("class_id").agg(first.alias("first")).select(F.col("first.key").alias("key")))
+    return rows.join(kept, "key", "left_semi").select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -235,6 +235,16 @@ def test_pipeline_stages(spark):
     assert bag_minhash.near_duplicates(d).where("doc_id <> class_id").count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark):
+    text = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[2]), (5, text[3]), (7, text[4]), (6, text[4]),
+            (None, text[4]), (None, text[2] + " x"), (None, None), (9, None), (None, text[5]), (None, text[5] + " y")]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs(spark, [t for _, t in rows], [i for i, _ in rows]), SF).collect()]
+    (last,) = [t for _, t in got if t and t.startswith("f0")]
+    want = [(None, text[0]), (None, text[1]), (5, text[2]), (5, text[3]), (6, text[4]), (None, None), (9, None), (None, last)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_pipeline_of_an_empty_table(spark):
     d = docs(spark, [])
     for name, stage in corpus_pipeline.STAGES:
