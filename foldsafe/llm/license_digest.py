@@ -3,8 +3,9 @@
 A text is canonical when it is lower-cased, without copyright lines, with one
 spelling of words that licences spell in several ways, and with every run of
 other characters than letters and digits as one space.  The digest of that is
-joined to the digests of known licence texts, for the whole text of a document
-and for each of its lines as a text of its own.
+joined to the digests of known licence texts, for the whole text of a document,
+for each of its lines as a text of its own, and for the runs of lines that have the
+first word and the number of words of a known text, however it is wrapped.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldsafe.llm.common import empty_text, row_total
+from foldsafe.llm.license_texts import TEXTS
 
 # Words with several spellings in licence texts, and the one kept.
 SPELLINGS = {
@@ -56,38 +58,71 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.array_join(words, " "), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """``digest, license``; equal canonical texts under several names keep the first name."""
+def _words(line: Column) -> Column:
+    return F.size(F.split(line, " "))
+
+
+def known_digests(spark: SparkSession, known=KNOWN, texts=TEXTS) -> DataFrame:
+    """``digest, license, first, words`` (first word, number of words); equal canonical texts under several names keep the first name."""
     d = spark.createDataFrame(list(known), "text string, license string")
-    whole = F.array_join(canonical_lines(F.col("text")), " ")
-    return d.groupBy(F.sha2(whole, 256).alias("digest")).agg(F.min("license").alias("license"))
+    d = d.select(F.array_join(canonical_lines(F.col("text")), " ").alias("whole"), "license")
+    d = d.select(F.sha2("whole", 256).alias("digest"), "license", F.substring_index("whole", " ", 1).alias("first"), _words(F.col("whole")).alias("words"))
+    more = spark.createDataFrame([(digest, name, first, words) for name, first, words, digest in texts], d.schema)
+    return d.union(more).groupBy("digest").agg(F.min("license").alias("license"), F.min("first").alias("first"), F.min("words").alias("words"))
+
+
+def _runs(known: DataFrame) -> Column:
+    """The runs of two lines or more of ``lines`` with the first word and the number of words of a known text: text, at, n."""
+    shapes = known.where("words > 1").groupBy("first").agg(F.array_sort(F.collect_set("words")).alias("words")).collect()
+    none = F.array().cast("array<struct<text:string,at:int,n:int>>")
+    if not shapes:
+        return none
+    wanted = F.create_map(*(x for r in shapes for x in (F.lit(r["first"]), F.array(*map(F.lit, r["words"])))))
+
+    def run(at: Column, words: Column) -> Column:
+        # a line has a word at least, so a run of some words has as many lines at most
+        step = lambda s, n: F.when(s["left"] > 0, F.struct((s["left"] - n).alias("left"), (s["n"] + 1).alias("n"))).otherwise(s)
+        end = F.aggregate(F.slice("counts", at + 1, words), F.struct(words.alias("left"), F.lit(0).alias("n")), step)
+        return F.struct(at.alias("at"), F.when(end["left"] == 0, end["n"]).alias("n"))
+
+    starts = F.transform("lines", lambda x, i: F.struct(i.alias("at"), F.element_at(wanted, F.substring_index(x, " ", 1)).alias("words")))
+    found = F.flatten(F.transform(F.filter(starts, lambda s: s["words"].isNotNull()), lambda s: F.transform(s["words"], lambda w: run(s["at"], w))))
+    return F.transform(F.filter(found, lambda r: r["n"] > 1), lambda r: F.struct(
+        F.array_join(F.slice("lines", r["at"] + 1, r["n"]), " ").alias("text"), r["at"].alias("at"), r["n"].alias("n")))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Per doc_id: license (of the whole text, null if unknown), notices (names of its known lines, sorted,
-    comma-joined) and n_notice_lines.
+    """Per doc_id: license (of the whole text, null if unknown), notices (names of the known texts among its lines and runs
+    of lines, sorted, comma-joined) and n_notice_lines (the lines in them, each once).
 
-    Whole texts and lines are digested in the scan and joined to ``known`` by
-    hash; partial sums by doc_id come before the one shuffle.  Rows that repeat a
+    Whole texts, lines and runs are digested in the scan and joined to ``known`` by
+    hash; partial sums by document, then by doc_id, come before a shuffle.  The first
+    words and lengths of ``known`` go through the driver.  Rows that repeat a
     doc_id are pooled (the least whole-text name), a null doc_id is a document of
     its own, null and empty texts match nothing, other columns are ignored.
     """
-    d = docs.select("doc_id", canonical_lines(empty_text()).alias("lines"))
-    whole = F.struct(F.array_join("lines", " ").alias("text"), F.lit(True).alias("whole"))
-    units = F.concat(F.array(whole), F.transform("lines", lambda x: F.struct(x.alias("text"), F.lit(False).alias("whole"))))
-    u = d.select("doc_id", F.explode(units).alias("u")).select(
-        "doc_id", "u.whole", F.sha2("u.text", 256).alias("digest"))
+    d = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(empty_text()).alias("lines"))
+    d = d.withColumn("counts", F.transform("lines", _words))
+    unit = lambda text, at, n: F.struct(text.alias("text"), at.cast("int").alias("at"), n.cast("int").alias("n"))
+    whole = F.array(unit(F.array_join("lines", " "), F.lit(None), F.lit(0)))
+    units = F.concat(whole, F.transform("lines", lambda x, i: unit(x, i, F.lit(1))), F.transform(_runs(known), lambda r: unit(r["text"], r["at"], r["n"])))
+    u = d.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.at", "u.n", F.sha2("u.text", 256).alias("digest"))
     small = row_total(known) <= BROADCAST_ROWS
-    hit = u.join(F.broadcast(known) if small else known, "digest", "left")
-    line = F.when(~F.col("whole"), F.col("license"))
-    return hit.groupBy("doc_id").agg(
-        F.min(F.when(F.col("whole"), F.col("license"))).alias("license"),
-        F.array_join(F.array_sort(F.collect_set(line)), ",").alias("notices"),
-        F.count(line).alias("n_notice_lines"))
+    names = known.select("digest", "license")
+    hit = u.join(F.broadcast(names) if small else names, "digest", "left")
+    notice = F.col("at").isNotNull() & F.col("license").isNotNull()
+    by_row = hit.groupBy("doc_id", "row").agg(
+        F.min(F.when(F.col("at").isNull(), F.col("license"))).alias("license"),
+        F.array_sort(F.collect_set(F.when(notice, F.col("license")))).alias("names"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(notice, F.sequence("at", F.col("at") + F.col("n") - 1)))))).alias("n"))
+    return by_row.groupBy("doc_id").agg(
+        F.min("license").alias("license"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("names")))), ",").alias("notices"),
+        F.sum("n").cast("long").alias("n_notice_lines"))
 
 
 def oracle(known=KNOWN) -> str:
-    """DuckDB SQL of the scan of ``documents``."""
+    """DuckDB SQL of the scan of ``documents`` by one-line notices (no whole text, no run of lines)."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     rows = ", ".join(f"({quote(t)}, {quote(n)})" for t, n in known)
     spell = "MAP {" + ", ".join(f"{quote(a)}: {quote(b)}" for a, b in SPELLINGS.items()) + "}"

@@ -55,6 +55,40 @@ def test_licenses(spark):
     assert license_digest.scan_licenses(docs(spark, []), license_digest.known_digests(spark)).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+
+def test_whole_licenses(spark):
+    texts = ["MIT License\n\nCopyright (c) 2020 A. Person\n\n" + MIT, f"def f():\n    pass\n\n{MIT}\nend", APACHE + "import os\n",
+             "a\nThis work is licensed under\nthe GNU General Public License, version 3.\nb", MIT.replace("free of charge", "for money")]
+    got = {r[0]: tuple(r)[1:] for r in license_digest.scan_licenses(docs(spark, texts), license_digest.known_digests(spark)).collect()}
+    # the header's own first line is a known notice too, and counts once
+    assert got == {0: ("MIT", "MIT", 10), 1: (None, "MIT", 9), 2: (None, "Apache-2.0", 9), 3: (None, "GPL-3.0", 2), 4: (None, "", 0)}
+
+
 # ---- personal data
 
 PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
