@@ -40,6 +40,12 @@ class Words:
     def text(self, i: int) -> bytes:
         return self.data[self.start[i]: self.end[i]].tobytes().translate(_LOWER)
 
+    def phrases(self, places: np.ndarray, size: int) -> list[str]:
+        """The runs of ``size`` words from each of ``places``, with one space between words."""
+        low, size_1 = self.data.tobytes().translate(_LOWER), range(size)
+        bounds = zip(*[self.start[places + i].tolist() for i in size_1], *[self.end[places + i].tolist() for i in size_1])
+        return [b" ".join([low[b[i]: b[size + i]] for i in size_1]).decode() for b in bounds]
+
     def lengths(self) -> np.ndarray:
         """Words of each text."""
         return np.bincount(self.row, minlength=self.rows)

@@ -178,35 +178,35 @@ def _spelled(docs: DataFrame, longest: int, members) -> DataFrame:
     classes = byte_classes(BLANKS, BREAKS)
     schema = "hash long, lang string, phrase string, size int, empty long, spans array<long>"
 
+    names = [x.split()[0] for x in schema.split(", ")]
+
     def run(batches):
-        seen: set[int] = set()
+        seen = np.empty(0, _U)
         for batch in batches:
-            langs = batch.column(2)
             for w in words_of(batch.column(1), classes):
                 seeds = _starts(batch.column(0), w)
-                rows = []
                 for k, at, hashes, _ in _occurrences(w, seeds, longest, members.value, None):
                     if k == 1:
                         continue
                     inside = members.value.holds(hashes)
-                    values, first = np.unique(hashes[inside], return_index=True)
-                    if len(seen) > _SPELLED:
-                        seen.clear()
-                    for h, i in zip(values.view(np.int64).tolist(), at[inside][first].tolist()):
-                        if h in seen:
-                            continue
-                        seen.add(h)
-                        spans = []
-                        for a in range(k):
-                            x = seeds[w.row[i]: w.row[i] + 1]
-                            for b in range(a, k):
-                                x = longer(x, w.hashes[i + b: i + b + 1])
-                                spans.append(int(x.view(np.int64)[0]))
-                        phrase = b" ".join(w.text(i + a) for a in range(k)).decode()
-                        rows.append((h, langs[w.first + int(w.row[i])].as_py(), phrase, k, int(seeds[w.row[i]].view(np.int64)), spans))
-                if rows:
-                    types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [x.split()[0] for x in schema.split(", ")])
+                    new, first = np.unique(hashes[inside], return_index=True)
+                    places = at[inside][first]
+                    unseen = ~np.isin(new, seen, assume_unique=True)
+                    new, places = new[unseen], places[unseen]
+                    if not len(new):
+                        continue
+                    seen = np.union1d(seen, new) if len(seen) < _SPELLED else new
+                    empty, spans = seeds[w.row[places]], []
+                    for i in range(k):
+                        x = empty
+                        for j in range(i, k):
+                            x = longer(x, w.hashes[places + j])
+                            spans.append(x)
+                    flat = pa.array(np.stack(spans, 1).ravel().view(np.int64))
+                    ends = pa.array(np.arange(len(new) + 1, dtype=np.int32) * len(spans))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(new.view(np.int64)), batch.column(2).take(pa.array(w.first + w.row[places])), pa.array(w.phrases(places, k)),
+                         pa.array(np.full(len(new), k, np.int32)), pa.array(empty.view(np.int64)), pa.ListArray.from_arrays(ends, flat)], names)
 
     return docs.mapInArrow(run, schema).dropDuplicates(["hash"])
 
