@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foldsafe.llm import (bag_minhash, collocations, decontaminate, license_digest, packing, path_templates, pii_crf, prefix_trie, quality_rules, simple8b,
+from foldsafe.llm import (bag_minhash, collocations, decontaminate, hidden_markov, license_digest, packing, path_templates, pii_crf, prefix_trie, quality_rules, simple8b,
                           threshold_topk, winnow_lines)
 from foldsafe.llm.common import table
 
@@ -76,6 +76,10 @@ def op10_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", F.round("block_rate", 9).alias("block_rate"))
 
 
+def op11_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -96,7 +100,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate, "op2_quality": op2_quality, "op3_licenses": op3_licenses,
     "op4_packing": op4_packing, "op5_near_duplicates": op5_near_duplicates, "op6_threshold_topk": op6_threshold_topk,
     "op7_pii": op7_pii, "op8_token_files": op8_token_files, "op9_line_dedup": op9_line_dedup,
-    "op10_url_templates": op10_url_templates, "op12_prefix_trie": op12_prefix_trie,
+    "op10_url_templates": op10_url_templates, "op11_hidden_markov": op11_hidden_markov, "op12_prefix_trie": op12_prefix_trie,
     "op13_collocations": op13_collocations, "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
