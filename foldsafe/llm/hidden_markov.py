@@ -77,15 +77,15 @@ def forward(model: Model, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray
     order = np.argsort(-size, kind="stable")
     start, lengths = bounds[:-1][order], size[order]
     live = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), "left")  # sequences over each length
-    emit, total = np.ascontiguousarray(model.emit.T), np.zeros(len(order))
+    emit, total, ones = np.ascontiguousarray(model.emit.T), np.zeros(len(order)), np.ones(len(model.start))
     state = np.broadcast_to(model.start, (len(order), len(model.start)))
     for t, n in enumerate(live):
         if t:
             state = state[:n] @ model.move
-        state = state * emit[symbols[start[:n] + t]]
-        scale = state.sum(1)
+        state = state * emit.take(symbols[start[:n] + t], 0)
+        scale = state @ ones
         total[:n] += np.log(scale)
-        state = state / scale[:, None]
+        state /= scale[:, None]
     out = np.empty(len(order))
     out[order] = total
     return out
@@ -96,7 +96,7 @@ class Expected:
 
     def __init__(self, model: Model):
         s, v = model.emit.shape
-        self.model, self.emit_t = model, np.ascontiguousarray(model.emit.T)
+        self.model, self.emit_t = model, np.ascontiguousarray(model.emit.T, np.float32)
         self.start, self.resume, self.move, self.emit, self.log = np.zeros(s), np.zeros(s), np.zeros((s, s)), np.zeros((v, s)), 0.0
 
     def add(self, symbols: np.ndarray, bounds: np.ndarray) -> None:
@@ -114,36 +114,36 @@ class Expected:
             self._runs(symbols, start[part], length[part], number[part] == 0)
 
     def _runs(self, symbols: np.ndarray, start: np.ndarray, length: np.ndarray, first: np.ndarray) -> None:
-        model, n, steps = self.model, len(start), int(length[0])
-        s = len(model.start)
+        """One block of runs, longest first, token by token; single precision within the block."""
+        model, s, steps = self.model, len(self.start), int(length[0])
         live = np.searchsorted(-length, -np.arange(steps), "left")
-        at = [symbols[start[:m] + t] for t, m in enumerate(live)]
-        alphas, scales = [], []
-        state = np.where(first[:, None], model.start, model.resume)
-        for t, m in enumerate(live):
+        cuts = np.concatenate([[0], np.cumsum(live)]).tolist()
+        symbol = np.concatenate([symbols[start[:m] + t] for t, m in enumerate(live)])
+        chance, state = self.emit_t.take(symbol, 0), np.where(first[:, None], model.start, model.resume).astype(np.float32)
+        move, ones = model.move.astype(np.float32), np.ones((s, 1), np.float32)
+        alpha, scale = np.empty((cuts[-1], s), np.float32), np.empty((cuts[-1], 1), np.float32)
+        for t, (a, b) in enumerate(zip(cuts, cuts[1:])):
             if t:
-                state = state[:m] @ model.move
-            state = state * self.emit_t[at[t]]
-            scale = state.sum(1)
-            state = state / scale[:, None]
-            alphas.append(state)
-            scales.append(scale)
-        self.log += sum(np.log(x).sum() for x in scales)
-        back, gammas = np.ones((live[-1], s)), [None] * steps
-        move = np.zeros((s, s))
-        for t in range(steps - 1, -1, -1):
-            gammas[t] = alphas[t] * back
-            if t:
-                ahead = back * self.emit_t[at[t]] / scales[t][:, None]
-                move += alphas[t - 1][: live[t]].T @ ahead
-                back = np.ones((live[t - 1], s))
-                back[: live[t]] = ahead @ model.move.T
-        self.move += move * model.move
-        self.start += gammas[0][first].sum(0)
-        self.resume += gammas[0][~first].sum(0)
-        gamma, symbol = np.concatenate(gammas), np.concatenate(at)
-        for j in range(s):
-            self.emit[:, j] += np.bincount(symbol, gamma[:, j], len(self.emit))
+                state = state[: b - a] @ move
+            state = np.multiply(state, chance[a:b], out=alpha[a:b])
+            np.matmul(state, ones, out=scale[a:b])
+            state /= scale[a:b]
+        self.log += np.log(scale, dtype=np.float64).sum()
+        chance /= scale
+        back, moved = np.ones((live[-1], s), np.float32), np.zeros((s, s), np.float32)
+        for t in range(steps - 1, 0, -1):
+            a, b, before = cuts[t], cuts[t + 1], cuts[t - 1]
+            ahead = back * chance[a:b]
+            alpha[a:b] *= back
+            moved += alpha[before: before + b - a].T @ ahead
+            back = np.ones((live[t - 1], s), np.float32)
+            np.matmul(ahead, move.T, out=back[: b - a])
+        alpha[: cuts[1]] *= back
+        self.move += moved * model.move
+        self.start += alpha[: cuts[1]][first].sum(0, dtype=np.float64)
+        self.resume += alpha[: cuts[1]][~first].sum(0, dtype=np.float64)
+        for j, expected in enumerate(alpha.T.astype(np.float64, order="C")):
+            self.emit[:, j] += np.bincount(symbol, expected, len(self.emit))
 
 
 def unigram(counts: np.ndarray, smooth: float = SMOOTH) -> np.ndarray:
@@ -217,7 +217,7 @@ def expected_counts(coded: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for symbols, sizes in zip(batch.column(0), batch.column(1)):
                 bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes.as_py(), "<i8"))])
-                total.add(np.frombuffer(symbols.as_py(), "<u2").astype(np.int32), bounds)
+                total.add(np.frombuffer(symbols.as_py(), "<u2"), bounds)
         s = len(total.start)
         log = np.zeros(s)
         log[0] = total.log
