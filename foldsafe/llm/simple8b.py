@@ -187,8 +187,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, fi
         if ids:
             yield pa.RecordBatch.from_arrays([pa.array([frame(ids, parts)], pa.binary())], ["frame"])
 
-    (ordered.mapInArrow(encode, "frame binary").select(F.col("frame").cast("string").alias("value"))
-     .write.option("lineSep", END).option("maxRecordsPerFile", FRAMES_A_FILE).text(path))
+    write_frames(ordered.mapInArrow(encode, "frame binary"), path)
+
+
+def write_frames(found: DataFrame, path: str, frames_a_file: int = FRAMES_A_FILE) -> None:
+    """Token files of a column ``frame``, in the order of its partitions and rows."""
+    (found.select(F.col("frame").cast("string").alias("value"))
+     .write.option("lineSep", END).option("maxRecordsPerFile", frames_a_file).text(path))
 
 
 def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
@@ -217,14 +222,23 @@ def read_tokens(spark, path: str, with_ids: bool = False) -> DataFrame:
 def token_index(spark, path: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    A running sum of two levels: within a file, and over one total per file (files
-    are written in order and named in order), so no task sees all documents.
+    A running sum of three levels: within a file, over a task's files in the order
+    of their numbers, and over one total per task; names give task and number as
+    Spark's writer has them (``part-<task>-...-c<number>``), of any number of digits.
     """
     from pyspark.sql import Window
     d = written(read_tokens(spark, path), "token-index")
-    total = d.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    over = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    before = total.select("file", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("before"))
+    name = F.element_at(F.split("file", "/"), -1)
+    part, number = (F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"^part-(\d+)-", r"-c(\d+)(?:\.|$)"))
+
+    def earlier(keys: list, order: str):
+        w = Window.partitionBy(*keys) if keys else Window
+        return F.coalesce(F.sum("n").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    files = d.groupBy("file").agg(F.sum("n_tokens").alias("n")).withColumn("part", part).withColumn("number", number)
+    tasks = files.groupBy("part").agg(F.sum("n").alias("n"))
+    tasks = tasks.select("part", earlier([], "part").alias("tasks"))
+    before = files.withColumn("files", earlier(["part"], "number")).join(tasks, "part").select("file", (F.col("tasks") + F.col("files")).alias("before"))
     inside = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return (d.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(before, "file")

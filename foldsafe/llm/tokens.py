@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import string
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,27 @@ _ENCODERS: dict[str, "Encoder"] = {}
 _CACHED, _LASTING, _CACHED_IDS = 350_000, 150_000, 1 << 23
 _TOGETHER = 2_000
 _GROUP_CHARS = 6_000_000
+# The steps before the tokens for which pieces may be encoded apart.
+_NORMALIZERS = ["NFC", ("Replace", "\\s+", " "), "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS_END = "\u0250"
+
+
+def _splits_at_spaces(path: str) -> bool:
+    """Whether the tokenizer's own steps are those that encoding by pieces takes for granted."""
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    normalizers = [(n["type"], n["pattern"].get("Regex"), n["content"]) if n["type"] == "Replace" else n["type"]
+                   for n in (steps["normalizer"] or {}).get("normalizers", [])]
+    split, *rest = (steps["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return (normalizers == _NORMALIZERS and split.get("type") == "Split" and split["pattern"].get("Regex") == _SPLIT
+            and split["behavior"] == "Removed" and split["invert"] and [(r["type"], r["use_regex"]) for r in rest] == [("ByteLevel", False)]
+            and steps["model"].get("end_of_word_suffix") == "</w>")
+
+
+def _is_word(piece: str) -> bool:
+    """Only Latin letters, also when normalised: a letter may decompose into one with marks, which joins marks after it."""
+    return piece.isalpha() and (piece.isascii() or max(piece) < _LETTERS_END and unicodedata.normalize("NFC", piece).lower().isalpha())
 
 
 class Encoder:
@@ -24,13 +47,14 @@ class Encoder:
     and for which a run of letters is a word that ends in a token of its own kind,
     a text's ids are those of its space- and newline-separated pieces in turn, and
     a word with marks after it has the ids of the word, then of the marks.
-    ``whole=True`` makes no such use and hands over whole texts.
+    ``whole=True``, and any tokenizer whose steps are others, make no such use and
+    hand over whole texts.
     """
 
     def __init__(self, path: str, whole: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.whole, self.marks = Tokenizer.from_file(path), whole, {}
+        self.tokenizer, self.whole, self.marks = Tokenizer.from_file(path), whole or not _splits_at_spaces(path), {}
         ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.is_end[ends] = True
@@ -63,9 +87,9 @@ class Encoder:
         """Remember the new pieces, in order."""
         words, bases, odd, marked = set(), set(), [], []
         for p in new:
-            if p.isalpha():
+            if _is_word(p):
                 words.add(p)
-            elif (base := p.rstrip(string.punctuation)).isalpha():
+            elif _is_word(base := p.rstrip(string.punctuation)):
                 marked.append((p, base, p[len(base):]))
                 bases.add(base)
             else:

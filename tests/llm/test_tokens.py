@@ -38,6 +38,28 @@ def test_pieces_encode_like_whole_texts(texts):
     assert encoders()[0].encode(texts) == encoders()[1].encode(texts)
 
 
+MIXED = [*"aBzÉİıŉßǰẞΣσςΐйЙ한가漢ªº²'’s.,!—-क़", "\u0301", "\u0307", "\u0327", "\u0345", " ", " ", "\n", "\x85", "Ⱥ", "7", "<|endoftext|>", "'ll"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(MIXED), max_size=14).map("".join), max_size=4))
+def test_capital_i_with_dot_and_combining_marks(texts):
+    for given_texts in (texts, [*texts, "ALİ. geldi — x", "ALİ, — x"]):
+        assert encoders()[0].encode(given_texts) == encoders()[1].encode(given_texts)
+
+
+def test_other_tokenizers_get_whole_texts():
+    assert Encoder(public_tokenizers.path("byte_bpe_50k.json")).whole and not encoders()[0].whole
+
+
+def test_starts_beyond_a_thousand_files_of_a_task(spark, tmp_path):
+    n, ids = 1100, np.array([7, 2], "<u4").tobytes()
+    frames = spark.createDataFrame([(bytearray(simple8b.frame([i], [ids])),) for i in range(n)], "frame binary").coalesce(1)
+    simple8b.write_frames(frames, f"{tmp_path}/t", frames_a_file=1)
+    got = {r["doc_id"]: r["start"] for r in simple8b.token_index(spark, f"{tmp_path}/t").collect()}
+    assert got == {i: 2 * i for i in range(n)}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2 ** 64 - 1)), max_size=200), st.integers(1, 12))
 def test_coding_round_trip(values, times):
