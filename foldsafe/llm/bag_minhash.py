@@ -147,8 +147,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in kept], pa.int64()),
                                               pa.array([b[i] for i in kept], pa.int64())], ["a", "b"])
 
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
@@ -165,7 +165,7 @@ def _rest(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     # a table of its own, so that the join below can split a hot key
     main = main.select("key", F.col("main.component").alias("main"), (F.floor((F.col("n") - 1) / BLOCK) + 1).alias("blocks"),
                        (F.floor((F.col("n") - F.col("main.n") - 1) / BLOCK) + 1).alias("outer_blocks"))
-    m = members.join(written(main, "open-sizes"), "key").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    m = members.join(written(main, "open-sizes"), "key").join(texts, "node")
     every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
     outer = m.where("component <> main").select("key", "node", "component", "text", "main", own("outer_blocks").alias("i"), every("blocks").alias("j"))
@@ -197,23 +197,24 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     the least one; where several components stay in a bucket, the open pairs are
     verified too, so no candidate link is lost.  A text of one to four words is one
     shingle; texts without a word (null, empty) are each a class of their own.  Rows
-    that repeat a doc_id are one document, with the links of all of them; rows with
-    a null doc_id are left out; other columns are ignored.
+    that repeat a doc_id are one document, with the links of all of its texts, which
+    it ties to each other; rows with a null doc_id are left out; other columns are
+    ignored.
     """
     d = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text"))
     s = written(signatures(d), "signatures")
-    heads = s.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    nodes = written(s.where("digest is not null").select(F.col("doc_id").alias("node"), "digest", "bands").dropDuplicates(["node", "digest"])
-                    .join(heads, ["node", "digest"], "left_semi"), "nodes")
+    # a node is a bag: 64 bits of its digest; the least document with it lends its text
+    node = F.conv(F.substring("digest", 1, 16), 16, -10).cast("long")
+    full = s.where("digest is not null").withColumn("node", node)
+    nodes = written(full.groupBy("node").agg(F.min(F.struct("doc_id", "digest", "bands")).alias("head")).select("node", "head.*"), "nodes")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # written, so that the join can split a hot key
     shared = written(keyed.join(written(pivots, "pivots"), "key"), "buckets")
     stars = written(shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "stars")
-    wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct().join(nodes.select("node", "digest"), "node")
-    wanted = wanted.withColumnRenamed("node", "doc_id")
+    wanted = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct().join(nodes.select("node", "doc_id", "digest"), "node")
     texts = written(d.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_with_digest, "doc_id long, digest string, text string")
-                    .join(wanted, ["doc_id", "digest"], "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+                    .join(wanted, ["doc_id", "digest"]).groupBy("node").agg(F.min("text").alias("text")), "texts")
     links = written(_verified(stars, texts, threshold), "links")
     tied = written(components(links, "components"), "tied")
     own = F.coalesce("component", "node")
@@ -223,8 +224,19 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     # buckets of the same members, as bands of one group have, are looked at once
     several = written(several.groupBy("all", "n").agg(F.min("key").alias("key")).select("key"), "open-keys")
     members = written(open_keys.join(several, "key"), "open")
-    more = written(_rest(members, texts, threshold), "more-links")
-    final = written(components(links.union(more), "components"), "tied")
-    by_digest = heads.join(final, "node", "left").select("digest", own.alias("class_id"))
-    out = s.select("doc_id", "digest").join(by_digest, "digest", "left")
-    return out.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "doc_id")).alias("class_id"))
+    more = _rest(members, texts, threshold)
+    # documents of several texts tie these, whatever their likeness
+    both = full.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n")).where("a <> z")
+    both = full.join(both.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
+    # what is tied already goes on as one node, so that few links are left
+    later = written(more.union(both), "more-links")
+    if not later.isEmpty():
+        one, two = (tied.select(F.col("node").alias(c), F.col("component").alias(f"{c}c")) for c in "ab")
+        merged = later.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ac", "a").alias("a"), F.coalesce("bc", "b").alias("b"))
+        merged = written(components(merged, "components"), "merged").select(F.col("node").alias("component"), F.col("component").alias("over"))
+        nodes_of = tied.select("node", "component").union(merged.select(F.col("component").alias("node"), "component")).distinct()
+        tied = nodes_of.join(merged, "component", "left").groupBy("node").agg(F.min(F.coalesce("over", "component")).alias("component"))
+    out = full.select("doc_id", "node").join(tied, "node", "left").select("doc_id", own.alias("component"))
+    out = written(out.union(s.where("digest is null").select("doc_id", F.lit(None).cast("long"))), "members")
+    least = out.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    return out.join(written(least, "classes"), "component", "left").groupBy("doc_id").agg(F.min(F.coalesce("class_id", "doc_id")).alias("class_id"))

@@ -87,6 +87,13 @@ def test_edges(spark):
     assert {tuple(r) for r in bag_minhash.near_duplicates(d).collect()} == {(5, 5), (3, 3)}
 
 
+def test_one_id_with_two_texts_has_the_links_of_both(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    texts, ids = [one, two, one + " more", two + " more", "z " + two], [1, 1, 5, 6, 0]
+    got = {r["doc_id"]: r["class_id"] for r in bag_minhash.near_duplicates(docs(spark, texts, ids)).collect()}
+    assert got == classes(list(zip(ids, texts))) == {0: 0, 1: 0, 5: 0, 6: 0}
+
+
 def test_components(spark):
     draw = random.Random(8)
     edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(230)] + [(500 + i, 501 + i) for i in range(40)] + [(7, 7)]
