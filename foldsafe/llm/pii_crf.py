@@ -75,20 +75,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _SPACES = " \t\n\r\f\v"
 _HIT = re.compile("[0-9@]")
 _EDGE = ".,;:!?\"'"
+_LONG = 64
+_PART = re.compile(r"[^,;|&=/?\"'()<>\[\]{}]+")
+
+
+def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A token, or of a long one the parts between marks that hold a digit or @."""
+    if end - start <= _LONG:
+        return [(start, end)]
+    return [m.span() for m in _PART.finditer(text, start, end) if _HIT.search(text, *m.span())]
 
 
 def _tokens(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Stretches of neighbouring tokens that hold a digit or @; a token ends at ASCII white space."""
+    """Stretches of neighbouring tokens that hold a digit or @; a token ends at ASCII white space, a long one also at marks."""
     chain: list[tuple[int, int]] = []
     low, hit = 0, _HIT.search(text)
     while hit:
         i = hit.start()
         start = max([low, *(text.rfind(s, low, i) + 1 for s in _SPACES)])
         m = re.compile(r"[^ \t\n\r\f\v]+").match(text, i)
-        if chain and text[chain[-1][1]: start].strip(_SPACES):
-            yield chain
-            chain = []
-        chain.append((start, m.end()))
+        for a, b in _parts(text, start, m.end()):
+            if chain and text[chain[-1][1]: a].strip(_SPACES):
+                yield chain
+                chain = []
+            chain.append((a, b))
         low = m.end()
         hit = _HIT.search(text, low)
     if chain:
@@ -97,7 +107,7 @@ def _tokens(text: str) -> Iterator[list[tuple[int, int]]]:
 
 def _shape(token: str) -> str:
     """Letters as a, digits as 0 with their count up to 4 and then by size, marks kept; long shapes are cut to a class."""
-    if len(token) > 64:
+    if len(token) > _LONG:
         return "long"
     s = re.sub(r"[^\W\d_]+", "a", token)
     return re.sub(r"[0-9]+", lambda m: f"0{min(len(m[0]), 4) if len(m[0]) < 5 else 'n' if len(m[0]) < 13 else 'm'}", s)
@@ -110,7 +120,7 @@ def features(text: str, chain: list[tuple[int, int]]) -> list[list[str]]:
     word = before[-1].lower().strip(_EDGE) if before else ""
     out = []
     for i, ((a, b), s) in enumerate(zip(chain, shapes)):
-        token = text[a:min(b, a + 64)]
+        token = text[a:b]
         n = sum("0" <= c <= "9" for c in token)
         f = ["bias", "s=" + s, f"n={min(n, 20)}", f"first={token[0] if not token[0].isalnum() else 'x'}",
              f"dots={min(token.strip(_EDGE).count('.'), 4)}", f"at={token.count('@')}", f"dash={min(token.count('-'), 3)}"]

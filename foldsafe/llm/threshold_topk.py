@@ -73,7 +73,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     Ties go to the smaller id; with fewer candidates, all are returned.  Rows with
     a null id, or a vector that is null or holds null or non-finite components,
     take no part; rows that repeat an id count once, with the least vector.
-    Shorter vectors are as if padded with zeros.  Products beyond 64 bits wrap.
+    Shorter vectors are as if padded with zeros.  Vectors so large that a
+    product could pass 64 bits, which a score cannot hold, are an error.
     """
     d = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), is_query.alias("q"))
     d = d.where(F.col("id").isNotNull() & usable(F.col("v"))).select("id", scaled(F.col("v")).alias("v"), "q")
@@ -84,6 +85,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     blocks, query_blocks = max(-(-n // BLOCK), 1), max(-(-n_queries // QUERY_BLOCK), 1)
     parallel = d.sparkSession.sparkContext.defaultParallelism
     blocks = max(blocks, min(2 * parallel, -(-n // 256)))
+    if width * largest * largest >= 2 ** 63:
+        raise ValueError(f"products of {width} components of up to {largest:g} may pass 64 bits")
     kind = np.float64 if width * largest * largest < 2 ** 53 else np.int64  # floats are exact that far, and faster
 
     def block(count: int) -> Column:

@@ -131,6 +131,16 @@ def test_field_adds_what_patterns_miss(spark):
     assert right >= 0.95 * (right + wrong)
 
 
+def test_long_tokens_are_read_whole():
+    long = "x" * 90 + ";mail=jo at ex.org;ip=" + "10.20.30.40" + ";" + "y" * 90
+    chains = list(pii_crf._tokens("a " + long + " 12"))
+    assert [[("a " + long + " 12")[a:b] for a, b in c] for c in chains] == [["10.20.30.40"], ["12"]]
+    far = "u" * 100 + "1.2.3.4@5"
+    [chain] = pii_crf._tokens(far)
+    [f] = pii_crf.features(far, chain)
+    assert "n=5" in f and "dots=3" in f and "at=1" in f and "s=long" in f
+
+
 def test_viterbi_is_best():
     import itertools
 
@@ -279,6 +289,14 @@ def test_near_dedup_keeps_one_row_of_each_class(spark):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_decontamination_drops_contaminated_rows_without_an_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").orderBy("item_id").first()["text"]
+    rows = [(None, f"before {item} after"), (None, "clean words only here"), (None, None), (4, item), (4, "clean"), (5, "")]
+    got = corpus_pipeline.decontaminated(spark, docs(spark, [t for _, t in rows], [i for i, _ in rows]), SF).collect()
+    assert sorted((r["doc_id"] is None, r["text"]) for r in got if r["text"]) == [(False, "clean"), (True, "clean words only here")]
+    assert len(got) == 4
+
+
 def test_pipeline_of_an_empty_table(spark):
     d = docs(spark, [])
     for name, stage in corpus_pipeline.STAGES:

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -106,6 +107,12 @@ def test_top_k_edges(spark):
     assert run(spark, []) == set() and run(spark, [(50, [1.0])]) == set()
 
 
+def test_products_past_64_bits_are_an_error(spark):
+    d = spark.createDataFrame([(0, [1e8, 1e8]), (1, [1e8, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        threshold_topk.top_k(d, F.col("vec_id") == 0)
+
+
 def test_lists_stop_early():
     rng = np.random.default_rng(1)
     v = np.concatenate([rng.normal(size=(5000, 3)), [[90.0, 90.0, 90.0], [80.0, 80.0, 80.0]]])
