@@ -18,6 +18,10 @@ KEEP_SCORE = 0.3
 ORACLE_SQL = None
 
 
+def row_key():
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels of the training rows, does not reject."""
     labels = table(spark, sf_dir, "labels")
@@ -41,9 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id are classified by their texts like all others.
     """
     rest = [c for c in COLUMNS if c != "text"]
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
     # partial sums: many equal rows reach a task as one
-    rows = docs.select(key.alias("key"), *COLUMNS).groupBy("key").agg(F.min(F.struct(*rest, "text")).alias("row"))
+    rows = docs.select(row_key().alias("key"), *COLUMNS).groupBy("key").agg(F.min(F.struct(*rest, "text")).alias("row"))
     rows = written(rows.select("key", *(F.col("row")[c].alias(c) for c in COLUMNS)), "near-rows")
     classes = bag_minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
@@ -53,9 +56,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    bad = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents without a benchmark item; a document is its doc_id (or none) and text, as in ``near_dedup``."""
+    keyed = docs.select(row_key().alias("key"), *COLUMNS)
+    found = decontaminate.contaminated(keyed.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = found.select(F.col("doc_id").alias("key")).distinct()
+    return keyed.join(bad, "key", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
