@@ -1,15 +1,16 @@
 """Exact k-nearest-neighbour join and everything built on it
 (D4-D6, L6, L7, L14, L15, K6).
 
-Brute force is O(queries x references) and the distances themselves must
-never be shuffled.  Both sides are cut into hash blocks of bounded size;
-each query row is replicated once per reference block and each reference
-row once per query block, so every (query block, reference block) cell is a
-cogroup of two bounded groups.  Inside a cell NumPy computes the distance
-block and emits only the k best per query (partial top-k); the final top-k
-per query is a window over at most k x (reference blocks) candidates.
-Shuffle volume is O(rows x blocks + queries x blocks x k), never
-O(queries x references).
+References are dealt to the nearest of a bounded number of pivots, and a cell
+into rings of distance from its pivot; a block is a ring, known by its pivot, its
+least and greatest distance and its size.  By the triangle inequality no
+reference of a block is nearer to a query than the query's own distance from the
+pivot lies outside the ring.  So a query first looks into its home block, which
+bounds its k-th distance, and is then sent to those other blocks alone whose
+lower bound does not pass that.  Pivots and block statistics are bounded tables;
+blocks and the queries of a block are split by hash into groups of bounded size,
+so one dense cell is many tasks.  NumPy computes the distances of a group and
+keeps the k best per query; the final top-k is a window over these.
 
 Distances are squared Euclidean in float64; ties are broken by the
 reference id (the stable "first wins" order).
@@ -18,14 +19,21 @@ reference id (the stable "first wins" order).
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from foldsafe.session import scratch_path
+
 DEFAULT_BLOCK = 4096
 QUERY_CHUNK = 512
+# References that a cell should have, and the most pivots and rings of a cell there can be.
+CELL, MAX_PIVOTS, MAX_RINGS = 1024, 1024, 64
+SAMPLE_PER_PIVOT = 8
 
 
 def _vec_col(df: DataFrame, vec: str | Sequence[str]) -> DataFrame:
@@ -38,10 +46,95 @@ def _blocks(n: int, block: int) -> int:
     return max(1, int(math.ceil(n / float(block))))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"knn-{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _matrix(col) -> np.ndarray:
+    return np.stack(col.to_numpy()).astype(np.float64)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of two small matrices, without cancellation."""
+    return np.sqrt(np.stack([((a - x) ** 2).sum(1) for x in b], 1))
+
+
+@dataclass
+class Cells:
+    """Pivots, and the blocks of references around them."""
+
+    pivots: np.ndarray
+    cell: np.ndarray = None      # of each block: its pivot,
+    low: np.ndarray = None       # the least and
+    high: np.ndarray = None      # greatest distance of its references from it,
+    size: np.ndarray = None      # and their number;
+    ring: np.ndarray = None      # its place in the cell
+
+    def keys(self) -> np.ndarray:
+        return self.cell * MAX_RINGS + self.ring
+
+    def lower_bounds(self, vectors: np.ndarray) -> np.ndarray:
+        """What each vector's distance from any reference of each block is at least."""
+        d = _distances(vectors, self.pivots)[:, self.cell]
+        slack = 1e-9 * (d + self.high) + 1e-12  # distances are rounded
+        return np.maximum(np.maximum(d - self.high, self.low - d) - slack, 0.0)
+
+
+def pivots_of(sample: np.ndarray, n: int, steps: int = 4) -> np.ndarray:
+    """Means of a bounded sample's groups around ``n`` of its rows."""
+    centres = sample[:n].copy()
+    for _ in range(steps):
+        own = ((sample ** 2).sum(1)[:, None] - 2 * sample @ centres.T + (centres ** 2).sum(1)).argmin(1)
+        for i in np.unique(own):
+            centres[i] = sample[own == i].mean(0)
+    return centres
+
+
+def _cells(r: DataFrame, n: int, block: int, cell: int) -> tuple[DataFrame, Cells]:
+    """``r`` with its ``block``, and the cells."""
+    wanted = min(_blocks(n, cell), MAX_PIVOTS)
+    by_hash = r.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE_PER_PIVOT * wanted).select("__v").collect()
+    pivots = pivots_of(np.array([x[0] for x in by_hash], np.float64), wanted)
+
+    def nearest(batches):
+        for pdf in batches:
+            if len(pdf):
+                d = _distances(_matrix(pdf["__v"]), pivots)
+                pdf["cell"] = d.argmin(1).astype(np.int32)
+                pdf["away"] = d.min(1)
+                yield pdf
+
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in r.schema)
+    r = _written(r.mapInPandas(nearest, names + ", cell int, away double"), "cells")
+    stats = r.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high"))
+    stats = stats.withColumn("rings", F.least(F.ceil(F.col("n") / block), F.lit(MAX_RINGS)).cast("int"))
+    width = (F.col("high") - F.col("low")) / F.col("rings")
+    ring = F.when(width > 0, F.least(F.floor((F.col("away") - F.col("low")) / width).cast("int"), F.col("rings") - 1)).otherwise(0)
+    r = r.join(F.broadcast(stats), "cell").withColumn("block", F.col("cell") * MAX_RINGS + ring).drop("n", "low", "high", "rings")
+    blocks = r.groupBy("block").agg(F.min("away"), F.max("away"), F.count(F.lit(1))).orderBy("block").collect()
+    key, low, high, size = (np.array(x) for x in zip(*blocks))
+    return r.drop("cell", "away"), Cells(pivots, key // MAX_RINGS, low, high, size, key % MAX_RINGS)
+
+
+def _pairs(q: DataFrame, r: DataFrame, cells: Cells, block: int, schema: str, rule) -> DataFrame:
+    """The k best of each group of ``q`` (with ``block``) and ``r``; both are split into groups of bounded size."""
+    asked = {x[0]: x[1] for x in q.groupBy("block").agg(F.count(F.lit(1))).collect()}  # a row a block
+    splits = [(key, _blocks(int(n), block), _blocks(asked.get(key, 0), block)) for key, n in zip(cells.keys().tolist(), cells.size)]
+    split = F.broadcast(q.sparkSession.createDataFrame(splits, "block int, rs int, qs int"))
+    part = lambda c, by: F.pmod(F.xxhash64(c), F.col(by)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    q = q.join(split, "block").withColumn("qb", part("qid", "qs")).withColumn("rb", every("rs")).drop("rs", "qs")
+    r = r.join(split, "block").withColumn("rb", part("rid", "rs")).withColumn("qb", every("qs")).drop("rs", "qs")
+    keys = ["block", "qb", "rb"]
+    return q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(rule, schema)
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str | Sequence[str], k: int,
              r_vec: str | Sequence[str] | None = None, exclude_self: bool = False,
              q_group: str | None = None, r_group: str | None = None, group_mode: str | None = None,
-             block: int = DEFAULT_BLOCK, carry: Sequence[str] = ()) -> DataFrame:
+             block: int = DEFAULT_BLOCK, carry: Sequence[str] = (), cell: int = CELL) -> DataFrame:
     """The k nearest references of every query.
 
     Returns (q_id, rank, r_id, dist2, *carry) with rank 1..k.
@@ -50,44 +143,41 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
     (``q_group`` <> ``r_group``): one join computes every out-of-fold
     neighbourhood at once (K6).
     """
+    return _knn(queries, refs, q_id, r_id, vec, k, r_vec, exclude_self, q_group, r_group, group_mode, block, carry, cell)[0]
+
+
+def knn_visits(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str | Sequence[str], k: int, **options) -> DataFrame:
+    """Per query of the join with the same arguments: ``blocks`` it was sent to, ``of_blocks``, and ``pairs`` compared, ``of_pairs``."""
+    return _knn(queries, refs, q_id, r_id, vec, k, **options)[1]
+
+
+def _knn(queries, refs, q_id, r_id, vec, k, r_vec=None, exclude_self=False, q_group=None, r_group=None, group_mode=None,
+         block=DEFAULT_BLOCK, carry=(), cell=CELL):
     r_vec = r_vec if r_vec is not None else vec
     q = _vec_col(queries, vec).select(F.col(q_id).alias("qid"), "__v", *([F.col(q_group).alias("qg")] if q_group else []))
     r = _vec_col(refs, r_vec).select(F.col(r_id).alias("rid"), "__v", *([F.col(r_group).alias("rg")] if r_group else []),
                                      *[F.col(c).alias(f"c__{c}") for c in carry])
-    nq, nr = q.count(), r.count()            # two scalars: the block counts
-    bq, br = _blocks(nq, block), _blocks(nr, block)
-    q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(bq)).cast("int"))
-    r = r.withColumn("rb", F.pmod(F.xxhash64("rid"), F.lit(br)).cast("int"))
-    q = q.withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
-    r = r.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-
-    has_qg, has_rg = q_group is not None, r_group is not None
     carry_cols = [f"c__{c}" for c in carry]
-    r_schema = refs.schema
+    has_qg, has_rg = q_group is not None, r_group is not None
 
-    def cell(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
+    def group(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"qid": pd.Series([], dtype=qdf["qid"].dtype), "rid": pd.Series([], dtype=rdf["rid"].dtype),
                               "dist2": pd.Series([], dtype="float64"),
                               **{c: pd.Series([], dtype="object") for c in carry_cols}})
         if len(qdf) == 0 or len(rdf) == 0:
             return empty
-        R = np.stack(rdf["__v"].to_numpy()).astype(np.float64)
-        rid = rdf["rid"].to_numpy()
-        order = np.argsort(rid, kind="stable")          # tie-break by reference id
-        R, rid = R[order], rid[order]
-        rdf_sorted = rdf.iloc[order]
-        rg = rdf_sorted["rg"].to_numpy() if has_rg else None
+        rdf = rdf.sort_values("rid", kind="stable")     # tie-break by reference id
+        R, rid = _matrix(rdf["__v"]), rdf["rid"].to_numpy()
+        rg = rdf["rg"].to_numpy() if has_rg else None
         centre = R.mean(axis=0)                         # far from the origin, the expanded distance cancels
         C = R - centre
         rn = (C * C).sum(axis=1)
         kk = min(k, len(rid))
         outs = []
-        Q_all = np.stack(qdf["__v"].to_numpy()).astype(np.float64)
-        qid_all = qdf["qid"].to_numpy()
+        Q_all, qid_all = _matrix(qdf["__v"]), qdf["qid"].to_numpy()
         qg_all = qdf["qg"].to_numpy() if has_qg else None
         for s in range(0, len(qid_all), QUERY_CHUNK):
-            Q = Q_all[s:s + QUERY_CHUNK]
-            qid = qid_all[s:s + QUERY_CHUNK]
+            Q, qid = Q_all[s:s + QUERY_CHUNK], qid_all[s:s + QUERY_CHUNK]
             P = Q - centre
             qn = (P * P).sum(axis=1)
             D = qn[:, None] + rn[None, :] - 2.0 * (P @ C.T)
@@ -98,33 +188,74 @@ def knn_join(queries: DataFrame, refs: DataFrame, q_id: str, r_id: str, vec: str
             # every reference that rounding could put among the k nearest is ranked by its exact distance
             error = 8.0 * (R.shape[1] + 4) * np.finfo(np.float64).eps * (qn + rn.max() + 1e-300)
             kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
-            near = np.isfinite(D) & (D <= (kth + 2.0 * error)[:, None])
-            best = np.zeros((len(qid), kk), dtype=np.int64)
-            bd = np.full((len(qid), kk), np.inf)
-            for i in range(len(qid)):
-                cand = np.flatnonzero(near[i])
-                diff = Q[i] - R[cand]
-                exact = (diff * diff).sum(axis=1)
-                # order by (exact distance, reference id); cand indexes rid sorted ascending
-                idx = np.lexsort((cand, exact))[:kk]
-                best[i, : len(idx)] = cand[idx]
-                bd[i, : len(idx)] = exact[idx]
-            ok = np.isfinite(bd)
-            rows_q = np.repeat(qid, kk).reshape(len(qid), kk)[ok]
-            part = pd.DataFrame({"qid": rows_q, "rid": rid[best[ok]], "dist2": bd[ok]})
+            row, near = np.nonzero(np.isfinite(D) & (D <= (kth + 2.0 * error)[:, None]))
+            exact = np.concatenate([((Q[row[i:i + 4096]] - R[near[i:i + 4096]]) ** 2).sum(axis=1) for i in range(0, len(row), 4096)] or [np.empty(0)])
+            order = np.lexsort((near, exact, row))      # by query, exact distance, reference id
+            row, near, exact = row[order], near[order], exact[order]
+            first = np.searchsorted(row, np.arange(len(qid)))
+            kept = np.arange(len(row)) - first[row] < kk
+            part = pd.DataFrame({"qid": qid[row[kept]], "rid": rid[near[kept]], "dist2": exact[kept]})
             for c in carry_cols:
-                part[c] = rdf_sorted[c].to_numpy()[best[ok]]
+                part[c] = rdf[c].to_numpy()[near[kept]]
             outs.append(part)
         return pd.concat(outs, ignore_index=True) if outs else empty
 
-    carry_schema = ", ".join(f"`c__{c}` {r_schema[c].dataType.simpleString()}" for c in carry)
+    carry_schema = ", ".join(f"`c__{c}` {refs.schema[c].dataType.simpleString()}" for c in carry)
     q_type, r_type = queries.schema[q_id].dataType.simpleString(), refs.schema[r_id].dataType.simpleString()
     schema = f"qid {q_type}, rid {r_type}, dist2 double" + (", " + carry_schema if carry else "")
-    partial = q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb")).applyInPandas(cell, schema)
+    n = r.count()
+    if _blocks(n, cell) == 1:                           # one cell: nothing to leave out
+        cells = Cells(np.empty((0, 0)), np.zeros(1, np.int64), np.zeros(1), np.zeros(1), np.array([n]), np.zeros(1, np.int64))
+        q, r = q.withColumn("block", F.lit(0)), r.withColumn("block", F.lit(0))
+        found, visits = _pairs(q, r, cells, block, schema, group), q.select("qid", "block")
+    else:
+        r, cells = _cells(r, n, block, cell)
+        r, q = _written(r, "references"), _written(q, "queries")
+        sent = q.sparkSession.sparkContext.broadcast(cells)
+        q_names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in q.schema)
+
+        def home(batches):
+            for pdf in batches:
+                if len(pdf):
+                    c = sent.value
+                    bound = c.lower_bounds(_matrix(pdf["__v"]))
+                    # of blocks that may hold the query itself, that of the nearest pivot
+                    far = _distances(_matrix(pdf["__v"]), c.pivots)[:, c.cell]
+                    best = np.where(bound <= bound.min(1, keepdims=True), far, np.inf).argmin(1)
+                    pdf["block"] = c.keys()[best].astype(np.int32)
+                    yield pdf
+
+        at_home = _written(q.mapInPandas(home, q_names + ", block int"), "home")
+        near = _written(_pairs(at_home, r, cells, block, schema, group), "near")
+        w = Window.partitionBy("qid").orderBy("dist2")
+        bounds = (near.select("qid", "dist2").withColumn("place", F.row_number().over(w)).where(F.col("place") == k)
+                  .select("qid", F.sqrt("dist2").alias("bound")))
+
+        def others(batches):
+            for pdf in batches:
+                if len(pdf):
+                    c = sent.value
+                    keys, home_block, limit = c.keys(), pdf["block"].to_numpy(), pdf["bound"].to_numpy()
+                    blocks = [keys[(b <= m) & (keys != h)].astype(np.int32)
+                              for i in range(0, len(pdf), 64)
+                              for b, m, h in zip(c.lower_bounds(_matrix(pdf["__v"][i:i + 64])), limit[i:i + 64], home_block[i:i + 64])]
+                    pdf["blocks"] = blocks
+                    yield pdf.drop(columns=["block", "bound"])
+
+        # a query with fewer than k references at home is sent everywhere
+        asked = at_home.join(bounds, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+        away = asked.mapInPandas(others, q_names + ", blocks array<int>").withColumn("block", F.explode("blocks")).drop("blocks")
+        away = _written(away, "away")
+        found = near.union(_pairs(away, r, cells, block, schema, group))
+        visits = at_home.select("qid", "block").union(away.select("qid", "block"))
     w = Window.partitionBy("qid").orderBy(F.col("dist2").asc(), F.col("rid").asc())
-    top = partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("qid").alias(q_id), F.col("rank").cast("int").alias("rank"), F.col("rid").alias(f"nn_{r_id}"),
-                      "dist2", *[F.col(f"c__{c}").alias(c) for c in carry])
+    top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    top = top.select(F.col("qid").alias(q_id), F.col("rank").cast("int").alias("rank"), F.col("rid").alias(f"nn_{r_id}"),
+                     "dist2", *[F.col(f"c__{c}").alias(c) for c in carry])
+    sizes = visits.sparkSession.createDataFrame([(int(b), int(m)) for b, m in zip(cells.keys(), cells.size)], "block int, bn long")
+    visits = visits.join(F.broadcast(sizes), "block").groupBy(F.col("qid").alias(q_id)).agg(
+        F.count(F.lit(1)).alias("blocks"), F.lit(len(cells.size)).cast("long").alias("of_blocks"), F.sum("bn").alias("pairs"), F.lit(n).cast("long").alias("of_pairs"))
+    return top, visits
 
 
 def knn_regress(nb: DataFrame, q_id: str, target: str, weights: str = "uniform") -> DataFrame:
