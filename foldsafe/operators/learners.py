@@ -9,16 +9,13 @@ job plus a bounded solve on the driver, which keeps them exactly checkable.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, Window, functions as F
 
-DRIVER_THREADS = 4
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -83,41 +80,12 @@ def ridge_reg_param(df: DataFrame, y: str, alpha: float) -> float:
     return alpha * r["s"] / r["n"]
 
 
-def logistic(C: float, n: int, **kw) -> LogisticRegression:
-    """Inverse penalty C (reference convention) -> regParam = 1 / (C n)."""
-    return LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, **kw)
-
-
 def fit_majority(df: DataFrame, label: str):
     """The most frequent class (smallest on ties), as a literal."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     return c.agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("m")).first()["m"]
 
 
-def one_vs_one(df: DataFrame, label: str, features: str, classes: Sequence, max_iter: int = 20):
-    """One LinearSVC per class pair fitted on the rows of those two classes
-    (a bounded driver thread pool runs the k(k-1)/2 distributed fits)."""
-    pairs = [(a, b) for i, a in enumerate(classes) for b in classes[i + 1:]]
-
-    def fit(pair):
-        a, b = pair
-        sub = df.where(F.col(label).isin(a, b)).withColumn("__y", (F.col(label) == b).cast("double"))
-        return pair, LinearSVC(featuresCol=features, labelCol="__y", maxIter=max_iter).fit(sub)
-
-    with ThreadPoolExecutor(DRIVER_THREADS) as ex:
-        return dict(ex.map(fit, pairs))
-
-
-def predict_one_vs_one(df: DataFrame, models: dict, id_col: str, features: str) -> DataFrame:
-    """Votes as rows (one per pair), counted by a group-by; ties -> lowest class."""
-    votes = None
-    for (a, b), m in models.items():
-        p = m.transform(df.select(id_col, features)).select(id_col, F.when(F.col("prediction") == 1.0, F.lit(b)).otherwise(F.lit(a)).alias("cls"))
-        votes = p if votes is None else votes.unionByName(p)
-    c = votes.groupBy(id_col, "cls").agg(F.count(F.lit(1)).alias("v"))
-    return c.groupBy(id_col).agg(F.min_by("cls", F.struct(-F.col("v"), F.col("cls"))).alias("pred"))
-
-
 # --- I10: out-of-fold prediction --------------------------------------------
 
 def oof_predict(df: DataFrame, estimator, fold: str, k: int, keep: Sequence[str], score_col: str = "prediction") -> DataFrame:

@@ -7,14 +7,13 @@ closed-form ones do."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from foldsafe.functions.keys import sql_seeded_hash
-from foldsafe.operators import learners as LR
+from foldsafe.operators import curves as CV, learners as LR, linear as LN
 from foldsafe.operators.joins import rbf_features
 from foldsafe.operators.metrics import regression_aggs
 from foldsafe.operators.positions import hash_positions
@@ -122,26 +121,86 @@ def q_l8(spark, sf):
                   F.count(F.lit(1)).alias("n"))
 
 
-def _ev_features(spark, sf):
-    d = split_random(_events(spark, sf), "event_id", 0.2, 42).withColumn("y", F.col("label").cast("double"))
-    return LR.assemble(d, ["value", "hour"]).cache()
+def _event_vectors(spark, sf):
+    return _events(spark, sf).withColumn("x", F.array("value", "hour"))
 
 
 @register("fit_linear_classifier")
 def q_l9(spark, sf):
-    d = _ev_features(spark, sf)
-    m = LinearSVC(featuresCol="features", labelCol="y", maxIter=20, regParam=0.01).fit(d.where("is_test = 0"))
-    sc = m.transform(d.where("is_test = 1"))
-    return sc.select("event_id", vector_to_array("rawPrediction")[1].alias("decision"), F.col("prediction").cast("int").alias("pred"))
+    """L2-regularised squared-hinge classifier: Newton steps on grouped sums."""
+    d = split_random(_event_vectors(spark, sf), "event_id", 0.2, 42)
+    w = LN.fit_linear(d.where("is_test = 0"), "x", "label", [LN.Task("purchase", 1)], "squared_hinge")
+    sc = d.where("is_test = 1").withColumn("decision", LN.decisions("x", w)[0])
+    return sc.select("event_id", "decision", (F.col("decision") > 0).cast("int").alias("pred"))
+
+
+def newton_sql(rows: str, models: str, steps: int = 12) -> str:
+    """Recursive CTE text: logistic weights b0, b1, b2 of y on v, h (penalty 1 on b1, b2) per model, on the rows of other folds."""
+    return f"""x AS ({rows}), newton AS (
+  SELECT model, 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM ({models})
+  UNION ALL
+  SELECT model, i + 1, b0 + (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / det,
+         b1 + (a * (g1 * f - e * g2) - g0 * (b * f - c * e) + c * (b * g2 - g1 * c)) / det,
+         b2 + (a * (d * g2 - g1 * e) - b * (b * g2 - g1 * c) + g0 * (b * e - c * d)) / det
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM (
+    SELECT model, i, b0, b1, b2, sum(y - p) AS g0, sum((y - p) * v) - b1 AS g1, sum((y - p) * h) - b2 AS g2, sum(p * (1 - p)) AS a,
+           sum(p * (1 - p) * v) AS b, sum(p * (1 - p) * h) AS c, sum(p * (1 - p) * v * v) + 1 AS d, sum(p * (1 - p) * v * h) AS e,
+           sum(p * (1 - p) * h * h) + 1 AS f
+    FROM (SELECT newton.*, x.y, x.v, x.h, 1 / (1 + exp(-(b0 + b1 * x.v + b2 * x.h))) AS p
+          FROM newton JOIN x ON x.fold <> model WHERE i < {steps} AND x.v IS NOT NULL AND x.h IS NOT NULL)
+    GROUP BY model, i, b0, b1, b2))),
+weights AS (SELECT model, b0, b1, b2 FROM newton WHERE i = {steps})"""
+
+
+@register("fit_logistic", f"""WITH RECURSIVE {EV_CLS}, {random_split_sql('ev', 'event_id', 0.2, 42)},
+{newton_sql("SELECT label AS y, value AS v, hour AS h, 0 AS fold FROM ev_rsplit WHERE is_test = 0", "SELECT -1 AS model")},
+s AS (SELECT event_id, b0 + b1 * value + b2 * hour AS t FROM ev_rsplit, weights WHERE is_test = 1)
+SELECT event_id, round(1 / (1 + exp(-t)), 6) AS proba, CAST(t > 0 AS INTEGER) AS pred FROM s""")
+def q_l10(spark, sf):
+    d = split_random(_event_vectors(spark, sf), "event_id", 0.2, 42)
+    w = LN.fit_linear(d.where("is_test = 0"), "x", "label", [LN.Task("purchase", 1)])
+    sc = d.where("is_test = 1").withColumn("t", LN.decisions("x", w)[0])
+    return sc.select("event_id", F.round(LN.probability(F.col("t")), 6).alias("proba"), (F.col("t") > 0).cast("int").alias("pred"))
 
 
-@register("fit_logistic")
-def q_l10(spark, sf):
-    d = _ev_features(spark, sf)
-    tr = d.where("is_test = 0")
-    m = LR.logistic(1.0, tr.count(), featuresCol="features", labelCol="y", maxIter=100).fit(tr)
-    sc = m.transform(d.where("is_test = 1"))
-    return sc.select("event_id", vector_to_array("probability")[1].alias("proba"), F.col("prediction").cast("int").alias("pred"))
+OOF_LOGISTIC_SQL = f"""{EV_CLS}, {kfold_sql('ev', 'event_id', 5, 42)},
+{newton_sql("SELECT label AS y, value AS v, hour AS h, fold FROM ev_kf", "SELECT DISTINCT fold AS model FROM ev_kf")},
+oof AS (SELECT event_id, fold, label, b0 + b1 * value + b2 * hour AS t FROM ev_kf JOIN weights ON model = fold)"""
+
+
+def _oof_logistic(spark, sf):
+    """Every event's decision by the model of the folds that it is not in; all folds' models in one pass a step."""
+    d = fold_kfold_shuffled(_event_vectors(spark, sf), "event_id", 5, 42)
+    w = LN.fit_linear(d, "x", "label", LN.out_of_fold_tasks(1, 5), fold="fold")
+    return d.withColumn("t", F.element_at(LN.decisions("x", w), F.col("fold").cast("int") + 1))
+
+
+@register("oof_logistic", f"""WITH RECURSIVE {OOF_LOGISTIC_SQL}
+SELECT event_id, CAST(fold AS INTEGER) AS fold, round(t, 6) AS decision, round(1 / (1 + exp(-t)), 6) AS proba, CAST(t > 0 AS INTEGER) AS pred FROM oof""")
+def q_i10_logistic(spark, sf):
+    o = _oof_logistic(spark, sf)
+    return o.select("event_id", F.col("fold").cast("int").alias("fold"), F.round("t", 6).alias("decision"),
+                    F.round(LN.probability(F.col("t")), 6).alias("proba"), (F.col("t") > 0).cast("int").alias("pred"))
+
+
+@register("eval_oof_roc_auc", f"""WITH RECURSIVE {OOF_LOGISTIC_SQL},
+s AS (SELECT round(t, 6) AS score, sum(label) AS pos, sum(1 - label) AS neg FROM oof GROUP BY 1),
+c AS (SELECT *, sum(pos) OVER () AS p, sum(neg) OVER () AS n, coalesce(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM s)
+SELECT round(sum(neg * (above + pos / 2.0)) / (max(p) * max(n)), 6) AS auc, CAST(max(p) AS BIGINT) AS n_pos, CAST(max(n) AS BIGINT) AS n_neg FROM c""")
+def q_e14_oof(spark, sf):
+    a = CV.eval_roc_auc(_oof_logistic(spark, sf).withColumn("score", F.round("t", 6)), "score", "label")
+    return a.select(F.round("auc", 6).alias("auc"), "n_pos", "n_neg")
+
+
+@register("eval_oof_pr_curve", f"""WITH RECURSIVE {OOF_LOGISTIC_SQL},
+s AS (SELECT round(t, 6) AS score, sum(label) AS pos, count(*) AS n FROM oof GROUP BY 1),
+c AS (SELECT score, sum(pos) OVER w AS tp, sum(n) OVER w AS called, sum(pos) OVER () AS p FROM s
+      WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT score AS threshold, round(tp / called, 6) AS precision, round(coalesce(tp / nullif(p, 0), 0.0), 6) AS recall FROM c
+UNION ALL SELECT NULL, 1.0, 0.0""")
+def q_e12_oof(spark, sf):
+    c = CV.eval_pr_curve(_oof_logistic(spark, sf).withColumn("score", F.round("t", 6)), "score", "label")
+    return c.select("threshold", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
 
 
 def _emb_features(spark, sf):
@@ -152,22 +211,30 @@ def _emb_features(spark, sf):
     return split_random(e, "vec_id", 0.2, 42).cache()
 
 
+def _class_vectors(spark, sf):
+    e = read_table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("int").alias("label"), "embedding")
+    return split_random(e, "vec_id", 0.2, 42)
+
+
+def _classes(d):
+    return sorted(r[0] for r in d.where("is_test = 0 and label is not null").select("label").distinct().collect())
+
+
 @register("fit_one_vs_rest")
 def q_l12(spark, sf):
-    e = _emb_features(spark, sf)
-    m = OneVsRest(classifier=LinearSVC(maxIter=20), featuresCol="features", labelCol="y", parallelism=LR.DRIVER_THREADS).fit(e.where("is_test = 0"))
-    sc = m.transform(e.where("is_test = 1"))
-    return sc.select("vec_id", F.col("y").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred"))
+    d = _class_vectors(spark, sf)
+    classes = _classes(d)
+    w = LN.fit_linear(d.where("is_test = 0"), "embedding", "label", LN.one_vs_rest_tasks(classes), "squared_hinge")
+    return d.where("is_test = 1").select("vec_id", "label", LN.largest(LN.decisions("embedding", w), classes).alias("pred"))
 
 
 @register("fit_one_vs_one")
 def q_l13(spark, sf):
-    e = _emb_features(spark, sf)
-    tr = e.where("is_test = 0").withColumn("label", F.col("y").cast("int"))
-    classes = sorted(r[0] for r in tr.select("label").distinct().collect())
-    models = LR.one_vs_one(tr, "label", "features", classes)
-    p = LR.predict_one_vs_one(e.where("is_test = 1"), models, "vec_id", "features")
-    return p.join(e.select("vec_id", F.col("y").cast("int").alias("label")), "vec_id")
+    d = _class_vectors(spark, sf)
+    classes = _classes(d)
+    tasks = LN.one_vs_one_tasks(classes)
+    w = LN.fit_linear(d.where("is_test = 0"), "embedding", "label", tasks, "squared_hinge")
+    return d.where("is_test = 1").select("vec_id", "label", LN.vote(LN.decisions("embedding", w), tasks, classes).alias("pred"))
 
 
 @register("prep_cluster_similarity")

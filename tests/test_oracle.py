@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
-SLOW = {"fit_one_vs_rest", "fit_one_vs_one", "fit_linear_classifier", "prep_scaling_effect"}
+SLOW = {"prep_scaling_effect"}
 
 
 def _norm(v):
