@@ -6,6 +6,8 @@ closed-form ones do."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -13,7 +15,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from foldsafe.functions.keys import sql_seeded_hash
-from foldsafe.operators import curves as CV, learners as LR, linear as LN
+from foldsafe.operators import curves as CV, forest as FR, learners as LR, linear as LN
 from foldsafe.operators.joins import rbf_features
 from foldsafe.operators.metrics import regression_aggs
 from foldsafe.operators.positions import hash_positions
@@ -22,7 +24,7 @@ from foldsafe.operators.splits import fold_kfold_shuffled, fold_stratified, spli
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, districts
 from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
-from foldsafe.session import read_table
+from foldsafe.session import read_table, scratch_path
 
 
 def _split_imputed(spark, sf):
@@ -94,6 +96,24 @@ def q_l4(spark, sf):
     return _fit_eval(spark, sf, LR.regressor("forest", numTrees=50, maxDepth=8))
 
 
+@register("fit_forest_classifier")
+def q_l4_binary(spark, sf):
+    """L4 for two classes: held-out probability of a purchase, from the leaves' class shares."""
+    d = split_random(_event_vectors(spark, sf), "event_id", 0.2, 42)
+    nodes = FR.fit_forest_classifier(d.where("is_test = 0"), "x", "label", scratch_path(spark, f"forest-{uuid.uuid4().hex}"))
+    sc = FR.score_forest(d.where("is_test = 1").select("event_id", "label", "x"), nodes, "x")
+    return sc.select("event_id", "label", F.round(F.col("proba")[1], 6).alias("proba"), "pred")
+
+
+@register("fit_forest_multiclass")
+def q_l4_classes(spark, sf):
+    """L4 for many classes: held-out class by the trees' votes and by mean probability."""
+    d = _class_vectors(spark, sf)
+    nodes = FR.fit_forest_classifier(d.where("is_test = 0"), "embedding", "label", scratch_path(spark, f"forest-{uuid.uuid4().hex}"))
+    sc = FR.score_forest(d.where("is_test = 1").select("vec_id", "label", "embedding"), nodes, "embedding")
+    return sc.select("vec_id", "label", "pred", "pred_vote", F.element_at("votes", F.col("pred_vote") + 1).alias("votes"))
+
+
 @register("fit_boosted")
 def q_l5(spark, sf):
     return _fit_eval(spark, sf, LR.regressor("boosted", maxIter=30, maxDepth=5))
