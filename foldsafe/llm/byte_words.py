@@ -104,15 +104,15 @@ def _group(data: np.ndarray, bounds: np.ndarray, first: int, classes: bytes) ->
     return Words(first, len(bounds) - 1, data, hashes, row, start, end, joined)
 
 
-def words_of(column: pa.Array, classes: bytes) -> Iterator[Words]:
-    """The words of a column of strings without nulls, in groups of whole texts of about _GROUP bytes."""
+def words_of(column: pa.Array, classes: bytes, group: int = _GROUP) -> Iterator[Words]:
+    """The words of a column of strings without nulls, in groups of whole texts of about ``group`` bytes."""
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
     buffer = column.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.empty(0, np.uint8)
     i = 0
     while i < len(column):
-        j = int(np.searchsorted(offsets, offsets[i] + _GROUP, "right")) - 1
+        j = int(np.searchsorted(offsets, offsets[i] + group, "right")) - 1
         j = min(max(j, i + 1), len(column))
         bounds = offsets[i: j + 1] - offsets[i]
         yield _group(data[offsets[i]: offsets[j]], bounds, i, classes)

@@ -33,6 +33,8 @@ MAX_BITS = 28
 _PAGE = 16
 # Occurrences that a task sums before it hands them over; phrases that it remembers to have spelled.
 _HELD, _SPELLED = 1 << 21, 1 << 19
+# Bytes of texts whose phrases are worked on together.
+_TEXT_BYTES = 1 << 21
 
 
 class Phrases:
@@ -92,7 +94,7 @@ def _counts(docs: DataFrame, longest: int, proposed=None, known=None) -> DataFra
     def run(batches):
         parts, held = [], 0
         for batch in batches:
-            for w in words_of(batch.column(1), classes):
+            for w in words_of(batch.column(1), classes, _TEXT_BYTES):
                 seeds = _starts(batch.column(0), w)
                 if known is None:
                     values, which = np.unique(seeds, return_inverse=True)
@@ -183,7 +185,7 @@ def _spelled(docs: DataFrame, longest: int, members) -> DataFrame:
     def run(batches):
         seen = np.empty(0, _U)
         for batch in batches:
-            for w in words_of(batch.column(1), classes):
+            for w in words_of(batch.column(1), classes, _TEXT_BYTES):
                 seeds = _starts(batch.column(0), w)
                 for k, at, hashes, _ in _occurrences(w, seeds, longest, members.value, None):
                     if k == 1:

@@ -21,12 +21,11 @@ def pieces(text):
 
 def test_words_are_those_of_the_patterns(monkeypatch):
     monkeypatch.setattr(byte_words, "_CHUNK", 7)
-    monkeypatch.setattr(byte_words, "_GROUP", 40)
     draw, hashes = random.Random(1), {}
     for _ in range(200):
         texts = ["".join(draw.choice("aB é.\n \tçZ世") for _ in range(draw.choice([0, 0, 3, 10, 60]))) for _ in range(draw.randint(0, 6))]
         got = [[] for _ in texts]
-        for w in byte_words.words_of(pa.array(["x", *texts], pa.string())[1:], CLASSES):
+        for w in byte_words.words_of(pa.array(["x", *texts], pa.string())[1:], CLASSES, group=40):
             for i, row in enumerate(w.row):
                 got[w.first + row].append((w.text(i).decode(), bool(w.joined[i])))
                 assert hashes.setdefault(w.text(i), w.hashes[i]) == w.hashes[i]
