@@ -171,8 +171,8 @@ def frequent(docs: DataFrame, min_count: int, longest: int) -> DataFrame:
         earlier, sent = sent, bits.sent(spark)
 
 
-def _spelled(docs: DataFrame, longest: int, members) -> DataFrame:
-    """``hash, lang, phrase, size, empty, spans`` of phrases of two words and more among ``members``, each once.
+def _spelled(docs: DataFrame, longest: int, members, wanted) -> DataFrame:
+    """``hash, lang, phrase, size, empty, spans`` of phrases of two words and more of ``members`` that are ``wanted``, each once.
 
     ``empty`` is the hash of the language's empty phrase, ``spans`` are those of the
     phrase's runs of words, by first word, then length.
@@ -190,7 +190,7 @@ def _spelled(docs: DataFrame, longest: int, members) -> DataFrame:
                 for k, at, hashes, _ in _occurrences(w, seeds, longest, members.value, None):
                     if k == 1:
                         continue
-                    inside = members.value.holds(hashes)
+                    inside = wanted.value.holds(hashes)
                     new, first = np.unique(hashes[inside], return_index=True)
                     places = at[inside][first]
                     unseen = ~np.isin(new, seen, assume_unique=True)
@@ -244,8 +244,15 @@ def collocations(docs: DataFrame, min_count: int = 30, longest: int = 4, per_lan
     found = frequent(d, min_count, longest)
     bits = _Bits.sized(found).add(found)
     members = bits.sent(d.sparkSession)
-    spelled = written(_spelled(d.select("seed", "text", "lang"), longest, members).join(found.withColumnRenamed("n", "a"), "hash"), "spelled")
+    # most phrases occur in the sample, where few tasks meet each; the others are looked for everywhere
+    columns = ["seed", "text", "lang"]
+    early = written(_spelled(d.where("part = 0").select(columns), longest, members, members).join(found.select("hash"), "hash"), "spelled")
+    left = found.select("hash").join(early, "hash", "left_anti")
+    wanted = _Bits.sized(left).add(left).sent(d.sparkSession)
+    late = _spelled(d.select(columns), longest, members, wanted).join(written(left, "left"), "hash")
+    spelled = written(early.union(late.select(early.columns)).dropDuplicates(["hash"]).join(found.withColumnRenamed("n", "a"), "hash"), "spelled")
     members.destroy()
+    wanted.destroy()
 
     def at(position):
         return F.col("spans")[F.lit(position - 1)]
