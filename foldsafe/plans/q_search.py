@@ -11,6 +11,7 @@ from foldsafe.operators.broadcast import bounded
 
 from foldsafe.functions.keys import sql_seeded_hash
 from foldsafe.operators import search as SR
+from foldsafe.operators import tree_search as TS
 from foldsafe.operators.joins import anti_resume, interval_overlap, paired_delta
 from foldsafe.operators.metrics import t_quantile_expr, t_quantile_sql
 from foldsafe.operators.splits import fold_kfold_shuffled, split_random
@@ -104,6 +105,64 @@ def q_search_ridge(spark, sf):
     return log.select("cand_key", F.round("cv_rmse", 6).alias("cv_rmse"), F.round("cv_std", 6).alias("cv_std"), "n_folds")
 
 
+# The search spaces of the tree learners; targets are counted in hundredths of the price.
+TREE_FEATURES = ["acctbal", "doy", "year", "nation"]
+TREE_UNIT, TREE_BINS = 1e-7, 16
+TREE_SPACE = [(depth, leaf) for leaf in (5, 100) for depth in (1, 2, 3)]
+ENSEMBLES = [TS.Candidate("forest:depth 3", "forest", 3, 5, trees=8, max_features=0.5), TS.Candidate("forest:depth 5", "forest", 5, 20, trees=8, max_features=0.5),
+             *[TS.Candidate(f"boosted:{rate}:{share}", "boosted", 3, 20, trees=6, rate=rate, subsample=share) for rate in (0.05, 0.2) for share in (0.7, 1.0)]]
+
+
+def _tree_level_sql(level: int) -> str:
+    """CTEs: the nodes' values ``v`` at this level, their best cuts, and the rows' nodes at the next level."""
+    return f"""
+h{level} AS (SELECT f, leaf, node, feature, bins[feature] AS bin, count(*) AS n, CAST(sum(q) AS BIGINT) AS s
+       FROM n{level}, (SELECT unnest(range(1, {len(TREE_FEATURES) + 1})) AS feature) WHERE fold <> f GROUP BY ALL),
+v{level} AS (SELECT f, leaf, node, sum(s) / sum(n) AS value FROM h{level} WHERE feature = 1 GROUP BY ALL),
+c{level} AS (SELECT f, leaf, node, feature, bin, CAST(sum(n) OVER w AS DOUBLE) AS nl, CAST(sum(s) OVER w AS DOUBLE) AS sl,
+              CAST(sum(n) OVER t AS DOUBLE) AS nt, CAST(sum(s) OVER t AS DOUBLE) AS st FROM h{level}
+       WINDOW t AS (PARTITION BY f, leaf, node, feature), w AS (PARTITION BY f, leaf, node, feature ORDER BY bin)),
+g{level} AS (SELECT *, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) AS gain FROM c{level} WHERE nl >= leaf AND nt - nl >= leaf),
+s{level} AS (SELECT f, leaf, node, arg_max((feature, bin), (gain, -feature, -bin)) AS best FROM g{level}
+       WHERE gain > st * st / nt * (1 + 1e-12) GROUP BY ALL),
+n{level + 1} AS (SELECT n.* REPLACE (CASE WHEN best IS NULL THEN node ELSE 2 * node + CAST(bins[best[1]] > best[2] AS INTEGER) END AS node)
+       FROM n{level} n LEFT JOIN s{level} USING (f, leaf, node))"""
+
+
+def _tree_bin_sql(feature: str) -> str:
+    cuts = ", ".join(f"quantile_disc(CAST({feature} AS DOUBLE), {i / TREE_BINS!r})" for i in range(1, TREE_BINS))
+    return f"(SELECT list_distinct([{cuts}]) FROM districts) AS e_{feature}"
+
+
+TREE_SQL = f"""{SQL_DISTRICTS}, {kfold_sql('districts', 'row_id', 5, 42)},
+e AS (SELECT {', '.join(map(_tree_bin_sql, TREE_FEATURES))}),
+b AS (SELECT fold, CAST(round_even(target / {TREE_UNIT!r}, 0) AS BIGINT) AS q,
+             [{', '.join(f"CASE WHEN {f} IS NULL THEN 0 ELSE 1 + len(list_filter(e_{f}, lambda x: CAST({f} AS DOUBLE) > x)) END" for f in TREE_FEATURES)}] AS bins FROM districts_kf, e),
+n0 AS (SELECT f, leaf, fold, q, bins, 1 AS node FROM b, (SELECT unnest(range(5)) AS f), (VALUES {', '.join(f'({leaf})' for leaf in sorted({leaf for _, leaf in TREE_SPACE}))}) l(leaf)),
+{','.join(_tree_level_sql(i) for i in range(4)).strip()},
+fs AS ({' UNION ALL '.join(f"""SELECT 'tree:{d}:' || leaf AS cand_key, CAST(f AS INTEGER) AS fold, sqrt(avg(((q - value) * {TREE_UNIT!r}) ^ 2)) AS rmse, count(*) AS n
+       FROM n{d} JOIN v{d} USING (f, leaf, node) WHERE fold = f GROUP BY ALL""" for d in (1, 2, 3))})"""
+
+
+def _tree_scores(spark, sf, cands):
+    d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
+    return TS.search_trees(d, cands, TREE_FEATURES, "row_id", "fold", "target", TREE_UNIT, TREE_BINS)
+
+
+@register("search_trees", f"WITH {TREE_SQL} SELECT cand_key, fold, round(rmse, 6) AS rmse, n FROM fs")
+def q_search_trees(spark, sf):
+    """M1 over fitted trees: every candidate on every fold from one histogram table a level."""
+    cands = [TS.Candidate(f"tree:{depth}:{leaf}", "tree", depth, leaf) for depth, leaf in TREE_SPACE]
+    return _tree_scores(spark, sf, cands).select("cand_key", "fold", F.round("rmse", 6).alias("rmse"), "n")
+
+
+@register("search_ensembles")
+def q_search_ensembles(spark, sf):
+    """M1, M4 over forests and boosting: mean and spread of every candidate's folds, with its rank."""
+    log = SR.log_candidates(_tree_scores(spark, sf, ENSEMBLES))
+    return log.select("cand_key", F.round("cv_rmse", 6).alias("cv_rmse"), F.round("cv_std", 6).alias("cv_std"), "n_folds", "rank")
+
+
 @register("search_log_candidates", f"""WITH {GRID_SQL}
 SELECT cand_key, round(cv_rmse, 6) AS cv_rmse, round(cv_std, 6) AS cv_std, n_folds,
        CAST(rank() OVER (ORDER BY round(cv_rmse, 9)) AS INTEGER) AS rank FROM lg""")
