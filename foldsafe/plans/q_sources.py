@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from foldsafe.functions.scalars import category_index, quantize_vector
 from foldsafe.sources import archives as AR
 from foldsafe.sources import files as FS
+from foldsafe.sources import registry as RG
+from foldsafe.operators.broadcast import bounded
 from foldsafe.operators.splits import split_random
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, SQL_RUNS, districts, runs
@@ -107,28 +109,54 @@ def q_a6(spark, sf):
 SELECT kernel AS experiment, count(*) AS n_runs, CAST(count_if(status = 'FINISHED') AS BIGINT) AS n_finished, round(sum(seconds), 4) AS seconds
 FROM runs GROUP BY kernel""")
 def q_a7(spark, sf):
-    path = _out(spark, sf, "registry")
-    r = runs(spark, sf).withColumn("experiment", F.col("kernel"))
-    r.limit(0).write.mode("overwrite").partitionBy("experiment").parquet(path)   # fresh registry
-    FS.append_registry(r.where(F.hour("ts") < 12), path)
-    FS.append_registry(r.where(F.hour("ts") >= 12), path)
-    reg = spark.read.parquet(path)
-    return reg.groupBy("experiment").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("status") == "FINISHED").alias("n_finished"),
-                                         F.round(F.sum("seconds"), 4).alias("seconds"))
+    reg = _logged_searches(spark, sf)
+    nested = reg.read().where("parent_run_id is not null")
+    return nested.groupBy("experiment").agg(F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("status") == "FINISHED").alias("n_finished"),
+                                            F.round(F.sum(F.col("metrics")["seconds"]), 4).alias("seconds"))
+
+
+def _logged_searches(spark, sf) -> RG.Registry:
+    """Every search as a run of its own, its candidates as nested runs, in a registry of this call."""
+    reg = RG.Registry(spark, _out(spark, sf, f"registry-{uuid.uuid4().hex}"))
+    r = runs(spark, sf).withColumn("search", F.concat_ws(":", "kernel", "search_id"))
+    reg.append(RG.as_runs(r, F.col("kernel"), F.col("run_id"), F.col("status"), ["c", "gamma"], ["cv_rmse", "seconds"], F.col("search")))
+    whole = r.groupBy("kernel", "search").agg(F.min("cv_rmse").alias("cv_rmse"), F.sum("seconds").alias("seconds"), F.count(F.lit(1)).alias("n_candidates"),
+                                              F.bool_and(F.col("status") == "FINISHED").alias("all"))
+    status = F.when(F.col("all"), "FINISHED").otherwise("FAILED")
+    reg.append(RG.as_runs(whole, F.col("kernel"), F.col("search"), status, ["n_candidates"], ["cv_rmse", "seconds"]))
+    return reg
+
+
+@register("registry_best_runs", f"""WITH {SQL_RUNS},
+p AS (SELECT kernel, kernel || ':' || search_id AS run_id, bool_and(status = 'FINISHED') AS fin, min(cv_rmse) AS best, count(*) AS n_candidates FROM runs GROUP BY ALL),
+b AS (SELECT kernel, arg_min(run_id, (best, run_id)) AS run_id, min(best) AS cv_rmse, count(*) AS n_runs FROM p WHERE fin AND best IS NOT NULL GROUP BY kernel),
+k AS (SELECT kernel, kernel || ':' || search_id AS run_id, arg_min(CAST(run_id AS VARCHAR), (cv_rmse, CAST(run_id AS VARCHAR))) AS candidate FROM runs
+      WHERE status = 'FINISHED' AND cv_rmse IS NOT NULL GROUP BY ALL)
+SELECT b.kernel AS experiment, run_id, round(cv_rmse, 6) AS cv_rmse, n_runs, n_candidates, candidate, c
+FROM b JOIN p USING (kernel, run_id) JOIN k USING (kernel, run_id) JOIN (SELECT CAST(run_id AS VARCHAR) AS candidate, c FROM runs) USING (candidate)""")
+def q_registry_best(spark, sf):
+    """C3 on nested runs: the best search of each experiment, its candidates apart, and the best candidate in it."""
+    log = _logged_searches(spark, sf).read()
+    best = RG.best_runs(log, "cv_rmse").withColumn("n_candidates", F.col("params")["n_candidates"].cast("long")).drop("parent_run_id", "params")
+    inner = log.join(bounded(best.select(F.col("run_id").alias("parent_run_id"))), "parent_run_id", "left_semi")
+    cand = RG.best_runs(inner, "cv_rmse", nested=True)
+    c = F.try_element_at("params", F.lit("c")).cast("double")
+    return best.join(cand.select("experiment", F.col("run_id").alias("candidate"), c.alias("c")), "experiment").select(
+        "experiment", "run_id", F.round("cv_rmse", 6).alias("cv_rmse"), "n_runs", "n_candidates", "candidate", "c")
 
 
 @register("sink_atomic_state", f"""WITH {SQL_RUNS}
 SELECT kernel, count(*) AS n, round(min(cv_rmse), 6) AS best FROM runs GROUP BY kernel""")
 def q_a8(spark, sf):
-    """Candidates are committed in batches (one append per candidate kind);
-    the state read back is exactly the union of the committed batches."""
-    path = _out(spark, sf, "state")
-    r = runs(spark, sf).withColumn("experiment", F.lit("state"))
-    r.limit(0).write.mode("overwrite").partitionBy("experiment").parquet(path)
-    for k in [x[0] for x in r.select("kernel").distinct().collect()]:      # bounded: candidate kinds
-        FS.append_registry(r.where(F.col("kernel") == k), path)
-    st = spark.read.parquet(path)
-    return st.groupBy("kernel").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("cv_rmse"), 6).alias("best"))
+    """Candidates are committed in batches; after a restart the state is read, only the
+    candidates that it lacks are added, and the whole is put in its place as one commit."""
+    path, schema = _out(spark, sf, f"state-{uuid.uuid4().hex}"), "kernel string, run_id long, cv_rmse double"
+    r = runs(spark, sf)
+    RG.Registry(spark, path, schema).append(r.where(F.crc32("kernel") % 2 == 0))
+    state = RG.Registry(spark, path, schema)
+    version = state.append(r.join(bounded(state.read().select("kernel").distinct()), "kernel", "left_anti"))
+    state.replace(state.read(version), version)
+    return state.read().groupBy("kernel").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("cv_rmse"), 6).alias("best"))
 
 
 @register("sink_row_arrays", f"""WITH {SQL_DISTRICTS}
