@@ -6,6 +6,7 @@ file stream really runs in several micro-batches."""
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -89,3 +90,27 @@ def q_o3(spark, sf):
     ref, lo, hi = _ref_hist(spark, sf)
     d = MON.stream_drift(_stream(spark, sf).select("ts", "value"), ref, lo, hi, BINS, "value", "ts", delay=DELAY)
     return d.select("window_start", F.round("psi", 6).alias("psi"), "n", "alarm")
+
+
+# The arrival of late rows.  Every seventh event comes five days after its time; the feed arrives in waves of a week.
+LATE_DAYS, WAVE_DAYS, WAVES, LATE_DELAY = 5, 7, 5, 86400
+FEED_START = "2024-01-01"
+WAVE = f"least(greatest(CAST(floor((datediff(ts, DATE'{FEED_START}') + CASE WHEN event_id % 7 = 0 THEN {LATE_DAYS} ELSE 0 END) / {WAVE_DAYS}) AS INT), 0), {WAVES - 1})"
+WAVE_SQL = WAVE.replace(f"datediff(ts, DATE'{FEED_START}')", f"date_diff('day', DATE '{FEED_START}', CAST(ts AS DATE))")
+
+
+@register("stream_late_rows", f"""WITH a AS (SELECT event_type, ts, date_trunc('day', ts) AS w, {WAVE_SQL} AS wave FROM events),
+m AS (SELECT wave, max(floor(epoch(max(ts)))) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a GROUP BY wave),
+s AS (SELECT a.*, coalesce(epoch(w) + 86400 <= seen - {LATE_DELAY}, false) AS late FROM a JOIN m USING (wave))
+SELECT strftime(w, '%Y-%m-%d') AS window_start, event_type, CAST(count_if(NOT late) AS BIGINT) AS n, CAST(count_if(late) AS BIGINT) AS n_late FROM s GROUP BY ALL""")
+def q_late(spark, sf):
+    """O2 with late rows: the feed comes in waves, the job is started anew for each and goes on where it stopped."""
+    run = uuid.uuid4().hex
+    feed = scratch_path(spark, f"feed-{run}")
+    e = read_table(spark, sf, "events").select("event_id", "event_type", "ts").withColumn("wave", F.expr(WAVE))
+    for wave in range(WAVES):
+        e.where(F.col("wave") == wave).drop("wave").write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(e.drop("wave").schema).parquet(feed)
+        on_time, late = MON.split_late(stream, "ts", 86400, LATE_DELAY, run)
+    c = MON.late_counts(on_time, late, ["event_type"])
+    return c.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "event_type", "n", "n_late")

@@ -8,6 +8,9 @@ dropped), and ``foreachBatch`` writes each micro-batch's updated rows tagged
 with the batch id: a replayed batch rewrites only its own folder, and the
 final value of a window is its row from the latest batch.
 
+Rows that come after the watermark are not lost: :func:`split_late` keeps them in a
+table of their own, so that rows on time and late rows are together all rows.
+
 Fitted constants (per-type baselines, the training histogram) are static
 tables bounded by the number of types / bins, joined stream-static.
 """
@@ -104,3 +107,47 @@ def stream_drift(stream: DataFrame, ref_shares: DataFrame, lo: float, hi: float,
     q = F.greatest(F.col("q"), F.lit(PSI_EPS))
     psi = full.groupBy("window_start").agg(F.sum((p - q) * F.log(p / q)).alias("psi"), F.sum("n").alias("n"))
     return psi.withColumn("alarm", (F.col("psi") > F.lit(threshold)).cast("int"))
+
+
+def split_late(stream: DataFrame, ts: str, window_seconds: int, delay_seconds: int, run_id: str, name: str = "late") -> tuple[DataFrame, DataFrame]:
+    """The arriving rows on time and the late ones, as two tables with ``window_start``.
+
+    A row is late if its window had ended by the watermark: the greatest time of the
+    batches before its own, less the delay.  That greatest time is written with every
+    batch, so a restarted job goes on with it and a batch that is run again, which
+    rewrites its own folders, splits its rows as before.  Rows without a time belong to no
+    window and stand with the late ones.  Reusing ``run_id`` reads only what is new; two jobs need ids of their own.
+    """
+    spark = stream.sparkSession
+    root, ckpt = scratch_path(spark, f"stream-out/{name}-{run_id}"), scratch_path(spark, f"stream-ckpt/{name}-{run_id}")
+    width = F.lit(window_seconds)
+    at = F.unix_seconds(F.col(ts).cast("timestamp"))
+    rows = stream.withColumn("window_start", F.timestamp_seconds(F.floor(at / width) * width))
+    tables = {"on_time": rows.schema, "late": rows.schema, "marks": "greatest long"}
+    for t, schema in tables.items():
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(os.path.join(root, t, "batch=-1"))
+
+    def read(t: str) -> DataFrame:
+        return spark.read.schema(tables[t]).option("basePath", os.path.join(root, t)).parquet(os.path.join(root, t))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = spark.read.parquet(os.path.join(root, "marks")).where(F.col("batch") < batch_id).agg(F.max("greatest")).first()[0]
+        late = F.col("window_start").isNull()
+        if seen is not None:
+            late = late | (F.unix_seconds("window_start") + width <= F.lit(seen - delay_seconds))
+        batch = batch.persist()
+        try:
+            for t, part in (("late", batch.where(late)), ("on_time", batch.where(~late)), ("marks", batch.agg(F.max(at).alias("greatest")))):
+                part.write.mode("overwrite").parquet(os.path.join(root, t, f"batch={batch_id}"))
+        finally:
+            batch.unpersist()
+
+    q = rows.writeStream.option("checkpointLocation", ckpt).foreachBatch(write).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return read("on_time"), read("late")
+
+
+def late_counts(on_time: DataFrame, late: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per window and key the rows on time and the late ones, every window of either."""
+    both = on_time.select("window_start", *keys, F.lit(0).alias("__late")).unionByName(late.select("window_start", *keys, F.lit(1).alias("__late")))
+    return both.groupBy("window_start", *keys).agg(F.count_if(F.col("__late") == 0).alias("n"), F.count_if(F.col("__late") == 1).alias("n_late"))
