@@ -3,13 +3,18 @@ single-pass fold statistics."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from foldsafe.operators import geo as G
 from foldsafe.operators import prep as P
 from foldsafe.operators.splits import fold_kfold_shuffled, split_random
 from foldsafe.plans.catalog import register
 from foldsafe.plans.frames import SQL_DISTRICTS, districts
 from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
+from foldsafe.functions.keys import sql_seeded_hash
+from foldsafe.session import read_table, scratch_path
 
 SPLIT = f"WITH {SQL_DISTRICTS}, {random_split_sql('districts', 'row_id', 0.2, 42)}"
 
@@ -144,3 +149,54 @@ FROM (SELECT DISTINCT fold FROM districts_kf) f JOIN districts_kf d ON d.fold <>
 def q_fold_medians(spark, sf):
     d = fold_kfold_shuffled(districts(spark, sf), "row_id", 5, 42)
     return P.fold_medians(d, ["acctbal"], "fold", 5).select("fold", "column", F.round("median", 6).alias("median"))
+
+
+# The geographic branch over the first two components, weighted by label + 1.
+GEO_K, GEO_GAMMA, GEO_STEPS, GEO_UNIT = 4, 50.0, 6, 1e-6
+
+
+def _geo_step_sql(i: int) -> str:
+    return f"""
+a{i} AS (SELECT f, vec_id, w, u0, u1, arg_min(centre, ((u0 - c0) * (u0 - c0) + (u1 - c1) * (u1 - c1), centre)) AS centre FROM u JOIN c{i} ON fold <> f GROUP BY ALL),
+s{i} AS (SELECT f, centre, sum(w) AS sw, CAST(sum(w * u0) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS m0, CAST(sum(w * u1) AS DOUBLE) / CAST(sum(w) AS DOUBLE) AS m1
+       FROM a{i} GROUP BY ALL),
+c{i + 1} AS (SELECT f, centre, coalesce(m0, c0) AS c0, coalesce(m1, c1) AS c1, CAST(coalesce(s{i}.sw, 0) AS BIGINT) AS sw FROM c{i} LEFT JOIN s{i} USING (f, centre))"""
+
+
+GEO_SQL = f"""g AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS lon, CAST(label + 1 AS BIGINT) AS w FROM embeddings),
+{kfold_sql('g', 'vec_id', 5, 42)},
+u AS (SELECT vec_id, fold, w, CAST(round_even(lat / {GEO_UNIT!r}, 0) AS BIGINT) AS u0, CAST(round_even(lon / {GEO_UNIT!r}, 0) AS BIGINT) AS u1 FROM g_kf),
+i0 AS (SELECT f, u0, u1, min(row({sql_seeded_hash('vec_id', 42)}, vec_id)) AS h FROM u JOIN (SELECT CAST(unnest(range(5)) AS INTEGER) AS f) ON fold <> f GROUP BY ALL),
+c0 AS (SELECT f, CAST(row_number() OVER (PARTITION BY f ORDER BY h) - 1 AS INTEGER) AS centre, CAST(u0 AS DOUBLE) AS c0, CAST(u1 AS DOUBLE) AS c1
+       FROM i0 QUALIFY centre < {GEO_K}),
+{','.join(map(_geo_step_sql, range(GEO_STEPS))).strip()}"""
+
+
+def _geo(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    d = e.select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("lat"), F.get("embedding", F.lit(1)).cast("double").alias("lon"),
+                 (F.col("label") + 1).cast("long").alias("w"))
+    d = fold_kfold_shuffled(d, "vec_id", 5, 42)
+    return d, G.fit_geo(d, ["lat", "lon"], "vec_id", GEO_K, GEO_GAMMA, "w", "fold", GEO_UNIT, GEO_STEPS)
+
+
+@register("export_geo_spec", f"""WITH {GEO_SQL}
+SELECT f AS fold, centre, 'cluster_' || centre || '_similarity' AS name, c0 * {GEO_UNIT!r} AS lat, c1 * {GEO_UNIT!r} AS lon, sw AS weight,
+       CAST({GEO_GAMMA!r} AS DOUBLE) AS gamma FROM c{GEO_STEPS}""")
+def q_geo_spec(spark, sf):
+    """N4, the geographic branch: centres in full precision, weights, gamma and output names of every training part."""
+    s = _geo(spark, sf)[1]
+    return s.select("fold", "centre", "name", F.col("place")[0].alias("lat"), F.col("place")[1].alias("lon"), "weight", "gamma")
+
+
+@register("prep_geo_similarity", f"""WITH {GEO_SQL}
+SELECT vec_id, g_kf.fold, name, round(exp(-CAST({GEO_GAMMA!r} AS DOUBLE) * ((lat - x) * (lat - x) + (lon - y) * (lon - y))), 6) AS similarity
+FROM g_kf JOIN (SELECT f, 'cluster_' || centre || '_similarity' AS name, c0 * {GEO_UNIT!r} AS x, c1 * {GEO_UNIT!r} AS y FROM c{GEO_STEPS}) c ON c.f = g_kf.fold""")
+def q_geo_similarity(spark, sf):
+    """Every row's similarity to centres fitted without its fold, by the spec as written and read back."""
+    d, spec = _geo(spark, sf)
+    path = scratch_path(spark, f"geo-spec-{uuid.uuid4().hex}")
+    spec.write.parquet(path)
+    out = G.geo_similarity(d, ["lat", "lon"], spark.read.schema(G.SPEC_SCHEMA).parquet(path), "fold")
+    out = out.select("vec_id", "fold", F.posexplode("similarity").alias("i", "similarity"))
+    return out.select("vec_id", "fold", F.concat(F.lit("cluster_"), "i", F.lit("_similarity")).alias("name"), F.round("similarity", 6).alias("similarity"))
