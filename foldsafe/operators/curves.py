@@ -2,9 +2,9 @@
 
 The PR/ROC curves need running counts over all distinct scores.  An
 unpartitioned window would pull every score into one task, so the running
-sum is two-level (F4): distinct scores are cut into ranges by approximate
-quantiles, per-range totals (a tiny table) are cumulated to offsets, and the
-window runs per range.  The result does not depend on the cut points.
+sum is two-level (F4): distinct scores are cut into ranges whose number
+follows theirs (``ranges``), per-range totals are cumulated to offsets, and
+the window runs per range.  The result does not depend on the cut points.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from foldsafe.operators.positions import quantile_bucket
+from foldsafe.operators.ranges import ROWS_PER_RANGE, Key, elastic_ranges
 
 
 def class_labels(df: DataFrame, cols: Sequence[str], max_labels: int = 10000) -> list:
@@ -56,20 +56,20 @@ def score_table(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -
         F.sum((1 - F.col(label).cast("long"))).alias("neg"))
 
 
-def suffix_counts(st: DataFrame, n_ranges: int = 64) -> DataFrame:
+def suffix_counts(st: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """for every distinct score, positives and negatives with score >= it
     (``tp``, ``fp``) and the totals P, N — a distributed suffix sum."""
-    rid = quantile_bucket(st, "score", n_ranges)
-    d = st.withColumn("__rid", rid)
+    order = Key("score", descending=True)
+    d = elastic_ranges(st, [], [order], "__rid", rows_per_range)
     tot = d.groupBy("__rid").agg(F.sum("pos").alias("__rp"), F.sum("neg").alias("__rn"))
-    wdesc = Window.orderBy(F.desc("__rid")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy("__rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wall = Window.partitionBy(F.lit(1))
-    tot = (tot.withColumn("__op", F.sum("__rp").over(wdesc) - F.col("__rp"))
-              .withColumn("__on", F.sum("__rn").over(wdesc) - F.col("__rn"))
+    tot = (tot.withColumn("__op", F.sum("__rp").over(before) - F.col("__rp"))
+              .withColumn("__on", F.sum("__rn").over(before) - F.col("__rn"))
               .withColumn("P", F.sum("__rp").over(wall)).withColumn("N", F.sum("__rn").over(wall))
               .drop("__rp", "__rn"))
-    d = d.join(F.broadcast(tot), "__rid")           # one row per range: bounded by n_ranges
-    w = Window.partitionBy("__rid").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.join(tot, "__rid")
+    w = Window.partitionBy("__rid").orderBy(order.sort()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (d.withColumn("tp", F.col("__op") + F.sum("pos").over(w))
              .withColumn("fp", F.col("__on") + F.sum("neg").over(w))
              .drop("__rid", "__op", "__on"))

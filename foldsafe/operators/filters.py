@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foldsafe.operators.positions import group_rank, quantile_bucket, running_sum, topk_per_group
+from foldsafe.operators.positions import group_rank, ordered_sum, topk_per_group
+from foldsafe.operators.ranges import ROWS_PER_RANGE
 
 
 def first_n_per_cell(df: DataFrame, cells: Sequence[tuple], real: str, pred: str, order: str, n: int) -> DataFrame:
@@ -59,12 +60,12 @@ def rank_candidates(df: DataFrame, score: str, by: Sequence[str] = ("search_id",
 
 
 def budget_cutoff(df: DataFrame, cost: str, cap: float, by: Sequence[str] = ("search_id",), order: str | None = None,
-                  n_dearest: int = 5, key: str = "run_id") -> DataFrame:
+                  n_dearest: int = 5, key: str = "run_id", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """candidates cheapest first; running projected clock; whether the
     candidate still fits the cap; the n dearest flagged.  Both the running sum
     and the top-n are two-level (hot searches are split)."""
     order = order or cost
-    d = running_sum(df, list(by), [F.col(order).asc(), F.col(key).asc()], cost, quantile_bucket(df, order), "clock")
+    d = ordered_sum(df, list(by), [order, key], cost, "clock", rows_per_range)
     d = d.withColumn("inside_cap", (F.col("clock") <= F.lit(cap)).cast("int"))
     dear = topk_per_group(df.select(*by, key, cost), list(by), [F.col(cost).desc(), F.col(key).asc()], n_dearest, out="dear_rank")
     d = d.join(dear.select(*by, key, "dear_rank"), [*by, key], "left")

@@ -5,7 +5,8 @@ row to one task.  Here the order key is first cut into B monotone buckets
 (the top bits of a uniform hash, or approximate quantiles of any other
 key); a tiny (groups x B) table of bucket counts gives each bucket its
 offset; the final ``row_number`` runs per (group, bucket), so a hot group
-is spread over B tasks.  The position does not depend on B.
+is spread over B tasks.  The position does not depend on B.  Orders by given
+columns are cut into ranges whose number follows the rows (``ranges``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foldsafe.functions.keys import seeded_hash
+from foldsafe.operators.ranges import ROWS_PER_RANGE, as_keys, elastic_ranges
 
 DEFAULT_BUCKET_BITS = 12
 
@@ -84,12 +86,22 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 256,
     return F.when(x.isNull(), F.lit(len(pts) + 1)).otherwise(F.size(F.filter(arr, lambda p: p <= x)))
 
 
-def ordered_positions(df: DataFrame, order_col: str, group_cols: Sequence[str] = (),
-                      out: str = "pos", total_out: str | None = None,
-                      n_buckets: int = 256) -> DataFrame:
-    """Positions in the order of an explicit (unique) key such as a row id."""
-    bucket = quantile_bucket(df, order_col, n_buckets)
-    return positions(df, [order_col], bucket, group_cols, out, total_out)
+def ordered_positions(df: DataFrame, order: Sequence | str, group_cols: Sequence[str] = (),
+                      out: str = "pos", total_out: str | None = None, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Positions in the order of explicit columns (names or ``Key``) that
+    together are unique, such as a row id."""
+    keys = as_keys([order] if isinstance(order, str) else order)
+    d = elastic_ranges(df, group_cols, keys, "__range", rows_per_range)
+    return positions(d, [k.sort() for k in keys], F.col("__range"), group_cols, out, total_out).drop("__range")
+
+
+def ordered_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence, value, out: str = "running",
+                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """:func:`running_sum` in the order of explicit columns (names or ``Key``)
+    that together are unique in a group."""
+    keys = as_keys(order)
+    d = elastic_ranges(df, group_cols, keys, "__range", rows_per_range)
+    return running_sum(d, group_cols, [k.sort() for k in keys], value, F.col("__range"), out).drop("__range")
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence, value, bucket: Column,
@@ -111,13 +123,13 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
 
 
 def group_rank(df: DataFrame, group_cols: Sequence[str], score: str, out: str = "rank",
-               n_buckets: int = 64) -> DataFrame:
+               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """``rank()`` ascending within groups (ties share the lowest rank) without
     one task per group: counts per distinct (group, score), a two-level running
     count over them, joined back."""
     group_cols = list(group_cols)
     cnt = df.groupBy(*group_cols, score).agg(F.count(F.lit(1)).alias("__c"))
-    cum = running_sum(cnt, group_cols, [F.asc_nulls_first(score)], "__c", quantile_bucket(cnt, score, n_buckets), "__cum")
+    cum = ordered_sum(cnt, group_cols, [score], "__c", "__cum", rows_per_range)
     cum = cum.select(*group_cols, score, (F.col("__cum") - F.col("__c") + 1).cast("int").alias(out))
     return _null_safe_join(df, cum, [*group_cols, score])
 

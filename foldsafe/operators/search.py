@@ -155,11 +155,11 @@ def project_costs(measured: DataFrame, todo: DataFrame, cap: float, kernel: str
     from foldsafe.operators.stats import fit_cost_plane, project_cost_plane
     plane = fit_cost_plane(measured, x1, x2, y, by=[kernel])
     p = project_cost_plane(todo, plane, x1, x2, by=[kernel])
-    from foldsafe.operators.positions import quantile_bucket, running_sum
+    from foldsafe.operators.positions import ordered_sum
+    from foldsafe.operators.ranges import Key
     p = p.withColumn("skipped", (F.col("projected") > F.lit(cap)).cast("int"))
     spent = F.when(F.col("skipped") == 0, F.col("projected")).otherwise(F.lit(0.0))
-    return running_sum(p, ["search_id"], [F.asc_nulls_last("projected"), F.asc("run_id")], spent,
-                       quantile_bucket(p, "projected"), "clock")
+    return ordered_sum(p, ["search_id"], [Key("projected", nulls_last=True), "run_id"], spent, "clock")
 
 
 def close_partial(measured: DataFrame, unrun: DataFrame, by: Sequence[str] = ("search_id",)) -> DataFrame:

@@ -119,10 +119,9 @@ def q_g4(spark, sf):
 SELECT search_id, run_id, CAST(row_number() OVER (PARTITION BY search_id ORDER BY c, kernel, run_id) AS INTEGER) AS exec_order FROM runs""")
 def q_g5(spark, sf):
     """Execution order cheapest first inside each search: exact positions,
-    two-level (bucketed on C), so a hot search is not one task."""
-    from foldsafe.operators.positions import positions, quantile_bucket
-    r = runs(spark, sf)
-    p = positions(r, ["c", "kernel", "run_id"], quantile_bucket(r, "c"), ["search_id"], out="pos")
+    in ranges of the whole order, so a hot search is not one task."""
+    from foldsafe.operators.positions import ordered_positions
+    p = ordered_positions(runs(spark, sf), ["c", "kernel", "run_id"], ["search_id"], out="pos")
     return p.select("search_id", "run_id", (F.col("pos") + 1).cast("int").alias("exec_order"))
 
 
