@@ -9,8 +9,12 @@ pivot lies outside the ring.  So a query first looks into its home block, which
 bounds its k-th distance, and is then sent to those other blocks alone whose
 lower bound does not pass that.  Pivots and block statistics are bounded tables;
 blocks and the queries of a block are split by hash into groups of bounded size,
-so one dense cell is many tasks.  NumPy computes the distances of a group and
-keeps the k best per query; the final top-k is a window over these.
+so one dense cell is many tasks.  Neighbouring blocks travel as one chunk, and a
+query is sent once to a chunk, however many of its blocks it asks: where the
+bounds leave nothing out, as in many dimensions, rows are moved once per chunk
+and not once per block.  Inside a chunk, a query still meets only the blocks it
+asks.  NumPy computes the distances of a group and keeps the k best per query;
+the final top-k is a window over these.
 
 Distances are squared Euclidean in float64; ties are broken by the
 reference id (the stable "first wins" order).
@@ -34,6 +38,9 @@ QUERY_CHUNK = 512
 # References that a cell should have, and the most pivots and rings of a cell there can be.
 CELL, MAX_PIVOTS, MAX_RINGS = 1024, 1024, 64
 SAMPLE_PER_PIVOT = 8
+# Blocks' worth of references that travel as one chunk at most, for vectors of up to CHUNK_DIMS values; and how many
+# chunks there should be at least, for enough tasks.
+CHUNK_BLOCKS, CHUNK_DIMS, MIN_CHUNKS = 16, 64, 8
 
 
 def _vec_col(df: DataFrame, vec: str | Sequence[str]) -> DataFrame:
@@ -75,11 +82,24 @@ class Cells:
     def keys(self) -> np.ndarray:
         return self.cell * MAX_RINGS + self.ring
 
-    def lower_bounds(self, vectors: np.ndarray) -> np.ndarray:
-        """What each vector's distance from any reference of each block is at least."""
-        d = _distances(vectors, self.pivots)[:, self.cell]
-        slack = 1e-9 * (d + self.high) + 1e-12  # distances are rounded
-        return np.maximum(np.maximum(d - self.high, self.low - d) - slack, 0.0)
+    def lower_bounds(self, vectors: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
+        """What each vector's distance from any reference of each block (or of the blocks at ``only``) is at least."""
+        only = np.arange(len(self.cell)) if only is None else only
+        used, at = np.unique(self.cell[only], return_inverse=True)
+        d = _distances(vectors, self.pivots[used])[:, at]
+        high, low = self.high[only], self.low[only]
+        slack = 1e-9 * (d + high) + 1e-12  # distances are rounded
+        return np.maximum(np.maximum(d - high, low - d) - slack, 0.0)
+
+    def chunks(self, most: int) -> np.ndarray:
+        """Each block's chunk: neighbouring blocks, of at most ``most`` references unless one block has more."""
+        out, chunk, held = [], 0, 0
+        for n in self.size.tolist():
+            if held and held + n > most:
+                chunk, held = chunk + 1, 0
+            out.append(chunk)
+            held += n
+        return np.array(out, np.int32)
 
 
 def pivots_of(sample: np.ndarray, n: int, steps: int = 4) -> np.ndarray:
@@ -118,16 +138,18 @@ def _cells(r: DataFrame, n: int, block: int, cell: int) -> tuple[DataFrame, Cell
     return r.drop("cell", "away"), Cells(pivots, key // MAX_RINGS, low, high, size, key % MAX_RINGS)
 
 
-def _pairs(q: DataFrame, r: DataFrame, cells: Cells, block: int, schema: str, rule) -> DataFrame:
-    """The k best of each group of ``q`` (with ``block``) and ``r``; both are split into groups of bounded size."""
-    asked = {x[0]: x[1] for x in q.groupBy("block").agg(F.count(F.lit(1))).collect()}  # a row a block
-    splits = [(key, _blocks(int(n), block), _blocks(asked.get(key, 0), block)) for key, n in zip(cells.keys().tolist(), cells.size)]
-    split = F.broadcast(q.sparkSession.createDataFrame(splits, "block int, rs int, qs int"))
+def _pairs(q: DataFrame, r: DataFrame, sizes: dict[int, int], by: str, most: int, schema: str, rule) -> DataFrame:
+    """``rule`` for each group of ``q`` and ``r`` of the same ``by`` (a block or a chunk, with its references in ``sizes``);
+    both are split into groups of about ``most`` rows."""
+    asked = {x[0]: x[1] for x in q.groupBy(by).agg(F.count(F.lit(1))).collect()}  # a row a block
+    # what nobody asks for is not sent
+    splits = [(key, _blocks(n, most), _blocks(asked[key], most)) for key, n in sizes.items() if key in asked]
+    split = F.broadcast(q.sparkSession.createDataFrame(splits, f"{by} int, rs int, qs int"))
     part = lambda c, by: F.pmod(F.xxhash64(c), F.col(by)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    q = q.join(split, "block").withColumn("qb", part("qid", "qs")).withColumn("rb", every("rs")).drop("rs", "qs")
-    r = r.join(split, "block").withColumn("rb", part("rid", "rs")).withColumn("qb", every("qs")).drop("rs", "qs")
-    keys = ["block", "qb", "rb"]
+    q = q.join(split, by).withColumn("qb", part("qid", "qs")).withColumn("rb", every("rs")).drop("rs", "qs")
+    r = r.join(split, by).withColumn("rb", part("rid", "rs")).withColumn("qb", every("qs")).drop("rs", "qs")
+    keys = [by, "qb", "rb"]
     return q.groupBy(*keys).cogroup(r.groupBy(*keys)).applyInPandas(rule, schema)
 
 
@@ -200,6 +222,68 @@ def _knn(queries, refs, q_id, r_id, vec, k, r_vec=None, exclude_self=False, q_gr
             outs.append(part)
         return pd.concat(outs, ignore_index=True) if outs else empty
 
+    def chunk_group(qdf: pd.DataFrame, rdf: pd.DataFrame) -> pd.DataFrame:
+        """The k best per query among the blocks it asks of a chunk, none farther than its bound."""
+        if len(qdf) == 0 or len(rdf) == 0:
+            return group(qdf, rdf)
+        c = sent.value
+        rdf = rdf.sort_values("rid", kind="stable")     # tie-break by reference id
+        R, rid, of = _matrix(rdf["__v"]), rdf["rid"].to_numpy(), rdf["block"].to_numpy()
+        rg = rdf["rg"].to_numpy() if has_rg else None
+        centre = R.mean(axis=0)
+        C = R - centre
+        rn = (C * C).sum(axis=1)
+        held = np.flatnonzero(np.isin(c.keys(), np.unique(of)))
+        parts = [(j, at[i:i + DEFAULT_BLOCK]) for j, key in enumerate(c.keys()[held].tolist()) for at in [np.flatnonzero(of == key)]
+                 for i in range(0, len(at), DEFAULT_BLOCK)]
+        parts = [(j, at, C[at], rn[at]) for j, at in parts]
+        Q_all, qid_all = _matrix(qdf["__v"]), qdf["qid"].to_numpy()
+        home_all, bound_all = qdf["home"].to_numpy(), qdf["bound"].to_numpy()
+        qg_all = qdf["qg"].to_numpy() if has_qg else None
+        eps = 8.0 * (R.shape[1] + 4) * np.finfo(np.float64).eps
+        outs = []
+        for s in range(0, len(qid_all), QUERY_CHUNK):
+            Q, qid, home, bound = Q_all[s:s + QUERY_CHUNK], qid_all[s:s + QUERY_CHUNK], home_all[s:s + QUERY_CHUNK], bound_all[s:s + QUERY_CHUNK]
+            P = Q - centre
+            qn = (P * P).sum(axis=1)
+            asks = (c.lower_bounds(Q, held) <= bound[:, None]) & (c.keys()[held] != home[:, None])
+            limit = bound * bound * (1 + 1e-12)         # no farther reference can be among the k nearest
+            best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+            for j, at, Cj, rnj in parts:
+                who = np.flatnonzero(asks[:, j])
+                if not len(who):
+                    continue
+                D = qn[who, None] + rnj[None, :] - 2.0 * (P[who] @ Cj.T)
+                if exclude_self:
+                    D[qid[who][:, None] == rid[at][None, :]] = np.inf
+                if group_mode == "different":
+                    D[qg_all[s:s + QUERY_CHUNK][who][:, None] == rg[at][None, :]] = np.inf
+                # every reference that rounding could put among the k nearest is ranked by its exact distance
+                error = eps * (qn[who] + rnj.max() + 1e-300)
+                most = limit[who] + 2.0 * error
+                open_ = np.flatnonzero(np.isinf(most))
+                if len(open_) and len(at) > k:
+                    most[open_] = np.partition(D[open_], k - 1, axis=1)[:, k - 1] + 2.0 * error[open_]
+                row, near = np.nonzero((D <= most[:, None]) & np.isfinite(D))
+                if not len(row):
+                    continue
+                row, near = who[row], at[near]
+                exact = np.concatenate([((Q[row[i:i + 4096]] - R[near[i:i + 4096]]) ** 2).sum(axis=1) for i in range(0, len(row), 4096)])
+                row, near, exact = (np.concatenate(x) for x in zip(best, (row, near, exact)))
+                order = np.lexsort((near, exact, row))  # by query, exact distance, reference id
+                row, near, exact = row[order], near[order], exact[order]
+                place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(qid)))[row]
+                last = place == k - 1
+                limit[row[last]] = np.minimum(limit[row[last]], exact[last])
+                best = tuple(x[place < k] for x in (row, near, exact))
+            row, near, exact = best
+            if len(row):
+                part = pd.DataFrame({"qid": qid[row], "rid": rid[near], "dist2": exact})
+                for x in carry_cols:
+                    part[x] = rdf[x].to_numpy()[near]
+                outs.append(part)
+        return pd.concat(outs, ignore_index=True) if outs else group(qdf[:0], rdf)
+
     carry_schema = ", ".join(f"`c__{c}` {refs.schema[c].dataType.simpleString()}" for c in carry)
     q_type, r_type = queries.schema[q_id].dataType.simpleString(), refs.schema[r_id].dataType.simpleString()
     schema = f"qid {q_type}, rid {r_type}, dist2 double" + (", " + carry_schema if carry else "")
@@ -207,10 +291,14 @@ def _knn(queries, refs, q_id, r_id, vec, k, r_vec=None, exclude_self=False, q_gr
     if _blocks(n, cell) == 1:                           # one cell: nothing to leave out
         cells = Cells(np.empty((0, 0)), np.zeros(1, np.int64), np.zeros(1), np.zeros(1), np.array([n]), np.zeros(1, np.int64))
         q, r = q.withColumn("block", F.lit(0)), r.withColumn("block", F.lit(0))
-        found, visits = _pairs(q, r, cells, block, schema, group), q.select("qid", "block")
+        found, visits = _pairs(q, r, {0: n}, "block", block, schema, group), q.select("qid", "block")
     else:
         r, cells = _cells(r, n, block, cell)
-        r, q = _written(r, "references"), _written(q, "queries")
+        dims = max(1, cells.pivots.shape[1])
+        most = max(block, min(_blocks(n, MIN_CHUNKS), CHUNK_BLOCKS * block * min(CHUNK_DIMS, dims) // dims))
+        chunks = cells.chunks(most)
+        of_chunk = F.broadcast(q.sparkSession.createDataFrame(list(zip(cells.keys().tolist(), chunks.tolist())), "block int, chunk int"))
+        r, q = _written(r.join(of_chunk, "block"), "references"), _written(q, "queries")
         sent = q.sparkSession.sparkContext.broadcast(cells)
         q_names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in q.schema)
 
@@ -226,7 +314,8 @@ def _knn(queries, refs, q_id, r_id, vec, k, r_vec=None, exclude_self=False, q_gr
                     yield pdf
 
         at_home = _written(q.mapInPandas(home, q_names + ", block int"), "home")
-        near = _written(_pairs(at_home, r, cells, block, schema, group), "near")
+        of_block = dict(zip(cells.keys().tolist(), cells.size.tolist()))
+        near = _written(_pairs(at_home, r.drop("chunk"), of_block, "block", block, schema, group), "near")
         w = Window.partitionBy("qid").orderBy("dist2")
         bounds = (near.select("qid", "dist2").withColumn("place", F.row_number().over(w)).where(F.col("place") == k)
                   .select("qid", F.sqrt("dist2").alias("bound")))
@@ -236,18 +325,24 @@ def _knn(queries, refs, q_id, r_id, vec, k, r_vec=None, exclude_self=False, q_gr
                 if len(pdf):
                     c = sent.value
                     keys, home_block, limit = c.keys(), pdf["block"].to_numpy(), pdf["bound"].to_numpy()
-                    blocks = [keys[(b <= m) & (keys != h)].astype(np.int32)
-                              for i in range(0, len(pdf), 64)
-                              for b, m, h in zip(c.lower_bounds(_matrix(pdf["__v"][i:i + 64])), limit[i:i + 64], home_block[i:i + 64])]
-                    pdf["blocks"] = blocks
-                    yield pdf.drop(columns=["block", "bound"])
+                    asks = [np.flatnonzero((b <= m) & (keys != h))
+                            for i in range(0, len(pdf), 64)
+                            for b, m, h in zip(c.lower_bounds(_matrix(pdf["__v"][i:i + 64])), limit[i:i + 64], home_block[i:i + 64])]
+                    pdf["blocks"] = [keys[x].astype(np.int32) for x in asks]
+                    pdf["chunks"] = [np.unique(chunks[x]) for x in asks]
+                    yield pdf.rename(columns={"block": "home"})
 
         # a query with fewer than k references at home is sent everywhere
         asked = at_home.join(bounds, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-        away = asked.mapInPandas(others, q_names + ", blocks array<int>").withColumn("block", F.explode("blocks")).drop("blocks")
-        away = _written(away, "away")
-        found = near.union(_pairs(away, r, cells, block, schema, group))
-        visits = at_home.select("qid", "block").union(away.select("qid", "block"))
+        asked = asked.select(*at_home.columns, "bound").mapInPandas(others, q_names + ", home int, bound double, blocks array<int>, chunks array<int>")
+        visits = at_home.select("qid", "block").union(asked.select("qid", F.explode("blocks").alias("block")))
+        # each query once, with the chunks it asks; it is multiplied on its way into the join only
+        asked = _written(asked.drop("blocks"), "away")
+        away = asked.withColumn("chunk", F.explode("chunks")).drop("chunks")
+        sizes: dict[int, int] = {}
+        for c, size in zip(chunks.tolist(), cells.size.tolist()):
+            sizes[c] = sizes.get(c, 0) + size
+        found = near.union(_pairs(away, r, sizes, "chunk", most, schema, chunk_group))
     w = Window.partitionBy("qid").orderBy(F.col("dist2").asc(), F.col("rid").asc())
     top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     top = top.select(F.col("qid").alias(q_id), F.col("rank").cast("int").alias("rank"), F.col("rid").alias(f"nn_{r_id}"),

@@ -100,3 +100,22 @@ def test_lower_bounds_never_pass_a_distance(seed, dims, scale):
     bounds = cells.lower_bounds(queries)
     for j, c in enumerate(cell):
         assert (bounds[:, j] <= knn._distances(queries, refs[own == c]).min(1)).all()
+
+
+def test_queries_travel_once_per_chunk_where_nothing_is_left_out(spark, monkeypatch):
+    """In many dimensions every block may hold a neighbour; a query is not multiplied by the blocks."""
+    points = np.random.default_rng(7).normal(size=(400, 24))
+    df = frame(spark, points)
+    moved, pairs = [], knn._pairs
+    monkeypatch.setattr(knn, "_pairs", lambda q, *rest: moved.append(q.count()) or pairs(q, *rest))
+    assert joined(df, 3, cell=16, block=25) == plain(points, 3)
+    blocks = knn.knn_visits(df, df, "id", "id", "v", 3, exclude_self=True, cell=16, block=25).agg(F.avg("blocks"), F.max("of_blocks")).first()
+    assert blocks[0] > 0.9 * blocks[1] > 20
+    assert moved[0] == 400 and moved[1] <= 400 * 12
+
+
+def test_chunks_are_neighbouring_blocks_of_bounded_size():
+    sizes = np.array([5, 5, 5, 30, 1, 9, 2])
+    cells = knn.Cells(None, size=sizes)
+    chunks = cells.chunks(10)
+    assert chunks.tolist() == [0, 0, 1, 2, 3, 3, 4]
