@@ -30,8 +30,13 @@ def eval_multilabel_f1(df: DataFrame, real: str, pred: str):
 def knn_multioutput_mode(nb: DataFrame, vectors: DataFrame, q_id: str, vec: str) -> DataFrame:
     """Per element, the most frequent neighbour value (smallest on ties);
     the result vector is rebuilt in element order (bounded by its length)."""
-    nn = vectors.select(F.col(q_id).alias(f"nn_{q_id}"), F.posexplode(vec).alias("i", "v"))
-    c = nb.join(nn, f"nn_{q_id}").groupBy(q_id, "i", "v").agg(F.count(F.lit(1)).alias("n"))
-    m = c.groupBy(q_id, "i").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"))
-    return m.groupBy(q_id).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("__s")).select(
-        q_id, F.transform("__s", lambda s: s["v"]).alias("denoised"))
+    nn = vectors.select(F.col(q_id).alias(f"nn_{q_id}"), F.col(vec).alias("__x"))
+    g = nb.select(q_id, f"nn_{q_id}").join(nn, f"nn_{q_id}").where(F.size("__x") > 0).groupBy(q_id).agg(F.collect_list("__x").alias("__xs"))
+
+    def mode(i):
+        values = F.transform(F.filter("__xs", lambda x: F.size(x) > i), lambda x: F.get(x, i))
+        votes = F.transform(values, lambda v: F.struct((-F.size(F.filter(values, lambda u: u.eqNullSafe(v)))).alias("n"), v.alias("v")))
+        return F.array_min(votes)["v"]
+
+    longest = F.array_max(F.transform("__xs", lambda x: F.size(x)))
+    return g.select(q_id, F.transform(F.sequence(F.lit(0), longest - 1), mode).alias("denoised"))
