@@ -68,7 +68,7 @@ def _published(spark, sf, name, build) -> str:
     """Build a fixture folder once: write into a fresh sub-folder, then publish
     its name in a marker file, so a crashed build is never read half-done."""
     root = _out(spark, sf, name)
-    marker = os.path.join(root, "_PUBLISHED")
+    marker = os.path.join(AR.local_path(root), "_PUBLISHED")
     if os.path.exists(marker):
         with open(marker) as f:
             return os.path.join(root, f.read().strip())
