@@ -9,10 +9,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldsafe.functions.scalars import cut_bins, to_model_units
-from foldsafe.session import read_table
+from foldsafe.operators.splits import split_random
+from foldsafe.session import read_table, scratch_path
 
 # Every 97th order has its balance missing (constructed NULLs,
 # identical in the oracle).
@@ -37,6 +40,15 @@ def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def districts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``districts`` with a fifth flagged ``is_test``, written to the shared folder: learners
+    read it many times, and would join and rank all rows anew each time."""
+    d = split_random(districts(spark, sf_dir), "row_id", 0.2, 42)
+    path = scratch_path(spark, f"districts-{uuid.uuid4().hex}")
+    d.write.parquet(path)
+    return spark.read.schema(d.schema).parquet(path)
+
+
 def districts_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return districts(spark, sf_dir).withColumn("band", cut_bins("target"))
 

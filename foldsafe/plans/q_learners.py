@@ -22,13 +22,13 @@ from foldsafe.operators.positions import hash_positions
 from foldsafe.operators.prep import apply_branches, apply_impute, fit_branches, fit_impute_numeric
 from foldsafe.operators.splits import fold_kfold_shuffled, fold_stratified, split_random
 from foldsafe.plans.catalog import register
-from foldsafe.plans.frames import SQL_DISTRICTS, districts
+from foldsafe.plans.frames import SQL_DISTRICTS, districts, districts_split
 from foldsafe.plans.sqlutil import kfold_sql, random_split_sql
 from foldsafe.session import read_table, scratch_path
 
 
 def _split_imputed(spark, sf):
-    d = split_random(districts(spark, sf), "row_id", 0.2, 42)
+    d = districts_split(spark, sf)
     med = fit_impute_numeric(d.where("is_test = 0"), ["acctbal"])
     return apply_impute(d, med).withColumn("doy", F.col("doy").cast("double"))
 
@@ -69,9 +69,8 @@ def _features(spark, sf):
     return LR.assemble(x, feats), feats
 
 
-def _fit_eval(spark, sf, est):
-    x, _ = _features(spark, sf)
-    x = x.cache()
+def _fit_eval(spark, sf, est, x=None):
+    x = (_features(spark, sf)[0] if x is None else x).cache()
     m = est.setFeaturesCol("features").setLabelCol("target").fit(x.where("is_test = 0"))
     sc = m.transform(x.where("is_test = 1")).withColumnRenamed("prediction", "pred")
     return _metrics(sc)
@@ -83,7 +82,7 @@ def q_l2(spark, sf):
     x, _ = _features(spark, sf)
     tr = x.where("is_test = 0")
     est = LR.regressor("ridge", regParam=LR.ridge_reg_param(tr, "target", 1.0))
-    return _fit_eval(spark, sf, est)
+    return _fit_eval(spark, sf, est, x)
 
 
 @register("fit_tree")

@@ -18,7 +18,7 @@ from foldsafe.operators.prep import fit_branches
 from foldsafe.operators.quantiles import exact_median
 from foldsafe.operators.splits import split_random
 from foldsafe.plans.catalog import register
-from foldsafe.plans.frames import SQL_DISTRICTS, districts
+from foldsafe.plans.frames import SQL_DISTRICTS, districts, districts_split
 from foldsafe.plans.q_learners import OLS_SQL, _split_imputed
 from foldsafe.plans.sqlutil import random_split_sql
 from foldsafe.session import scratch_path
@@ -27,7 +27,7 @@ DEPTH = 4
 
 
 def _raw_split(spark, sf):
-    d = split_random(districts(spark, sf), "row_id", 0.2, 42).withColumn("doy", F.col("doy").cast("double"))
+    d = districts_split(spark, sf).withColumn("doy", F.col("doy").cast("double"))
     # the training rows never see one priority level: it is unseen at scoring time
     return d
 
