@@ -2,9 +2,11 @@
 
 A document-term matrix is never materialised as vectors: it is the table
 (doc, term, weight).  Term statistics are grouped aggregates (map-side
-combined, so a term present in every document is still cheap), the
-vocabulary stays distributed, and joins on ``term`` rely on AQE to split a
-hot term's partition.
+combined, so a term present in every document is still cheap).  Texts are
+brought together by document before they are tokenised, so neither the counts nor
+the norms move a row per term.  The vocabulary is sent to the rows while it is
+bounded; above that it stays distributed, and joins on ``term`` rely on AQE to
+split a hot term's partition.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from foldsafe.functions.text import strip_html, tokens
 def term_counts(docs: DataFrame, doc_id: str, text: str, carry: tuple = ()) -> DataFrame:
     """(doc, term, tf) from B19 tokens; ``carry`` keeps per-document columns
     (e.g. the split flag) so train and test come out of one tokenisation."""
-    t = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.explode(tokens(text)).alias("term"))
+    d = docs.select(F.col(doc_id).alias("doc_id"), *carry, F.col(text).alias("__text")).repartition("doc_id")
+    t = d.select("doc_id", *carry, F.explode(tokens("__text")).alias("term"))
     return t.groupBy("doc_id", *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -51,7 +54,7 @@ def apply_tfidf(docs: DataFrame, doc_id: str, text: str, model: TfidfModel, tf:
     document (a window per document: one shuffle by document, no join back)."""
     from pyspark.sql import Window
     tf = tf if tf is not None else term_counts(docs, doc_id, text)
-    w = tf.join(model.idf, "term", "inner").select("doc_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
+    w = tf.join(bounded(model.idf), "term", "inner").select("doc_id", "term", ((1.0 + F.log("tf")) * F.col("idf")).alias("w"))
 
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
     return w.select("doc_id", "term", (F.col("w") / norm).alias("weight"))
@@ -70,7 +73,8 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, label: str, vocab_siz
     prior = lab.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     n = lab.count()
     log_prior = prior.select("label", F.log(F.col("n") / F.lit(float(n))).alias("log_prior"))
-    fc = weights.join(lab, "doc_id").groupBy("label", "term").agg(F.sum("weight").alias("fc"))
+    # kept, as the totals, the probabilities and the unseen terms each read it: a row per class and term
+    fc = weights.join(lab, "doc_id").groupBy("label", "term").agg(F.sum("weight").alias("fc")).persist()
     tot = fc.groupBy("label").agg(F.sum("fc").alias("tot"))
     log_prob = fc.join(bounded(tot), "label").select(
         "label", "term", F.log((F.col("fc") + alpha) / (F.col("tot") + alpha * vocab_size)).alias("log_prob"))
@@ -81,12 +85,12 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, label: str, vocab_siz
 
 def predict_naive_bayes(weights: DataFrame, model: NaiveBayesModel, vocab: DataFrame) -> DataFrame:
     """Joint log-likelihood per (doc, class) and the argmax (lowest class on ties)."""
-    w = weights.join(vocab.select("term"), "term", "left_semi")
+    w = weights.join(bounded(vocab.select("term")), "term", "left_semi")
     classes = model.log_prior
     # one row per (doc, term, class): classes are few, expanded by explode, not a join
     labels = [r["label"] for r in classes.select("label").collect()]
     we = w.withColumn("label", F.explode(F.array(*[F.lit(v) for v in labels])))
-    s = we.join(model.log_prob, ["label", "term"], "left").join(bounded(classes), "label")
+    s = we.join(bounded(model.log_prob), ["label", "term"], "left").join(bounded(classes), "label")
     s = s.withColumn("lp", F.coalesce("log_prob", "log_unseen"))
     jll = s.groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("lp")).alias("__s"), F.first("log_prior").alias("log_prior"))
     jll = jll.withColumn("jll", F.col("__s") + F.col("log_prior")).drop("__s", "log_prior")

@@ -73,6 +73,7 @@ def q_k10(spark, sf):
     d = read_table(spark, sf, "documents")
     tf = TX.term_counts(d, "doc_id", "text").persist()      # tokenised once, used by fit and apply
     m = TX.fit_tfidf(d, "doc_id", "text", 3, tf=tf)
+    m.idf.persist()
     return TX.apply_tfidf(d, "doc_id", "text", m, tf=tf).withColumn("weight", F.round("weight", 6))
 
 
