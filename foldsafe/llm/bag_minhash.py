@@ -14,7 +14,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,7 +22,10 @@ from foldsafe.llm.common import components, empty_text, mix, shingle_hashes, wri
 _U = np.uint64
 _ARRIVAL, _SLOT, _PLACE, _INTERVAL = (_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 BANDS, ROWS = 21, 3
-BLOCK = 256
+# Members of a block, at most about.
+BLOCK = 512
+# Codes' places looked up at once.
+GATHERED = 1 << 22
 # Shingles whose processes run together.
 TOGETHER = 1 << 18
 
@@ -152,13 +154,54 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _codes(text: str) -> np.ndarray:
+    """A code for each shingle and count of it so far, so that two bags share as many codes as they share weight."""
+    shingles, weights = bag(text)
+    nth = np.arange(weights.sum()) - np.repeat(np.cumsum(weights) - weights, weights)
+    return np.repeat(shingles, weights) + nth.astype(_U) * _INTERVAL
+
+
+def _ties(nodes: np.ndarray, component: np.ndarray, main: int, codes: list[np.ndarray], left: np.ndarray, right: np.ndarray,
+          threshold: float) -> list[tuple[int, int]]:
+    """Links of ``threshold`` that tie the components of the rows ``left`` to those of the rows ``right``.
+
+    A left row is counted against all right rows at once, by lists of the right rows
+    that have a code.  Rows that earlier links have tied, by whatever way, are passed over.
+    """
+    size = np.array([len(c) for c in codes])
+    ids = np.unique(np.concatenate(codes), return_inverse=True)[1]
+    ids = np.split(ids, np.cumsum(size)[:-1])
+    has = np.concatenate([ids[r] for r in right])
+    owner = np.repeat(np.arange(len(right)), size[right])[np.argsort(has, kind="stable")]
+    ends = np.cumsum(np.bincount(has, minlength=max(int(i.max()) for i in ids) + 1))
+    starts = np.append(0, ends[:-1])
+    # a pair outside the main component is looked at once, from its lesser node
+    upper, least = np.where(component[right] == main, np.iinfo(np.int64).max, nodes[right]), threshold - 1e-12
+    tied, out = component.copy(), []
+    for row in left:
+        mine, theirs = size[row], size[right]
+        wanted = (tied[right] != tied[row]) & (upper > nodes[row]) & (np.minimum(mine, theirs) >= least * np.maximum(mine, theirs))
+        if not wanted.any():
+            continue
+        shared = np.zeros(len(right), np.int64)
+        for part in np.array_split(ids[row], mine * len(right) // GATHERED + 1):
+            n = ends[part] - starts[part]
+            at = np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared += np.bincount(owner[at], minlength=len(right))
+        found = right[np.flatnonzero(wanted & (shared / (mine + theirs - shared) >= least))]
+        others, first = np.unique(tied[found], return_index=True)
+        out += [(int(nodes[row]), int(nodes[o])) for o in found[first]]
+        tied[np.isin(tied, others)] = tied[row]
+    return out
+
+
 def _rest(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Verified pairs of ``members`` (key, node, component) that share a key and differ in component.
 
     Only members outside a key's largest component are compared with the others,
     in pairs of blocks of at most about BLOCK members, so the work follows the open
-    pairs and no task holds a whole key.  Once a member is tied to a component, the
-    rest of that component is passed over.
+    pairs and no task holds a whole key.  What a pair of blocks has tied is passed over
+    in it.  A member that is on both sides of a pair of blocks is sent to it once.
     """
     sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
@@ -166,28 +209,24 @@ def _rest(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     main = main.select("key", F.col("main.component").alias("main"), (F.floor((F.col("n") - 1) / BLOCK) + 1).alias("blocks"),
                        (F.floor((F.col("n") - F.col("main.n") - 1) / BLOCK) + 1).alias("outer_blocks"))
     m = members.join(written(main, "open-sizes"), "key").join(texts, "node")
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    outer = F.col("component") != F.col("main")
+    every = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
-    outer = m.where("component <> main").select("key", "node", "component", "text", "main", own("outer_blocks").alias("i"), every("blocks").alias("j"))
-    outer = outer.toDF(*outer.columns)  # columns of their own, apart from those of the other side
-    inner = m.select("key", "node", "component", "text", "main", every("outer_blocks").alias("i"), own("blocks").alias("j"))
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        theirs = [(n, c, bag(t)) for n, c, t in zip(right["node"], right["component"], right["text"])] if len(left) else []
-        for node, component, text, main in zip(left["node"], left["component"], left["text"], left["main"]):
-            mine, tied = bag(text), {component}
-            total = mine[1].sum()
-            for other, c, theirs_bag in theirs:
-                size = theirs_bag[1].sum()
-                if c in tied or (c != main and other < node) or min(size, total) < (threshold - 1e-12) * max(size, total):
-                    continue
-                if similarity(mine, theirs_bag) >= threshold - 1e-12:
-                    tied.add(c)
-                    out.append((node, other))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return outer.groupBy("key", "i", "j").cogroup(inner.groupBy("key", "i", "j")).applyInPandas(run, "a long, b long")
+    pair = lambda i, j, left, right: F.struct(i.alias("i"), j.alias("j"), left.alias("left"), right.alias("right"))
+    pairs = F.concat(F.transform(every("outer_blocks"), lambda i: pair(i, own("blocks"), outer & (i == own("outer_blocks")), F.lit(True))),
+                     F.transform(F.filter(every("blocks"), lambda j: outer & (j != own("blocks"))),
+                                 lambda j: pair(own("outer_blocks"), j, F.lit(True), F.lit(False))))
+
+    def run(group: pa.Table) -> pa.Table:
+        left, right = (np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right"))
+        found = []
+        if len(left) and len(right):
+            codes = [_codes(t.as_py()) for t in group.column("text")]
+            found = _ties(group.column("node").to_numpy(), group.column("component").to_numpy(), group.column("main")[0].as_py(), codes, left, right, threshold)
+        return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    sent = m.select("key", "node", "component", "main", "text", F.explode(pairs).alias("pair"))
+    return sent.select("key", "node", "component", "main", "text", "pair.*").groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

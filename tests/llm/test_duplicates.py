@@ -112,3 +112,46 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {x: find(x) for x in root}
     assert common.components(spark.createDataFrame([], "a long, b long"), "t").count() == 0
+
+
+def test_what_a_block_has_tied_is_passed_over(spark):
+    """Open members of one bucket: the links found tie what brute force ties, one for each component that is joined."""
+    draw = random.Random(5)
+    texts = []
+    for g in range(4):
+        base = [f"w{draw.randrange(10 ** 6)}" for _ in range(90)]
+        for _ in range(15):
+            copy = list(base)
+            for _ in range(draw.randint(0, 3)):
+                copy[draw.randrange(len(copy))] = f"v{draw.randrange(10 ** 6)}"
+            texts.append(" ".join(copy))
+    texts += ["z y " * 90, "z y " * 100, "z y " * 50]
+    members = spark.createDataFrame([(1, i, i) for i in range(len(texts))], "key long, node long, component long")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    found = [tuple(r) for r in bag_minhash._rest(members, rows, 0.8).collect()]
+    right = classes(list(enumerate(texts)))
+    got = {i: i for i in range(len(texts))}
+    for a, b in found:
+        old, new = sorted((got[a], got[b]), reverse=True)
+        got = {i: new if c == old else c for i, c in got.items()}
+    assert got == right
+    assert len(found) == len(texts) - len(set(right.values()))
+
+
+@pytest.mark.parametrize("block", [2, 7])
+def test_pairs_of_blocks_miss_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(bag_minhash, "BLOCK", block)
+    monkeypatch.setattr(bag_minhash, "GATHERED", 50)
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words[:i] + [f"x{j}" for j in range(i)] + words[i:]) for i in range(0, 40, 2)]
+    members = spark.createDataFrame([(k, i, min(i, 16)) for k in (1, 2) for i in range(len(texts))], "key long, node long, component long")
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    found = {(r["a"], r["b"]) for r in bag_minhash._rest(members, rows, 0.8).collect()}
+    bags = [bag_minhash.bag(t) for t in texts]
+    assert all(bag_minhash.similarity(bags[a], bags[b]) >= 0.8 for a, b in found)
+    root = {i: min(i, 16) for i in range(len(texts))}
+    for a, b in found:
+        old, new = sorted((root[a], root[b]), reverse=True)
+        root = {i: new if c == old else c for i, c in root.items()}
+    whole = classes(list(enumerate(texts)))
+    assert len({root[i] for i in root}) == len(set(whole.values()))
