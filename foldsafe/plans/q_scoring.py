@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
@@ -40,9 +41,15 @@ def _pipeline_model(spark, sf):
         StringIndexer(inputCol="priority", outputCol="priority_ix", handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=["priority_ix"], outputCols=["priority_oh"], handleInvalid="keep", dropLast=True),
         VectorAssembler(inputCols=["acctbal_i", "doy", "priority_oh"], outputCol="features", handleInvalid="keep"),
-        GBTRegressor(featuresCol="features", labelCol="target", maxIter=10, maxDepth=DEPTH, seed=42),
     ])
-    return d, pipe.fit(tr)
+    prep = pipe.fit(tr)
+    # made once: the booster reads its input for its counts, its split points and its trees
+    rows = prep.transform(tr).select("features", "target").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        gbt = GBTRegressor(featuresCol="features", labelCol="target", maxIter=10, maxDepth=DEPTH, seed=42).fit(rows)
+    finally:
+        rows.unpersist()
+    return d, PipelineModel([*prep.stages, gbt])
 
 
 @register("score_batch")

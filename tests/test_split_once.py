@@ -19,3 +19,17 @@ def test_written_split_is_the_split(spark):
 def test_learners_start_from_the_written_split(spark, frame):
     plan = frame(spark)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_booster_reads_rows_made_once(spark, monkeypatch):
+    seen = []
+
+    def fit(self, rows, params=None):
+        seen.append((rows.storageLevel.useMemory, rows))
+        return real(self, rows, params)
+
+    real = q_scoring.GBTRegressor.fit
+    monkeypatch.setattr(q_scoring.GBTRegressor, "fit", fit)
+    d, m = q_scoring._pipeline_model(spark, SMALL)
+    assert [kept for kept, _ in seen] == [True] and not seen[0][1].storageLevel.useMemory
+    assert "prediction" in m.transform(d).columns and len(m.stages) == 5
