@@ -86,15 +86,19 @@ def fit_naive_bayes(weights: DataFrame, labels: DataFrame, label: str, vocab_siz
 def predict_naive_bayes(weights: DataFrame, model: NaiveBayesModel, vocab: DataFrame) -> DataFrame:
     """Joint log-likelihood per (doc, class) and the argmax (lowest class on ties)."""
     w = weights.join(bounded(vocab.select("term")), "term", "left_semi")
-    classes = model.log_prior
-    # one row per (doc, term, class): classes are few, expanded by explode, not a join
-    labels = [r["label"] for r in classes.select("label").collect()]
-    we = w.withColumn("label", F.explode(F.array(*[F.lit(v) for v in labels])))
-    s = we.join(bounded(model.log_prob), ["label", "term"], "left").join(bounded(classes), "label")
-    s = s.withColumn("lp", F.coalesce("log_prob", "log_unseen"))
-    jll = s.groupBy("doc_id", "label").agg(F.sum(F.col("weight") * F.col("lp")).alias("__s"), F.first("log_prior").alias("log_prior"))
-    jll = jll.withColumn("jll", F.col("__s") + F.col("log_prior")).drop("__s", "log_prior")
-    return jll
+    classes = [r for r in model.log_prior.select("label", "log_prior", "log_unseen").collect() if r["label"] is not None]   # few
+    kind = model.log_prior.schema["label"].dataType
+    if not classes:
+        return w.select("doc_id", F.lit(None).cast(kind).alias("label"), F.lit(None).cast("double").alias("jll")).limit(0)
+    # one row per (doc, term): the classes' probabilities of a term are columns, so the weights aren't repeated per class
+    probs = model.log_prob.groupBy("term").agg(*[F.max(F.when(F.col("label") == F.lit(c["label"]), F.col("log_prob"))).alias(f"__p{k}")
+                                                 for k, c in enumerate(classes)])
+    s = w.join(bounded(probs), "term", "left")
+    s = s.groupBy("doc_id").agg(*[F.sum(F.col("weight") * F.coalesce(f"__p{k}", F.lit(c["log_unseen"]))).alias(f"__s{k}")
+                                  for k, c in enumerate(classes)])
+    jll = F.array(*[F.struct(F.lit(c["label"]).cast(kind).alias("label"), (F.col(f"__s{k}") + F.lit(c["log_prior"])).alias("jll"))
+                    for k, c in enumerate(classes)])
+    return s.select("doc_id", F.explode(jll).alias("__j")).select("doc_id", "__j.label", "__j.jll")
 
 
 def prefer_plain(parts: DataFrame, msg_id: str, order: str, kind: str, text: str,

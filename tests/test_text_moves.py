@@ -41,3 +41,15 @@ def test_class_sums_are_kept(spark):
     lab = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, label int")
     nb = TX.fit_naive_bayes(w, lab, "label", 3)
     assert "InMemoryTableScan" in plan(nb.log_prob) and "InMemoryTableScan" in plan(nb.log_prior)
+
+
+def test_scoring_repeats_no_weight_per_class(spark):
+    prior = spark.createDataFrame([(0, -0.5, -4.0), (1, -1.0, -3.0), (None, -9.0, -9.0)], "label int, log_prior double, log_unseen double")
+    probs = spark.createDataFrame([(0, "aa", -1.0), (1, "aa", -2.0), (1, "bb", -1.5)], "label int, term string, log_prob double")
+    w = spark.createDataFrame([(1, "aa", 0.5), (1, "bb", 0.5), (2, "cc", 1.0), (3, "zz", 1.0)], "doc_id long, term string, weight double")
+    vocab = spark.createDataFrame([("aa",), ("bb",), ("cc",)], "term string")
+    jll = TX.predict_naive_bayes(w, TX.NaiveBayesModel(prior, probs), vocab)
+    assert jll.columns == ["doc_id", "label", "jll"]
+    assert {(r[0], r[1]): r[2] for r in jll.collect()} == {(1, 0): -3.0, (1, 1): -2.75, (2, 0): -4.5, (2, 1): -4.0}
+    assert not re.search(r"keys=\[doc_id#\d+L?, label", plan(jll))
+    assert TX.predict_naive_bayes(w, TX.NaiveBayesModel(prior.limit(0), probs), vocab).count() == 0
